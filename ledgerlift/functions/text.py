@@ -30,9 +30,9 @@ def short_year(year: Column) -> Column:
     return F.substring(digits(year), 3, 2)
 
 
-def doc_number(number: Column, year: Column, width: int) -> Column:
+def doc_number(number: Column, year: Column, width: int, pad=pad_grow) -> Column:
     """``000123/98``: padded number, slash, short year."""
-    return F.concat(pad_grow(number, width), F.lit("/"), short_year(year))
+    return F.concat(pad(number, width), F.lit("/"), short_year(year))
 
 
 def doc_serial(document: Column) -> Column:

@@ -10,8 +10,12 @@ def exact_sum(amount: Column) -> Column:
 
 
 def safe_ratio(amount: Column, divisor: Column) -> Column:
-    """``amount / divisor`` to two places, 0 when the divisor is 0 or NULL."""
-    return F.when(divisor != 0, F.round(amount / divisor, 2)).otherwise(F.lit(0.0))
+    """``amount / divisor`` to two places, 0 when the divisor is 0 or NULL.
+
+    Divided as decimals: a double just below a half cent would round down.
+    """
+    top, bottom = amount.cast("decimal(24,8)"), divisor.cast("decimal(24,8)")
+    return F.when(bottom != 0, F.round(top / bottom, 2).cast("double")).otherwise(F.lit(0.0))
 
 
 def one_year_later(day: Column) -> Column:
