@@ -854,8 +854,11 @@ def date_exprs(t):
 
 
 @query(
-    f"""WITH r AS (SELECT *, CASE WHEN l_discount <> 0
-    THEN CAST(round(CAST(l_extendedprice / l_discount AS DECIMAL(38,10)), 2) AS DOUBLE) ELSE 0 END AS ratio FROM lineitem)
+    f"""WITH c AS (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS price_cents,
+        CAST(round(l_discount * 100) AS BIGINT) AS discount_cents FROM lineitem),
+    -- the ratio in whole cents, half a cent rounded up, so that the SQL side is exact
+    r AS (SELECT *, CASE WHEN discount_cents <> 0
+    THEN ((200 * price_cents + discount_cents) // (2 * discount_cents)) / 100.0 ELSE 0 END AS ratio FROM c)
     SELECT {LINE_SQL}, ratio, abs(ratio * l_discount) AS back, l_extendedprice - l_tax AS less,
     l_orderkey % 1000 AS remainder, l_orderkey // 1000 AS whole FROM r"""
 )
