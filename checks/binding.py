@@ -253,6 +253,204 @@ class Entities:
             F.to_date("l_shipdate").alias("starts"),
         )
 
+    @cached_property
+    def purchase_order(self):
+        month = F.month("o_orderdate").cast("bigint")
+        return self.t.orders.select(
+            F.col("o_orderkey").alias("number"), _year("o_orderdate").alias("year"), F.col("o_custkey").alias("doc_number"),
+            F.when(F.col("o_orderstatus") == "F", 0).otherwise(1).alias("sub_number"), F.col("o_custkey").alias("commitment"),
+            F.to_date("o_orderdate").alias("issued"), F.col("o_custkey").alias("supplier"),
+            F.col("o_orderpriority").alias("payment_terms"), _null("string").alias("notes"), _null("string").alias("delivery_place"),
+            month.alias("budget_line"), month.alias("expense_category"), month.alias("expense_group"),
+            month.alias("expense_modality"), month.alias("expense_element"), _null("bigint").alias("expense_detail"),
+            _null("bigint").alias("link_group"), month.alias("link_code"),
+            F.when(F.col("o_orderstatus") == "O", F.col("o_orderkey")).alias("tender"), (F.col("o_custkey") + 100).alias("unit"),
+            F.when(F.col("o_orderstatus") == "P", F.col("o_orderkey") - 1).alias("parent"), F.col("o_custkey").alias("store"),
+            F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_custkey")).alias("contract_number"),
+            _year("o_orderdate").alias("contract_year"),
+        )
+
+    @cached_property
+    def order_line(self):
+        return self.t.lineitem.select(
+            F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("bigint").alias("line"),
+            F.col("l_partkey").alias("material"), F.col("l_quantity").alias("quantity"), _unit_price().alias("unit_price"),
+            F.col("l_extendedprice").alias("total"),
+        )
+
+    @cached_property
+    def order_annulment(self):
+        return self.t.lineitem.filter("l_returnflag = 'R'").select(
+            F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("bigint").alias("line"),
+            F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("value"),
+        )
+
+    @cached_property
+    def register_tenders(self):
+        return self.t.orders.filter("o_orderstatus = 'O' AND o_totalprice > 200000").select(F.col("o_orderkey").alias("tender"))
+
+    @cached_property
+    def commitment(self):
+        return self.t.customer.select(
+            F.col("c_custkey").alias("number"), F.col("c_acctbal").alias("amount"),
+            F.when(F.col("c_mktsegment") == "BUILDING", 1997).alias("carried_year"),
+        )
+
+    @cached_property
+    def loaded_items(self):
+        return self.t.lineitem.filter("l_linestatus = 'O'").select(
+            F.col("l_orderkey").alias("tender"), F.col("l_linenumber").cast("bigint").alias("line"),
+            F.concat(F.lit("001."), F.lpad(F.col("l_partkey").cast("string"), 6, "0")).alias("code"),
+        )
+
+    @cached_property
+    def holder(self):
+        return self.t.customer.select(F.col("c_custkey").alias("number"), F.col("c_name").alias("name"))
+
+    @cached_property
+    def driver(self):
+        return self.t.customer.select(
+            F.col("c_custkey").alias("person"), F.col("c_name").alias("licence"), F.col("c_mktsegment").alias("licence_class"),
+            _null("date").alias("licence_expires"),
+        )
+
+    @cached_property
+    def vehicle_type(self):
+        return self.t.part.select(_type_index("p_type").alias("number"), F.col("p_type").alias("name")).distinct()
+
+    @cached_property
+    def vehicle(self):
+        words = F.split("p_name", " ")
+        return self.t.part.select(
+            F.col("p_partkey").alias("number"), words.getItem(0).alias("plate_letters"), words.getItem(1).alias("plate_digits"),
+            F.col("p_name").alias("name"), _null("string").alias("chassis"), F.col("p_type").alias("colour"),
+            F.col("p_size").cast("bigint").alias("built"),
+            F.nullif(F.col("p_size"), F.lit(50)).cast("bigint").alias("model_year"), _null("string").alias("registration"),
+            F.date_add(F.lit("1995-01-01").cast("date"), F.floor("p_retailprice").cast("int")).alias("acquired"),
+            _null("bigint").alias("driver"), _brand_number().alias("make"), _type_index("p_type").alias("vehicle_type"),
+            F.col("p_size").cast("bigint").alias("fuel_type"), F.col("p_retailprice").alias("km"),
+            _null("string").alias("notes"), _null("date").alias("sold"), _null("date").alias("licensed_until"),
+            _null("double").alias("oil_change_km"),
+        )
+
+    @cached_property
+    def fuel_type(self):
+        return self.t.nation.select(F.col("n_nationkey").cast("bigint").alias("number"), F.col("n_name").alias("name"))
+
+    @cached_property
+    def centre(self):
+        return self.org_unit.select(F.col("number").alias("centre"))
+
+    @cached_property
+    def _purchases(self):
+        return self.t.events.filter("event_type = 'purchase'")
+
+    @cached_property
+    def fuel_request(self):
+        return self._purchases.select(
+            F.col("event_id").alias("number"), F.col("ts").alias("issued"), _null("bigint").alias("supplier"),
+            F.col("user_id").alias("driver"), F.col("value").alias("km"), F.col("user_id").alias("vehicle"),
+        )
+
+    @cached_property
+    def fuel_request_line(self):
+        def line(n):
+            return self._purchases.select(
+                F.col("event_id").alias("request"), F.lit(n).cast("bigint").alias("line"), F.col("user_id").alias("material"),
+                (F.col("value") * n).alias("quantity"), (F.col("value") / 2).alias("unit_price"), F.col("value").alias("total"),
+            )
+
+        return line(1).unionByName(line(2))
+
+    @cached_property
+    def inventory(self):
+        total = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+        return self.t.lineitem.groupBy(
+            _year("l_shipdate").alias("year"), F.month("l_shipdate").cast("bigint").alias("month"),
+            F.col("l_suppkey").alias("store"), F.col("l_partkey").alias("material"),
+        ).agg(F.sum("l_quantity").alias("balance"), (total / F.sum("l_quantity")).alias("price"))
+
+    @cached_property
+    def known_codes(self):
+        """Item codes with some materials missing."""
+        return self.item_codes.join(
+            self.t.part.filter("p_size <= 45").select(F.col("p_partkey").alias("material")), "material"
+        )
+
+    @cached_property
+    def movement(self):
+        return self.t.orders.select(
+            F.col("o_orderkey").alias("number"), _year("o_orderdate").alias("year"), F.to_date("o_orderdate").alias("issued"),
+            F.col("o_custkey").alias("store"), F.col("o_custkey").alias("supplier"),
+        )
+
+    @cached_property
+    def movement_line(self):
+        direct = F.when(F.col("l_returnflag") == "N", "S").when(F.col("l_linestatus") == "O", "N")
+        return self.t.lineitem.filter("l_returnflag <> 'R'").select(
+            F.col("l_orderkey").alias("movement"), F.col("l_linenumber").cast("bigint").alias("line"),
+            F.col("l_partkey").alias("material"), F.col("l_quantity").alias("quantity"), _unit_price().alias("unit_price"),
+            F.col("l_extendedprice").alias("total"), direct.alias("direct"),
+        )
+
+    @cached_property
+    def stock_request_line(self):
+        return self.t.lineitem.filter("l_returnflag = 'R'").select(
+            F.col("l_orderkey").alias("request"), F.col("l_linenumber").cast("bigint").alias("line"),
+            F.col("l_partkey").alias("material"), F.col("l_quantity").alias("quantity"),
+        )
+
+    @cached_property
+    def asset(self):
+        last = self.t.orders.groupBy(F.col("o_custkey").alias("number")).agg(F.to_date(F.max("o_orderdate")).alias("last_day"))
+        closed = F.col("c_acctbal") < 0
+        entered = F.date_add(F.lit("1995-01-01").cast("date"), F.col("c_nationkey"))
+        return self.t.customer.withColumnRenamed("c_custkey", "number").join(last, "number", "left").select(
+            "number", F.col("c_name").alias("asset_plate"), F.col("c_mktsegment").alias("name"), _null("string").alias("notes"),
+            _type_index("c_mktsegment").alias("asset_kind"), F.col("c_nationkey").cast("bigint").alias("condition"),
+            _null("date").alias("acquired"), entered.alias("entered"), F.col("c_acctbal").alias("acquisition_value"),
+            _null("bigint").alias("supplier"), F.col("c_name").alias("acquisition_doc"), _null("string").alias("commitment"),
+            entered.alias("committed"), F.when(closed, F.col("last_day")).alias("closed"),
+            F.when(closed, F.col("c_nationkey").cast("string")).alias("writeoff_mode"),
+            F.when(closed, "X").alias("writeoff_reason"),
+            F.when(F.col("c_acctbal") < -500, F.col("c_acctbal")).alias("writeoff_value"),
+        )
+
+    @cached_property
+    def asset_kind(self):
+        number = _type_index("c_mktsegment")
+        return self.t.customer.select(
+            number.alias("number"), F.col("c_mktsegment").alias("name"), F.concat(F.lit("A"), number.cast("string")).alias("account")
+        ).distinct()
+
+    @cached_property
+    def asset_condition(self):
+        return self.t.supplier.select(F.col("s_suppkey").alias("number"), F.col("s_name").alias("name"))
+
+    @cached_property
+    def asset_placement(self):
+        unit = 100 + F.substring("o_orderpriority", 1, 1).cast("bigint") * 10 + F.month("o_orderdate")
+        return self.t.orders.select(
+            F.col("o_custkey").alias("asset"), F.col("o_orderkey").alias("sequence"), unit.alias("unit"),
+            F.to_date("o_orderdate").alias("started"),
+            F.when(F.col("o_orderstatus") == "P", "A").when(F.col("o_orderpriority") != "5-LOW", "T").alias("movement"),
+        )
+
+    @cached_property
+    def asset_valuation(self):
+        return self.t.orders.filter("o_orderstatus <> 'P'").select(
+            F.col("o_custkey").alias("asset"), F.to_date("o_orderdate").alias("valued"), F.col("o_totalprice").alias("base_value"),
+            (F.col("o_totalprice") / 2).alias("residual"),
+            F.when(F.col("o_orderstatus") == "O", "S").otherwise("N").alias("revalued"),
+        )
+
+    @cached_property
+    def depreciation(self):
+        return self.t.events.filter("event_type = 'error'").select(
+            F.col("user_id").alias("asset"), F.to_date("ts").alias("valued"), "value",
+            F.month("ts").cast("bigint").alias("month"), _year("ts").alias("year"),
+        )
+
 
 ENTITIES = """
 branded AS (SELECT *, CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS no,
@@ -316,5 +514,46 @@ request AS (SELECT o_orderkey AS number, CASE WHEN o_orderstatus = 'O' THEN 2 EL
 request_line AS (SELECT l_orderkey AS request, l_partkey AS material, l_quantity AS quantity FROM lineitem WHERE l_returnflag = 'A'),
 request_tender AS (SELECT o_orderkey AS request, o_orderkey AS tender FROM orders),
 price_adjustment AS (SELECT l_orderkey AS tender, l_partkey AS material, l_extendedprice / l_quantity AS unit_price,
-    CAST(l_shipdate AS DATE) AS starts FROM lineitem WHERE l_returnflag <> 'R')
+    CAST(l_shipdate AS DATE) AS starts FROM lineitem WHERE l_returnflag <> 'R'),
+purchase_order AS (SELECT o_orderkey AS number, year(o_orderdate) AS year, o_custkey AS doc_number,
+    CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS sub_number, o_custkey AS commitment, CAST(o_orderdate AS DATE) AS issued,
+    o_custkey AS supplier, o_orderpriority AS payment_terms, month(o_orderdate) AS m,
+    CASE WHEN o_orderstatus = 'O' THEN o_orderkey END AS tender, o_custkey + 100 AS unit,
+    CASE WHEN o_orderstatus = 'P' THEN o_orderkey - 1 END AS parent, o_custkey AS store,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey END AS contract_number FROM orders),
+order_line AS (SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line, l_partkey AS material, l_quantity AS quantity,
+    l_extendedprice / l_quantity AS unit_price, l_extendedprice AS total FROM lineitem),
+annulled AS (SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line, SUM(l_quantity) AS annulled_quantity,
+    CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS annulled_value FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
+register_tenders AS (SELECT o_orderkey AS tender FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 200000),
+commitment AS (SELECT c_custkey AS number, c_acctbal AS amount, CASE WHEN c_mktsegment = 'BUILDING' THEN 1997 END AS carried_year
+    FROM customer),
+loaded_items AS (SELECT l_orderkey AS tender, CAST(l_linenumber AS BIGINT) AS line,
+    '001.' || lpad(CAST(l_partkey AS VARCHAR), 6, '0') AS code FROM lineitem WHERE l_linestatus = 'O'),
+vehicle_type AS (SELECT DISTINCT (ascii(p_type) - 64) * 10 + length(p_type) AS number, p_type AS name FROM part),
+vehicle AS (SELECT p_partkey AS number, split_part(p_name, ' ', 1) || split_part(p_name, ' ', 2) AS plate, p_name AS name,
+    p_type AS colour, CAST(p_size AS BIGINT) AS built, CAST(NULLIF(p_size, 50) AS BIGINT) AS model_year,
+    DATE '1995-01-01' + CAST(floor(p_retailprice) AS INTEGER) AS acquired, CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS make,
+    (ascii(p_type) - 64) * 10 + length(p_type) AS vehicle_type, p_size AS fuel_type, p_retailprice AS km FROM part),
+purchases AS (SELECT * FROM events WHERE event_type = 'purchase'),
+inventory AS (SELECT year(l_shipdate) AS year, month(l_shipdate) AS month, l_suppkey AS store, l_partkey AS material,
+    SUM(l_quantity) AS balance, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / SUM(l_quantity) AS price
+    FROM lineitem GROUP BY 1, 2, 3, 4),
+known_codes AS (SELECT material, code FROM item_codes JOIN part ON p_partkey = material WHERE p_size <= 45),
+movement_line AS (SELECT l_orderkey AS movement, CAST(l_linenumber AS BIGINT) AS line, l_partkey AS material, l_quantity AS quantity,
+    l_extendedprice / l_quantity AS unit_price, l_extendedprice AS total,
+    CASE WHEN l_returnflag = 'N' THEN 'S' WHEN l_linestatus = 'O' THEN 'N' END AS direct FROM lineitem WHERE l_returnflag <> 'R'),
+asset AS (SELECT c_custkey AS number, c_name AS asset_plate, c_mktsegment AS name,
+    (ascii(c_mktsegment) - 64) * 10 + length(c_mktsegment) AS asset_kind, CAST(c_nationkey AS BIGINT) AS condition,
+    DATE '1995-01-01' + c_nationkey AS entered, c_acctbal AS acquisition_value,
+    CASE WHEN c_acctbal < 0 THEN (SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders WHERE o_custkey = c_custkey) END AS closed,
+    CASE WHEN c_acctbal < 0 THEN CAST(c_nationkey AS VARCHAR) END AS writeoff_mode, CASE WHEN c_acctbal < 0 THEN 'X' END AS writeoff_reason,
+    CASE WHEN c_acctbal < -500 THEN c_acctbal END AS writeoff_value FROM customer),
+asset_placement AS (SELECT o_custkey AS asset, o_orderkey AS sequence,
+    100 + CAST(substr(o_orderpriority, 1, 1) AS BIGINT) * 10 + month(o_orderdate) AS unit, CAST(o_orderdate AS DATE) AS started,
+    CASE WHEN o_orderstatus = 'P' THEN 'A' WHEN o_orderpriority <> '5-LOW' THEN 'T' END AS movement FROM orders),
+asset_valuation AS (SELECT o_custkey AS asset, CAST(o_orderdate AS DATE) AS valued, o_totalprice AS base_value,
+    o_totalprice / 2 AS residual, CASE WHEN o_orderstatus = 'O' THEN 'S' ELSE 'N' END AS revalued FROM orders WHERE o_orderstatus <> 'P'),
+depreciation AS (SELECT user_id AS asset, CAST(ts AS DATE) AS valued, value, month(ts) AS month, year(ts) AS year
+    FROM events WHERE event_type = 'error')
 """
