@@ -18,7 +18,9 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name)
+        table = read_table(self.spark, self.folder, name)
+        setattr(self, name, table)  # read the footer once per query
+        return table
 
 
 def query(sql: str):

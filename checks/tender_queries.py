@@ -1,11 +1,12 @@
 """Tender plans against SQL."""
 
-from pyspark.sql import functions as F
+from functools import cached_property
 
 from checks.binding import ENTITIES, PARAMS, Entities
 from checks.operator_queries import MODALITY_VALUES, OUTSIDE_SQL
 from checks.registry import query
 from ledgerlift.plans import tenders
+from ledgerlift.session import written
 
 W = f"WITH {ENTITIES}"
 YY = "substr(CAST(year AS VARCHAR), 3, 2)"
@@ -69,35 +70,55 @@ approved AS (SELECT tender, CAST(approved + INTERVAL 1 YEAR AS DATE) AS valid_un
 
 
 class Chain:
-    """The plan frames in their order, built once per query."""
+    """The plan frames in their order; items and bids are loaded tables read back."""
 
     def __init__(self, t):
-        e = self.e = Entities(t)
-        self.headers = tenders.tenders(e.tender, e.modality_names, PARAMS)["tenders"]
+        self.e = Entities(t)
 
-    def with_items(self):
+    @cached_property
+    def headers(self):
+        return tenders.tenders(self.e.tender, self.e.modality_names, PARAMS)["tenders"]
+
+    @cached_property
+    def offers(self):
         e = self.e
-        self.offers = tenders.open_offers(e.tender_offer, e.catalog_item, e.tender_item, e.tender)
-        self.best = tenders.best_offers(self.offers, e.tender_item_avg)
-        self.items = tenders.tender_items(self.best, e.item_codes)
-        self.status = tenders.item_status(self.items["items"], self.headers, e.settled)
-        return self
-
-    def with_bids(self):
-        e = self.with_items().e
-        self.bids = tenders.bids_rounds(e.bid_round, self.best, e.item_codes).unionByName(
-            tenders.bids_direct(self.offers, e.tender, e.bid_round, e.item_codes, PARAMS)
-        )
-        self.rounds = tenders.winning_rounds(self.bids, e.settled)
-        return self
-
-    def with_awards(self):
-        self.with_bids()
-        self.awards = tenders.awards(
-            self.rounds, self.status, self.items["details"], self.headers, self.bids,
-            self.rounds.filter("unit_price > 2000"),
+        return tenders.open_offers(e.tender_offer, e.catalog_item, e.tender_item, e.tender)
+
+    @cached_property
+    def item_rows(self):
+        return tenders.tender_items(tenders.best_offers(self.offers, self.e.tender_item_avg), self.e.item_codes)
+
+    @cached_property
+    def items(self):
+        return written(self.item_rows, "tender-items")
+
+    @cached_property
+    def status(self):
+        return tenders.item_status(self.items, self.headers, self.e.settled)
+
+    @cached_property
+    def bids_rounds(self):
+        return tenders.bids_rounds(self.e.bid_round, self.items)
+
+    @cached_property
+    def bids_direct(self):
+        e = self.e
+        return tenders.bids_direct(self.offers, e.tender, e.bid_round, e.item_codes, PARAMS)
+
+    @cached_property
+    def bids(self):
+        return written(self.bids_rounds.unionByName(self.bids_direct), "bids")
+
+    @cached_property
+    def rounds(self):
+        return tenders.winning_rounds(self.bids, self.e.settled)
+
+    @cached_property
+    def awards(self):
+        awarded = self.rounds.filter("unit_price > 2000")
+        return tenders.awards(
+            self.rounds, self.status, tenders.item_details(self.items), self.headers, self.bids, awarded
         )
-        return self
 
 
 @query(W + HEADERS + "SELECT * FROM headers")
@@ -150,10 +171,10 @@ def p_session_bidders(t):
 
 @query(
     W + ITEMS.rstrip().rstrip(",") + """ SELECT tender, line, material, code, quantity, avg_price, avg_total AS total, offers, 'C' AS kind,
-    CAST(0 AS BIGINT) AS centre, 'N' AS reduced, '00000001' AS lot FROM items"""
+    CAST(0 AS BIGINT) AS centre, 'N' AS reduced, '00000001' AS lot, failed FROM items"""
 )
 def p_tender_items(t):
-    return Chain(t).with_items().items["items"]
+    return Chain(t).item_rows
 
 
 @query(
@@ -161,7 +182,15 @@ def p_tender_items(t):
     avg_total AS added_value, CAST(0 AS BIGINT) AS centre, 'C' AS kind FROM items"""
 )
 def p_tender_item_funding(t):
-    return Chain(t).with_items().items["funding"]
+    return tenders.item_funding(Chain(t).item_rows)
+
+
+@query(
+    W + ITEMS.rstrip().rstrip(",") + """ SELECT tender, line, code, quantity, avg_price, avg_total AS total, CAST(0 AS BIGINT) AS centre,
+    line AS item FROM items"""
+)
+def p_tender_item_details(t):
+    return tenders.item_details(Chain(t).item_rows)
 
 
 @query(
@@ -169,25 +198,23 @@ def p_tender_item_funding(t):
     WHERE tender NOT IN (SELECT tender FROM lotted)"""
 )
 def p_lots(t):
-    c = Chain(t).with_items()
-    return tenders.lots(c.items["items"], c.e.lotted)
+    c = Chain(t)
+    return tenders.lots(c.item_rows, c.e.lotted)
 
 
 @query(W + ITEMS.rstrip().rstrip(",") + " SELECT tender, session, line, 'I_ENCERRAMENTO' AS screen FROM status")
 def p_item_status(t):
-    return Chain(t).with_items().status
+    return Chain(t).status
 
 
 @query(W + BIDS + f"SELECT {BID_COLUMNS} FROM bids_rounds")
 def p_bids_rounds(t):
-    c = Chain(t).with_items()
-    return tenders.bids_rounds(c.e.bid_round, c.best, c.e.item_codes)
+    return Chain(t).bids_rounds
 
 
 @query(W + BIDS + f"SELECT {BID_COLUMNS} FROM bids_direct")
 def p_bids_direct(t):
-    c = Chain(t).with_items()
-    return tenders.bids_direct(c.offers, c.e.tender, c.e.bid_round, c.e.item_codes, PARAMS)
+    return Chain(t).bids_direct
 
 
 @query(
@@ -195,7 +222,7 @@ def p_bids_direct(t):
     won, tender FROM rounds"""
 )
 def p_winning_rounds(t):
-    return Chain(t).with_bids().rounds
+    return Chain(t).rounds
 
 
 @query(
@@ -203,18 +230,18 @@ def p_winning_rounds(t):
     WHERE NOT EXISTS (SELECT 1 FROM settled s WHERE s.tender = b.tender AND s.line = b.line AND s.bidder = b.bidder)"""
 )
 def p_final_bids(t):
-    c = Chain(t).with_bids()
+    c = Chain(t)
     return tenders.final_bids(c.bids, c.e.settled)
 
 
 @query(W + AWARDS + "SELECT * FROM awards")
 def p_awards(t):
-    return Chain(t).with_awards().awards
+    return Chain(t).awards
 
 
 @query(W + AWARDS + "SELECT * FROM awards")
 def award_join(t):
-    return Chain(t).with_awards().awards
+    return Chain(t).awards
 
 
 def _register(c):
@@ -236,7 +263,7 @@ SAME = "x.tender = a.tender AND x.bidder = a.bidder AND x.code = a.code AND x.li
     WHERE NOT EXISTS (SELECT 1 FROM awards x WHERE {SAME})"""
 )
 def p_price_register(t):
-    return _register(Chain(t).with_awards())["register_prices"]
+    return _register(Chain(t))["register_prices"]
 
 
 @query(
@@ -244,7 +271,7 @@ def p_price_register(t):
     WHERE tender NOT IN (SELECT tender FROM held_sessions)"""
 )
 def p_price_register_docs(t):
-    return _register(Chain(t).with_awards())["register_docs"]
+    return _register(Chain(t))["register_docs"]
 
 
 @query(
@@ -252,7 +279,7 @@ def p_price_register_docs(t):
     WHERE NOT EXISTS (SELECT 1 FROM awards x WHERE {SAME} AND x.line > 3)"""
 )
 def p_price_register_history(t):
-    return _register(Chain(t).with_awards())["register_history"]
+    return _register(Chain(t))["register_history"]
 
 
 @query(
@@ -269,8 +296,8 @@ def p_price_register_history(t):
     FROM awards a LEFT JOIN extra USING (tender, line) LEFT JOIN price USING (tender, line)"""
 )
 def p_amendments(t):
-    c = Chain(t).with_awards()
+    c = Chain(t)
     e = c.e
     return tenders.amendments(
-        c.awards, c.items["items"], e.request, e.request_line, e.request_tender, e.price_adjustment, on_miss="skip"
+        c.awards, c.items, e.request, e.request_line, e.request_tender, e.price_adjustment, on_miss="skip"
     )

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.operators.picks import first_per_key
+from ledgerlift.operators.picks import first_per_key, unmatched
 
 MISS_POLICIES = ("fail", "null", "blank", "skip", "zero")
 
@@ -51,8 +51,7 @@ def lookup(
 
 def misses(df: DataFrame, dimension: DataFrame, on: dict[str, str]) -> DataFrame:
     """Reject frame: rows the dimension does not know."""
-    keys = dimension.select(*(F.col(r).alias(f"_k_{l}") for l, r in on.items()))
-    return df.join(keys, [F.col(l) == F.col(f"_k_{l}") for l in on], "left_anti")
+    return unmatched(df, dimension, on, unique=True)
 
 
 def unique_keys(dimension: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

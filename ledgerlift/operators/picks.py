@@ -55,16 +55,19 @@ def latest_value(df: DataFrame, keys: Sequence[str], value: str, order: Sequence
     return first_per_key(df, keys, order).select(*keys, value)
 
 
-def matching(df: DataFrame, other: DataFrame, on: dict[str, str]) -> DataFrame:
-    """Rows with a match in ``other``; its keys are made distinct before the shuffle."""
-    return df.join(*_keys_of(other, on), "left_semi")
+def matching(df: DataFrame, other: DataFrame, on: dict[str, str], unique: bool = False) -> DataFrame:
+    """Rows with a match in ``other``.
+
+    Its keys are made distinct before the shuffle, unless they are ``unique`` already.
+    """
+    return df.join(*_keys_of(other, on, unique), "left_semi")
 
 
-def unmatched(df: DataFrame, other: DataFrame, on: dict[str, str]) -> DataFrame:
+def unmatched(df: DataFrame, other: DataFrame, on: dict[str, str], unique: bool = False) -> DataFrame:
     """Rows without a match in ``other``; a NULL key never matches and is kept."""
-    return df.join(*_keys_of(other, on), "left_anti")
+    return df.join(*_keys_of(other, on, unique), "left_anti")
 
 
-def _keys_of(other: DataFrame, on: dict[str, str]) -> tuple[DataFrame, list[Column]]:
-    keys = other.select(*(F.col(r).alias(f"_k_{l}") for l, r in on.items())).distinct()
-    return keys, [F.col(l) == F.col(f"_k_{l}") for l in on]
+def _keys_of(other: DataFrame, on: dict[str, str], unique: bool) -> tuple[DataFrame, list[Column]]:
+    keys = other.select(*(F.col(r).alias(f"_k_{l}") for l, r in on.items()))
+    return (keys if unique else keys.distinct()), [F.col(l) == F.col(f"_k_{l}") for l in on]

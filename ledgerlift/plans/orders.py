@@ -125,6 +125,6 @@ def prior_balance(
 
 def register_balance(balance: DataFrame, price_register_tenders: DataFrame) -> DataFrame:
     """The balance rows of price-register tenders."""
-    return matching(balance, price_register_tenders, {"tender": "tender"}).select(
+    return matching(balance, price_register_tenders, {"tender": "tender"}, unique=True).select(
         "year", "line", "code", F.col("quantity").alias("delivered"), "tender", F.col("value").alias("delivered_value")
     )

@@ -103,7 +103,7 @@ def tender_bidders(tender_bidder: DataFrame, person: DataFrame, tender: DataFram
     named = tender_bidder.join(
         person.select(F.col("number").alias("bidder"), X.clean(F.col("name"), 40).alias("name")), "bidder"
     )
-    rows = matching(named, tender, {"tender": "number"})
+    rows = matching(named, tender, {"tender": "number"}, unique=True)
     return {
         "bidders": rows.select("tender", "bidder", "name", F.lit("A").alias("status")),
         "session_bidders": rows.select(
@@ -119,8 +119,8 @@ def tender_bidders(tender_bidder: DataFrame, person: DataFrame, tender: DataFram
 def open_offers(tender_offer: DataFrame, catalog_item: DataFrame, tender_item: DataFrame, tender: DataFrame) -> DataFrame:
     """Offers on known materials and on items that are no annex, one row per such item."""
     items = tender_item.filter("annex = 'N'").select("tender", "material", "failed")
-    offers = matching(matching(tender_offer, catalog_item, {"material": "number"}), tender, {"tender": "number"})
-    return offers.join(items, ["tender", "material"])
+    known = matching(tender_offer, catalog_item, {"material": "number"}, unique=True)
+    return matching(known, tender, {"tender": "number"}, unique=True).join(items, ["tender", "material"])
 
 
 def best_offers(offers: DataFrame, tender_item_avg: DataFrame) -> DataFrame:
@@ -138,29 +138,27 @@ def best_offers(offers: DataFrame, tender_item_avg: DataFrame) -> DataFrame:
     return lookup(best, average, on, ["avg_material", "avg_price", "avg_total"], "null")
 
 
-def tender_items(best: DataFrame, items: DataFrame) -> dict[str, DataFrame]:
-    """Tender items, their details and their funding rows from one frame.
+def tender_items(best: DataFrame, items: DataFrame) -> DataFrame:
+    """Tender items with the code of their material.
 
     An item without average price has no material and stops the run.
     """
-    rows = lookup(best, items, {"avg_material": "material"}, ["code"], "fail")
-    centre = _long(0).alias("centre")
-    return {
-        "items": rows.select(
-            "tender", "line", F.col("avg_material").alias("material"), "code", "quantity", "avg_price",
-            F.col("avg_total").alias("total"), "offers", F.lit("C").alias("kind"), centre, F.lit("N").alias("reduced"),
-            F.lit(K.DEFAULT_LOT).alias("lot"),
-        ),
-        "details": rows.select(
-            "tender", "line", "code", "quantity", "avg_price", F.col("avg_total").alias("total"), centre,
-            F.col("line").alias("item"),
-        ),
-        "funding": rows.select(
-            "tender", "line", F.col("line").alias("code"), "quantity", F.col("avg_total").alias("value"),
-            F.col("quantity").alias("added_quantity"), F.col("avg_total").alias("added_value"), centre,
-            F.lit("C").alias("kind"),
-        ),
-    }
+    return lookup(best, items, {"avg_material": "material"}, ["code"], "fail").select(
+        "tender", "line", F.col("avg_material").alias("material"), "code", "quantity", "avg_price",
+        F.col("avg_total").alias("total"), "offers", F.lit("C").alias("kind"), _long(0).alias("centre"),
+        F.lit("N").alias("reduced"), F.lit(K.DEFAULT_LOT).alias("lot"), "failed",
+    )
+
+
+def item_details(items: DataFrame) -> DataFrame:
+    return items.select("tender", "line", "code", "quantity", "avg_price", "total", "centre", F.col("line").alias("item"))
+
+
+def item_funding(items: DataFrame) -> DataFrame:
+    return items.select(
+        "tender", "line", F.col("line").alias("code"), "quantity", F.col("total").alias("value"),
+        F.col("quantity").alias("added_quantity"), F.col("total").alias("added_value"), "centre", "kind",
+    )
 
 
 def lots(items: DataFrame, existing: DataFrame) -> DataFrame:
@@ -172,7 +170,7 @@ def lots(items: DataFrame, existing: DataFrame) -> DataFrame:
 
 def item_status(items: DataFrame, headers: DataFrame, existing: DataFrame) -> DataFrame:
     """Closing screen of every item of a known tender that has no status yet."""
-    known = matching(items, headers, {"tender": "tender"})
+    known = matching(items, headers, {"tender": "tender"}, unique=True)
     return absent_rows(known, existing, {"tender": "tender", "line": "line"}).select(
         "tender", _long(1).alias("session"), "line", F.lit(K.CLOSED_SCREEN).alias("screen")
     )
@@ -181,35 +179,36 @@ def item_status(items: DataFrame, headers: DataFrame, existing: DataFrame) -> Da
 # ---- bids --------------------------------------------------------------------------
 
 
-def bids_rounds(bid_round: DataFrame, best: DataFrame, items: DataFrame) -> DataFrame:
-    """Each bidder's bids of the last round, on every line that carries the material."""
+def bids_rounds(bid_round: DataFrame, items: DataFrame) -> DataFrame:
+    """Each bidder's bids of the last round, on every tender item that carries the material."""
     last = best_with_ties(bid_round, ["tender", "bidder", "material"], "round")
-    lines = best.select(
-        "tender", F.col("avg_material").alias("material"), "line", "quantity",
-        F.when(F.col("failed") == "S", "D").otherwise("C").alias("status"),
+    lines = items.select(
+        "tender", "material", "line", "quantity", "code", F.when(F.col("failed") == "S", "D").otherwise("C").alias("status")
     )
-    rows = last.join(lines, ["tender", "material"]).select(
-        "tender", "bidder", "line", "material", "quantity", F.col("price").alias("unit_price"),
+    return _bid(last.join(lines, ["tender", "material"]).select(
+        "tender", "bidder", "line", "code", "quantity", F.col("price").alias("unit_price"),
         (F.col("quantity") * F.col("price")).alias("total"), "status",
         F.when(F.col("winner") == "S", 1).otherwise(0).cast("bigint").alias("won"),
         F.lit(None).cast("string").alias("brand"), F.col("round").cast("bigint").alias("round"),
-    )
-    return _bid(rows, items)
+    ))
 
 
 def bids_direct(offers: DataFrame, tender: DataFrame, bid_round: DataFrame, items: DataFrame, params: RunParams) -> DataFrame:
-    """Winning offers of the last years on materials that had no bidding rounds."""
-    recent = matching(offers.filter("lowest = 1"), tender.filter(F.col("year") >= params.fiscal_year - 6), {"tender": "number"})
-    rows = unmatched(recent, bid_round, {"tender": "tender", "material": "material"}).select(
-        "tender", "bidder", "line", "material", "quantity", "unit_price", "total", F.lit("C").alias("status"),
+    """Winning offers of the last years on materials that had no bidding rounds.
+
+    ``items`` are the coded catalog items; an unknown material stops the run.
+    """
+    recent = tender.filter(F.col("year") >= params.fiscal_year - 6)
+    won = matching(offers.filter("lowest = 1"), recent, {"tender": "number"}, unique=True)
+    direct = unmatched(won, bid_round, {"tender": "tender", "material": "material"})
+    return _bid(lookup(direct, items, {"material": "material"}, ["code"], "fail").select(
+        "tender", "bidder", "line", "code", "quantity", "unit_price", "total", F.lit("C").alias("status"),
         _long(1).alias("won"), F.lit(None).cast("string").alias("brand"), _long(1).alias("round"),
-    )
-    return _bid(rows, items)
+    ))
 
 
-def _bid(rows: DataFrame, items: DataFrame) -> DataFrame:
-    coded = lookup(rows, items, {"material": "material"}, ["code"], "fail").drop("material")
-    return coded.withColumns({
+def _bid(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({
         "session": _long(1), "item_bid": F.lit("S"), "lot": F.lit(K.DEFAULT_LOT),
         "control": V.control_kind(F.col("quantity")),
     })
@@ -239,8 +238,8 @@ def awards(
 ) -> DataFrame:
     """Awarded items: finished winning rounds with the quantity that follows from total and price."""
     won = rounds.filter("won = 1 AND status = 'F'").select("tender", "line", "session", "bidder", "unit_price", "total")
-    known = matching(won, status, {"tender": "tender", "line": "line", "session": "session"})
-    known = matching(known, headers, {"tender": "tender"})
+    known = matching(won, status, {"tender": "tender", "line": "line", "session": "session"}, unique=True)
+    known = matching(known, headers, {"tender": "tender"}, unique=True)
     detailed = known.join(
         details.select("tender", F.col("item").alias("line"), "code", "centre"), ["tender", "line"]
     ).join(bids.select("tender", "line", "bidder", "brand"), ["tender", "line", "bidder"])
