@@ -73,7 +73,7 @@ class Entities:
     def catalog_item(self):
         return self._branded.select(
             F.col("p_partkey").alias("number"), F.col("p_name").alias("name"), F.col("kind").alias("group_kind"),
-            F.col("sub_no").alias("group_number"), F.col("p_size").alias("min_stock"),
+            F.col("sub_no").alias("group_number"), F.col("p_size").cast("double").alias("min_stock"),
             F.col("p_retailprice").alias("max_stock"),
             F.when(F.col("p_size") <= 40, "S").when(F.col("p_size") <= 45, "N").alias("active"),
             F.col("p_brand").alias("unit_code"),

@@ -14,7 +14,7 @@ from ledgerlift.params import RunParams
 from ledgerlift.plans import assets, catalog, fleet, orders, quotes, stock, tenders
 from ledgerlift.sources import writer
 from ledgerlift.sources.reader import conform
-from ledgerlift.sources.schema import CONTRACTS
+from ledgerlift.sources.schema import contract
 
 
 class Target:
@@ -53,7 +53,7 @@ def checked(sources: Mapping[str, DataFrame], target: Target) -> dict[str, DataF
     """Sources cast to their contracts; rows that do not fit go to ``rejected/<entity>``."""
     good = {}
     for name, df in sources.items():
-        good[name], bad = conform(df, CONTRACTS[name])
+        good[name], bad = conform(df, contract(name))
         writer.refresh(bad, target.path(f"rejected/{name}"))
     return good
 

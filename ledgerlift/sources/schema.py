@@ -1,5 +1,7 @@
 """Contracts of the source entities: column names, types and required values."""
 
+from functools import cache
+
 from pyspark.sql import types as T
 
 _KEYED_NAME = "number bigint NOT NULL, name string"
@@ -74,4 +76,10 @@ _DDL = {
     "depreciation": "asset bigint NOT NULL, valued date, value double, month bigint, year bigint",
 }
 
-CONTRACTS: dict[str, T.StructType] = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+ENTITIES = tuple(_DDL)
+
+
+@cache
+def contract(entity: str) -> T.StructType:
+    """Schema of a source entity (needs a running session)."""
+    return T.StructType.fromDDL(_DDL[entity])
