@@ -14,7 +14,6 @@ from ledgerlift.sources import reader, writer
 FY = 1998
 KEY5 = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 KEY5_SQL = ", ".join(KEY5)
-LINE = [*KEY5[:4], F.to_date("l_shipdate").alias("ship_day")]
 LINE_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS ship_day"
 MONEY = "CAST(SUM(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
 MODALITY_VALUES = ", ".join(f"({n}, '{name}', '{code}', {target})" for n, name, code, target in K.MODALITIES)
@@ -26,6 +25,11 @@ OUTSIDE_SQL = (
 )
 
 
+def line():
+    """The key of a line item, its ship day as a date."""
+    return [*KEY5[:4], F.to_date("l_shipdate").alias("ship_day")]
+
+
 def key_order(*columns: str):
     return [F.col(c).asc_nulls_last() for c in columns]
 
@@ -56,7 +60,7 @@ def lookup_reload(t):
     writer.refresh(t.part.select("p_partkey", "p_brand").distinct(), path)
     loaded = t.spark.read.parquet(path)
     return lookups.lookup(t.lineitem.select(*KEY5), loaded, {"l_partkey": "p_partkey"}, ["p_brand"], "fail").select(
-        *LINE, "p_brand"
+        *line(), "p_brand"
     )
 
 
@@ -176,7 +180,7 @@ def fan_out_header(t):
     WHERE year(o_orderdate) = {FY}"""
 )
 def fan_out_detail(t):
-    return _year_lines(t).select("o_custkey", *LINE, "l_quantity")
+    return _year_lines(t).select("o_custkey", *line(), "l_quantity")
 
 
 @query("SELECT s_suppkey AS code, s_name AS description FROM supplier")
@@ -246,12 +250,12 @@ def _returned():
 
 @query(f"SELECT {LINE_SQL}, CASE WHEN l_returnflag = 'R' THEN l_quantity END AS returned FROM lineitem")
 def case_null(t):
-    return t.lineitem.select(*LINE, _returned().alias("returned"))
+    return t.lineitem.select(*line(), _returned().alias("returned"))
 
 
 @query(f"SELECT {LINE_SQL}, COALESCE(CASE WHEN l_returnflag = 'R' THEN l_quantity END, 0) AS returned FROM lineitem")
 def coalesce_default(t):
-    return t.lineitem.select(*LINE, F.coalesce(_returned(), F.lit(0.0)).alias("returned"))
+    return t.lineitem.select(*line(), F.coalesce(_returned(), F.lit(0.0)).alias("returned"))
 
 
 @query(
@@ -271,7 +275,7 @@ def filter_year(t):
 
 @query(f"SELECT {LINE_SQL} FROM lineitem WHERE year(l_shipdate) = {FY}")
 def filter_date_year(t):
-    return t.lineitem.filter(V.in_year(F.col("l_shipdate"), FY)).select(*LINE)
+    return t.lineitem.filter(V.in_year(F.col("l_shipdate"), FY)).select(*line())
 
 
 @query(
@@ -288,12 +292,12 @@ def null_filters(t):
 
 @query(f"SELECT {LINE_SQL}, l_returnflag FROM lineitem WHERE NULLIF(l_returnflag, 'N') <> 'R'")
 def neq_3vl(t):
-    return t.lineitem.filter(F.nullif(F.col("l_returnflag"), F.lit("N")) != "R").select(*LINE, "l_returnflag")
+    return t.lineitem.filter(F.nullif(F.col("l_returnflag"), F.lit("N")) != "R").select(*line(), "l_returnflag")
 
 
 @query(f"SELECT {LINE_SQL} FROM lineitem WHERE l_discount * l_extendedprice <> 0")
 def expr_filter(t):
-    return t.lineitem.filter(F.col("l_discount") * F.col("l_extendedprice") != 0).select(*LINE)
+    return t.lineitem.filter(F.col("l_discount") * F.col("l_extendedprice") != 0).select(*line())
 
 
 @query("SELECT p_partkey, contains(lower(p_name), 'ring') AS holds FROM part")
@@ -346,7 +350,7 @@ def join_inner(t):
 def join_composite(t):
     keys = ["l_orderkey", "l_suppkey"]
     pairs = t.lineitem.groupBy(*keys).agg(F.sum("l_quantity").alias("pair_quantity"))
-    return t.lineitem.join(pairs, keys).select(*LINE, "l_quantity", "pair_quantity")
+    return t.lineitem.join(pairs, keys).select(*line(), "l_quantity", "pair_quantity")
 
 
 @query(
@@ -370,7 +374,7 @@ def join_left_on_filter(t):
 @query(f"SELECT {LINE_SQL}, p_name FROM lineitem JOIN part ON p_partkey = l_partkey")
 def join_using(t):
     lines = t.lineitem.withColumn("p_partkey", F.col("l_partkey"))
-    return lines.join(t.part, "p_partkey").select(*LINE, "p_name")
+    return lines.join(t.part, "p_partkey").select(*line(), "p_name")
 
 
 @query(
@@ -444,7 +448,7 @@ def _rounds(t):
     FROM lineitem JOIN part ON p_partkey = l_partkey) WHERE rk = 1"""
 )
 def latest_round(t):
-    return picks.best_with_ties(_rounds(t), ["p_brand", "l_suppkey"], "round").select("p_brand", "round", *LINE)
+    return picks.best_with_ties(_rounds(t), ["p_brand", "l_suppkey"], "round").select("p_brand", "round", *line())
 
 
 def _annulled(t):
@@ -459,7 +463,7 @@ ANNULLED_SQL = f"""(SELECT l_orderkey, l_partkey, SUM(l_quantity) AS annulled,
 
 @query(f"SELECT {LINE_SQL}, annulled FROM lineitem LEFT JOIN {ANNULLED_SQL} USING (l_orderkey, l_partkey)")
 def join_preagg(t):
-    return t.lineitem.join(_annulled(t), ["l_orderkey", "l_partkey"], "left").select(*LINE, "annulled")
+    return t.lineitem.join(_annulled(t), ["l_orderkey", "l_partkey"], "left").select(*line(), "annulled")
 
 
 @query(
@@ -488,23 +492,23 @@ def _small(t):
 
 @query(f"SELECT {LINE_SQL}, p_brand FROM lineitem JOIN part ON p_partkey = l_partkey")
 def lookup_fail(t):
-    return lookups.lookup(t.lineitem, t.part, PART_KEY, ["p_brand"], "fail").select(*LINE, "p_brand")
+    return lookups.lookup(t.lineitem, t.part, PART_KEY, ["p_brand"], "fail").select(*line(), "p_brand")
 
 
 @query(f"SELECT {LINE_SQL}, COALESCE(p_brand, '') AS p_brand {SMALL_SQL.format('LEFT')}")
 def lookup_blank(t):
-    return lookups.lookup(t.lineitem, _small(t), PART_KEY, ["p_brand"], "blank").select(*LINE, "p_brand")
+    return lookups.lookup(t.lineitem, _small(t), PART_KEY, ["p_brand"], "blank").select(*line(), "p_brand")
 
 
 @query(f"SELECT {LINE_SQL}, p_brand {SMALL_SQL.format('')}")
 def lookup_skip(t):
-    return lookups.lookup(t.lineitem, _small(t), PART_KEY, ["p_brand"], "skip").select(*LINE, "p_brand")
+    return lookups.lookup(t.lineitem, _small(t), PART_KEY, ["p_brand"], "skip").select(*line(), "p_brand")
 
 
 @query(f"SELECT {LINE_SQL}, COALESCE(p_retailprice, 0) AS p_retailprice {SMALL_SQL.format('LEFT')} WHERE COALESCE(p_retailprice, 0) <> 0")
 def lookup_zero(t):
     found = lookups.lookup(t.lineitem, _small(t), PART_KEY, ["p_retailprice"], "zero")
-    return found.filter("p_retailprice <> 0").select(*LINE, "p_retailprice")
+    return found.filter("p_retailprice <> 0").select(*line(), "p_retailprice")
 
 
 @query("SELECT p_name, MIN(p_partkey) AS p_partkey, COUNT(*) AS n FROM part GROUP BY 1 HAVING COUNT(*) > 1")
@@ -631,12 +635,12 @@ def _best_offers(lines):
 
 @query(f"SELECT {LINE_SQL}, l_extendedprice / l_quantity AS unit_price FROM (SELECT *, {OFFER_RANK} AS rn FROM lineitem) WHERE rn = 1")
 def best_offer(t):
-    return _best_offers(t.lineitem).select(*LINE, "unit_price")
+    return _best_offers(t.lineitem).select(*line(), "unit_price")
 
 
 @query(f"SELECT {LINE_SQL}, COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS offers FROM lineitem")
 def offer_count(t):
-    return picks.with_group_count(t.lineitem, ["l_orderkey", "l_linenumber"], "offers").select(*LINE, "offers")
+    return picks.with_group_count(t.lineitem, ["l_orderkey", "l_linenumber"], "offers").select(*line(), "offers")
 
 
 @query(
@@ -646,7 +650,7 @@ def offer_count(t):
 )
 def quote_winner(t):
     winners = _best_offers(t.lineitem.filter("l_returnflag = 'A'")).select(*KEY5, F.col("unit_price").alias("won"))
-    return t.lineitem.join(winners, KEY5, "left").select(*LINE, "won")
+    return t.lineitem.join(winners, KEY5, "left").select(*line(), "won")
 
 
 LATEST_RANK = "row_number() OVER (PARTITION BY l_suppkey, l_partkey ORDER BY l_shipdate DESC NULLS FIRST, l_orderkey, l_linenumber)"
@@ -708,17 +712,17 @@ def overflow_subgroups(t):
 
 @query(f"SELECT {LINE_SQL}, dense_rank() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) AS issue FROM lineitem")
 def doc_reissue_rank(t):
-    return numbering.rank_within(t.lineitem, ["l_suppkey"], ["l_orderkey"], "issue").select(*LINE, "issue")
+    return numbering.rank_within(t.lineitem, ["l_suppkey"], ["l_orderkey"], "issue").select(*line(), "issue")
 
 
 @query(f"SELECT {LINE_SQL}, dense_rank() OVER (ORDER BY l_orderkey, l_returnflag) AS id FROM lineitem")
 def global_dense_id(t):
-    return numbering.rank_all(t.lineitem.select(*KEY5, "l_returnflag"), ["l_orderkey", "l_returnflag"], "id").select(*LINE, "id")
+    return numbering.rank_all(t.lineitem.select(*KEY5, "l_returnflag"), ["l_orderkey", "l_returnflag"], "id").select(*line(), "id")
 
 
 @query(f"SELECT {LINE_SQL}, row_number() OVER (ORDER BY l_shipdate, {KEY5_SQL}) AS id FROM lineitem")
 def global_row_id(t):
-    return numbering.number_all(t.lineitem.select(*KEY5), key_order("l_shipdate", *KEY5[:4]), "id").select(*LINE, "id")
+    return numbering.number_all(t.lineitem.select(*KEY5), key_order("l_shipdate", *KEY5[:4]), "id").select(*line(), "id")
 
 
 @query(
@@ -738,7 +742,7 @@ def running_code(t):
 def renumber_headers(t):
     headers = t.orders.filter(V.in_year(F.col("o_orderdate"), FY)).select("o_orderkey", "o_orderdate")
     numbered = numbering.number_all(headers, key_order("o_orderdate", "o_orderkey"), "number")
-    return t.lineitem.join(numbered, F.col("l_orderkey") == F.col("o_orderkey")).select("number", *LINE)
+    return t.lineitem.join(numbered, F.col("l_orderkey") == F.col("o_orderkey")).select("number", *line())
 
 
 @query(
@@ -795,7 +799,7 @@ def union_two(t):
 )
 def union_three(t):
     def branch(flag, kind, quantity):
-        return t.lineitem.filter(F.col("l_returnflag") == flag).select(F.lit(kind).alias("kind"), *LINE, quantity.alias("quantity"))
+        return t.lineitem.filter(F.col("l_returnflag") == flag).select(F.lit(kind).alias("kind"), *line(), quantity.alias("quantity"))
 
     return (
         branch("A", "E", F.col("l_quantity"))
@@ -837,7 +841,7 @@ def fmt_doc_number(t):
 def concat_null_rules(t):
     a, b = F.nullif(F.col("l_returnflag"), F.lit("N")), F.nullif(F.col("l_linestatus"), F.lit("F"))
     return t.lineitem.select(
-        *LINE, X.join_loose(a, F.lit("-"), b).alias("loose"), X.join_strict(a, F.lit("-"), b).alias("strict")
+        *line(), X.join_loose(a, F.lit("-"), b).alias("loose"), X.join_strict(a, F.lit("-"), b).alias("strict")
     )
 
 
@@ -865,7 +869,7 @@ def date_exprs(t):
 def safe_ratio(t):
     rows = t.lineitem.withColumn("ratio", V.safe_ratio(F.col("l_extendedprice"), F.col("l_discount")))
     return rows.select(
-        *LINE, "ratio", F.abs(F.col("ratio") * F.col("l_discount")).alias("back"),
+        *line(), "ratio", F.abs(F.col("ratio") * F.col("l_discount")).alias("back"),
         (F.col("l_extendedprice") - F.col("l_tax")).alias("less"), (F.col("l_orderkey") % 1000).alias("remainder"),
         F.floor(F.col("l_orderkey") / 1000).cast("bigint").alias("whole"),
     )
@@ -970,7 +974,7 @@ def amendment_apply(t):
     amended = lookups.lookup(awards, extra, {"l_orderkey": "l_orderkey", "l_partkey": "l_partkey"}, ["added"], "zero")
     amended = amended.withColumn("quantity", F.col("quantity") + F.col("added"))
     priced = lookups.lookup(amended, _latest_price(t), {"l_suppkey": "l_suppkey", "l_partkey": "l_partkey"}, ["price"], "null")
-    return priced.select(*LINE, "quantity", "price", (F.col("quantity") * F.col("price")).alias("total"))
+    return priced.select(*line(), "quantity", "price", (F.col("quantity") * F.col("price")).alias("total"))
 
 
 @query(

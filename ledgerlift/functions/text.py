@@ -65,10 +65,12 @@ def parse_number(text: Column) -> Column:
 CODE_PAGE_EXTRA = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 CODE_PAGE_CONTROLS = "\u0081\u008d\u008f\u0090\u009d"
 
+# Only letters beyond ASCII and Latin-1 are looked up in the list of extras, so
+# that plain text costs two range checks per letter.
 _OUTSIDE = (
-    r"[^\x{00}-\x{7F}\x{A0}-\x{FF}"
+    r"[\x{80}-\x{9F}\x{100}-\x{10FFFF}&&[^"
     + "".join(rf"\x{{{ord(c):04X}}}" for c in CODE_PAGE_EXTRA + CODE_PAGE_CONTROLS)
-    + "]"
+    + "]]"
 )
 
 
