@@ -197,7 +197,7 @@ class Entities:
         return self.t.lineitem.groupBy(F.col("l_orderkey").alias("tender"), F.col("l_partkey").alias("material")).agg(
             F.min("l_linenumber").cast("bigint").alias("line"),
             F.when(F.max("l_discount") > 0.09, "S").otherwise("N").alias("annex"),
-            F.when(F.max("l_returnflag") == "R", "S").alias("failed"),
+            F.when(F.max((F.col("l_returnflag") == "R").cast("int")) == 1, "S").alias("failed"),
         )
 
     @cached_property

@@ -52,7 +52,8 @@ rounds AS (SELECT * FROM bids b WHERE won = 1 AND NOT EXISTS (SELECT 1 FROM sett
     WHERE s.tender = b.tender AND s.line = b.line AND s.bidder = b.bidder))
 """
 BID_COLUMNS = """tender, bidder, line, code, quantity, unit_price, total, status, won, round, CAST(NULL AS VARCHAR) AS brand,
-    CAST(1 AS BIGINT) AS session, 'S' AS item_bid, '00000001' AS lot, CASE WHEN quantity = 1 THEN 'V' ELSE 'Q' END AS control"""
+    CAST(1 AS BIGINT) AS session, 'S' AS item_bid, '00000001' AS lot, CASE WHEN quantity = 1 THEN 'V' ELSE 'Q' END AS control,
+    quantity AS amended_quantity, unit_price AS amended_price"""
 AWARDS = BIDS + """,
 awarded AS (SELECT DISTINCT tender, line, bidder FROM rounds WHERE unit_price > 2000),
 joined AS (SELECT r.tender, r.line, r.bidder, d.code, r.unit_price, r.total,

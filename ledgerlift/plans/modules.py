@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlift.operators.audit import reconcile
 from ledgerlift.params import RunParams
 from ledgerlift.plans import assets, catalog, fleet, orders, quotes, stock, tenders
 from ledgerlift.sources import writer
@@ -89,9 +90,10 @@ def load_quotes(s: Mapping[str, DataFrame], target: Target, params: RunParams) -
 def load_tenders(s: Mapping[str, DataFrame], target: Target, params: RunParams, on_amendment_miss: str = "fail") -> None:
     goods = item_codes(target, "1")
     loaded = tenders.tenders(s["tender"], s["modality_names"], params)
-    target.refresh("tenders_rejected", loaded["rejected"])
+    rejected = target.refresh("tenders_rejected", loaded["rejected"])
     register = target.refresh("modality_register", tenders.modality_register(loaded["tenders"]))
     headers = target.refresh("tenders", tenders.with_register(loaded["tenders"], register))
+    target.refresh("tenders_reconciled", reconcile("tenders", s["tender"], headers, rejected))
     target.append_absent("tender_sessions", lambda known: tenders.sessions(headers, known), headers)
     bidders = tenders.tender_bidders(s["tender_bidder"], s["person"], s["tender"])
     target.refresh("tender_bidders", bidders["bidders"])

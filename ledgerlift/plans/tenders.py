@@ -9,7 +9,7 @@ from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import absent_rows, merge_matched, set_from_where
 from ledgerlift.operators.lookups import lookup, misses, unique_keys
 from ledgerlift.operators.numbering import number_all, number_within
-from ledgerlift.operators.picks import best_with_ties, first_per_key, latest_value, matching, unmatched
+from ledgerlift.operators.picks import best_with_ties, latest_value, matching, unmatched
 from ledgerlift.params import RunParams
 
 
@@ -128,9 +128,15 @@ def best_offers(offers: DataFrame, tender_item_avg: DataFrame) -> DataFrame:
 
     ``avg_material`` is NULL for an item without average.
     """
-    order = [F.col("unit_price").asc_nulls_last(), *(F.col(c).asc() for c in ("material", "bidder", "quantity", "offer"))]
-    counts = offers.groupBy("tender", "line").agg(F.count("*").alias("offers"))
-    best = first_per_key(offers, ["tender", "line"], order).join(counts, ["tender", "line"])
+    # One pre-aggregated pass gives both; a struct compares field by field, unpriced offers last.
+    lowest = F.struct(
+        F.col("unit_price").isNull().alias("unpriced"), "unit_price", "material", "bidder", "quantity", "offer", "failed"
+    )
+    best = (
+        offers.groupBy("tender", "line")
+        .agg(F.min(lowest).alias("best"), F.count("*").alias("offers"))
+        .select("tender", "line", "offers", "best.*")
+    )
     average = tender_item_avg.select(
         "tender", "material", F.col("material").alias("avg_material"), "avg_price", F.col("total").alias("avg_total")
     )
@@ -210,7 +216,8 @@ def bids_direct(offers: DataFrame, tender: DataFrame, bid_round: DataFrame, item
 def _bid(rows: DataFrame) -> DataFrame:
     return rows.withColumns({
         "session": _long(1), "item_bid": F.lit("S"), "lot": F.lit(K.DEFAULT_LOT),
-        "control": V.control_kind(F.col("quantity")),
+        "control": V.control_kind(F.col("quantity")), "amended_quantity": F.col("quantity"),
+        "amended_price": F.col("unit_price"),
     })
 
 
