@@ -14,6 +14,10 @@ from ledgerlift.session import build_session
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+}
+
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -47,11 +51,11 @@ def differences(df, con, sql) -> list[str]:
     if not notes and found != expected:
         wrong = [(a, b) for a, b in zip(found, expected) if a != b]
         notes.append(f"{len(wrong)} rows differ, first {wrong[0]}")
-    types = {d[0]: str(d[1]) for d in cursor.description} if not notes else {}
-    kinds = {"bigint": "NUMBER BIGINT", "int": "NUMBER INTEGER", "double": "NUMBER DOUBLE", "string": "STRING VARCHAR", "date": "Date DATE DATETIME", "boolean": "bool BOOLEAN"}
+    described = dict(row[:2] for row in con.execute(f"DESCRIBE {sql}").fetchall())
     for f in df.schema.fields:
-        if f.name in types and types[f.name] not in kinds.get(f.dataType.simpleString(), ""):
-            notes.append(f"type {f.name}: {f.dataType.simpleString()} instead of {types[f.name]}")
+        kind = TYPES.get(f.dataType.simpleString())
+        if kind != described.get(f.name):
+            notes.append(f"type {f.name}: {kind} instead of {described.get(f.name)}")
     return notes
 
 
