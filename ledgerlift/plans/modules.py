@@ -36,8 +36,11 @@ class Target:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def refresh_slice(self, name: str, origin: str, df: DataFrame) -> DataFrame:
-        """Replace the rows of one origin; the table keeps those of the others."""
-        writer.refresh_slices(df.withColumn("origin", F.lit(origin)), self.path(name), ["origin"])
+        """Replace the rows of one origin, also by none; the table keeps those of the others.
+
+        All origins of a table have the same columns.
+        """
+        writer.refresh(df, f"{self.path(name)}/origin={origin}")
         return self.read(name)
 
     def append_absent(self, name: str, rows: Callable[[DataFrame], DataFrame], like: DataFrame) -> DataFrame:
@@ -164,9 +167,12 @@ def load_stock(s: Mapping[str, DataFrame], target: Target, params: RunParams) ->
     moves = stock.stock_movements(
         s["movement"], s["movement_line"], s["stock_request"], s["stock_request_line"], goods, params
     )
+    # columns that only fuel documents fill
+    driver = {"driver": F.lit(None).cast("bigint")}
+    ride = {"km": F.lit(None).cast("double"), "plate": F.lit(None).cast("string")}
     for origin, tables in (("opening", opening), ("movement", moves)):
-        target.refresh_slice("stock_documents", origin, tables["headers"])
-        target.refresh_slice("stock_lines", origin, tables["lines"])
+        target.refresh_slice("stock_documents", origin, tables["headers"].withColumns(driver))
+        target.refresh_slice("stock_lines", origin, tables["lines"].withColumns(ride))
 
 
 def load_purchasing(sources: Mapping[str, DataFrame], target: Target, params: RunParams, **options) -> None:

@@ -58,10 +58,20 @@ def test_lines_have_headers(purchasing):
 def test_stock_origins_live_side_by_side(purchasing, rows):
     counts = purchasing.read("stock_documents").groupBy("origin").count()
     assert [r[0] for r in rows(counts)] == ["fuel", "movement", "opening"]
+    lines = purchasing.read("stock_lines")
+    assert lines.filter("origin = 'fuel' AND plate IS NOT NULL").count() == lines.filter("origin = 'fuel'").count() > 0
     opening = purchasing.read("stock_documents").filter(stock.is_opening(F.col("doc")))
     assert rows(opening, "origin") == [("opening",)]
 
 
+def test_an_emptied_slice_goes(spark, rows):
+    target = modules.Target(spark, scratch_path(spark, "slices"))
+    df = spark.createDataFrame([(1,), (2,)], "v int")
+    target.refresh_slice("t", "a", df)
+    target.refresh_slice("t", "b", df)
+    assert rows(target.refresh_slice("t", "a", df.limit(0)), "origin", "v") == [("b", 1), ("b", 2)]
+
+
 def test_loading_tenders_again_changes_nothing(spark, folder, purchasing):
     names = ["tenders", "tender_sessions", "tender_lots", "tender_item_status", "winning_rounds", "final_bids", "awards", "register_docs"]
     before = {r.table: r.loaded for r in modules.table_counts(purchasing, names).collect()}
