@@ -5,7 +5,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlift.llm.common import documents
+from ledgerlift.llm.common import documents, ship
+from ledgerlift.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -16,9 +17,64 @@ def query(fn):
     return fn
 
 
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import fingerprints
+
+    return fingerprints.with_successor(documents(spark, sf_dir))
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlift.llm import byte_bpe
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, digest=True)
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import packing
+
+    pieces = packing.token_pieces(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048, ids=False)
+    return packing.pack(written(pieces, "pieces"), 2048)
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import token_counts
+
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import sharding
+
+    return sharding.shard(documents(spark, sf_dir))
+
+
+@query
+def op4_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import lang_id
+
+    ship(spark)
+    return lang_id.identify(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import quality
+
+    return quality.classify(documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import toxicity
+
+    return toxicity.classify(documents(spark, sf_dir), _labels(spark, sf_dir))
