@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import fold
-from ledgerlift.llm.words import NOT_ALNUM, WHITE, slices, text_bytes, words
+from ledgerlift.llm.words import NOT_ALNUM, WHITE, batch_shingles, mix, slices, text_bytes, words
+from ledgerlift.session import written
 
 #: Names of the statistics, in order.
 STATISTICS = ("log_bytes", "log_words", "word_length", "long_words", "upper", "digits", "symbols", "pipes", "lines",
@@ -70,41 +71,63 @@ def _distinct_rows(rows: np.ndarray, h: np.ndarray) -> np.ndarray:
     return rows[order][first]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """Rows (text, label): at most ``per_class`` documents of each label, outside the held-out third.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: tuple[int, int]) -> DataFrame:
+    """Rows (text, label): at most ``most`` documents of the labels 0 and 1, outside the held-out third.
 
     The lowest hashes of the id are taken, so the sample is fixed and spread over the table; the ids are
-    bounded and broadcast, so no text is shuffled.  A document labelled twice has its smaller label.
+    bounded and broadcast, so no text is shuffled.  A document labelled twice has its smaller label, and of
+    copies and near copies (equal least hash of their five-word shingles) one is kept.  The sample is written.
     """
     known = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", 3) != 1))
              .groupBy("doc_id").agg(F.min(label).alias("label")))
     chosen = None
     for value in (0, 1):
-        some = known.filter(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        some = known.filter(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[value])
         chosen = some if chosen is None else chosen.union(some)
-    return docs.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("int").alias("label")).dropDuplicates()
-
-
-def collected(sample: DataFrame, buckets: int, with_statistics: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The bounded sample's features on the driver: buckets, counts, bounds, words, statistics, labels."""
+    rows = docs.join(F.broadcast(chosen), "doc_id").select(
+        F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id").alias("at"), F.col("label").cast("int").alias("label"))
+    marked = rows.mapInArrow(_marks, "text string, at bigint, label int, mark bigint, other bigint")
+    for column in ("mark", "other"):
+        marked = marked.groupBy(column).agg(F.min(F.struct("at", "label", "text", *({"mark", "other"} - {column}))).alias("row")).select(
+            column, "row.*")
+    return written(marked.select("text", "label"), "sample")
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Two least hashes of the shingles; a text without words has its place in the sample instead."""
+    for batch in batches:
+        found = []
+        for a, hashes, bounds in batch_shingles(batch.column(0), 5):
+            n = len(bounds) - 1
+            own = batch.column(1).slice(a, n).to_numpy().astype(np.int64)
+            full = np.diff(bounds) > 0
+            pair = np.column_stack([own, own])
+            for k in (0, 1):
+                if full.any():
+                    pair[full, k] = np.minimum.reduceat(mix(hashes + np.uint64(k)), bounds[:-1][full]).view(np.int64)
+            found.append(pair)
+        pair = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["text", "at", "label", "mark", "other"])
+
+
+def collected(sample: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bounded sample's features on the driver: buckets, counts, bounds, statistics, labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stats = statistics(batch.column(0)) if with_statistics else np.zeros((batch.num_rows, 0))
+            stats = statistics(batch.column(0))
             for a, bucket, counts, bounds, total in hashed_words(batch.column(0), buckets):
                 n = len(total)
                 yield pa.RecordBatch.from_arrays([
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(bucket, pa.int32())),
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(counts, pa.int32())),
-                    pa.array(total, pa.int64()),
                     pa.array(list(stats[a:a + n]), pa.list_(pa.float64())),
                     batch.column(1).slice(a, n),
-                ], names=["buckets", "counts", "words", "stats", "label"])
+                ], names=["buckets", "counts", "stats", "label"])
 
-    rows = sample.mapInArrow(run, "buckets array<int>, counts array<int>, words bigint, stats array<double>, label int").toArrow()
-    lists = rows.column("buckets").combine_chunks()
-    counts = rows.column("counts").combine_chunks()
+    rows = sample.mapInArrow(run, "buckets array<int>, counts array<int>, stats array<double>, label int").toArrow()
     n = rows.num_rows
-    sizes = np.array([len(x) for x in lists]) if n else np.zeros(0, int)
+    lists, counts = rows.column("buckets").combine_chunks(), rows.column("counts").combine_chunks()
+    sizes = lists.value_lengths().to_numpy() if n else np.zeros(0, int)
     return (lists.flatten().to_numpy(), counts.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)]).astype(int),
-            rows.column("words").to_numpy(), np.array(rows.column("stats").to_pylist(), float).reshape(n, -1), rows.column("label").to_numpy())
+            np.array(rows.column("stats").to_pylist(), float).reshape(n, -1), rows.column("label").to_numpy())

@@ -66,7 +66,7 @@ def fit(sample: DataFrame, prior: float) -> Machine:
 
     Without rows of both labels the score is the prior (1/2 without any).
     """
-    bucket, counts, bounds, _, stats, label = collected(sample, BUCKETS, True)
+    bucket, counts, bounds, stats, label = collected(sample, BUCKETS)
     size = BUCKETS + len(STATISTICS)
     centre = stats.mean(0) if len(stats) else np.zeros(len(STATISTICS))
     scale = stats.std(0) + 1e-6 if len(stats) else np.ones(len(STATISTICS))
@@ -133,5 +133,5 @@ def prior_of(labels: DataFrame, label: str) -> float:
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
-    machine = fit(labelled_sample(docs.select("doc_id", "text"), labels, "quality", SAMPLE_PER_CLASS), prior_of(labels, "quality"))
+    machine = fit(labelled_sample(docs.select("doc_id", "text"), labels, "quality", (SAMPLE_PER_CLASS, SAMPLE_PER_CLASS)), prior_of(labels, "quality"))
     return score(docs.select("doc_id", "text", (fold("doc_id", 3) == 1).alias("held_out")), machine, keep=("doc_id", "held_out"))

@@ -65,33 +65,45 @@ def slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, byte length and row of every word of the rows between ``offsets``."""
-    first, last = int(offsets[0]), int(offsets[-1])
-    n = last - first
-    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not n:
-        return none
-    part = LOWER[data[first:last]]
+def _found(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray):
+    """Lower-cased bytes of the rows between ``offsets``, and start, length and row of every word."""
+    first = int(offsets[0])
+    part = LOWER[data[first:int(offsets[-1])]]
+    n = len(part)
     inside = ~separators[part]
     cut = np.zeros(n + 1, bool)  # a row begins or ends here
     cut[offsets - first] = True
-    before = np.empty(n, bool)
-    before[0], before[1:] = True, ~inside[:-1]
+    before, after = np.empty(n, bool), np.empty(n, bool)
+    before[:1], before[1:] = True, ~inside[:-1]
+    after[-1:], after[:-1] = True, ~inside[1:]
     starts = np.flatnonzero(inside & (before | cut[:-1]))
-    if not len(starts):
-        return none
-    after = np.empty(n, bool)
-    after[-1], after[:-1] = True, ~inside[1:]
     lengths = np.flatnonzero(inside & (after | cut[1:])) + 1 - starts
+    rows = np.searchsorted(offsets - first, starts, side="right") - 1
+    return part, inside, starts, lengths, rows
+
+
+def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, byte length and row of every word of the rows between ``offsets``."""
+    part, inside, starts, lengths, rows = _found(data, offsets, separators)
+    if not len(starts):
+        return np.zeros(0, np.uint64), lengths, rows
     kept = np.flatnonzero(inside)
     heads = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     place = np.arange(len(kept)) - np.repeat(heads, lengths)
     hashes = np.add.reduceat(_BYTE[part[kept]] * _power(int(lengths.max()))[place], heads)
-    rows = np.searchsorted(offsets - first, starts, side="right") - 1
     return mix(hashes ^ (lengths.astype(np.uint64) * _STEP)), lengths, rows
 
 
+def prefixes(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the first ``size`` bytes, and row, of every longer word."""
+    part, _, starts, lengths, rows = _found(data, offsets, separators)
+    longer = lengths > size
+    total = np.full(int(longer.sum()), size, np.uint64) * _BASE
+    for j in range(size):
+        total = (total + _BYTE[part[starts[longer] + j]]) * _BASE
+    return mix(total), rows[longer]
+
+
 def shingles(hashes: np.ndarray, rows: np.ndarray, n_rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the ``k``-word shingles, in order, and the offsets of each row's.
 
