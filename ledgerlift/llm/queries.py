@@ -78,3 +78,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlift.llm import toxicity
 
     return toxicity.classify(documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import jaccard_join
+
+    return jaccard_join.join_classes(documents(spark, sf_dir), words=4, percent=85).select("doc_id", "n_shingles", "component_id", "class_id")
