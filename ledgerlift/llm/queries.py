@@ -85,3 +85,11 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlift.llm import jaccard_join
 
     return jaccard_join.join_classes(documents(spark, sf_dir), words=4, percent=85).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import neighbours
+
+    ship(spark)
+    return neighbours.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
