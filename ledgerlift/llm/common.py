@@ -46,10 +46,20 @@ def fold(column: str, parts: int) -> F.Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
 
 
-def among(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` is in the distinct ``ids``; the ids are broadcast only if few."""
+def _checked(ids: DataFrame) -> DataFrame:
+    """The ids to broadcast if they are few, else as they are."""
     few = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
-    return df.join(F.broadcast(ids) if few else ids, column, "left_semi")
+    return F.broadcast(ids) if few else ids
+
+
+def among(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is in the distinct ``ids``."""
+    return df.join(_checked(ids), column, "left_semi")
+
+
+def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is null or not in the distinct ``ids``."""
+    return df.join(_checked(ids), column, "left_anti")
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -29,6 +29,9 @@ _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
 
 
+_PAD = np.full(NGRAM - 1, 0x20, np.uint8)
+
+
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of every n-gram of the rows between ``offsets`` and the bounds of each row's.
 
@@ -117,8 +120,8 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "tex
     """``lang_pred``, ``score`` (the language's proportion) and ``langs`` (all chosen, with proportions).
 
     The largest proportion wins, of equal ones the first language.  A text that is null or has no letter is
-    ``und`` with score 0 and no languages; so is every text if nothing was learned.  A text with letters but shorter
-    than an n-gram gets the first language with score 1 over the number of languages.
+    ``und`` with score 0 and no languages; so is every text if nothing was learned.  A text shorter than an n-gram is
+    read with spaces around it.
     """
     langs, logs = model
     kept = df.select(*keep, df[text].alias("_text"), df[text].rlike(r"\p{L}").alias("_letters"))
@@ -138,9 +141,9 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "tex
                         names.append(UNKNOWN), scores.append(0.0), sets.append([])
                         continue
                     own = grams[bounds[i]:bounds[i + 1]]
-                    if not len(own):
-                        names.append(langs[0]), scores.append(1.0 / len(langs)), sets.append([])
-                        continue
+                    if not len(own):  # too short for an n-gram without the spaces around it
+                        text = np.concatenate([_PAD[:1], data[offsets[a + i]:offsets[a + i + 1]], _PAD])
+                        own = ngrams(text, np.array([0, len(text)]))[0]
                     chosen, share, _ = proportions(table.value[own])
                     order = np.lexsort((chosen, -share))
                     names.append(langs[chosen[order[0]]]), scores.append(float(min(1.0, share[order[0]])))
