@@ -1,7 +1,7 @@
 """Asset plans against SQL."""
 
 from checks.binding import ENTITIES, PARAMS, Entities
-from checks.registry import query
+from checks.registry import EXACT, GROW, query
 from ledgerlift.plans import assets
 
 W = f"WITH {ENTITIES}"
@@ -57,7 +57,7 @@ kept AS (SELECT a.*, f.unit, l.unit AS current_unit, COALESCE(s.residual, n.resi
     row_number() OVER (ORDER BY number) AS n FROM asset a LEFT JOIN first_place f ON f.asset = number
     LEFT JOIN last_place l ON l.asset = number LEFT JOIN slots s ON s.asset = number AND s.revalued = 'S'
     LEFT JOIN slots n ON n.asset = number AND n.revalued = 'N' WHERE f.asset IS NOT NULL OR l.asset IS NULL),
-register AS (SELECT number AS asset, CAST(1 AS BIGINT) AS company, '001' AS asset_group, lpad(CAST(n AS VARCHAR), 6, '0') AS plate,
+register AS (SELECT number AS asset, CAST(1 AS BIGINT) AS company, '001' AS asset_group, """ + GROW.format('n', 6) + """ AS plate,
     'A' || asset_kind AS account, unit, current_unit, 'C' AS origin, asset_kind, condition, name AS description,
     CAST(NULL AS VARCHAR) AS notes, CAST(NULL AS DATE) AS acquired, entered AS launched, acquisition_value,
     CAST(0 AS DOUBLE) AS current_value, CAST(NULL AS BIGINT) AS supplier, asset_plate AS invoice,
@@ -68,7 +68,8 @@ register AS (SELECT number AS asset, CAST(1 AS BIGINT) AS company, '001' AS asse
 LEDGER = """,
 entries AS (SELECT p.asset, started AS dated, movement AS kind, CASE WHEN movement = 'T' THEN 0 ELSE base_value END AS value, unit,
     CASE WHEN movement = 'T' THEN 'TRANSFERENCIA' ELSE 'AQUISICAO' END AS history, 'N' AS depreciation FROM asset_placement p
-    JOIN (SELECT asset, MAX(base_value) AS base_value FROM asset_valuation WHERE revalued = 'N' GROUP BY asset, valued) v USING (asset)
+    JOIN (SELECT asset, base_value FROM (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY valued NULLS FIRST,
+        base_value DESC NULLS LAST) AS nr FROM asset_valuation WHERE revalued = 'N') WHERE nr = 1) v USING (asset)
     UNION ALL SELECT asset, valued, 'R', -value, NULL, 'DEPRECIACAO ' || month || '-' || year, 'S' FROM depreciation
     UNION ALL SELECT asset, MAX(valued), 'R', MAX(base_value) - MIN(base_value), NULL, 'REAVALIACAO', 'N' FROM asset_valuation
     GROUP BY 1 HAVING COUNT(*) > 1),
@@ -77,7 +78,7 @@ ledger AS (SELECT row_number() OVER (ORDER BY dated, asset, kind NULLS LAST, his
 """
 BALANCE = REGISTER + LEDGER + """,
 revalued AS (SELECT asset, MAX(dated) AS last_date FROM ledger WHERE kind = 'R' AND depreciation <> 'S' GROUP BY 1),
-totals AS (SELECT asset, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM ledger GROUP BY 1),
+totals AS (SELECT asset, """ + EXACT.format("value") + """ AS total FROM ledger GROUP BY 1),
 balances AS (SELECT r.* EXCLUDE (launched, accounted, current_value), COALESCE(last_date, launched) AS launched,
     COALESCE(last_date, closed, launched) AS accounted, COALESCE(total, 0) AS current_value
     FROM register r LEFT JOIN revalued USING (asset) LEFT JOIN totals USING (asset))
@@ -113,7 +114,7 @@ def asset_ledger(t):
 @query(W + BALANCE + "SELECT * FROM balances")
 def p_asset_balance(t):
     e = Entities(t)
-    return assets.balances(_register(e), _ledger(e))
+    return assets.balances(_register(e), assets.ledger_rows(e.asset_placement, e.asset_valuation, e.depreciation))
 
 
 @query(

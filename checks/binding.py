@@ -202,7 +202,7 @@ class Entities:
 
     @cached_property
     def tender_item_avg(self):
-        total = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+        total = F.sum(F.col("l_extendedprice").cast("decimal(28,8)")).cast("double")
         return self.t.lineitem.groupBy(F.col("l_orderkey").alias("tender"), F.col("l_partkey").alias("material")).agg(
             (total / F.sum("l_quantity")).alias("avg_price"), total.alias("total")
         )
@@ -364,7 +364,7 @@ class Entities:
 
     @cached_property
     def inventory(self):
-        total = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+        total = F.sum(F.col("l_extendedprice").cast("decimal(28,8)")).cast("double")
         return self.t.lineitem.groupBy(
             _year("l_shipdate").alias("year"), F.month("l_shipdate").cast("bigint").alias("month"),
             F.col("l_suppkey").alias("store"), F.col("l_partkey").alias("material"),
@@ -503,8 +503,8 @@ tender_item AS (SELECT l_orderkey AS tender, l_partkey AS material, CAST(MIN(l_l
     CASE WHEN MAX(l_discount) > 0.09 THEN 'S' ELSE 'N' END AS annex, CASE WHEN MAX(l_returnflag) = 'R' THEN 'S' END AS failed
     FROM lineitem GROUP BY 1, 2),
 tender_item_avg AS (SELECT l_orderkey AS tender, l_partkey AS material,
-    CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / SUM(l_quantity) AS avg_price,
-    CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem GROUP BY 1, 2),
+    CAST(SUM(CAST(l_extendedprice AS DECIMAL(28,8))) AS DOUBLE) / SUM(l_quantity) AS avg_price,
+    CAST(SUM(CAST(l_extendedprice AS DECIMAL(28,8))) AS DOUBLE) AS total FROM lineitem GROUP BY 1, 2),
 bid_round AS (SELECT l_orderkey AS tender, l_suppkey AS bidder, l_partkey AS material, month(l_shipdate) AS round,
     l_extendedprice / l_quantity AS price, CASE WHEN l_returnflag = 'A' THEN 'S' ELSE 'N' END AS winner
     FROM lineitem WHERE l_linestatus = 'O'),
@@ -524,7 +524,7 @@ purchase_order AS (SELECT o_orderkey AS number, year(o_orderdate) AS year, o_cus
 order_line AS (SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line, l_partkey AS material, l_quantity AS quantity,
     l_extendedprice / l_quantity AS unit_price, l_extendedprice AS total FROM lineitem),
 annulled AS (SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line, SUM(l_quantity) AS annulled_quantity,
-    CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS annulled_value FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
+    CAST(SUM(CAST(l_extendedprice AS DECIMAL(28,8))) AS DOUBLE) AS annulled_value FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
 register_tenders AS (SELECT o_orderkey AS tender FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 200000),
 commitment AS (SELECT c_custkey AS number, c_acctbal AS amount, CASE WHEN c_mktsegment = 'BUILDING' THEN 1997 END AS carried_year
     FROM customer),
@@ -537,7 +537,7 @@ vehicle AS (SELECT p_partkey AS number, split_part(p_name, ' ', 1) || split_part
     (ascii(p_type) - 64) * 10 + length(p_type) AS vehicle_type, p_size AS fuel_type, p_retailprice AS km FROM part),
 purchases AS (SELECT * FROM events WHERE event_type = 'purchase'),
 inventory AS (SELECT year(l_shipdate) AS year, month(l_shipdate) AS month, l_suppkey AS store, l_partkey AS material,
-    SUM(l_quantity) AS balance, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / SUM(l_quantity) AS price
+    SUM(l_quantity) AS balance, CAST(SUM(CAST(l_extendedprice AS DECIMAL(28,8))) AS DOUBLE) / SUM(l_quantity) AS price
     FROM lineitem GROUP BY 1, 2, 3, 4),
 known_codes AS (SELECT material, code FROM item_codes JOIN part ON p_partkey = material WHERE p_size <= 45),
 movement_line AS (SELECT l_orderkey AS movement, CAST(l_linenumber AS BIGINT) AS line, l_partkey AS material, l_quantity AS quantity,

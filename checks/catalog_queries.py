@@ -1,10 +1,12 @@
 """Catalog, organisation and quote plans against SQL."""
 
 from checks.binding import ENTITIES, PARAMS, Entities
-from checks.registry import query
+from checks.registry import EXACT, GROW, query
+from ledgerlift import constants as K
 from ledgerlift.plans import catalog, quotes
 
 W = f"WITH {ENTITIES}"
+ITEM_KIND_CASES = " ".join(f"WHEN parent_number = {n} AND parent_kind = '{kind}' THEN '{item}'" for n, kind, item in K.ITEM_KINDS)
 
 GROUPS = """,
 all_groups AS (SELECT kind, number, name FROM catalog_group WHERE level = 0
@@ -13,7 +15,7 @@ coded_groups AS (SELECT lpad(CAST(row_number() OVER (ORDER BY kind, number) AS V
 """
 SUBGROUPS = GROUPS + """,
 coded_subgroups AS (SELECT group_code, subgroup, s.name, s.kind, s.number FROM (
-    SELECT DISTINCT parent_kind, parent_number, kind, number, name, substr(CAST(number AS VARCHAR), 2, 3) AS subgroup
+    SELECT DISTINCT parent_kind, parent_number, kind, number, name, substr(CAST(number AS VARCHAR), 2) AS subgroup
     FROM catalog_group WHERE level > 0
     UNION ALL SELECT '9', number, '9', number, name, '001' FROM service_group) s
     JOIN coded_groups g ON g.kind = s.parent_kind AND g.number = s.parent_number)
@@ -21,9 +23,7 @@ coded_subgroups AS (SELECT group_code, subgroup, s.name, s.kind, s.number FROM (
 ITEMS = SUBGROUPS + f""",
 all_items AS (SELECT a.number AS material, group_kind AS kind, group_number AS number, a.name, CAST(min_stock AS DOUBLE) AS min_stock,
     CAST(max_stock AS DOUBLE) AS max_stock, CASE active WHEN 'S' THEN 'N' ELSE 'S' END AS hidden, unit_code,
-    CASE WHEN parent_number = 1000 AND parent_kind = '1' THEN 'P' WHEN parent_number = 2000 AND parent_kind = '1' THEN 'E'
-    WHEN parent_number = 1000 AND parent_kind = '2' THEN 'P' WHEN parent_number = 1000 AND parent_kind = '3' THEN 'S'
-    WHEN parent_number IN (1000, 2000, 3000) AND parent_kind = '4' THEN 'S' ELSE 'P' END AS item_kind,
+    CASE {ITEM_KIND_CASES} ELSE 'P' END AS item_kind,
     CASE WHEN parent_kind = '2' THEN 'P' ELSE 'C' END AS item_use
     FROM catalog_item a JOIN catalog_group b ON b.kind = a.group_kind AND b.number = a.group_number
     UNION ALL SELECT number, '9', group_number, name, 0, 0, 'N', unit_code, 'P', 'C' FROM service_item),
@@ -85,16 +85,16 @@ def p_opened_subgroups(t):
     return _items(Entities(t))["opened_subgroups"]
 
 
-@query(W + "SELECT lpad(CAST(number AS VARCHAR), 9, '0') AS code, name, CAST(1 AS BIGINT) AS company FROM store")
+@query(W + f"SELECT {GROW.format('number', 9)} AS code, name, CAST(1 AS BIGINT) AS company FROM store")
 def p_destinations(t):
     return catalog.destinations(Entities(t).store, PARAMS)
 
 
 @query(
-    W + """, head AS (SELECT authority, body FROM authority WHERE company = 1 ORDER BY authority, body LIMIT 1)
+    W + f""", head AS (SELECT authority, body FROM authority WHERE company = 1 ORDER BY authority, body LIMIT 1)
     SELECT number AS centre, substr(name, 1, 60) AS name, '001' AS sub_centre, CASE active WHEN 'S' THEN 'N' ELSE 'S' END AS hidden,
     CAST(1 AS BIGINT) AS company, (SELECT authority FROM head) AS authority, (SELECT body FROM head) AS body,
-    COALESCE((SELECT lpad(CAST(MIN(store) AS VARCHAR), 9, '0') FROM stock_request r WHERE r.unit = u.number), '000000001') AS store
+    COALESCE((SELECT {GROW.format('MIN(store)', 9)} FROM stock_request r WHERE r.unit = u.number), '000000001') AS store
     FROM org_unit u UNION ALL SELECT 0, NULL, '001', NULL, 1, authority, body, '000000001' FROM head"""
 )
 def p_cost_centres(t):
@@ -103,10 +103,10 @@ def p_cost_centres(t):
 
 
 QUOTES = f""",
-q AS (SELECT *, lpad(CAST(doc_number AS VARCHAR), 5, '0') AS serial,
-    lpad(CAST(doc_number AS VARCHAR), 5, '0') || '/' || substr(CAST(year AS VARCHAR), 3, 2) AS doc
+q AS (SELECT *, {GROW.format('doc_number', 5)} AS serial,
+    {GROW.format('doc_number', 5)} || '/' || substr(CAST(year AS VARCHAR), 3, 2) AS doc
     FROM quote WHERE year = {PARAMS.fiscal_year}),
-lines AS (SELECT quote, doc, line, material, brand, SUM(quantity) AS quantity FROM q JOIN quote_line ON quote = number GROUP BY ALL),
+lines AS (SELECT quote, doc, line, material, brand, {EXACT.format('quantity')} AS quantity FROM q JOIN quote_line ON quote = number GROUP BY ALL),
 coded_lines AS (SELECT quote, doc, line, code, quantity FROM lines JOIN item_codes USING (material)),
 flagged AS (SELECT quote, line, bidder, MIN(price) AS won_price FROM quote_line WHERE lowest = 1 GROUP BY ALL),
 prices AS (SELECT quote, doc, l.bidder, line, price AS unit_price, quantity * price AS total, brand, f.bidder AS winner, won_price
@@ -152,8 +152,8 @@ def p_quote_prices(t):
 
 
 @query(
-    W + QUOTES + """SELECT DISTINCT quote, doc, bidder, substr(trim(p.name), 1, 70) AS name,
-    (SELECT CAST(SUM(CAST(total AS DECIMAL(18,2))) AS DOUBLE) FROM prices x WHERE x.quote = l.quote AND x.bidder = l.bidder) AS total
+    W + QUOTES + f"""SELECT DISTINCT quote, doc, bidder, substr(trim(p.name), 1, 70) AS name,
+    (SELECT {EXACT.format('total')} FROM prices x WHERE x.quote = l.quote AND x.bidder = l.bidder) AS total
     FROM q JOIN quote_line l ON l.quote = q.number JOIN person p ON p.number = bidder"""
 )
 def p_quote_totals(t):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.registry import Tables, query
+from checks.registry import EXACT, Tables, query
 from ledgerlift import constants as K
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
@@ -15,7 +15,7 @@ FY = 1998
 KEY5 = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 KEY5_SQL = ", ".join(KEY5)
 LINE_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS ship_day"
-MONEY = "CAST(SUM(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
+MONEY = EXACT
 MODALITY_VALUES = ", ".join(f"({n}, '{name}', '{code}', {target})" for n, name, code, target in K.MODALITIES)
 KIND_VALUES = ", ".join(f"('{k}', '{d}')" for k, d in K.MOVEMENT_KINDS)
 OUTSIDE_SQL = (
@@ -210,6 +210,20 @@ def typed_contract(t):
     return good.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
+@query(
+    """SELECT o_orderkey, o_totalprice FROM orders
+    WHERE o_totalprice <> round(o_totalprice, 1) OR o_orderdate <> CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)"""
+)
+def typed_contract_rejects(t):
+    """Amounts that one place cannot hold, and days with a time of day, do not fit."""
+    contract = T.StructType([
+        T.StructField("o_orderkey", T.LongType(), False),
+        T.StructField("o_totalprice", T.DecimalType(18, 1)),
+        T.StructField("o_orderdate", T.DateType()),
+    ])
+    return reader.conform(t.orders, contract)[1].select("o_orderkey", "o_totalprice")
+
+
 # ---- projections, filters, predicates ---------------------------------------
 
 
@@ -349,7 +363,7 @@ def join_inner(t):
 )
 def join_composite(t):
     keys = ["l_orderkey", "l_suppkey"]
-    pairs = t.lineitem.groupBy(*keys).agg(F.sum("l_quantity").alias("pair_quantity"))
+    pairs = picks.summed(t.lineitem, keys, F.sum("l_quantity").alias("pair_quantity"))
     return t.lineitem.join(pairs, keys).select(*line(), "l_quantity", "pair_quantity")
 
 
@@ -452,8 +466,9 @@ def latest_round(t):
 
 
 def _annulled(t):
-    return _returns(t).groupBy("l_orderkey", "l_partkey").agg(
-        F.sum("l_quantity").alias("annulled"), V.exact_sum(F.col("l_extendedprice")).alias("annulled_value")
+    return picks.summed(
+        _returns(t), ["l_orderkey", "l_partkey"],
+        F.sum("l_quantity").alias("annulled"), V.exact_sum(F.col("l_extendedprice")).alias("annulled_value"),
     )
 
 

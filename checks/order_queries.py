@@ -1,27 +1,25 @@
 """Order, stock and fleet plans against SQL."""
 
 from checks.binding import ENTITIES, FLEET_PARAMS, PARAMS, Entities
-from checks.registry import query
+from checks.registry import EXACT, GROW, query
 from ledgerlift.plans import fleet, orders, stock
 
 W = f"WITH {ENTITIES}"
 YEAR = PARAMS.fiscal_year
-GROW = "CASE WHEN length(CAST({0} AS VARCHAR)) > {1} THEN CAST({0} AS VARCHAR) ELSE lpad(CAST({0} AS VARCHAR), {1}, '0') END"
 YY = f"{YEAR % 100:02d}"
-EXACT = "CAST(SUM(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
 
 HEADERS = f""",
-own AS (SELECT *, row_number() OVER (ORDER BY {GROW.format('doc_number', 5)} || '/{YY}', number) AS n FROM purchase_order
+own AS (SELECT *, row_number() OVER (ORDER BY doc_number, number) AS n FROM purchase_order
     WHERE year = {YEAR} AND EXISTS (SELECT 1 FROM order_line WHERE order_id = number)),
 docs AS (SELECT number AS order_id, {GROW.format('n', 5)} || '/{YY}' AS doc, {GROW.format('n', 5)} AS serial, * FROM own),
 headers AS (SELECT h.order_id, h.doc, h.serial, h.year, h.supplier, h.issued, h.m AS budget_line, h.unit, 'S' AS delivered, h.tender,
     CAST(NULL AS VARCHAR) AS delivery_place, h.payment_terms, CAST(NULL AS VARCHAR) AS notes, CAST(1 AS BIGINT) AS company,
-    lpad(CAST(h.contract_number AS VARCHAR), 4, '0') || '/' || substr(CAST(h.year AS VARCHAR), 3, 2) AS contract,
+    {GROW.format('h.contract_number', 4)} || '/' || substr(CAST(h.year AS VARCHAR), 3, 2) AS contract,
     h.parent AS parent_order, p.doc AS parent_doc,
     CASE WHEN h.tender IN (SELECT tender FROM register_tenders) THEN CAST(0 AS BIGINT) END AS register_version,
     CASE WHEN h.sub_number = 0 THEN h.commitment END AS commitment, h.m AS expense_category, h.m AS expense_group,
     h.m AS expense_modality, h.m AS expense_element, CAST(NULL AS BIGINT) AS expense_detail, CAST(NULL AS BIGINT) AS link_group,
-    ' ' || lpad(CAST(h.m AS VARCHAR), 3, '0') AS link_code, lpad(CAST(h.store AS VARCHAR), 9, '0') AS store
+    ' ' || lpad(CAST(h.m AS VARCHAR), 3, '0') AS link_code, {GROW.format('h.store', 9)} AS store
     FROM docs h LEFT JOIN docs p ON p.order_id = h.parent),
 funded AS (SELECT h.*, c.amount FROM headers h JOIN commitment c ON c.number = h.commitment
     WHERE carried_year IS NULL AND c.amount > 0)
@@ -67,7 +65,7 @@ def p_commitments(t):
 
 
 BALANCE = f""",
-net AS (SELECT tender, material, SUM(quantity - COALESCE(annulled_quantity, 0)) AS quantity,
+net AS (SELECT tender, material, {EXACT.format('quantity')} - {EXACT.format('COALESCE(annulled_quantity, 0)')} AS quantity,
     {EXACT.format('total')} - {EXACT.format('COALESCE(annulled_value, 0)')} AS value
     FROM purchase_order JOIN order_line ON order_id = number LEFT JOIN annulled USING (order_id, line)
     WHERE year < {YEAR} AND parent IS NULL AND tender IS NOT NULL GROUP BY 1, 2),
@@ -152,8 +150,8 @@ def p_vehicle_cost_centres(t):
 
 
 FUEL = VEHICLES + """,
-documents AS (SELECT CAST(1 AS BIGINT) AS company, event_id AS document, lpad(CAST(event_id AS VARCHAR), 6, '0') || '/24' AS doc,
-    lpad(CAST(event_id AS VARCHAR), 6, '0') AS serial, year(ts) AS year, store, centre, CAST(ts AS DATE) AS dated,
+documents AS (SELECT CAST(1 AS BIGINT) AS company, event_id AS document, """ + GROW.format('event_id', 6) + """ || '/24' AS doc,
+    """ + GROW.format('event_id', 6) + """ AS serial, year(ts) AS year, store, centre, CAST(ts AS DATE) AS dated,
     CAST(ts AS DATE) AS entered, CAST(ts AS DATE) AS paid, 'S' AS inbound, 'S' AS outbound, 'P' AS kind,
     CAST(NULL AS BIGINT) AS supplier, 'S' AS passes_through, user_id AS driver, value, plate
     FROM purchases JOIN vehicle v ON v.number = user_id JOIN centres USING (plate) WHERE year(ts) = 2024)

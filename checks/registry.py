@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.sources.reader import read_table
 
+#: SQL of a zero-padded number that keeps all digits of a longer one, of (number, width).
+GROW = "CASE WHEN length(CAST({0} AS VARCHAR)) > {1} THEN CAST({0} AS VARCHAR) ELSE lpad(CAST({0} AS VARCHAR), {1}, '0') END"
+#: SQL of a sum that does not depend on the order of addition.
+EXACT = "CAST(SUM(CAST({} AS DECIMAL(28,8))) AS DOUBLE)"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 

@@ -4,7 +4,7 @@ from functools import cached_property
 
 from checks.binding import ENTITIES, PARAMS, Entities
 from checks.operator_queries import MODALITY_VALUES, OUTSIDE_SQL
-from checks.registry import query
+from checks.registry import EXACT, GROW, query
 from ledgerlift.plans import tenders
 from ledgerlift.session import written
 
@@ -14,15 +14,15 @@ YY = "substr(CAST(year AS VARCHAR), 3, 2)"
 HEADERS = f""",
 modality_list(modality, modality_name, short_code, modality_code) AS (VALUES {MODALITY_VALUES}),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY process_number, number) AS n FROM tender),
-headers AS (SELECT number AS tender, lpad(CAST(n AS VARCHAR), 6, '0') || '/' || {YY} AS sequence,
-    lpad(CAST(process_number AS VARCHAR), 6, '0') || '/' || {YY} AS process, doc_number AS doc, year,
+headers AS (SELECT number AS tender, {GROW.format('n', 6)} || '/' || {YY} AS sequence,
+    {GROW.format('process_number', 6)} || '/' || {YY} AS process, doc_number AS doc, year,
     CAST(3 AS BIGINT) AS mode, CAST(1 AS BIGINT) AS new_rules, 'S' AS released,
     regexp_replace(substr(subject, 1, 512), '{OUTSIDE_SQL}', '', 'g') AS description,
     regexp_replace(subject, '{OUTSIDE_SQL}', '', 'g') AS detail, price_register, CAST(0 AS BIGINT) AS small_firms,
-    process_number, 'Menor Preco Unitario' AS criterion, dated, opened AS proposals_opened, substr(open_time, 1, 4) AS open_time,
-    substr(delivery_time, 1, 4) AS delivery_time, 'Outros' AS publication, approved, substr(office, 1, 100) AS office,
+    process_number, 'Menor Preco Unitario' AS criterion, dated, opened AS proposals_opened, substr(replace(open_time, ':', ''), 1, 4) AS open_time,
+    substr(replace(delivery_time, ':', ''), 1, 4) AS delivery_time, 'Outros' AS publication, approved, substr(office, 1, 100) AS office,
     external_code, short_code, COALESCE(x.name, modality_name) AS modality_name, CAST(modality_code AS BIGINT) AS modality_code,
-    published, closed, substr(close_time, 1, 4) AS close_time, amount, CAST(1 AS BIGINT) AS company
+    published, closed, substr(replace(close_time, ':', ''), 1, 4) AS close_time, amount, CAST(1 AS BIGINT) AS company
     FROM numbered JOIN modality_list USING (modality) LEFT JOIN modality_names x ON x.code = modality_code),
 register AS (SELECT *, row_number() OVER (ORDER BY modality_code, year, company) AS register FROM (
     SELECT modality_code, year, company, MAX(process_number) AS last_number FROM headers GROUP BY 1, 2, 3))
@@ -44,7 +44,7 @@ bids_rounds AS (SELECT r.tender, r.bidder, b.line, code, b.quantity, r.price AS
     FROM bid_round r JOIN last_round l USING (tender, bidder, material, round) JOIN best b USING (tender, material)
     JOIN item_codes USING (material)),
 bids_direct AS (SELECT o.tender, bidder, o.line, code, quantity, unit_price, total, 'C' AS status, CAST(1 AS BIGINT) AS won,
-    CAST(1 AS BIGINT) AS round FROM offers o JOIN tender t ON t.number = o.tender AND year >= {PARAMS.fiscal_year - 6}
+    CAST(1 AS BIGINT) AS round FROM offers o JOIN tender t ON t.number = o.tender AND year >= {PARAMS.fiscal_year - PARAMS.direct_bid_years}
     JOIN item_codes USING (material) WHERE lowest = 1
     AND NOT EXISTS (SELECT 1 FROM bid_round l WHERE l.tender = o.tender AND l.material = o.material)),
 bids AS (SELECT * FROM bids_rounds UNION ALL SELECT * FROM bids_direct),
@@ -58,9 +58,9 @@ AWARDS = BIDS + """,
 awarded AS (SELECT DISTINCT tender, line, bidder FROM rounds WHERE unit_price > 2000),
 joined AS (SELECT r.tender, r.line, r.bidder, d.code, r.unit_price, r.total,
     CASE WHEN r.unit_price <> 0 THEN CAST(round(CAST(r.total / r.unit_price AS DECIMAL(24,8)), 2) AS DOUBLE) ELSE 0 END AS quantity
-    FROM rounds r JOIN status s ON s.tender = r.tender AND s.line = r.line
+    FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tender, line, bidder ORDER BY unit_price, total) AS nr
+    FROM rounds) WHERE nr = 1) r JOIN status s ON s.tender = r.tender AND s.line = r.line
     JOIN items d ON d.tender = r.tender AND d.line = r.line JOIN headers h ON h.tender = r.tender
-    JOIN bids p ON p.tender = r.tender AND p.line = r.line AND p.bidder = r.bidder
     WHERE NOT EXISTS (SELECT 1 FROM awarded a WHERE a.tender = r.tender AND a.line = r.line AND a.bidder = r.bidder)),
 awards AS (SELECT tender, line, bidder, code, CAST(0 AS BIGINT) AS centre, quantity, unit_price, quantity * unit_price AS total,
     CAST(1 AS BIGINT) AS won, 'C' AS status, CAST(1 AS BIGINT) AS last_session, quantity AS amended_quantity,
@@ -80,22 +80,32 @@ class Chain:
     def headers(self):
         return tenders.tenders(self.e.tender, self.e.modality_names, PARAMS)["tenders"]
 
+    @cached_property
+    def header_keys(self):
+        return tenders.known_tenders(self.e.tender)
+
     @cached_property
     def offers(self):
         e = self.e
         return tenders.open_offers(e.tender_offer, e.catalog_item, e.tender_item, e.tender)
 
+    @cached_property
+    def landed_offers(self):
+        """For the chains that use offers twice."""
+        return written(self.offers, "offers")
+
     @cached_property
     def item_rows(self):
         return tenders.tender_items(tenders.best_offers(self.offers, self.e.tender_item_avg), self.e.item_codes)
 
     @cached_property
     def items(self):
-        return written(self.item_rows, "tender-items")
+        best = tenders.best_offers(self.landed_offers, self.e.tender_item_avg)
+        return written(tenders.tender_items(best, self.e.item_codes), "tender-items")
 
     @cached_property
     def status(self):
-        return tenders.item_status(self.items, self.headers, self.e.settled)
+        return tenders.item_status(self.items, self.header_keys, self.e.settled)
 
     @cached_property
     def bids_rounds(self):
@@ -108,7 +118,9 @@ class Chain:
 
     @cached_property
     def bids(self):
-        return written(self.bids_rounds.unionByName(self.bids_direct), "bids")
+        e = self.e
+        direct = tenders.bids_direct(self.landed_offers, e.tender, e.bid_round, e.item_codes, PARAMS)
+        return written(self.bids_rounds.unionByName(direct), "bids")
 
     @cached_property
     def rounds(self):
@@ -118,7 +130,7 @@ class Chain:
     def awards(self):
         awarded = self.rounds.filter("unit_price > 2000")
         return tenders.awards(
-            self.rounds, self.status, tenders.item_details(self.items), self.headers, self.bids, awarded
+            self.rounds, self.status, tenders.item_details(self.items), self.header_keys, self.bids, awarded
         )
 
 
@@ -284,8 +296,8 @@ def p_price_register_history(t):
 
 
 @query(
-    W + AWARDS + """, line_of AS (SELECT tender, material, MIN(line) AS line FROM items GROUP BY 1, 2),
-    extra AS (SELECT tender, line, added FROM (SELECT t.tender, material, SUM(quantity) AS added FROM request_line l
+    W + AWARDS + f""", line_of AS (SELECT tender, material, MIN(line) AS line FROM items GROUP BY 1, 2),
+    extra AS (SELECT tender, line, added FROM (SELECT t.tender, material, {EXACT.format('quantity')} AS added FROM request_line l
         JOIN request r ON r.number = l.request AND r.type = 2 JOIN request_tender t ON t.request = l.request GROUP BY 1, 2)
         JOIN line_of USING (tender, material)),
     price AS (SELECT tender, line, unit_price AS new_price FROM (SELECT *, row_number() OVER (PARTITION BY tender, material

@@ -56,12 +56,19 @@ REVALUATION = "REAVALIACAO"
 WRITE_OFF = "BAIXA"
 DISPOSAL_SALE = "ALIENACAO"
 
+# Widths of the target's text columns; longer text is cut.
+SUBJECT_WIDTH = 512
+OFFICE_WIDTH = 100
+BIDDER_WIDTH = 40
+QUOTE_BIDDER_WIDTH = 70
+UNIT_NAME_WIDTH = 60
+DRIVER_WIDTH = 50
+MODEL_WIDTH = 45
+
 # Catalog groups (group number, group kind) and their item kind;
 # every other group holds kind "P".
 ITEM_KINDS = [
-    (1000, "1", "P"),
     (2000, "1", "E"),
-    (1000, "2", "P"),
     (1000, "3", "S"),
     (1000, "4", "S"),
     (2000, "4", "S"),

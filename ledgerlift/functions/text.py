@@ -20,6 +20,11 @@ def pad_grow(number: Column, width: int) -> Column:
     return F.when(F.length(text) > width, text).otherwise(F.lpad(text, width, "0"))
 
 
+def after_first(number: Column) -> Column:
+    """All digits but the first."""
+    return F.substr(digits(number), F.lit(2))
+
+
 def pad_signed(number: Column, width: int) -> Column:
     """Zero-padded number behind the blank kept for its sign."""
     return F.concat(F.lit(" "), pad_grow(number, width))

@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 
 def exact_sum(amount: Column) -> Column:
-    """Sum of money that does not depend on the order of addition."""
-    return F.sum(amount.cast("decimal(18,2)")).cast("double")
+    """Sum of amounts or quantities that does not depend on the order of addition.
+
+    Eight places hold every place of the source, so nothing is rounded before it is added.
+    """
+    return F.sum(amount.cast("decimal(28,8)")).cast("double")
 
 
 def safe_ratio(amount: Column, divisor: Column) -> Column:

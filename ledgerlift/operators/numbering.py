@@ -5,7 +5,7 @@ Here rows are range-partitioned by the full sort order, which ends with a
 unique key, so no value can fill a partition; each partition numbers its own
 rows and is shifted by the rows before it.  The placed rows are written to the
 shared folder first, because range bounds come from a sample and every use must
-see the same placement.
+see the same placement; so these functions run jobs while the plan is built.
 """
 
 from collections.abc import Sequence
@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from ledgerlift.operators.picks import null_safe
 from ledgerlift.session import written
 
-HOT_GROUP_ROWS = 4_000_000
-
 
 def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Rows with the partition and position they have in the global sort order."""
@@ -49,36 +47,13 @@ def number_all(df: DataFrame, order: Sequence[Column], name: str, start: int = 0
     )
 
 
-def number_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    name: str,
-    hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
+def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Consecutive numbers from 1 within each key (NULL keys form one group).
 
-    Group sizes are counted first (key columns only, pre-aggregated).  Groups
-    up to ``hot_rows`` are numbered by one window; larger ones are range-split.
+    Rows are range-split by keys and order, so a group of any size spreads over partitions;
+    a count carried from the partitions before continues it.  The rows go through scratch, so
+    callers pass key and sort columns only and join the numbers back.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = sizes.filter(F.col("_n") > hot_rows).select(*keys)
-    if hot.isEmpty():
-        return _number_plain(df, keys, order, name)
-    hot = written(hot, "hot")
-    cold_rows = null_safe(df, hot, keys, "left_anti")
-    hot_rows_df = null_safe(df, hot, keys, "left_semi")
-    return _number_plain(cold_rows, keys, order, name).unionByName(
-        _number_split(hot_rows_df, keys, order, name)
-    )
-
-
-def _number_plain(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    spec = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(spec).cast("bigint"))
-
-
-def _number_split(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     placed = _placed(df, [*(F.col(k).asc() for k in keys), *order])
     local = placed.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_part", *keys).orderBy("_pos"))
@@ -92,7 +67,7 @@ def _number_split(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     carried = spans.withColumn("_carry", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     return (
         null_safe(local, F.broadcast(carried), ["_part", *keys], "left")
-        .withColumn(name, F.col("_local") + F.coalesce("_carry", F.lit(0)))
+        .withColumn(name, (F.col("_local") + F.coalesce("_carry", F.lit(0))).cast("bigint"))
         .drop("_part", "_pos", "_local", "_carry")
     )
 
@@ -102,12 +77,11 @@ def rank_within(
     keys: Sequence[str],
     order: Sequence[str],
     name: str,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Dense rank of the ``order`` columns (ascending) within each key."""
     columns = [*keys, *order]
     ranked = number_within(
-        df.select(*columns).distinct(), keys, [F.col(c).asc_nulls_last() for c in order], name, hot_rows
+        df.select(*columns).distinct(), keys, [F.col(c).asc_nulls_last() for c in order], name
     )
     return null_safe(df, ranked, columns, "inner")
 
@@ -135,13 +109,12 @@ def block_codes(
     keys: Sequence[str],
     order: Sequence[Column],
     block_size: int,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Item ``serial`` within ``block``: the first block holds 1 … size-1, later
     blocks 0 … size-1, so serial and block are remainder and quotient of the
     item's number in its group."""
     return (
-        number_within(df, keys, order, "_rn", hot_rows)
+        number_within(df, keys, order, "_rn")
         .withColumn("block", F.floor(F.col("_rn") / block_size).cast("bigint"))
         .withColumn("serial", F.col("_rn") % block_size)
         .drop("_rn")

@@ -55,10 +55,20 @@ def latest_value(df: DataFrame, keys: Sequence[str], value: str, order: Sequence
     return first_per_key(df, keys, order).select(*keys, value)
 
 
+def summed(df: DataFrame, keys: Sequence[str], *totals: Column) -> DataFrame:
+    """One row per key, for a join on the same keys.
+
+    Grouped by the keys and their hash, so that the groups are not placed by the keys alone: the
+    join then shuffles both sides itself, and adaptive execution may split a hot key of the other side.
+    """
+    return df.groupBy(*keys, F.xxhash64(*keys).alias("_placed")).agg(*totals).drop("_placed")
+
+
 def matching(df: DataFrame, other: DataFrame, on: dict[str, str], unique: bool = False) -> DataFrame:
     """Rows with a match in ``other``.
 
-    Its keys are made distinct before the shuffle, unless they are ``unique`` already.
+    Its keys are made distinct before the join, unless they are ``unique`` already, in a way
+    that leaves a hot key of ``df`` to be split (see :func:`summed`).
     """
     return df.join(*_keys_of(other, on, unique), "left_semi")
 
@@ -70,4 +80,7 @@ def unmatched(df: DataFrame, other: DataFrame, on: dict[str, str], unique: bool
 
 def _keys_of(other: DataFrame, on: dict[str, str], unique: bool) -> tuple[DataFrame, list[Column]]:
     keys = other.select(*(F.col(r).alias(f"_k_{l}") for l, r in on.items()))
-    return (keys if unique else keys.distinct()), [F.col(l) == F.col(f"_k_{l}") for l in on]
+    if not unique:
+        names = keys.columns
+        keys = summed(keys, names, F.lit(True).alias("_known")).select(*names)
+    return keys, [F.col(l) == F.col(f"_k_{l}") for l in on]

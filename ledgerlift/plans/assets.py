@@ -8,7 +8,7 @@ from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import merge_matched, set_where
 from ledgerlift.operators.numbering import continue_numbers, number_all
-from ledgerlift.operators.picks import first_per_key, matching, unmatched
+from ledgerlift.operators.picks import first_per_key, matching
 from ledgerlift.params import RunParams
 
 
@@ -52,7 +52,7 @@ def asset_kinds(asset_kind: DataFrame, params: RunParams) -> DataFrame:
 def departments(org_unit: DataFrame, params: RunParams) -> DataFrame:
     """Top-level units."""
     return org_unit.filter(F.col("parent").isNull()).select(
-        _company(params), F.col("number").alias("code"), X.clean(F.col("name"), 60).alias("name"),
+        _company(params), F.col("number").alias("code"), X.clean(F.col("name"), K.UNIT_NAME_WIDTH).alias("name"),
         V.hidden_flag(F.col("active")).alias("hidden"),
     )
 
@@ -62,7 +62,7 @@ def sectors(org_unit: DataFrame, asset_placement: DataFrame, params: RunParams)
     lower = matching(org_unit.filter(F.col("parent").isNotNull()), asset_placement, {"number": "unit"})
     return lower.select(
         F.col("number").alias("code"), _company(params), F.col("parent").alias("department"),
-        X.clean(F.col("name"), 60).alias("name"), V.hidden_flag(F.col("active")).alias("hidden"),
+        X.clean(F.col("name"), K.UNIT_NAME_WIDTH).alias("name"), V.hidden_flag(F.col("active")).alias("hidden"),
     )
 
 
@@ -77,11 +77,13 @@ def assets(
     An asset without placement stays; one that was only ever transferred goes.
     The latest valuation of each slot counts, the revalued slot first.
     """
-    acquired = asset_placement.filter(F.coalesce("movement", F.lit("A")) == "A")
-    first_place = first_per_key(acquired, ["asset"], [F.col("sequence").asc()]).select(
-        F.col("asset").alias("first_asset"), F.col("unit").alias("first_unit")
+    # One pass over the placements: first acquired place, current place, and whether it was ever acquired.
+    acquired = F.coalesce("movement", F.lit("A")) == "A"
+    places = asset_placement.groupBy(F.col("asset").alias("number")).agg(
+        F.min_by("unit", F.when(acquired, F.col("sequence"))).alias("first_unit"),
+        F.max_by("unit", "sequence").alias("current_unit"),
+        F.max(acquired).alias("acquired_once"),
     )
-    places = asset_placement.groupBy("asset").agg(F.max_by("unit", "sequence").alias("current_unit"))
     slot = F.coalesce("revalued", F.lit("N"))
     latest = first_per_key(
         asset_valuation.filter(slot.isin("N", "S")).withColumn("slot", slot),
@@ -94,14 +96,13 @@ def assets(
     )
     accounts = asset_kind.select(F.col("number").alias("asset_kind"), "account")
     placed = (
-        asset.join(places.withColumnRenamed("asset", "number"), "number", "left")
-        .join(first_place, F.col("first_asset") == F.col("number"), "left")
+        asset.join(places, "number", "left")
+        .filter(F.coalesce("acquired_once", F.lit(True)))
         .join(residual.withColumnRenamed("asset", "number"), "number", "left")
         .join(accounts, "asset_kind", "left")
     )
-    only_moved = unmatched(asset_placement.select("asset"), acquired, {"asset": "asset"})
-    kept = unmatched(placed, only_moved, {"number": "asset"})
-    numbered = number_all(kept, [F.col("number").asc()], "n")
+    # Only the key is numbered and goes through scratch.
+    numbered = placed.join(number_all(placed.select("number"), [F.col("number").asc()], "n"), "number")
     return numbered.select(
         F.col("number").alias("asset"),
         _company(params),
@@ -135,17 +136,35 @@ def assets(
     )
 
 
+def unreadable_writeoffs(asset: DataFrame) -> DataFrame:
+    """Reject frame: assets whose write-off mode is no number."""
+    unread = F.col("writeoff_mode").isNotNull() & X.parse_number(F.col("writeoff_mode")).isNull()
+    return asset.filter(unread).select(F.col("number").alias("asset"), "writeoff_mode")
+
+
 # ---- ledger ------------------------------------------------------------------------------
 
 
 def ledger(asset_placement: DataFrame, asset_valuation: DataFrame, depreciation: DataFrame, params: RunParams) -> DataFrame:
     """Acquisitions and transfers, depreciation and revaluations in date order.
 
-    A placement appears once per original valuation date of its asset.  A
-    transfer has no value; depreciation is negative.
+    See :func:`ledger_rows`; numbered by date.
+    """
+    rows = ledger_rows(asset_placement, asset_valuation, depreciation)
+    order = ("dated", "asset", "kind", "history", "value", "unit", "depreciation")
+    return number_all(rows, [F.col(c).asc_nulls_last() for c in order], "movement").select(
+        "movement", _company(params), *rows.columns, F.col("dated").alias("accounted"), F.col("movement").alias("sync_key")
+    )
+
+
+def ledger_rows(asset_placement: DataFrame, asset_valuation: DataFrame, depreciation: DataFrame) -> DataFrame:
+    """Movements without numbers.
+
+    An acquisition has the original value of its asset: that of the earliest original valuation, of
+    several on that day the highest.  A transfer has no value; depreciation is negative.
     """
-    originals = (
-        asset_valuation.filter("revalued = 'N'").groupBy("asset", "valued").agg(F.max("base_value").alias("base_value"))
+    originals = first_per_key(
+        asset_valuation.filter("revalued = 'N'"), ["asset"], [F.col("valued").asc_nulls_first(), F.col("base_value").desc_nulls_last()]
     ).select("asset", "base_value")
     moved = F.col("movement") == "T"
     placements = asset_placement.join(originals, "asset").select(
@@ -171,11 +190,7 @@ def ledger(asset_placement: DataFrame, asset_valuation: DataFrame, depreciation:
             F.lit("N").alias("depreciation"),
         )
     )
-    rows = placements.unionByName(worn).unionByName(revalued)
-    order = ("dated", "asset", "kind", "history", "value", "unit", "depreciation")
-    return number_all(rows, [F.col(c).asc_nulls_last() for c in order], "movement").select(
-        "movement", _company(params), *rows.columns, F.col("dated").alias("accounted"), F.col("movement").alias("sync_key")
-    )
+    return placements.unionByName(worn).unionByName(revalued)
 
 
 def balances(register: DataFrame, movements: DataFrame) -> DataFrame:

@@ -38,7 +38,8 @@ def groups(catalog_group: DataFrame, service_group: DataFrame) -> DataFrame:
 def subgroups(catalog_group: DataFrame, service_group: DataFrame, coded_groups: DataFrame) -> DataFrame:
     """Lower-level groups under their group; each service group gets subgroup ``001``.
 
-    A parent without a group code stops the run.
+    The subgroup is the number without its first digit, however long it is.  A parent without a group
+    code stops the run.
     """
     parents = catalog_group.select(F.col("kind").alias("parent_kind"), F.col("number").alias("parent_number"))
     lower = (
@@ -46,7 +47,7 @@ def subgroups(catalog_group: DataFrame, service_group: DataFrame, coded_groups:
         .join(parents, ["parent_kind", "parent_number"])
         .select(
             "parent_kind", "parent_number", "kind", "number", "name",
-            F.substring(X.digits(F.col("number")), 2, 3).alias("subgroup"),
+            X.after_first(F.col("number")).alias("subgroup"),
         )
         .distinct()
     )
@@ -111,12 +112,12 @@ def items(
         F.lit("C").alias("item_use"),
     )
     keys = ["kind", "number"]
-    coded = block_codes(
-        goods.unionByName(services), keys, [F.col("material").asc()], params.block_size, params.hot_group_rows
-    )
-    coded = written(coded, "coded-items")  # numbered once, used for new subgroups and for codes
+    both = goods.unionByName(services)
+    # Only keys are numbered and go through scratch; used for new subgroups and for codes.
+    numbers = written(block_codes(both.select(*keys, "material"), keys, [F.col("material").asc()], params.block_size), "item-codes")
+    coded = both.join(numbers, [*keys, "material"])
     top = highest(base_subgroups.select(F.col("subgroup").cast("bigint").alias("subgroup")), "subgroup")
-    opened = block_groups(coded, keys, top, "opened")
+    opened = block_groups(numbers, keys, top, "opened")
     placed = lookup(coded, base_subgroups, {k: k for k in keys}, ["group_code", "subgroup"], "fail")
     placed = placed.join(opened, [*keys, "block"], "left").withColumn(
         "subgroup", F.coalesce(X.pad_grow(F.col("opened"), 3), F.col("subgroup"))
@@ -140,7 +141,7 @@ def items(
 
 def destinations(store: DataFrame, params: RunParams) -> DataFrame:
     return store.select(
-        X.pad_cut(F.col("number"), 9).alias("code"),
+        X.pad_grow(F.col("number"), 9).alias("code"),
         X.clean(F.col("name")).alias("name"),
         F.lit(params.company).cast("bigint").alias("company"),
     )
@@ -160,13 +161,13 @@ def cost_centres(org_unit: DataFrame, stock_request: DataFrame, authority: DataF
     served = lookup(org_unit, store, {"number": "unit"}, ["store"], "null")
     centres = served.select(
         F.col("number").cast("bigint").alias("centre"),
-        X.clean(F.col("name"), 60).alias("name"),
+        X.clean(F.col("name"), K.UNIT_NAME_WIDTH).alias("name"),
         F.lit(K.DEFAULT_CENTRE).alias("sub_centre"),
         V.hidden_flag(F.col("active")).alias("hidden"),
         company.alias("company"),
         F.lit(authority_code).cast("string").alias("authority"),
         F.lit(body).cast("string").alias("body"),
-        F.coalesce(X.pad_cut(F.col("store"), 9), F.lit(K.DEFAULT_STORE)).alias("store"),
+        F.coalesce(X.pad_grow(F.col("store"), 9), F.lit(K.DEFAULT_STORE)).alias("store"),
     )
     sentinel = head.select(
         F.lit(0).cast("bigint").alias("centre"),

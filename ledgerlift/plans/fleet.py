@@ -13,7 +13,7 @@ from ledgerlift.params import RunParams
 
 
 def drivers(driver: DataFrame, person: DataFrame) -> DataFrame:
-    names = person.select(F.col("number").alias("person"), X.clean(F.col("name"), 50).alias("name"))
+    names = person.select(F.col("number").alias("person"), X.clean(F.col("name"), K.DRIVER_WIDTH).alias("name"))
     return driver.join(names, "person").select(
         F.col("person").alias("code"), "name", "licence", "licence_class", "licence_expires"
     )
@@ -43,7 +43,7 @@ def vehicles(vehicle: DataFrame, fuel_type: DataFrame) -> DataFrame:
     fuel = fuel_type.select(F.col("number").alias("fuel_type"), F.substring("name", 1, 1).alias("fuel"))
     return latest.join(fuel, "fuel_type", "left").select(
         X.clean(F.col("plate")).alias("plate"), F.col("number").alias("sequence"),
-        X.clean(F.col("name"), 45).alias("model"), "chassis", X.clean(F.col("colour")).alias("colour"), "built",
+        X.clean(F.col("name"), K.MODEL_WIDTH).alias("model"), "chassis", X.clean(F.col("colour")).alias("colour"), "built",
         "model_year", "registration", "acquired", "driver", "make", F.col("km").alias("initial_km"), "notes", "fuel",
         "sold", "licensed_until", "oil_change_km",
     )
@@ -81,8 +81,8 @@ def fuelling(
     company = F.lit(params.company).cast("bigint").alias("company")
     day = F.to_date("issued")
     documents = placed.select(
-        company, F.col("number").alias("document"), X.doc_number(F.col("number"), year, 6, X.pad_cut).alias("doc"),
-        X.pad_cut(F.col("number"), 6).alias("serial"), year.alias("year"), "store", "centre", day.alias("dated"),
+        company, F.col("number").alias("document"), X.doc_number(F.col("number"), year, 6).alias("doc"),
+        X.pad_grow(F.col("number"), 6).alias("serial"), year.alias("year"), "store", "centre", day.alias("dated"),
         day.alias("entered"), day.alias("paid"), F.lit("S").alias("inbound"), F.lit("S").alias("outbound"),
         F.lit("P").alias("kind"), "supplier", F.lit("S").alias("passes_through"), "driver", "km", "plate",
     )

@@ -1,21 +1,26 @@
 """Whole loads: every plan of a module in dependency order, into one target folder.
 
-Each target table is written once and read back by the plans that build on it,
-so no plan computes another plan's result again.
+Each source is read once and landed; each target table is written once and read back by the plans
+that build on it, so no plan computes another plan's result again.  Rows that do not make it lie in
+``rejected/``, the row counts of the load in ``reconciled``.
 """
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.operators.audit import reconcile
+from ledgerlift.operators.lookups import duplicate_keys
 from ledgerlift.params import RunParams
 from ledgerlift.plans import assets, catalog, fleet, orders, quotes, stock, tenders
+from ledgerlift.session import exists, scratch, written
 from ledgerlift.sources import writer
-from ledgerlift.sources.reader import conform
-from ledgerlift.sources.schema import contract
+from ledgerlift.sources.reader import cast_to, fits
+from ledgerlift.sources.schema import LOOKUP_KEYS, contract
+
+
+class DuplicateKeyError(ValueError):
+    """A table that plans look rows up in holds a key twice."""
 
 
 class Target:
@@ -24,6 +29,7 @@ class Target:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.counts: list[tuple[str, int, int, int]] = []
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -31,9 +37,34 @@ class Target:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def refresh(self, name: str, df: DataFrame) -> DataFrame:
+    def refresh(self, name: str, df: DataFrame, unique: Sequence[str] = ()) -> DataFrame:
+        """Replace the table; its ``unique`` keys, by which plans look rows up, may occur once."""
         writer.refresh(df, self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        back = self.spark.read.schema(df.schema).parquet(self.path(name))
+        if unique:
+            self.audit_keys(name, back, unique)
+        return back
+
+    def audit_keys(self, name: str, df: DataFrame, keys: Sequence[str]) -> None:
+        """Write keys held twice to ``rejected/duplicates/<name>`` and stop if there are any."""
+        audit = self.refresh(f"rejected/duplicates/{name}", duplicate_keys(df, keys))
+        if not audit.isEmpty():
+            raise DuplicateKeyError(f"{name}: {', '.join(keys)} not unique, see {self.path(f'rejected/duplicates/{name}')}")
+
+    def reject(self, name: str, df: DataFrame) -> int:
+        """Write rows that a plan leaves out to ``rejected/<name>``; their number."""
+        count = Observation()
+        writer.refresh(df.observe(count, F.count(F.lit(1)).alias("n")), self.path(f"rejected/{name}"))
+        return count.get["n"]
+
+    def note(self, entity: str, extracted: int, loaded: int, rejected: int) -> None:
+        self.counts.append((entity, extracted, loaded, rejected))
+
+    def reconcile(self, module: str) -> DataFrame:
+        """Write the noted counts and whether extracted = loaded + rejected."""
+        rows = self.spark.createDataFrame(self.counts, "entity string, extracted bigint, loaded bigint, rejected bigint")
+        self.counts = []
+        return self.refresh(f"reconciled/{module}", rows.withColumn("balanced", F.expr("extracted = loaded + rejected")))
 
     def refresh_slice(self, name: str, origin: str, df: DataFrame) -> DataFrame:
         """Replace the rows of one origin, also by none; the table keeps those of the others.
@@ -45,20 +76,31 @@ class Target:
 
     def append_absent(self, name: str, rows: Callable[[DataFrame], DataFrame], like: DataFrame) -> DataFrame:
         """Append what ``rows`` finds missing in the loaded table (``like`` before the first load)."""
-        try:
-            existing = self.read(name)
-        except AnalysisException:
-            existing = like.limit(0)
-        writer.append(rows(existing), self.path(name))
+        known = exists(self.spark, self.path(name))
+        writer.append(rows(self.read(name) if known else like.limit(0)), self.path(name))
         return self.read(name)
 
 
 def checked(sources: Mapping[str, DataFrame], target: Target) -> dict[str, DataFrame]:
-    """Sources cast to their contracts; rows that do not fit go to ``rejected/<entity>``."""
+    """Sources cast to their contracts; rows that do not fit go to ``rejected/<entity>``.
+
+    Each source is read once, to be landed with a flag under ``landed/<entity>``; good and rejected rows are read from there.
+    """
     good = {}
     for name, df in sources.items():
-        good[name], bad = conform(df, contract(name))
-        writer.refresh(bad, target.path(f"rejected/{name}"))
+        kind = contract(name)
+        flagged = df.withColumn("_fits", fits(df, kind))
+        counted = Observation()
+        writer.refresh(
+            flagged.observe(counted, F.count(F.lit(1)).alias("n"), F.count_if("_fits").alias("good")),
+            target.path(f"landed/{name}"), ["_fits"],
+        )
+        landed = target.spark.read.schema(flagged.schema).parquet(target.path(f"landed/{name}"))
+        good[name] = cast_to(landed.filter("_fits"), kind)
+        rejected = target.reject(name, landed.filter("NOT _fits").drop("_fits"))
+        target.note(name, counted.get["n"], counted.get["good"], rejected)
+        if name in LOOKUP_KEYS:
+            target.audit_keys(name, good[name], LOOKUP_KEYS[name])
     return good
 
 
@@ -67,9 +109,10 @@ def load_catalog(s: Mapping[str, DataFrame], target: Target, params: RunParams)
     groups = target.refresh("groups", catalog.groups(s["catalog_group"], s["service_group"]))
     base = target.refresh_slice("subgroups", "base", catalog.subgroups(s["catalog_group"], s["service_group"], groups))
     base = base.filter("origin = 'base'").drop("origin")
+    target.audit_keys("subgroups", base, ["group_code", "subgroup"])
     coded = catalog.items(s["catalog_item"], s["catalog_group"], s["service_item"], base, params)
     target.refresh_slice("subgroups", "opened", coded["opened_subgroups"])
-    target.refresh("items", coded["items"])
+    target.refresh("items", coded["items"], ["family", "material"])
     target.refresh("destinations", catalog.destinations(s["store"], params))
     centres = catalog.cost_centres(s["org_unit"], s["stock_request"], s["authority"], params)
     target.refresh_slice("cost_centres", "unit", centres.withColumn("plate", F.lit(None).cast("string")))
@@ -93,16 +136,16 @@ def load_quotes(s: Mapping[str, DataFrame], target: Target, params: RunParams) -
 def load_tenders(s: Mapping[str, DataFrame], target: Target, params: RunParams, on_amendment_miss: str = "fail") -> None:
     goods = item_codes(target, "1")
     loaded = tenders.tenders(s["tender"], s["modality_names"], params)
-    rejected = target.refresh("tenders_rejected", loaded["rejected"])
+    rejected = target.reject("tenders", loaded["rejected"])
     register = target.refresh("modality_register", tenders.modality_register(loaded["tenders"]))
-    headers = target.refresh("tenders", tenders.with_register(loaded["tenders"], register))
-    target.refresh("tenders_reconciled", reconcile("tenders", s["tender"], headers, rejected))
+    headers = target.refresh("tenders", tenders.with_register(loaded["tenders"], register), ["tender"])
+    target.note("tender headers", s["tender"].count(), headers.count(), rejected)
     target.append_absent("tender_sessions", lambda known: tenders.sessions(headers, known), headers)
     bidders = tenders.tender_bidders(s["tender_bidder"], s["person"], s["tender"])
     target.refresh("tender_bidders", bidders["bidders"])
     target.refresh("session_bidders", bidders["session_bidders"])
 
-    offers = tenders.open_offers(s["tender_offer"], s["catalog_item"], s["tender_item"], s["tender"])
+    offers = written(tenders.open_offers(s["tender_offer"], s["catalog_item"], s["tender_item"], s["tender"]), "offers")
     best = tenders.best_offers(offers, s["tender_item_avg"])
     items = target.refresh("tender_items", tenders.tender_items(best, goods))
     details = target.refresh("tender_item_details", tenders.item_details(items))
@@ -116,14 +159,16 @@ def load_tenders(s: Mapping[str, DataFrame], target: Target, params: RunParams,
             tenders.bids_direct(offers, s["tender"], s["bid_round"], goods, params)
         ),
     )
-    rounds = target.append_absent("winning_rounds", lambda known: tenders.winning_rounds(bids, known), bids)
-    target.append_absent("final_bids", lambda known: tenders.final_bids(bids, known), bids)
-    first = tenders.awards(rounds, status, details, headers, bids, bids.limit(0))
-    award = target.refresh("awards_signed", first)
-    empty = award.limit(0)
-    known = {name: empty for name in ("register_docs", "register_prices", "register_history")}
-    for name, df in tenders.price_register(headers, award, known).items():
-        target.refresh(name, df)
+    # Rounds and final bids follow the bids of this load; the price register keeps what it has.
+    rounds = target.refresh("winning_rounds", tenders.winning_rounds(bids, bids.limit(0)))
+    target.refresh("final_bids", tenders.final_bids(bids, bids.limit(0)))
+    target.reject("tied_rounds", tenders.tied_rounds(rounds))
+    award = target.refresh("awards_signed", tenders.awards(rounds, status, details, headers, bids, bids.limit(0)))
+    for name in ("register_docs", "register_prices", "register_history"):
+        target.append_absent(name, lambda known, n=name: tenders.price_register(headers, award, {n: known})[n], award)
+    if on_amendment_miss == "skip":
+        amended = [s[n] for n in ("request", "request_line", "request_tender", "price_adjustment")]
+        target.reject("amendments", tenders.amendment_rejects(items, *amended))
     target.refresh("awards", tenders.amendments(
         award, items, s["request"], s["request_line"], s["request_tender"], s["price_adjustment"], on_amendment_miss
     ))
@@ -139,9 +184,11 @@ def load_orders(s: Mapping[str, DataFrame], target: Target, params: RunParams) -
         "order_id": F.lit(None).cast("bigint"), "order_doc": F.lit(None).cast("string"),
     })
     target.refresh("commitments", orders.committed(blank, used))
-    balance = target.refresh("prior_balance", orders.prior_balance(
-        s["purchase_order"], s["order_line"], s["order_annulment"], target.read("tender_items"), goods, params
-    ))
+    net = written(orders.ordered_before(s["purchase_order"], s["order_line"], s["order_annulment"], goods, params), "ordered")
+    tender_items = target.read("tender_items")
+    balance = target.refresh("prior_balance", orders.placed_balance(net, tender_items, params))
+    unplaced = target.reject("prior_balance", orders.unplaced_balance(net, tender_items))
+    target.note("prior balance", net.count(), balance.count(), unplaced)
     target.refresh("register_balance", orders.register_balance(balance, register))
 
 
@@ -176,32 +223,39 @@ def load_stock(s: Mapping[str, DataFrame], target: Target, params: RunParams) ->
 
 
 def load_purchasing(sources: Mapping[str, DataFrame], target: Target, params: RunParams, **options) -> None:
-    s = checked(sources, target)
-    load_catalog(s, target, params)
-    load_quotes(s, target, params)
-    load_tenders(s, target, params, **options)
-    load_orders(s, target, params)
-    load_fleet(s, target, params)
-    load_stock(s, target, params)
+    with scratch(target.spark):
+        s = checked(sources, target)
+        load_catalog(s, target, params)
+        load_quotes(s, target, params)
+        load_tenders(s, target, params, **options)
+        load_orders(s, target, params)
+        load_fleet(s, target, params)
+        load_stock(s, target, params)
+        target.reconcile("purchasing")
 
 
 def load_assets(sources: Mapping[str, DataFrame], target: Target, params: RunParams) -> None:
-    s = checked(sources, target)
-    spark = target.spark
-    target.refresh("movement_kinds", assets.movement_kinds(spark))
-    target.refresh("adjustment_kinds", assets.adjustment_kinds(spark, params))
-    target.refresh("asset_groups", assets.asset_groups(spark, params))
-    target.refresh("writeoff_reasons", assets.writeoff_reasons(s["asset"], params))
-    target.refresh("conditions", assets.conditions(s["asset_condition"], params))
-    target.refresh("asset_kinds", assets.asset_kinds(s["asset_kind"], params))
-    target.refresh("departments", assets.departments(s["org_unit"], params))
-    target.refresh("sectors", assets.sectors(s["org_unit"], s["asset_placement"], params))
-    register = assets.assets(s["asset"], s["asset_placement"], s["asset_valuation"], s["asset_kind"], params)
-    moves = target.refresh_slice(
-        "asset_ledger", "movement", assets.ledger(s["asset_placement"], s["asset_valuation"], s["depreciation"], params)
-    ).filter("origin = 'movement'")
-    balanced = target.refresh("assets", assets.balances(register, moves))
-    target.refresh_slice("asset_ledger", "writeoff", assets.writeoffs(balanced, moves))
+    with scratch(target.spark):
+        s = checked(sources, target)
+        spark = target.spark
+        target.refresh("movement_kinds", assets.movement_kinds(spark))
+        target.refresh("adjustment_kinds", assets.adjustment_kinds(spark, params))
+        target.refresh("asset_groups", assets.asset_groups(spark, params))
+        target.refresh("writeoff_reasons", assets.writeoff_reasons(s["asset"], params))
+        target.refresh("conditions", assets.conditions(s["asset_condition"], params))
+        target.refresh("asset_kinds", assets.asset_kinds(s["asset_kind"], params))
+        target.refresh("departments", assets.departments(s["org_unit"], params))
+        target.refresh("sectors", assets.sectors(s["org_unit"], s["asset_placement"], params))
+        target.reject("writeoff_modes", assets.unreadable_writeoffs(s["asset"]))
+        register = assets.assets(s["asset"], s["asset_placement"], s["asset_valuation"], s["asset_kind"], params)
+        moves = target.refresh_slice(
+            "asset_ledger", "movement", assets.ledger(s["asset_placement"], s["asset_valuation"], s["depreciation"], params)
+        ).filter("origin = 'movement'")
+        balanced = target.refresh("assets", assets.balances(register, moves), ["asset"])
+        target.refresh_slice("asset_ledger", "writeoff", assets.writeoffs(balanced, moves))
+        only_moved = target.reject("assets", s["asset"].join(balanced, F.col("number") == F.col("asset"), "left_anti"))
+        target.note("asset register", s["asset"].count(), balanced.count(), only_moved)
+        target.reconcile("assets")
 
 
 def table_counts(target: Target, names: list[str]) -> DataFrame:

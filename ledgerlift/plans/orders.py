@@ -6,17 +6,17 @@ from pyspark.sql import functions as F
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import set_from, set_from_where, set_if_exists
-from ledgerlift.operators.lookups import lookup, unique_keys
+from ledgerlift.operators.lookups import lookup, misses, unique_keys
 from ledgerlift.operators.numbering import number_all
-from ledgerlift.operators.picks import matching
+from ledgerlift.operators.picks import matching, summed
 from ledgerlift.params import RunParams
-from ledgerlift.session import written
 
 
 def _annulled(order_annulment: DataFrame) -> DataFrame:
     """Annulments per order line; a line can be annulled more than once."""
-    return order_annulment.groupBy("order_id", "line").agg(
-        F.sum("quantity").alias("annulled_quantity"), V.exact_sum(F.col("value")).alias("annulled_value")
+    return summed(
+        order_annulment, ["order_id", "line"],
+        V.exact_sum(F.col("quantity")).alias("annulled_quantity"), V.exact_sum(F.col("value")).alias("annulled_value"),
     )
 
 
@@ -30,12 +30,14 @@ def order_headers(
     price-register tenders.
     """
     own = purchase_order.filter(F.col("year") == params.fiscal_year)
-    own = matching(own, order_line, {"number": "order_id"}).withColumn(
-        "issued_doc", X.doc_number(F.col("doc_number"), F.col("year"), 5)
-    )
-    numbered = number_all(own, [F.col("issued_doc").asc_nulls_last(), F.col("number").asc()], "n")
+    own = matching(own, order_line, {"number": "order_id"})
+    # Only the sort columns are numbered and go through scratch.
+    numbers = number_all(
+        own.select("number", "doc_number"), [F.col("doc_number").asc_nulls_last(), F.col("number").asc()], "n"
+    ).select("number", "n")
+    numbered = own.join(numbers, "number")
     doc = X.doc_number(F.col("n"), F.col("year"), 5)
-    contract = F.concat(X.pad_cut(F.col("contract_number"), 4), F.lit("/"), X.short_year(F.col("contract_year")))
+    contract = F.concat(X.pad_grow(F.col("contract_number"), 4), F.lit("/"), X.short_year(F.col("contract_year")))
     headers = numbered.select(
         F.col("number").alias("order_id"),
         doc.alias("doc"),
@@ -53,8 +55,8 @@ def order_headers(
         X.pad_signed(F.col("link_code"), 3).alias("link_code"),
         X.pad_grow(F.col("store"), 9).alias("store"),
     )
-    headers = written(headers, "order-headers")
-    issued = headers.select(F.col("order_id").alias("known_order_id"), F.col("doc").alias("known_doc"))
+    year = F.lit(params.fiscal_year)
+    issued = numbers.select(F.col("number").alias("known_order_id"), X.doc_number(F.col("n"), year, 5).alias("known_doc"))
     linked = set_from_where(
         headers, issued, {"parent_order": "known_order_id"}, "parent_doc", "known_doc", F.col("parent_order").isNotNull()
     )
@@ -95,34 +97,54 @@ def committed(commitment: DataFrame, order_commitment: DataFrame) -> DataFrame:
     return set_from(set_from(commitment, first, keys, "order_id", "order_id"), first, keys, "order_doc", "doc")
 
 
-def prior_balance(
-    purchase_order: DataFrame,
-    order_line: DataFrame,
-    order_annulment: DataFrame,
-    tender_items: DataFrame,
-    items: DataFrame,
-    params: RunParams,
+TENDER_LINE = {"tender": "tender", "code": "code"}
+
+
+def ordered_before(
+    purchase_order: DataFrame, order_line: DataFrame, order_annulment: DataFrame, items: DataFrame, params: RunParams
 ) -> DataFrame:
-    """Quantity and value ordered before the year per tender item, net of annulments.
+    """Quantity and value ordered before the year per tender and item code, net of annulments.
 
-    Annulments are summed per line first, so that a line annulled twice still
-    counts once.  A material that is no item of its tender is left out.
+    Annulments are summed per line first, so that a line annulled twice still counts once.
     """
     earlier = purchase_order.filter(
         (F.col("year") < params.fiscal_year) & F.col("parent").isNull() & F.col("tender").isNotNull()
     ).select(F.col("number").alias("order_id"), "tender")
     lines = order_line.join(earlier, "order_id").join(_annulled(order_annulment), ["order_id", "line"], "left")
     value = V.exact_sum(F.col("total")) - V.exact_sum(F.coalesce("annulled_value", F.lit(0.0)))
-    net = lines.groupBy("tender", "material").agg(
-        F.sum(F.col("quantity") - F.coalesce("annulled_quantity", F.lit(0.0))).alias("quantity"), value.alias("value")
-    )
-    coded = lookup(net, items, {"material": "material"}, ["code"], "fail")
-    lines_of = unique_keys(tender_items.select("tender", "code", "line"), ["tender", "code"], ["line"])
-    return lookup(coded, lines_of, {"tender": "tender", "code": "code"}, ["line"], "skip").select(
+    quantity = V.exact_sum(F.col("quantity")) - V.exact_sum(F.coalesce("annulled_quantity", F.lit(0.0)))
+    net = lines.groupBy("tender", "material").agg(quantity.alias("quantity"), value.alias("value"))
+    return lookup(net, items, {"material": "material"}, ["code"], "fail")
+
+
+def _tender_lines(tender_items: DataFrame) -> DataFrame:
+    return unique_keys(tender_items.select("tender", "code", "line"), ["tender", "code"], ["line"])
+
+
+def placed_balance(net: DataFrame, tender_items: DataFrame, params: RunParams) -> DataFrame:
+    """``net`` on the lines of its tenders; what is no item of its tender is left out (see :func:`unplaced_balance`)."""
+    return lookup(net, _tender_lines(tender_items), TENDER_LINE, ["line"], "skip").select(
         F.lit(params.fiscal_year - 1).cast("bigint").alias("year"), "tender", "line", "code", "quantity", "value"
     )
 
 
+def unplaced_balance(net: DataFrame, tender_items: DataFrame) -> DataFrame:
+    """Reject frame: rows of ``net`` whose code is no item of its tender."""
+    return misses(net, _tender_lines(tender_items), TENDER_LINE)
+
+
+def prior_balance(
+    purchase_order: DataFrame,
+    order_line: DataFrame,
+    order_annulment: DataFrame,
+    tender_items: DataFrame,
+    items: DataFrame,
+    params: RunParams,
+) -> DataFrame:
+    """Balance of earlier years per tender item."""
+    return placed_balance(ordered_before(purchase_order, order_line, order_annulment, items, params), tender_items, params)
+
+
 def register_balance(balance: DataFrame, price_register_tenders: DataFrame) -> DataFrame:
     """The balance rows of price-register tenders."""
     return matching(balance, price_register_tenders, {"tender": "tender"}, unique=True).select(

@@ -3,16 +3,17 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift import constants as K
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import merge_matched, set_from, set_where
 from ledgerlift.operators.lookups import lookup
-from ledgerlift.operators.picks import first_per_key, matching
+from ledgerlift.operators.picks import first_per_key, matching, summed
 from ledgerlift.params import RunParams
 
 
 def _of_year(quote: DataFrame, params: RunParams) -> DataFrame:
-    doc = X.doc_number(F.col("doc_number"), F.col("year"), 5, X.pad_cut)
+    doc = X.doc_number(F.col("doc_number"), F.col("year"), 5)
     return quote.filter(F.col("year") == params.fiscal_year).withColumn("doc", doc)
 
 
@@ -21,7 +22,7 @@ def quote_headers(quote: DataFrame, quote_line: DataFrame, params: RunParams) ->
     return matching(_of_year(quote, params), quote_line, {"number": "quote"}).select(
         F.col("number").alias("quote"),
         "doc",
-        X.pad_cut(F.col("doc_number"), 5).alias("serial"),
+        X.pad_grow(F.col("doc_number"), 5).alias("serial"),
         "year",
         "issued",
         X.clean(F.col("subject")).alias("description"),
@@ -39,17 +40,17 @@ def quote_lines(quote: DataFrame, quote_line: DataFrame, items: DataFrame, param
     lines = quote_line.select("quote", "line", "material", "brand", "quantity").join(
         _of_year(quote, params).select(F.col("number").alias("quote"), "doc"), "quote"
     )
-    summed = lines.groupBy("quote", "doc", "line", "material", "brand").agg(F.sum("quantity").alias("quantity"))
+    summed = lines.groupBy("quote", "doc", "line", "material", "brand").agg(V.exact_sum(F.col("quantity")).alias("quantity"))
     return lookup(summed, items, {"material": "material"}, ["code"], "fail").select(
         "quote", "doc", "line", "code", "quantity", F.lit(0.0).alias("value"), F.lit(0).cast("bigint").alias("centre")
     )
 
 
 def quote_bidders(quote: DataFrame, quote_line: DataFrame, person: DataFrame, params: RunParams) -> DataFrame:
-    """Each bidder of a quote once, with the name cut to 70 characters."""
+    """Each bidder of a quote once, with the name cut to the target column."""
     pairs = quote_line.select("quote", "bidder").distinct()
     named = pairs.join(
-        person.select(F.col("number").alias("bidder"), F.substring(F.trim("name"), 1, 70).alias("name")), "bidder"
+        person.select(F.col("number").alias("bidder"), F.substring(F.trim("name"), 1, K.QUOTE_BIDDER_WIDTH).alias("name")), "bidder"
     )
     return (
         named.join(_of_year(quote, params).select(F.col("number").alias("quote"), "doc"), "quote")
@@ -69,10 +70,8 @@ def quote_prices(quote: DataFrame, quote_line: DataFrame, params: RunParams) ->
     flagged = (
         matching(quote_line, docs, {"quote": "quote"})
         .filter("lowest = 1")
-        .groupBy(*own)
-        .agg(F.min("price").alias("won_price"))
-        .withColumn("winner", F.col("bidder"))
     )
+    flagged = summed(flagged, own, F.min("price").alias("won_price")).withColumn("winner", F.col("bidder"))
     return quote_line.join(docs, "quote").join(flagged, own, "left").select(
         "quote", "doc", "bidder", "line",
         F.col("price").alias("unit_price"),
@@ -84,7 +83,7 @@ def quote_prices(quote: DataFrame, quote_line: DataFrame, params: RunParams) ->
 
 def quote_totals(bidders: DataFrame, prices: DataFrame) -> DataFrame:
     """Bidders with the sum of their prices; NULL for a bidder without prices."""
-    totals = prices.groupBy("quote", "bidder").agg(V.exact_sum(F.col("total")).alias("sum_total"))
+    totals = summed(prices, ["quote", "bidder"], V.exact_sum(F.col("total")).alias("sum_total"))
     return set_from(bidders, totals, {"quote": "quote", "bidder": "bidder"}, "total", "sum_total")
 
 

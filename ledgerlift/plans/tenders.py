@@ -9,7 +9,7 @@ from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import absent_rows, merge_matched, set_from_where
 from ledgerlift.operators.lookups import lookup, misses, unique_keys
 from ledgerlift.operators.numbering import number_all, number_within
-from ledgerlift.operators.picks import best_with_ties, latest_value, matching, unmatched
+from ledgerlift.operators.picks import best_with_ties, first_per_key, latest_value, matching, summed, unmatched
 from ledgerlift.params import RunParams
 
 
@@ -21,6 +21,20 @@ def modality_list(spark) -> DataFrame:
     return spark.createDataFrame(K.MODALITIES, K.MODALITY_SCHEMA)
 
 
+MODALITY = {"modality": "modality"}
+
+
+def known_tenders(tender: DataFrame) -> DataFrame:
+    """The keys (``tender``) of tenders that get a header: those of a known modality."""
+    fixed = modality_list(tender.sparkSession)
+    return matching(tender, fixed, MODALITY, unique=True).select(F.col("number").alias("tender"))
+
+
+def clock(text) -> F.Column:
+    """``HHMM`` of a time of day, with or without colons."""
+    return F.substring(F.replace(text, F.lit(":"), F.lit("")), 1, 4)
+
+
 # ---- headers ---------------------------------------------------------------------
 
 
@@ -30,22 +44,23 @@ def tenders(tender: DataFrame, modality_names: DataFrame, params: RunParams) ->
     Tenders of an unknown modality go to the reject frame.  ``modality_names``
     holds the target's own name per modality code and wins over the fixed list.
     """
-    numbered = number_within(
-        tender, ["year"], [F.col("process_number").asc_nulls_last(), F.col("number").asc()], "n", params.hot_group_rows
-    )
+    # Only the sort columns are numbered and go through scratch.
+    numbers = number_within(
+        tender.select("number", "year", "process_number"), ["year"],
+        [F.col("process_number").asc_nulls_last(), F.col("number").asc()], "n",
+    ).select("number", "n")
     fixed = modality_list(tender.sparkSession)
-    on = {"modality": "modality"}
-    known = lookup(numbered, fixed, on, ["modality_name", "short_code", "modality_code"], "skip")
+    known = lookup(tender.join(numbers, "number"), fixed, MODALITY, ["modality_name", "short_code", "modality_code"], "skip")
     headers = known.select(
         F.col("number").alias("tender"),
-        X.doc_number(F.col("n"), F.col("year"), 6, X.pad_cut).alias("sequence"),
-        X.doc_number(F.col("process_number"), F.col("year"), 6, X.pad_cut).alias("process"),
+        X.doc_number(F.col("n"), F.col("year"), 6).alias("sequence"),
+        X.doc_number(F.col("process_number"), F.col("year"), 6).alias("process"),
         F.col("doc_number").alias("doc"),
         "year",
         _long(3).alias("mode"),
         _long(1).alias("new_rules"),
         F.lit("S").alias("released"),
-        X.clean(F.col("subject"), 512).alias("description"),
+        X.clean(F.col("subject"), K.SUBJECT_WIDTH).alias("description"),
         X.clean(F.col("subject")).alias("detail"),
         "price_register",
         _long(0).alias("small_firms"),
@@ -53,23 +68,23 @@ def tenders(tender: DataFrame, modality_names: DataFrame, params: RunParams) ->
         F.lit(K.UNIT_PRICE_CRITERION).alias("criterion"),
         "dated",
         F.col("opened").alias("proposals_opened"),
-        F.substring("open_time", 1, 4).alias("open_time"),
-        F.substring("delivery_time", 1, 4).alias("delivery_time"),
+        clock(F.col("open_time")).alias("open_time"),
+        clock(F.col("delivery_time")).alias("delivery_time"),
         F.lit(K.OTHER_PUBLICATION).alias("publication"),
         "approved",
-        F.substring("office", 1, 100).alias("office"),
+        F.substring("office", 1, K.OFFICE_WIDTH).alias("office"),
         "external_code",
         "short_code",
         "modality_name",
         F.col("modality_code").cast("bigint").alias("modality_code"),
         "published",
         "closed",
-        F.substring("close_time", 1, 4).alias("close_time"),
+        clock(F.col("close_time")).alias("close_time"),
         "amount",
         _long(params.company).alias("company"),
     )
     named = merge_matched(headers, modality_names, {"modality_code": "code"}, {"modality_name": "name"})
-    return {"tenders": named, "rejected": misses(tender, fixed, on)}
+    return {"tenders": named, "rejected": misses(tender, fixed, MODALITY)}
 
 
 def modality_register(headers: DataFrame) -> DataFrame:
@@ -101,14 +116,14 @@ def sessions(headers: DataFrame, existing: DataFrame) -> DataFrame:
 def tender_bidders(tender_bidder: DataFrame, person: DataFrame, tender: DataFrame) -> dict[str, DataFrame]:
     """Bidders of known tenders and their entry in the first session."""
     named = tender_bidder.join(
-        person.select(F.col("number").alias("bidder"), X.clean(F.col("name"), 40).alias("name")), "bidder"
+        person.select(F.col("number").alias("bidder"), X.clean(F.col("name"), K.BIDDER_WIDTH).alias("name")), "bidder"
     )
     rows = matching(named, tender, {"tender": "number"}, unique=True)
     return {
         "bidders": rows.select("tender", "bidder", "name", F.lit("A").alias("status")),
         "session_bidders": rows.select(
             _long(1).alias("session"), "tender", "bidder", F.lit("S").alias("enabled"), F.lit("A").alias("status"),
-            "tax_id", X.clean(F.col("representative"), 40).alias("representative"),
+            "tax_id", X.clean(F.col("representative"), K.BIDDER_WIDTH).alias("representative"),
         ),
     }
 
@@ -204,7 +219,7 @@ def bids_direct(offers: DataFrame, tender: DataFrame, bid_round: DataFrame, item
 
     ``items`` are the coded catalog items; an unknown material stops the run.
     """
-    recent = tender.filter(F.col("year") >= params.fiscal_year - 6)
+    recent = tender.filter(F.col("year") >= params.fiscal_year - params.direct_bid_years)
     won = matching(offers.filter("lowest = 1"), recent, {"tender": "number"}, unique=True)
     direct = unmatched(won, bid_round, {"tender": "tender", "material": "material"})
     return _bid(lookup(direct, items, {"material": "material"}, ["code"], "fail").select(
@@ -224,6 +239,17 @@ def _bid(rows: DataFrame) -> DataFrame:
 BID_KEYS = {"tender": "tender", "line": "line", "bidder": "bidder"}
 
 
+def one_round(rounds: DataFrame) -> DataFrame:
+    """Of tied winning rounds of a bidder on a line the one with the lowest price, then the lowest total."""
+    return first_per_key(rounds, list(BID_KEYS), [F.col("unit_price").asc_nulls_last(), F.col("total").asc_nulls_last()])
+
+
+def tied_rounds(rounds: DataFrame) -> DataFrame:
+    """Audit frame: keys with more than one winning round, and how many rounds they have."""
+    won = rounds.filter("won = 1 AND status = 'F'")
+    return won.groupBy(*BID_KEYS).agg(F.count("*").alias("rounds"), F.min("unit_price").alias("kept_price")).filter("rounds > 1")
+
+
 def winning_rounds(bids: DataFrame, existing: DataFrame) -> DataFrame:
     return absent_rows(bids.filter("won = 1"), existing, BID_KEYS).select(
         "session", _long(1).alias("round"), "bidder", "line", "unit_price", "total", F.lit("F").alias("status"), "won", "tender"
@@ -243,13 +269,18 @@ def final_bids(bids: DataFrame, existing: DataFrame) -> DataFrame:
 def awards(
     rounds: DataFrame, status: DataFrame, details: DataFrame, headers: DataFrame, bids: DataFrame, existing: DataFrame
 ) -> DataFrame:
-    """Awarded items: finished winning rounds with the quantity that follows from total and price."""
-    won = rounds.filter("won = 1 AND status = 'F'").select("tender", "line", "session", "bidder", "unit_price", "total")
+    """Awarded items: finished winning rounds with the quantity that follows from total and price.
+
+    A bidder wins a line once, see :func:`one_round`; the brand is that of one of its bids (the lowest).
+    """
+    won = one_round(rounds.filter("won = 1 AND status = 'F'")).select(
+        "tender", "line", "session", "bidder", "unit_price", "total"
+    )
     known = matching(won, status, {"tender": "tender", "line": "line", "session": "session"}, unique=True)
     known = matching(known, headers, {"tender": "tender"}, unique=True)
     detailed = known.join(
         details.select("tender", F.col("item").alias("line"), "code", "centre"), ["tender", "line"]
-    ).join(bids.select("tender", "line", "bidder", "brand"), ["tender", "line", "bidder"])
+    ).join(summed(bids, list(BID_KEYS), F.min("brand").alias("brand")), list(BID_KEYS))
     rows = absent_rows(detailed, existing, BID_KEYS)
     quantity = V.safe_ratio(F.col("total"), F.col("unit_price"))
     return rows.withColumn("quantity", quantity).select(
@@ -267,27 +298,67 @@ PRICE_KEYS = {k: k for k in ("tender", "bidder", "code", "centre", "line")}
 
 
 def price_register(headers: DataFrame, award: DataFrame, existing: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Documents, prices and history of the price register, valid one year after approval."""
+    """Documents, prices and history of the price register that ``existing`` lacks, valid one year after approval.
+
+    Made for the tables named in ``existing``.
+    """
     approved = headers.filter("price_register = 'S' AND approved IS NOT NULL").select(
         "tender", V.one_year_later(F.col("approved")).alias("valid_until")
     )
     rows = award.join(approved, "tender")
     version, last = _long(0).alias("version"), F.lit("S").alias("last")
     common = ["tender", "bidder", "code", "centre", "line", version, "quantity", "unit_price", "total", "won", "status"]
+    wanted = {
+        "register_docs": (approved.distinct(), {"tender": "tender"}, ["tender", version, "valid_until", last]),
+        "register_prices": (rows, PRICE_KEYS, [*common, "valid_until", F.lit(0.0).alias("delivered"), last]),
+        "register_history": (rows, PRICE_KEYS, [*common, "brand", last]),
+    }
     return {
-        "register_docs": absent_rows(approved.distinct(), existing["register_docs"], {"tender": "tender"}).select(
-            "tender", version, "valid_until", last
-        ),
-        "register_prices": absent_rows(rows, existing["register_prices"], PRICE_KEYS).select(
-            *common, "valid_until", F.lit(0.0).alias("delivered"), last
-        ),
-        "register_history": absent_rows(rows, existing["register_history"], PRICE_KEYS).select(*common, "brand", last),
+        name: absent_rows(found, existing[name], keys).select(*columns)
+        for name, (found, keys, columns) in wanted.items() if name in existing
     }
 
 
 # ---- amendments ----------------------------------------------------------------------------
 
 
+ITEM = {"tender": "tender", "material": "material"}
+
+
+def _lines_of(items: DataFrame) -> DataFrame:
+    return unique_keys(items.select("tender", "material", "line"), ["tender", "material"], ["line"])
+
+
+def amended_quantities(request: DataFrame, request_line: DataFrame, request_tender: DataFrame) -> DataFrame:
+    """Quantity added by amendment requests per tender and material."""
+    amended_requests = request.filter("type = 2").select(F.col("number").alias("request"))
+    return (
+        request_line.join(amended_requests, "request")
+        .join(request_tender, "request")
+        .groupBy("tender", "material")
+        .agg(F.coalesce(V.exact_sum(F.col("quantity")), F.lit(0.0)).alias("added"))
+    )
+
+
+def amended_prices(price_adjustment: DataFrame) -> DataFrame:
+    """The latest price per tender and material."""
+    return latest_value(
+        price_adjustment, ["tender", "material"], "unit_price",
+        [F.col("starts").desc_nulls_first(), F.col("unit_price").asc()],
+    ).withColumnRenamed("unit_price", "new_price")
+
+
+def amendment_rejects(
+    items: DataFrame, request: DataFrame, request_line: DataFrame, request_tender: DataFrame, price_adjustment: DataFrame
+) -> DataFrame:
+    """Reject frame: amendments of a (tender, material) that is no tender item."""
+    line_of = _lines_of(items)
+    quantities = misses(amended_quantities(request, request_line, request_tender), line_of, ITEM)
+    prices = misses(amended_prices(price_adjustment), line_of, ITEM)
+    return quantities.withColumn("new_price", F.lit(None).cast("double")).unionByName(
+        prices.withColumn("added", F.lit(None).cast("double")))
+
+
 def amendments(
     award: DataFrame,
     items: DataFrame,
@@ -303,22 +374,9 @@ def amendments(
     stops the run, or is left out with ``on_miss="skip"``.  A material under
     several items of a tender changes the lowest one.
     """
-    line_of = unique_keys(items.select("tender", "material", "line"), ["tender", "material"], ["line"])
-    on = {"tender": "tender", "material": "material"}
-
-    amended_requests = request.filter("type = 2").select(F.col("number").alias("request"))
-    extra = (
-        request_line.join(amended_requests, "request")
-        .join(request_tender, "request")
-        .groupBy("tender", "material")
-        .agg(F.coalesce(F.sum("quantity"), F.lit(0.0)).alias("added"))
-    )
-    extra = lookup(extra, line_of, on, ["line"], on_miss)
-    price = latest_value(
-        price_adjustment, ["tender", "material"], "unit_price",
-        [F.col("starts").desc_nulls_first(), F.col("unit_price").asc()],
-    ).withColumnRenamed("unit_price", "new_price")
-    price = lookup(price, line_of, on, ["line"], on_miss)
+    line_of = _lines_of(items)
+    extra = lookup(amended_quantities(request, request_line, request_tender), line_of, ITEM, ["line"], on_miss)
+    price = lookup(amended_prices(price_adjustment), line_of, ITEM, ["line"], on_miss)
 
     keys = {"tender": "tender", "line": "line"}
     base = award.withColumns({

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,21 +33,51 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; a local folder is set
-    only when neither that setting nor a checkpoint directory exists.
+    The cluster names it in ``spark.checkpoint.dir``.  A local folder is set only in local mode, where
+    neither that setting nor a checkpoint directory exists; on a cluster executors would not share it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return context.getCheckpointDir()
 
 
+_loads: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder; never reused."""
-    return f"{scratch_dir(spark).rstrip('/')}/ledgerlift/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/ledgerlift/{label}-{uuid.uuid4().hex}"
+    if _loads:
+        _loads[-1].append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are deleted at the end; frames that read them are used up by then."""
+    _loads.append([])
+    try:
+        yield
+    finally:
+        for path in _loads.pop():
+            files, place = _file_system(spark, path)
+            files.delete(place, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

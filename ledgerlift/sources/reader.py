@@ -1,6 +1,6 @@
 """Sources: parquet tables and relational tables, read against a contract."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,18 +54,30 @@ def empty_as_null(df: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame, contract: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Rows cast to the contract, and the rows that do not fit it.
+    """Rows cast to the contract, and the rows that do not fit it (see :func:`fits`)."""
+    ok = fits(df, contract)
+    return cast_to(df.filter(ok), contract), df.filter(~ok)
 
-    A missing column raises.  A row is rejected when a required value is NULL
-    or a value cannot be cast.
+
+def fits(df: DataFrame, contract: T.StructType) -> Column:
+    """Whether a row keeps every value when it is cast to the contract.
+
+    A missing column raises.  A row does not fit when a required value is NULL, a value cannot be
+    cast, or a number, date or time of day loses something: cast back, it must be what it was.
     """
     absent = [f.name for f in contract.fields if f.name not in df.columns]
     if absent:
         raise ContractError(f"missing columns: {', '.join(absent)}")
-    bad = F.lit(False)
+    ok = F.lit(True)
     for f in contract.fields:
-        value = F.col(f.name).try_cast(f.dataType)
-        lost = F.col(f.name).isNotNull() & value.isNull()
-        bad = bad | lost | (F.lit(False) if f.nullable else F.col(f.name).isNull())
-    good = df.filter(~bad).select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields))
-    return good, df.filter(bad)
+        value, own = F.col(f.name), df.schema[f.name].dataType
+        cast = value.try_cast(f.dataType)
+        kept = cast.isNotNull()
+        if own != f.dataType and not isinstance(own, T.StringType):
+            kept = kept & F.coalesce(cast.try_cast(own) == value, F.lit(False))
+        ok = ok & F.when(value.isNull(), F.lit(f.nullable)).otherwise(kept)
+    return ok
+
+
+def cast_to(df: DataFrame, contract: T.StructType) -> DataFrame:
+    return df.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields))

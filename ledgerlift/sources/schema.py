@@ -78,6 +78,12 @@ _DDL = {
 
 ENTITIES = tuple(_DDL)
 
+#: Keys by which plans look rows up in an entity; each may occur once.
+LOOKUP_KEYS = {
+    "person": ["number"], "holder": ["number"], "modality_names": ["code"], "tender": ["number"],
+    "tender_item_avg": ["tender", "material"], "commitment": ["number"], "asset_kind": ["number"], "fuel_type": ["number"],
+}
+
 
 @cache
 def contract(entity: str) -> T.StructType:

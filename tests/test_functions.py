@@ -1,10 +1,12 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
+from ledgerlift.plans import tenders
 
 
 def one(spark, column):
@@ -76,3 +78,27 @@ def test_exact_sum_does_not_depend_on_order(spark):
         for order in (values, values[::-1])
     }
     assert sums == {1.0}
+
+
+def test_sums_keep_four_places(spark):
+    rows = spark.range(1000).select(F.lit(0.004).alias("v"), F.lit(0.0001).alias("w"))
+    assert rows.agg(V.exact_sum(F.col("v")).alias("v"), V.exact_sum(F.col("w")).alias("w")).first()[:] == (4.0, 0.1)
+
+
+def test_long_numbers_stay_apart(spark):
+    rows = spark.range(999_990, 1_000_030).select(
+        X.doc_number(F.col("id"), F.lit(1998), 6).alias("doc"), X.pad_grow(F.col("id"), 5).alias("serial"),
+        X.after_first(F.col("id")).alias("subgroup"))
+    for c in ("doc", "serial", "subgroup"):
+        assert rows.select(c).distinct().count() == 40, c
+    assert one(spark, X.after_first(F.lit(1001))) == "001" and one(spark, X.after_first(F.lit(10011))) == "0011"
+
+
+@pytest.mark.parametrize("text", ["08:30", "0830", "08:30:15"])
+def test_clock_keeps_the_minutes(spark, text):
+    assert one(spark, tenders.clock(F.lit(text))) == "0830"
+
+
+def test_no_number_is_cut_in_plans():
+    for path in (Path(__file__).resolve().parent.parent / "ledgerlift" / "plans").glob("*.py"):
+        assert "pad_cut" not in path.read_text(), path.name

@@ -1,6 +1,7 @@
 """Whole loads on the smallest tables, and loading again."""
 
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from checks.binding import PARAMS, Entities
 from checks.registry import Tables
 from ledgerlift.plans import modules, stock
 from ledgerlift.session import scratch_path
+from ledgerlift.sources.reader import conform
 from ledgerlift.sources.schema import ENTITIES, contract
 
 ASSET_ENTITIES = ("asset", "asset_kind", "asset_condition", "asset_placement", "asset_valuation", "depreciation", "org_unit")
@@ -33,10 +35,13 @@ def purchasing(spark, folder):
 def test_every_source_row_is_loaded_or_rejected(spark, folder, purchasing):
     found = sources(spark, folder)
     for name in ("org_unit", "tender", "quote_line"):
-        good = modules.conform(found[name], contract(name))[0].count()
+        good = conform(found[name], contract(name))[0].count()
         assert good + purchasing.read(f"rejected/{name}").count() == found[name].count()
-    report = purchasing.read("tenders_reconciled").first()
-    assert report.balanced and report.extracted == found["tender"].count() and report.rejected > 0
+    report = {r.entity: r for r in purchasing.read("reconciled/purchasing").collect()}
+    assert all(r.balanced for r in report.values()) and set(found) <= set(report)
+    assert report["tender headers"].extracted == found["tender"].count() and report["tender headers"].rejected > 0
+    assert report["prior balance"].loaded == purchasing.read("prior_balance").count()
+    assert purchasing.read("rejected/amendments").columns == ["tender", "material", "added", "new_price"]
 
 
 def test_item_codes_are_unique(purchasing):
@@ -82,6 +87,65 @@ def test_loading_tenders_again_changes_nothing(spark, folder, purchasing):
     assert min(before.values()) > 0
 
 
+def test_changed_sources_replace_bids_and_extend_the_register(spark, folder):
+    """Prices double and half the tenders leave the price register; what was registered stays."""
+    target = modules.Target(spark, scratch_path(spark, "twice"))
+    s = modules.checked(sources(spark, folder), target)
+    modules.load_catalog(s, target, PARAMS)
+    modules.load_tenders(s, target, PARAMS, on_amendment_miss="skip")
+    first = {n: target.read(n).count() for n in ("register_docs", "register_prices", "register_history")}
+    s["bid_round"] = s["bid_round"].withColumn("price", F.col("price") * 2)
+    s["tender_offer"] = s["tender_offer"].withColumns({c: F.col(c) * 2 for c in ("unit_price", "total")})
+    half = F.when(F.col("number") % 2 == 0, "N").otherwise(F.col("price_register"))
+    s["tender"] = s["tender"].withColumn("price_register", half)
+    modules.load_tenders(s, target, PARAMS, on_amendment_miss="skip")
+
+    def total(name, where="true"):
+        return target.read(name).filter(where).agg(F.sum(F.col("total").cast("decimal(38,6)"))).first()[0]
+
+    assert total("final_bids") == total("bids")
+    assert total("winning_rounds") == total("bids", "won = 1")
+    assert {n: target.read(n).count() for n in first} == first
+    for name in ("register_prices", "register_history"):
+        assert target.read(name).groupBy("tender", "bidder", "code", "centre", "line").count().filter("count > 1").isEmpty()
+
+
+def test_awards_have_one_row_per_bidder_and_line(purchasing):
+    award = purchasing.read("awards")
+    assert award.count() == award.select("tender", "line", "bidder").distinct().count()
+
+
+def test_a_key_held_twice_stops_the_load(spark, folder):
+    target = modules.Target(spark, scratch_path(spark, "double"))
+    e = sources(spark, folder)
+    with pytest.raises(modules.DuplicateKeyError, match="person"):
+        modules.checked({"person": e["person"].union(e["person"].limit(1))}, target)
+    assert target.read("rejected/duplicates/person").count() == 1
+
+
+def test_each_source_is_read_once_and_scratch_is_empty_afterwards(spark, folder, tmp_path):
+    target = modules.Target(spark, str(tmp_path / "target"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    found = {n: df for n, df in sources(spark, folder).items() if n in ASSET_ENTITIES}
+    rows_of = found["asset_placement"].count()
+    found["asset_placement"] = found["asset_placement"].mapInArrow(counted, found["asset_placement"].schema)
+    before = _scratch(spark)
+    modules.load_assets(found, target, PARAMS)
+    assert read.value == rows_of
+    assert _scratch(spark) == before
+
+
+def _scratch(spark):
+    place = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    return {p.name for p in place.iterdir()} if place.exists() else set()
+
+
 def test_assets_module(spark, folder, rows):
     target = modules.Target(spark, scratch_path(spark, "assets"))
     found = sources(spark, folder)
@@ -89,6 +153,10 @@ def test_assets_module(spark, folder, rows):
         modules.load_assets({n: found[n] for n in ASSET_ENTITIES}, target, PARAMS)
     ledger, register = target.read("asset_ledger"), target.read("assets")
     assert ledger.select("movement").distinct().count() == ledger.count()
+    moves = ledger.filter("kind <> 'B' AND depreciation = 'N' AND history <> 'REAVALIACAO'")
+    assert moves.count() <= found["asset_placement"].count()  # a placement moves once
+    report = {r.entity: r for r in target.read("reconciled/assets").collect()}
+    assert all(r.balanced for r in report.values())
     closed = register.filter("closed IS NOT NULL").count()
     assert ledger.filter("kind = 'B'").count() == closed > 0
     assert rows(target.read("movement_kinds"), "kind") == [("A",), ("B",), ("P",), ("R",), ("T",)]

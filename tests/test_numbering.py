@@ -1,6 +1,5 @@
 from datetime import date
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -28,13 +27,12 @@ def test_number_all_equals_plain_window(spark, folder):
     assert differing(N.number_all(df, order, "n", start=7).select(plain.columns), plain) == 0
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1500, 10**6])
-def test_number_within_equals_plain_window_for_any_hot_limit(spark, folder, hot_rows):
+def test_number_within_equals_plain_window(spark, folder):
     df, order = lines(spark, folder)
     # one key holds two thirds of the rows, one is NULL
     df = df.withColumn("k", F.when(F.col("l_returnflag") == "N", None).when(F.col("l_suppkey") < 9, F.lit(1)).otherwise(F.col("l_suppkey")))
     plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("bigint"))
-    found = N.number_within(df, ["k"], order, "n", hot_rows)
+    found = N.number_within(df, ["k"], order, "n")
     assert found.count() == df.count()
     assert differing(found.select(plain.columns), plain) == 0
 
@@ -43,7 +41,7 @@ def test_split_numbering_carries_over_many_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.range(5000).select(F.when(F.col("id") < 4900, 1).otherwise(2).alias("k"), (5000 - F.col("id")).alias("v"))
-        found = N.number_within(df, ["k"], [F.col("v").asc()], "n", hot_rows=50)
+        found = N.number_within(df, ["k"], [F.col("v").asc()], "n")
         plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v")).cast("bigint"))
         assert differing(found.select(plain.columns), plain) == 0
     finally:

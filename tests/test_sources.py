@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from checks.binding import Entities
 from checks.registry import Tables
+from ledgerlift.plans import modules
 from ledgerlift.session import scratch_dir, scratch_path, written
 from ledgerlift.sources import reader, writer
 from ledgerlift.sources.schema import ENTITIES, contract
@@ -18,6 +19,22 @@ def test_contract_splits_good_and_bad_rows(spark, rows):
         reader.conform(df, T.StructType.fromDDL("other int"))
 
 
+def test_contract_rejects_what_a_cast_would_change(spark, rows):
+    df = spark.sql("""SELECT * FROM VALUES
+        (1, 1.0D, 12.34D, TIMESTAMP'2024-01-02 00:00:00'), (2, 1.7D, 1D, NULL), (3, 2D, 12.345D, NULL),
+        (4, 2D, 1D, TIMESTAMP'2024-01-02 10:30:00'), (5, NULL, NULL, NULL) AS t(nr, whole, money, day)""")
+    good, bad = reader.conform(df, T.StructType.fromDDL("nr int NOT NULL, whole bigint, money decimal(18,2), day date"))
+    assert rows(good, "nr") == [(1,), (5,)] and rows(bad, "nr") == [(2,), (3,), (4,)]
+
+
+def test_rejected_rows_are_written(spark, rows, tmp_path):
+    kind = "number double, name string"
+    df = spark.createDataFrame([(1.0, "a"), (1.7, "b"), (None, "c")], kind)
+    target = modules.Target(spark, str(tmp_path))
+    assert rows(modules.checked({"store": df}, target)["store"]) == [(1, "a")]
+    assert rows(target.read("rejected/store"), "name") == [("b",), ("c",)]
+
+
 def test_bound_entities_fit_their_contracts(spark, folder):
     e = Entities(Tables(spark, folder))
     for name in set(ENTITIES) - {"vehicle_make"}:
@@ -61,6 +78,21 @@ def test_scratch_folder_follows_the_cluster_setting(spark):
     assert scratch_path(Cluster(), "x").startswith("hdfs://shared/run/ledgerlift/x-")
 
 
+@pytest.mark.parametrize("master", ["yarn", "k8s://x", "spark://x", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_shared_folder_is_an_error(master):
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Cluster:
+        conf = {}
+        sparkContext = Context()
+
+    Context.master = master
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Cluster())
+
+
 def test_written_cuts_lineage(spark):
     df = written(spark.range(10).withColumn("v", F.col("id") * 2), "cut")
     plan = df._jdf.queryExecution().analyzed().toString()
