@@ -7,8 +7,8 @@ Set-relation skipping, as Spark jobs:
   a shingle among the first ``n - ceil(t n) + 1`` of each; these go into index lists by shingle.
 * A list is sorted by blocks of set size and, within a block, by the shingle's position in the set.
   Sizes that cannot fit are skipped as blocks, and a block is left at the first position from which
-  too few shingles remain.  What is left is compared by parity bitmaps, whose distance never exceeds
-  the sets' difference.
+  too few shingles remain.  What is left is compared by parity bitmaps as long as the sets, whose
+  distance never exceeds the sets' difference.
 * First every set meets its nearest partner in each list only.  Sets that prove similar share a
   component, and with it all answers to the question what they reach; only partners in other
   components are looked at in the second pass.  There a set's overlap with a partner is derived from
@@ -29,8 +29,6 @@ from ledgerlift.llm.common import among, components
 from ledgerlift.llm.words import batch_shingles, mix
 from ledgerlift.session import written
 
-#: Words of a parity bitmap, 64 bits each.
-BITMAP_WORDS = 4
 #: A shingle is frequent if tasks have met it again so often; so many, the most frequent ones, are broadcast at most.
 FREQUENT, MOST_FREQUENT = 64, 500_000
 
@@ -50,8 +48,12 @@ def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """A bit for each of 64 * BITMAP_WORDS hash values, set if an odd number of shingles has it."""
-    counts = np.bincount((mix(hashes) & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64), minlength=64 * BITMAP_WORDS)
+    """A bit for each of b hash values, set if an odd number of shingles has it; b is the power of two at or below the set's size, 128 at least.
+
+    Two bitmaps differ in at most as many bits as the sets in shingles.  The longer of two is folded to the shorter's length.
+    """
+    bits = max(128, 1 << (len(hashes).bit_length() - 1)) if len(hashes) else 128
+    counts = np.bincount((mix(hashes) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1).tobytes()
 
 
@@ -199,64 +201,93 @@ def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield _postings(out[:, 0], out[:, 1], out[:, 2], out[:, 3])
 
 
+class _Rows:
+    """Rows (token, id, size, pos, group) of sorted lists with their bitmaps, end to end in 64-bit words."""
+
+    def __init__(self, table: np.ndarray, words: np.ndarray, lengths: np.ndarray):
+        self.table, self.words, self.lengths = table, words, lengths
+        self.starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> "_Rows":
+        table = np.column_stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)])
+        maps = batch.column(5).to_pylist()
+        return cls(table, np.frombuffer(b"".join(maps), np.uint64), np.fromiter(map(len, maps), np.int64, len(maps)) // 8)
+
+    def after(self, other: "_Rows | None") -> "_Rows":
+        if other is None:
+            return self
+        return _Rows(np.concatenate([other.table, self.table]), np.concatenate([other.words, self.words]),
+                     np.concatenate([other.lengths, self.lengths]))
+
+    def part(self, rows: np.ndarray) -> "_Rows":
+        at = np.repeat(self.starts[rows], self.lengths[rows])
+        within = np.arange(len(at)) - np.repeat(np.cumsum(self.lengths[rows]) - self.lengths[rows], self.lengths[rows])
+        return _Rows(self.table[rows], self.words[at + within], self.lengths[rows])
+
+    def maps(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """Bitmaps of rows of equal length, folded to ``width`` words."""
+        found = self.words[self.starts[rows][:, None] + np.arange(self.lengths[rows[0]])]
+        while found.shape[1] > width:
+            half = found.shape[1] // 2
+            found = found[:, :half] ^ found[:, half:]
+        return found
+
+    def distances(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Bits in which the bitmaps differ, pair by pair."""
+        out = np.zeros(len(a), np.int64)
+        kinds, kind = np.unique(np.column_stack([self.lengths[a], self.lengths[b]]), axis=0, return_inverse=True)
+        for k, (la, lb) in enumerate(kinds.tolist()):
+            width = min(la, lb)
+            rows = np.flatnonzero(kind.ravel() == k)
+            step = max(1, (1 << 20) // max(la, lb))
+            for i in range(0, len(rows), step):
+                some = rows[i:i + step]
+                out[some] = np.bitwise_count(self.maps(a[some], width) ^ self.maps(b[some], width)).sum(1)
+        return out
+
+
 def _candidates(percent: int, nearest: bool):
-    """Pairs of each list that pass the block, position and bitmap filters; ``nearest``: for each set only the partner before it.
+    """Pairs of each list that pass the block, position and bitmap filters; ``nearest``: for each set only the closest partner before it.
 
-    Rows come by list, size and position.  Of a list, the sets that may still find partners are kept: sizes within the
-    threshold of the present one.  A partner of the same group is skipped.
+    Rows come by list, size and position.  All rows of a batch look one place back, then two, and so on; a row stops at
+    the first row of another list or of a block of too small sets.  Of the last list the rows that may still find
+    partners are kept for the next batch.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: np.ndarray | None = None
-        held_maps: np.ndarray | None = None
+        held: _Rows | None = None
         for batch in batches:
-            rows = np.column_stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)])  # token, id, size, pos, group
-            maps = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
-            if held is not None:
-                rows, maps = np.concatenate([held, rows]), np.concatenate([held_maps, maps])
-            done = 0 if held is None else len(held)
-            heads = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
-            ends = np.append(heads[1:], len(rows))
+            rows = _Rows.of(batch).after(held)
+            first = 0 if held is None else len(held.table)
+            token, ids, size, pos, group = rows.table.T
+            lowest, rest = least_share(size, percent), size - pos
+            active, back = np.arange(max(first, 1), len(size)), 0
             left, right = [], []
-            for a, b in zip(heads.tolist(), ends.tolist()):
-                if b - a > 1 and b > done:
-                    for l, r in _list_pairs(rows[a:b], maps[a:b], max(done - a, 0), percent, nearest):
-                        left.append(l)
-                        right.append(r)
-                        if len(left) >= 2000:
-                            yield _pairs(left, right)
-                            left, right = [], []
+            while len(active):
+                back += 1
+                active = active[active >= back]
+                other = active - back
+                here = (token[other] == token[active]) & (size[other] >= lowest[active])
+                active, other = active[here], other[here]
+                need = needed(size[other], size[active], percent)
+                good = (rest[other] >= need) & (rest[active] >= need) & (group[other] != group[active]) & (ids[other] != ids[active])
+                a, b = active[good], other[good]
+                near = rows.distances(a, b) <= size[a] + size[b] - 2 * need[good]
+                left.append(ids[a[near]])
+                right.append(ids[b[near]])
+                if nearest:
+                    active = active[~np.isin(active, a[near])]
+                if sum(map(len, left)) > 100_000:
+                    yield _pairs(left, right)
+                    left, right = [], []
             if left:
                 yield _pairs(left, right)
-            last = slice(heads[-1], len(rows))
-            still = rows[last][:, 2] >= least_share(rows[-1, 2], percent)
-            held, held_maps = rows[last][still], maps[last][still]
+            held = rows.part(np.flatnonzero((token == token[-1]) & (size >= lowest[-1]))) if len(size) else held
 
     return run
 
 
-def _list_pairs(rows: np.ndarray, maps: np.ndarray, new: int, percent: int, nearest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of the list's rows from ``new`` on with earlier rows."""
-    ids, sizes, positions, groups = rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4]
-    lowest = np.searchsorted(sizes, least_share(sizes, percent))  # blocks of sets that are too small are skipped
-    for i in range(max(new, 1), len(rows)):
-        a = int(lowest[i])
-        if a >= i:
-            continue
-        size, rest = sizes[i], sizes[i] - positions[i]
-        need = needed(sizes[a:i], size, percent)
-        # In a block of one size rows go by position: those past the last that leaves enough are one skip.
-        good = (sizes[a:i] - positions[a:i] >= need) & (rest >= need) & (groups[a:i] != groups[i]) & (ids[a:i] != ids[i])
-        at = np.flatnonzero(good)
-        if not len(at):
-            continue
-        distance = np.bitwise_count(maps[a:i][at] ^ maps[i]).sum(1)
-        at = at[distance <= sizes[a:i][at] + size - 2 * need[at]]
-        if len(at):
-            at = at[-1:] if nearest else at
-            yield np.full(len(at), ids[i]), ids[a:i][at]
-
-
 def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
     x, y = np.concatenate(left), np.concatenate(right)
     pairs = np.unique(np.column_stack([np.minimum(x, y), np.maximum(x, y)]), axis=0)
