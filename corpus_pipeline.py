@@ -9,7 +9,7 @@ where they are one document and all but one row of it go.
 """
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift.llm import jaccard_join, lang_id, packing, toxicity
@@ -22,8 +22,9 @@ CAPACITY = 2048
 WORDS, PERCENT = 5, 80
 
 
-def _documents(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", "lang", "source", "n_chars")
+def _rows(docs: DataFrame) -> DataFrame:
+    """The whole row in one column beside id and text, so that no added column can clash with its own."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,38 +33,32 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Learned from the documents' own ``lang``; a null or empty text is rejected.
     """
     ship(spark)
-    docs = _documents(docs)
-    model = lang_id.train(lang_id.training_rows(docs))
-    judged = lang_id.predict(docs, model, keep=("doc_id", "text", "lang", "source", "n_chars"))
-    return _documents(judged.filter((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)))
+    judged = lang_id.predict(_rows(docs), lang_id.train(lang_id.training_rows(docs)), keep=("row",))
+    return judged.filter((F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
 
 
 def toxicity_grades(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that are more likely toxic, of any grade, than not; learned from ``labels``."""
     ship(spark)
-    docs = _documents(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     sample = toxicity.labelled_sample(docs.select("doc_id", "text"), labels, "toxic", toxicity.SAMPLE)
-    judged = toxicity.grade(docs, toxicity.fit(sample), keep=("doc_id", "text", "lang", "source", "n_chars"))
-    return _documents(judged.filter("predicted = 0"))
+    return toxicity.grade(_rows(docs), toxicity.fit(sample), keep=("row",)).filter("predicted = 0").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of near duplicates the document with the smallest id.
 
     Near duplicates: Jaccard similarity of five-word shingles of 0.8 or more, directly or by a chain.  Documents without
-    words are no one's duplicates; rows without an id are kept.
+    words are no one's duplicates; rows without an id are kept.  Of repeated rows of a kept id the first by text stays.
     """
     ship(spark)
-    docs = _documents(docs)
     found = jaccard_join.join_classes(docs.filter("doc_id IS NOT NULL"), WORDS, PERCENT)
     gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
     kept = without(docs, gone, "doc_id")
     many = written(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "many")
-    # Repeated rows of a kept id: the first by text stays.
-    repeated = among(kept, many, "doc_id").withColumn("nr", F.row_number().over(
-        Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))).filter("nr = 1").drop("nr")
-    return _documents(without(kept, many, "doc_id").unionByName(repeated))
+    first = among(kept, many, "doc_id").groupBy("doc_id").agg(F.min_by(
+        F.struct(*docs.columns), F.struct("text", F.to_json(F.struct(*docs.columns)))).alias("row")).select("row.*")
+    return without(kept, many, "doc_id").unionByName(first)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

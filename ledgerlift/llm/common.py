@@ -4,8 +4,10 @@ import io
 import os
 import sys
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +44,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def fold(column: str, parts: int) -> F.Column:
-    """crc32 of the id's text modulo ``parts``."""
-    return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+    """crc32 of the id's text (empty for a null id) modulo ``parts``."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
 
 
 def _checked(ids: DataFrame) -> DataFrame:
@@ -62,24 +64,55 @@ def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return df.join(_checked(ids), column, "left_anti")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+#: Edges that one task reduces to a forest.
+FOREST_EDGES = 2_000_000
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The task's edges as stars: each node with the smallest it is connected to."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    a, b = table.column("a").to_numpy(), table.column("b").to_numpy()
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = ends[:len(a)], ends[len(a):]
+    label = np.arange(len(nodes))  # nodes are sorted, so the smallest place is the smallest id
+    while True:
+        least = np.minimum(label[left], label[right])
+        following = label.copy()
+        # Hook the roots of both ends to the smaller root, then jump.
+        np.minimum.at(following, label[left], least)
+        np.minimum.at(following, label[right], least)
+        while (jumped := following[following] != following).any():
+            following = np.where(jumped, following[following], following)
+        if (following == label).all():
+            break
+        label = following
+    linked = np.flatnonzero(label != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[label[linked]])], names=["a", "b"])
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour, and none that has a smaller one itself."""
+    twice = edges.groupBy("a").count().filter("count > 1")
+    chained = edges.select("a").join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a", F.lit(2).alias("count"))
+    return twice.select("a", "count").union(chained).isEmpty()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``node`` and ``component`` (smallest id reachable) of every id in ``edges`` (a, b).
+    """``node`` and ``component`` (smallest id reachable) of every id in ``edges`` (a, b) that has a neighbour.
 
-    Alternating large-star and small-star steps (Kiveris et al. 2014) on written tables.  Each step
-    is an aggregation and a join, so that the edges of a node with many neighbours may be split.
+    Tasks first reduce their edges to forests.  Then alternating large-star and small-star steps (Kiveris et al.
+    2014) on written tables, until only stars are left.  Each step is an aggregation and a join, so that the edges
+    of a node with many neighbours may be split.
     """
-    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                  .filter("a <> b").distinct(), "edges")
-    before = None
+    found = written(edges.filter("a <> b").select("a", "b"), "links")
+    tasks = max(1, found.count() // FOREST_EDGES)
+    now = written(found.coalesce(tasks).mapInArrow(_forest, "a bigint, b bigint").distinct(), "edges")
     for _ in range(max_rounds):
-        state = _state(now)
-        if state[0] == 0 or state == before:
+        if _stars(now):
             break
-        before = state
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = written(both.groupBy("a").agg(F.min("b").alias("m"))
                         .select("a", F.least("a", "m").alias("m")), "large")
@@ -88,13 +121,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         least = written(large.groupBy("a").agg(F.min("b").alias("m")), "small")
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
                  .union(least.select("a", F.col("m").alias("b"))).distinct())
-        now = written(small, "edges")
+        now = written(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     else:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     roots = now.select("b").distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         roots.select(F.col("b").alias("node"), F.col("b").alias("component")))
-
-
-def batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type, from_pandas=False) for f in schema], schema=schema)

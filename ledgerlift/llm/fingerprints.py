@@ -28,7 +28,7 @@ def densify(least: np.ndarray) -> np.ndarray:
     row, cell = np.nonzero((least == _EMPTY) & (least != _EMPTY).any(1)[:, None])
     attempt = 0
     while len(row):
-        probe = mix(np.arange(bins, dtype=np.uint64) * np.uint64(0x100000001B3) + np.uint64(attempt + 1) * np.uint64(0x9E3779B97F4A7C15))
+        probe = mix(np.arange(bins, dtype=np.uint64) * np.uint64(0x100000001B3) + np.full(1, attempt + 1, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         donor = (probe % np.uint64(bins)).astype(np.int64)[cell]
         found = least[row, donor]
         hit = found != _EMPTY

@@ -354,12 +354,13 @@ def join_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
 
     Sets are similar if 100 * intersection >= percent * union.  ``class_id`` is the smallest id with an equal
     set, ``component_id`` the smallest id reachable by similar sets.  A text that is null or has no words has an
-    empty set and is alone.  Rows of one id are rows of their own but one node.  Other columns are ignored.
+    empty set and is alone.  A row without id links nothing; it has the classes of rows with its set.  Rows of one id are rows of their own but one node.  Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
     described = describe(docs, words, percent)
     rows = described.filter("map IS NOT NULL")
-    classes = written(rows.filter("size > 0").groupBy("sig", "size").agg(F.min("doc_id").alias("id"), F.min("map").alias("map")), "classes")
+    classes = written(rows.filter("size > 0").groupBy("sig", "size").agg(F.min("doc_id").alias("id"), F.min("map").alias("map"))
+                      .filter("id IS NOT NULL"), "classes")
     lists = index_lists(docs, frequent_shingles(described), words, percent)
     lists = lists.withColumn("size", F.col("size").cast("bigint")).join(classes, ["sig", "size"]).select("token", "id", "size", "pos", "map")
     lists = written(lists, "lists")

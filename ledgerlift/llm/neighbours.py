@@ -5,8 +5,8 @@
 * Each round joins the neighbours of every node, forward and reverse, with each other and keeps for
   both the better ones.  A list holds ``width`` neighbours; one that is saturated, all of it at or above the
   threshold, may grow twofold each round by further neighbours above it.
-* The rounds end when they find hardly any new pair above the threshold.
-* Candidate pairs connect nodes to components.  All links of a node lie in its component, so block
+* The rounds end when the pairs above the threshold connect the same nodes to as many components as before.
+* These pairs connect nodes to components.  All links of a node lie in its component, so block
   products in double precision inside each component give every link, the exact number of them for
   each vector, and no false one; pairs never leave a task.
 * An audit compares sampled vectors with all others; below the wanted recall the search goes on with new trees.
@@ -28,8 +28,6 @@ PARTITION_ROWS, GROUP, BLOCK = 20_000, 512, 512
 #: Similarities are computed in single precision before the block products.
 MARGIN = 1e-3
 AUDITED, WANTED_RECALL = 256, 0.95
-#: Rounds go on while they add more than this part of the pairs above the threshold.
-SETTLED = 0.002
 
 NODE = "id bigint, dim int, vec binary"
 
@@ -177,8 +175,9 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def descend(nodes: DataFrame, threshold: float, seed: int, width: int, trees: int, start: DataFrame | None = None) -> DataFrame:
-    """Written neighbour lists (u, v, sim, new) after the last round."""
+def descend(nodes: DataFrame, threshold: float, seed: int, width: int, trees: int,
+            start: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Written neighbour lists (u, v, sim, new) after the last round, and the components of their pairs above the threshold."""
     count = nodes.count()
     single_nodes = written(single(nodes, seed, trees), "single")
     parts = max(1, count // PARTITION_ROWS)
@@ -191,7 +190,7 @@ def descend(nodes: DataFrame, threshold: float, seed: int, width: int, trees: in
     if start is not None:
         found = found.union(start.withColumn("new", F.lit(False)))
     lists = written(best(found, width, width, threshold), "lists")
-    above = 0
+    labels, before = None, None
     for turn in range(1, MAX_ROUNDS + 1):
         worst = lists.groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("low")).select(
             F.col("u").alias("id"), F.when((F.col("n") >= width) & (F.col("low") < threshold), F.col("low")).alias("worst"))
@@ -205,11 +204,13 @@ def descend(nodes: DataFrame, threshold: float, seed: int, width: int, trees: in
         dealt = members.select("pivot", "dim", "id", "new", "worst", "vec").repartition("pivot").sortWithinPartitions("pivot", "id")
         better = dealt.mapInArrow(_local_join, EDGE).withColumn("new", F.lit(True))
         lists = written(best(lists.withColumn("new", F.lit(False)).unionByName(better), width, width << turn, threshold), "lists")
-        now = lists.filter(F.col("sim") >= threshold - MARGIN).count()
-        if now - above <= SETTLED * now:
+        pairs = lists.filter(F.col("sim") >= threshold - MARGIN).select(F.col("u").alias("a"), F.col("v").alias("b"))
+        labels = written(components(pairs), "labels")
+        now = labels.agg(F.count("*").alias("nodes"), F.count_if(F.col("node") == F.col("component")).alias("parts")).first()
+        if now == before:
             break
-        above = now
-    return lists
+        before = now
+    return lists, labels
 
 
 def _blocks(threshold: float):
@@ -278,16 +279,15 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, width: int = WIDTH, t
     """``vec_id, n_links, component_id, kept`` of every row of ``df`` (vec_id, embedding).
 
     Linked: cosine at or above the threshold, in double precision; vectors of different lengths never are.
-    A null, empty or zero vector, or one with null or non-finite components, has no links and is its own component.
+    A null, empty or zero vector, one with null or non-finite components, or without id, has no links and is its own component.
     Equal vectors are linked, copies of one another.  Raises if no attempt reaches ``WANTED_RECALL``.
     """
     units = written(unit_vectors(df), "units")
     nodes = written(units.groupBy("dim", "vec").agg(F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
     lists = None
     for attempt in range(attempts):
-        lists = descend(nodes, threshold, seed + 100 * attempt, width, trees, lists)
-        pairs = lists.filter(F.col("sim") >= threshold - MARGIN).select(F.col("u").alias("a"), F.col("v").alias("b"))
-        found = links_within(nodes, written(components(pairs), "labels"), threshold)
+        lists, labels = descend(nodes, threshold, seed + 100 * attempt, width, trees, lists)
+        found = links_within(nodes, labels, threshold)
         counts = written(found.groupBy("id").agg(F.sum("links").alias("links")), "counts")
         recall = audit(nodes, counts, threshold)
         if recall >= WANTED_RECALL:
@@ -300,4 +300,4 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, width: int = WIDTH, t
     ids = units.select(F.col("id").alias("vec_id"), "dim", "vec").join(known, ["dim", "vec"]).select("vec_id", "n_links", "component_id")
     rest = df.select("vec_id").join(ids.select("vec_id"), "vec_id", "left_anti").select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return ids.union(rest).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return ids.union(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
