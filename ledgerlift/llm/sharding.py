@@ -2,53 +2,68 @@
 
 The unit is a group of equal texts.  A group with more than a set part of a shard's share of any
 dimension is cut into slices by the hash of the document id, since no shard could hold it and stay
-even.  Units are dealt to tasks by hash; every task places its own, the largest first, where the
-dot product of the unit with the shard's residual capacity is highest, the capacity being the
-task's own total over the number of shards.  The shards' totals are the sums over tasks.
+even.  Large units, whose number has a bound, are placed first and together; the others are dealt to
+tasks by hash, and each task has its part of what room is left in every shard.  A unit goes, the
+largest first, where its weighted dot product with the shard's residual capacity is highest.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.session import written
 
-#: A unit is at most this part of a shard's share; larger groups are cut.
-SLICE_OF_SHARE = 1 / 16
+#: A unit is at most the first part of a shard's share, larger groups are cut; above the second it is large.
+SLICE_OF_SHARE, LARGE_OF_SHARE = 1 / 2, 1 / 16
+#: Weight of bytes, tokens and rows in the dot product; the law is that of the bytes.
+WEIGHTS = np.array([10.0, 1.0, 1.0])
 #: Units that one task places.
 UNITS_PER_TASK = 200_000
 #: Buckets in which the rows of a shard are counted, for slots without one task per shard.
 SLOT_BUCKETS = 64
 
-UNIT = "key string, slice int, bytes bigint, tokens bigint, rows bigint"
+PLACED = "key string, slice int, shard int"
+DIMENSIONS = ("bytes", "tokens", "rows")
 
 
-def place(units: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of every unit (rows of ``units``: bytes, tokens, rows), placed from the largest bytes on."""
-    share = np.maximum(units.sum(0), 1) / shards
+def place(units: np.ndarray, capacity: np.ndarray, first: int = 0) -> np.ndarray:
+    """Shard of every unit (rows of ``units``: bytes, tokens, rows), placed from the largest bytes on.
+
+    ``capacity`` has a row for each shard; it may be negative where a shard is over-full.  Of equally good shards it is
+    the next one from ``first`` on, so that tasks do not all favour the same.
+    """
+    shards = len(capacity)
+    share = np.maximum(capacity.sum(0), 1) / shards
+    residual = np.roll(capacity / share, -first, axis=0)
     load = units / share
-    residual = np.ones((shards, units.shape[1]))
+    weighted = load * WEIGHTS
     out = np.zeros(len(units), np.int32)
     # A stable order: bytes, then the other dimensions, then the given order.
     for i in np.lexsort((np.arange(len(units)), -units[:, 2], -units[:, 1], -units[:, 0])):
-        at = int(np.argmax(residual @ load[i]))
+        at = int(np.argmax(residual @ weighted[i]))
         out[i] = at
         residual[at] -= load[i]
-    return out
+    return (out + first) % shards
+
 
+def _matrix(table: pa.Table) -> np.ndarray:
+    return np.column_stack([table.column(c).to_numpy() for c in DIMENSIONS]).astype(np.float64)
 
-def _placing(shards: int):
+
+def _placing(room: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         table = pa.Table.from_batches(held).combine_chunks()
-        units = np.column_stack([table.column(c).to_numpy() for c in ("bytes", "tokens", "rows")]).astype(np.float64)
-        placed = table.select(["key", "slice"]).append_column("shard", pa.array(place(units, shards), pa.int32()))
-        yield from placed.to_batches(max_chunksize=10_000)
+        units = _matrix(table)
+        part = room * (units.sum(0) / np.maximum(room.sum(0), 1))
+        found = place(units, part, TaskContext.get().partitionId() * 11 % len(room))
+        yield from table.select(["key", "slice"]).append_column("shard", pa.array(found, pa.int32())).to_batches(max_chunksize=10_000)
 
     return run
 
@@ -65,20 +80,29 @@ def shard(df: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:
         "doc_id", (F.octet_length(text) + overhead).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.md5(text.cast("binary")).alias("key"),
         F.size(F.split(F.trim(text), r"\s+")).cast("bigint").alias("tokens")), "rows")
-    total = rows.agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")).first()
-    most = {c: max(1.0, (total[c] or 0) / shards * SLICE_OF_SHARE) for c in ("bytes", "tokens", "rows")}
-    groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
-    cuts = F.greatest(*[F.ceil(F.col(c) / F.lit(most[c])) for c in most])
-    # A single row is never cut; larger groups have at most so many slices, so the list is short.
-    large = groups.withColumn("slices", F.least(cuts, F.col("rows")).cast("int")).filter("slices > 1").select("key", "slices")
-    large = written(large, "large")  # at most shards / SLICE_OF_SHARE rows a dimension
-    sliced = rows.join(F.broadcast(large), "key", "left").withColumn(
+    sums = [F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
+    total = rows.agg(*sums).first()
+    share = {c: max(1.0, (total[c] or 0) / shards) for c in DIMENSIONS}
+    groups = rows.groupBy("key").agg(*sums)
+    # A single row is never cut.  The list has at most shards / SLICE_OF_SHARE rows a dimension.
+    cuts = F.greatest(*[F.ceil(F.col(c) / F.lit(share[c] * SLICE_OF_SHARE)) for c in DIMENSIONS])
+    cut = written(groups.withColumn("slices", F.least(cuts, F.col("rows")).cast("int")).filter("slices > 1").select("key", "slices"), "cut")
+    sliced = rows.join(F.broadcast(cut), "key", "left").withColumn(
         "slice", F.coalesce(F.pmod(F.xxhash64("doc_id", "text_crc32"), F.col("slices").cast("bigint")), F.lit(0)).cast("int")).drop("slices")
-    units = written(sliced.groupBy("key", "slice").agg(
-        F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "units")
-    tasks = max(1, -(-units.count() // UNITS_PER_TASK))
-    dealt = units.repartition(tasks, "key", "slice") if tasks > 1 else units.coalesce(1)
-    placed = written(dealt.sortWithinPartitions("key", "slice").mapInArrow(_placing(shards), "key string, slice int, shard int"), "placed")
+    units = written(sliced.groupBy("key", "slice").agg(*sums), "units")
+    is_large = F.greatest(*[F.col(c) / F.lit(share[c]) for c in DIMENSIONS]) > LARGE_OF_SHARE
+    # At most shards / LARGE_OF_SHARE units a dimension.
+    large = units.filter(is_large).orderBy("key", "slice").toArrow()
+    room = np.tile([(total[c] or 0) / shards for c in DIMENSIONS], (shards, 1))
+    found = place(_matrix(large), room) if large.num_rows else np.zeros(0, np.int32)
+    if large.num_rows:
+        np.subtract.at(room, found, _matrix(large))
+    first = df.sparkSession.createDataFrame(
+        [(k, s, int(h)) for k, s, h in zip(large.column("key").to_pylist(), large.column("slice").to_pylist(), found)], PLACED)
+    small = units.filter(~is_large)
+    tasks = max(1, -(-small.count() // UNITS_PER_TASK))
+    dealt = small.repartition(tasks, "key", "slice") if tasks > 1 else small.coalesce(1)
+    placed = written(dealt.sortWithinPartitions("key", "slice").mapInArrow(_placing(room), PLACED).union(first), "placed")
     rows = written(sliced.join(placed, ["key", "slice"]).select("doc_id", "size", "text_crc32", "shard", F.pmod(
         F.xxhash64("doc_id"), F.lit(SLOT_BUCKETS)).cast("int").alias("bucket")), "sharded")
     return numbered(rows).select(
@@ -87,8 +111,6 @@ def shard(df: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:
 
 def numbered(rows: DataFrame) -> DataFrame:
     """``slot`` from 0 within each shard: the rows of the buckets before, plus the place in the own bucket."""
-    from pyspark.sql import Window
-
     counts = rows.groupBy("shard", "bucket").count()  # shards * buckets rows
     before = counts.select("shard", "bucket", F.coalesce(F.sum("count").over(
         Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
