@@ -130,4 +130,4 @@ def collected(sample: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray,
     lists, counts = rows.column("buckets").combine_chunks(), rows.column("counts").combine_chunks()
     sizes = lists.value_lengths().to_numpy() if n else np.zeros(0, int)
     return (lists.flatten().to_numpy(), counts.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)]).astype(int),
-            np.array(rows.column("stats").to_pylist(), float).reshape(n, -1), rows.column("label").to_numpy())
+            np.array(rows.column("stats").to_pylist(), float).reshape(n, len(STATISTICS)), rows.column("label").to_numpy())

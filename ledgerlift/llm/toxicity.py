@@ -2,7 +2,7 @@
 
 P(grade >= j) = sigmoid(w.x - threshold_j): one weight for each feature, shared by all grades, and
 ordered thresholds.  Features are the presence and the density of words and word beginnings, hashed,
-that mark toxic documents in the training sample.  Labels are 0 and 1; a toxic training document's grade 1 to 3 is
+that mark toxic documents in the training sample, and whether any is there that clean ones hardly have.  Labels are 0 and 1; a toxic training document's grade 1 to 3 is
 the third that its share of marking words lies in.  The expected grade is the sum of P(grade >= j).
 """
 
@@ -26,6 +26,8 @@ BEGINNINGS = (3, 4, 5, 6, 7, 8)
 SAMPLE = (20_000, 5000)
 #: A marking feature occurs so many times as often in toxic documents as in others, with so high a likelihood ratio.
 LEAST_RATIO, LEAST_EVIDENCE = 3.0, 25.0
+#: Features so many times as often in toxic documents are strong: one of them, whichever, counts by itself.
+STRONG_RATIO = 50.0
 #: Features kept, those with the most evidence.
 MOST_FEATURES = 300
 STEPS, RATE, RIDGE = 500, 0.1, 1e-5
@@ -56,6 +58,8 @@ class Ordinal:
     chosen: np.ndarray  # sorted buckets
     present: np.ndarray  # weight of a bucket's presence
     dense: np.ndarray  # weight of its density
+    strong: np.ndarray  # whether it is a strong one
+    any_strong: float  # weight of the presence of any strong one
     thresholds: np.ndarray  # ascending
 
     def at_least(self, bucket: np.ndarray, counts: np.ndarray, bounds: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -67,6 +71,7 @@ class Ordinal:
             row = np.searchsorted(bounds, hit, side="right") - 1
             part = self.present[at[hit]] + self.dense[at[hit]] * density(counts[hit], total[row])
             margin = np.bincount(row, part, minlength=len(total))
+            margin += self.any_strong * (np.bincount(row, self.strong[at[hit]], minlength=len(total)) > 0)
         return sigmoid(margin[:, None] - self.thresholds)
 
 
@@ -85,8 +90,8 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(counts[value][some])], names=["label", "bucket", "n"])
 
 
-def marking(sample: DataFrame, sizes: tuple[int, int]) -> np.ndarray:
-    """Buckets that mark toxic documents, sorted."""
+def marking(sample: DataFrame, sizes: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that mark toxic documents, sorted, and which of them are strong."""
     found = sample.mapInArrow(_frequencies, "label int, bucket int, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((2, BUCKETS))
     counts[found["label"].to_numpy(int), found["bucket"].to_numpy(int)] = found["n"]
@@ -100,16 +105,17 @@ def marking(sample: DataFrame, sizes: tuple[int, int]) -> np.ndarray:
     evidence = 2 * (part(toxic, both * share) + part(clean, both * (1 - share)))
     ratio = ((toxic + 0.01) / sizes[1]) / ((clean + 0.5) / sizes[0])
     good = np.flatnonzero((evidence >= LEAST_EVIDENCE) & (ratio >= LEAST_RATIO))
-    return np.sort(good[np.lexsort((good, -evidence[good]))][:MOST_FEATURES])
+    chosen = np.sort(good[np.lexsort((good, -evidence[good]))][:MOST_FEATURES])
+    return chosen, ratio[chosen] >= STRONG_RATIO
 
 
 def fit(sample: DataFrame) -> Ordinal:
     """Fit on a bounded, written sample.  Without toxic or clean rows, or without marking features, nothing is toxic."""
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    never = Ordinal(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.array([30.0] * GRADES))
+    never = Ordinal(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(0, bool), 0.0, np.array([30.0] * GRADES))
     if len(sizes) < 2:
         return never
-    chosen = marking(sample, (sizes[0], sizes[1]))
+    chosen, strong = marking(sample, (sizes[0], sizes[1]))
     if not len(chosen):
         return never
 
@@ -132,11 +138,12 @@ def fit(sample: DataFrame) -> Ordinal:
     at, total = at.flatten().to_numpy(), rows.column("words").to_numpy()
     share = np.bincount(row, n, minlength=len(toxic)) / np.maximum(total, 1)
     grade = np.where(toxic, 1 + (share[:, None] > np.quantile(share[toxic], [1 / 3, 2 / 3])).sum(1), 0)
-    x = np.zeros((len(toxic), 2 * len(chosen)), np.float32)
+    x = np.zeros((len(toxic), 2 * len(chosen) + 1), np.float32)
     x[row, at] = 1
     x[row, len(chosen) + at] = density(n, total[row])
+    x[row[strong[at]], -1] = 1
     weights, thresholds = descend(x, grade)
-    return Ordinal(chosen, weights[:len(chosen)], weights[len(chosen):], thresholds)
+    return Ordinal(chosen, weights[:len(chosen)], weights[len(chosen):-1], strong, float(weights[-1]), thresholds)
 
 
 def descend(x: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
