@@ -93,3 +93,30 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ship(spark)
     return neighbours.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+SQL["op1_jaccard_join"] = rf"""WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] FOR i IN range(1, len(ws) - 2)]) END AS g FROM w),
+n AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles FROM s),
+e AS (SELECT doc_id, unnest(g) AS g FROM s),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b, bool_and(na.n_shingles = nb.n_shingles) AND COUNT(*) = MAX(na.n_shingles) AS equal
+    FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+    GROUP BY 1, 2 HAVING 100 * COUNT(*) >= 85 * (MAX(na.n_shingles) + MAX(nb.n_shingles) - COUNT(*))),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT doc_id, n_shingles, LEAST(doc_id, COALESCE((SELECT MIN(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id,
+    LEAST(doc_id, COALESCE((SELECT MIN(b) FROM links WHERE a = doc_id AND equal), doc_id)) AS class_id FROM n"""
+
+SQL["op9_embedding_near_dedup"] = """WITH RECURSIVE
+v AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE list_dot_product(e, e) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_dot_product(a.e, b.e) >= 0.9 * a.norm * b.norm),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+found AS (SELECT vec_id, (SELECT COUNT(*) FROM links WHERE a = vec_id) AS n_links,
+    LEAST(vec_id, COALESCE((SELECT MIN(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id FROM embeddings)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM found"""

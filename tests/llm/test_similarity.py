@@ -7,7 +7,8 @@ import re
 import numpy as np
 import pytest
 
-from ledgerlift.llm import fingerprints, jaccard_join, neighbours
+from checks.compare import differences
+from ledgerlift.llm import fingerprints, jaccard_join, neighbours, queries
 from ledgerlift.llm.words import words as hash_words
 from ledgerlift.llm.words import text_bytes
 
@@ -92,6 +93,11 @@ def test_given_documents(spark, folder):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {d: (sizes[d], expected[d]) for d in sizes}
 
 
+@pytest.mark.parametrize("name", list(queries.SQL))
+def test_queries_agree_with_their_sql(spark, folder, duck, name):
+    assert differences(queries.QUERIES[name](spark, folder), duck, queries.SQL[name]) == []
+
+
 def test_frequent_shingles_change_no_result(spark, monkeypatch):
     """Whatever counts as frequent, the order stays one order for all sets."""
     rows = made_up(5)
