@@ -54,7 +54,7 @@ def test_near_duplicates_keeps_the_smallest_id_of_each_group(spark, docs, folder
                                    (5003, "a", "en", "s", 0), (None, "a b", "en", "s", 0)], docs.select(COLUMNS).schema)
     found = cp.near_duplicates(spark, docs.select(COLUMNS).unionByName(extra).withColumn("component_id", F.lit("x")), folder)
     assert found.columns == [*COLUMNS, "component_id"]
-    kept = sorted((r.doc_id or -1, r.text or "") for r in found.collect())
+    kept = sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in found.collect())
     first = [(d, t) for d, t in rows if expected[d] == d]
     assert kept == sorted([*first, (5000, ""), (5001, ""), (5002, ""), (5003, "a"), (-1, "a b")])
 
