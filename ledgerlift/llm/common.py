@@ -127,3 +127,22 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     roots = now.select("b").distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         roots.select(F.col("b").alias("node"), F.col("b").alias("component")))
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of equal values in the first ``keys`` columns of sorted batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.column_stack([batch.column(i).to_numpy() for i in range(keys)])
+        heads = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), batch.num_rows]):
+            if held and tuple(key[a]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = tuple(key[a])
+    if held:
+        yield pa.Table.from_batches(held)

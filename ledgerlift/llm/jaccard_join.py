@@ -11,8 +11,10 @@ Set-relation skipping, as Spark jobs:
   distance never exceeds the sets' difference.
 * First every set meets its nearest partner in each list only.  Sets that prove similar share a
   component, and with it all answers to the question what they reach; only partners in other
-  components are looked at in the second pass.  There a set's overlap with a partner is derived from
-  the overlap of its highly similar neighbour and the few shingles in which the two differ.
+  components are looked at in the second pass.
+* There the sets that are highly similar to the smallest of their component, their hub, stand
+  behind it: a partner is compared with the hub once, and its answers for all sets behind the hub are
+  derived from the few shingles in which they and it differ from the hub.  No pair of a group becomes a row.
 
 Nothing is dropped or capped: whichever shingles count as frequent, the filters are exact.  Sets are
 compared by 64-bit hashes of shingles.
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import among, components
+from ledgerlift.llm.common import among, components, runs
 from ledgerlift.llm.words import batch_shingles, mix
 from ledgerlift.session import written
 
@@ -202,7 +204,7 @@ def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 class _Rows:
-    """Rows (token, id, size, pos, group) of sorted lists with their bitmaps, end to end in 64-bit words."""
+    """Rows (token, id, size, pos, group and, in the second pass, hub) of sorted lists with their bitmaps, end to end in 64-bit words."""
 
     def __init__(self, table: np.ndarray, words: np.ndarray, lengths: np.ndarray):
         self.table, self.words, self.lengths = table, words, lengths
@@ -210,7 +212,8 @@ class _Rows:
 
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> "_Rows":
-        table = np.column_stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)])
+        numbers = [i for i in range(batch.num_columns) if i != 5]
+        table = np.column_stack([batch.column(i).to_numpy().astype(np.int64) for i in numbers])
         maps = batch.column(5).to_pylist()
         return cls(table, np.frombuffer(b"".join(maps), np.uint64), np.fromiter(map(len, maps), np.int64, len(maps)) // 8)
 
@@ -250,6 +253,8 @@ class _Rows:
 def _candidates(percent: int, nearest: bool):
     """Pairs of each list that pass the block, position and bitmap filters; ``nearest``: for each set only the closest partner before it.
 
+    Else one set of a pair, one that has another as its hub if there is one, is replaced by its hub: (a: hub, b: partner).
+
     Rows come by list, size and position.  All rows of a batch look one place back, then two, and so on; a row stops at
     the first row of another list or of a block of too small sets.  Of the last list the rows that may still find
     partners are kept for the next batch.
@@ -260,7 +265,8 @@ def _candidates(percent: int, nearest: bool):
         for batch in batches:
             rows = _Rows.of(batch).after(held)
             first = 0 if held is None else len(held.table)
-            token, ids, size, pos, group = rows.table.T
+            token, ids, size, pos, group = rows.table.T[:5]
+            hub = ids if nearest else rows.table[:, 5]
             lowest, rest = least_share(size, percent), size - pos
             active, back = np.arange(max(first, 1), len(size)), 0
             left, right = [], []
@@ -274,15 +280,17 @@ def _candidates(percent: int, nearest: bool):
                 good = (rest[other] >= need) & (rest[active] >= need) & (group[other] != group[active]) & (ids[other] != ids[active])
                 a, b = active[good], other[good]
                 near = rows.distances(a, b) <= size[a] + size[b] - 2 * need[good]
-                left.append(ids[a[near]])
-                right.append(ids[b[near]])
+                a, b = a[near], b[near]
+                behind = hub[b] != ids[b]
+                left.append(np.where(behind, hub[b], hub[a]))
+                right.append(np.where(behind, ids[a], ids[b]))
                 if nearest:
-                    active = active[~np.isin(active, a[near])]
-                if sum(map(len, left)) > 100_000:
-                    yield _pairs(left, right)
+                    active = active[~np.isin(active, a)]
+                if sum(map(len, left)) > 500_000:
+                    yield _distinct(left, right)
                     left, right = [], []
             if left:
-                yield _pairs(left, right)
+                yield _distinct(left, right)
             held = rows.part(np.flatnonzero((token == token[-1]) & (size >= lowest[-1]))) if len(size) else held
 
     return run
@@ -294,9 +302,14 @@ def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
+def _distinct(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.column_stack([np.concatenate(left), np.concatenate(right)]), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
 def pairs_of(lists: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Distinct pairs a < b of representatives from lists (token, id, size, pos, grp, map), written."""
-    rows = lists.select("token", "id", F.col("size").cast("bigint"), F.col("pos").cast("bigint"), "grp", "map")
+    """Distinct pairs (a, b) from lists (token, id, size, pos, grp, map and, unless ``nearest``, hub), written."""
+    rows = lists.select("token", "id", F.col("size").cast("bigint"), F.col("pos").cast("bigint"), "grp", "map", *([] if nearest else ["hub"]))
     dealt = rows.repartition("token").sortWithinPartitions("token", "size", "pos", "id")
     return written(dealt.mapInArrow(_candidates(percent, nearest), "a bigint, b bigint").distinct(), "pairs")
 
@@ -312,41 +325,82 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return written(among(docs.select("doc_id", "text"), ids, "doc_id").mapInArrow(run, "id bigint, items array<bigint>"), "items")
 
 
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, na, nb, apart): sizes of both sets and the shingles that only one of them has."""
+    a = sets.select(F.col("id").alias("a"), F.col("items").alias("ia"))
+    b = sets.select(F.col("id").alias("b"), F.col("items").alias("ib"))
+    return pairs.join(a, "a").join(b, "b").select(
+        "a", "b", F.size("ia").alias("na"), F.size("ib").alias("nb"),
+        F.concat(F.array_except("ia", "ib"), F.array_except("ib", "ia")).alias("apart"))
+
+
 def similar(percent: int) -> F.Column:
-    """Of sets with sizes ``na`` and ``nb`` and overlap ``both``."""
-    return 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
+    """100 * overlap >= percent * union, with twice the overlap = both sizes - shingles apart."""
+    both = F.col("na") + F.col("nb")
+    return (100 + percent) * (both - F.size("apart")) >= 2 * percent * both
 
 
-def first_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Written links (a, b, less, more): similar pairs and the shingles only a and only b has."""
-    a = sets.select(F.col("id").alias("a"), F.col("items").alias("ia"))
-    b = sets.select(F.col("id").alias("b"), F.col("items").alias("ib"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("both", F.size(F.array_intersect("ia", "ib"))).withColumns(
-        {"na": F.size("ia"), "nb": F.size("ib")})
-    return written(both.filter(similar(percent)).select(
-        "a", "b", F.array_except("ia", "ib").alias("less"), F.array_except("ib", "ia").alias("more")), "links")
+#: Sets behind a hub that one task compares with its partners.
+BEHIND = 20_000
 
 
-def derived_links(pairs: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of ``pairs`` (a, b), the overlap of b derived from that of its neighbour.
+def derived_links(asked: DataFrame, star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """A link (a, b) for each pair (a: hub, b: partner) of ``asked`` where the partner is similar to a set behind the hub.
 
-    The neighbour of b is the smallest set it is linked with in ``links``; without one, b is its own.  The overlap of the
-    neighbour with a is counted once for all sets that have it; b's is that, less the shingles of a that only the
-    neighbour has, and more those that only b has.
+    ``star`` has the sets behind a hub a as (a, b, nb, apart).  Two sets differ in the shingles in which one of them, but not
+    both, differs from the hub.  So partners too far from the hub are left out, and for the others the differences of all
+    sets from the hub decide.  The sets behind a large hub are dealt to several tasks.
     """
+    hubs = asked.select("a").distinct()
+    # A set behind the hub has at most 100 / percent times its size, and differs from it within the threshold.
+    behind = F.col("na") * 100 / percent
+    partners = compared(asked, sets).filter(
+        F.size("apart") * (100 + percent) <= (100 - percent) * (F.col("nb") + 2 * behind + F.col("na")) + 1)
+    sizes = sets.select(F.col("id").alias("a"), F.size("items").alias("n"))
     none = F.array().cast("array<bigint>")
-    nearest = links.groupBy("b").agg(F.min(F.struct("a", "less", "more")).alias("n")).select("b", "n.a", "n.less", "n.more")
-    asked = pairs.join(nearest.withColumnRenamed("a", "near"), "b", "left").select(
-        "a", "b", F.coalesce("near", "b").alias("near"), F.coalesce("less", none).alias("less"), F.coalesce("more", none).alias("more"))
-    asked = written(asked, "asked")
-    items = sets.select(F.col("id").alias("a"), F.col("items").alias("ia"))
-    known = asked.select("a", "near").distinct().join(items, "a").join(
-        sets.select(F.col("id").alias("near"), F.col("items").alias("inear")), "near").select(
-        "a", "near", F.size(F.array_intersect("ia", "inear")).alias("shared"), F.size("inear").alias("nnear"))
-    found = asked.join(written(known, "answers"), ["a", "near"]).join(items, "a").select(
-        "a", "b", F.size("ia").alias("na"), (F.col("nnear") - F.size("less") + F.size("more")).alias("nb"),
-        (F.col("shared") - F.size(F.array_intersect("less", "ia")) + F.size(F.array_intersect("more", "ia"))).alias("both"))
-    return found.filter(similar(percent)).select("a", "b")
+    members = star.join(hubs, "a", "left_semi").select("a", F.lit(0).alias("kind"), F.col("b").alias("id"), F.col("nb").alias("n"), "apart").union(
+        sizes.join(hubs, "a", "left_semi").select("a", F.lit(0).alias("kind"), F.col("a").alias("id"), "n", none.alias("apart")))
+    members = written(members, "members")
+    parts = written(members.groupBy("a").agg(F.ceil(F.count("*") / BEHIND).cast("int").alias("parts")), "parts")
+    placed = members.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts").cast("bigint")).cast("int"))
+    sent = partners.select("a", F.lit(1).alias("kind"), F.col("b").alias("id"), F.col("nb").alias("n"), "apart").join(parts, "a").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    columns = ["a", "part", "kind", "id", "n", "apart"]
+    dealt = placed.select(*columns).union(sent.select(*columns)).repartition("a", "part").sortWithinPartitions("a", "part", "kind", "id")
+    return dealt.mapInArrow(_behind(percent), "a bigint, b bigint")
+
+
+def _behind(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int]] = []
+        for rows in runs(batches, 2):
+            kind, ids, n = (rows.column(c).to_numpy() for c in ("kind", "id", "n"))
+            members = int((kind == 0).sum())
+            if members in (0, len(kind)):
+                continue
+            lists = rows.column("apart").combine_chunks()
+            lengths = lists.value_lengths().to_numpy().astype(np.int64)
+            ends = np.cumsum(lengths)
+            tokens = lists.flatten().to_numpy()
+            cut = int(ends[members - 1])
+            owner = np.repeat(np.arange(members), lengths[:members])
+            order = np.argsort(tokens[:cut], kind="stable")
+            sorted_tokens, owner = tokens[:cut][order], owner[order]
+            for i in range(members, len(kind)):
+                own = tokens[ends[i] - lengths[i]:ends[i]]
+                low, high = np.searchsorted(sorted_tokens, own), np.searchsorted(sorted_tokens, own, side="right")
+                hit = np.flatnonzero(high > low)
+                shared = np.zeros(members, np.int64)
+                if len(hit):
+                    shared = np.bincount(np.concatenate([owner[low[h]:high[h]] for h in hit]), minlength=members)
+                both = n[:members].astype(np.int64) + int(n[i])
+                apart = lengths[:members] + lengths[i] - 2 * shared
+                linked = np.flatnonzero((100 + percent) * (both - apart) >= 2 * percent * both)
+                if len(linked):
+                    found.append((int(ids[linked[0]]), int(ids[i])))
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def join_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -367,16 +421,18 @@ def join_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
 
     pairs = pairs_of(lists.withColumn("grp", F.col("id")), percent, nearest=True)
     sets = shingle_sets(docs, _ends(pairs), words)
-    links = first_links(pairs, sets, percent)
-    labels = written(components(links.select("a", "b")), "labels")
-
-    grouped = lists.join(labels, lists["id"] == labels["node"], "left").select(
-        "token", "id", "size", "pos", F.coalesce("component", "id").alias("grp"), "map")
-    more = pairs_of(grouped, percent, nearest=False)
-    more_sets = shingle_sets(docs, _ends(more), words)
-    neighbours = links.select(F.col("a").alias("id")).distinct().join(more_sets.select("id"), "id", "left_anti").join(sets, "id")
-    second = written(derived_links(more, links, more_sets.unionByName(neighbours.select("id", "items")), percent), "second")
-    labels = components(links.select("a", "b").union(second))
+    links = written(compared(pairs, sets).filter(similar(percent)).select("a", "b"), "links")
+    labels = written(components(links), "labels")
+
+    spokes = labels.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    star = written(compared(spokes, sets).filter(similar(percent)), "star")
+    hubs = written(labels.join(star.select(F.col("b").alias("node"), F.col("a").alias("hub")), "node", "left").select(
+        "node", "component", F.coalesce("hub", "node").alias("hub")), "hubs")
+    grouped = lists.join(hubs, lists["id"] == hubs["node"], "left").select(
+        "token", "id", "size", "pos", F.coalesce("component", "id").alias("grp"), "map", F.coalesce("hub", "id").alias("hub"))
+    asked = pairs_of(grouped, percent, nearest=False)
+    second = written(derived_links(asked, star, shingle_sets(docs, _ends(asked), words), percent), "second")
+    labels = components(links.union(second))
 
     found = classes.select("sig", "size", "id").join(labels, F.col("id") == F.col("node"), "left").select(
         "sig", "size", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import components
+from ledgerlift.llm.common import components, runs
 from ledgerlift.session import written
 
 WIDTH, TREES, MAX_ROUNDS, LEAF = 8, 4, 6, 96
@@ -151,30 +151,11 @@ def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(a):
             yield _edges(ids[a], ids[b], sims[a, b])
 
-    for rows in _groups(batches, 1):
+    for rows in runs(batches, 1):
         for a in range(0, rows.num_rows, GROUP):
             yield from join(rows.slice(a, GROUP))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Runs of equal values in the first ``keys`` columns of sorted batches."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = np.column_stack([batch.column(i).to_numpy() for i in range(keys)])
-        heads = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
-        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), batch.num_rows]):
-            if held and tuple(key[a]) != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = tuple(key[a])
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def descend(nodes: DataFrame, threshold: float, seed: int, width: int, trees: int,
             start: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Written neighbour lists (u, v, sim, new) after the last round, and the components of their pairs above the threshold."""
@@ -217,7 +198,7 @@ def _blocks(threshold: float):
     """For each member of a pair of blocks (component, i, j, dim, id, n, block, vec): what it is linked with there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, 4):
+        for rows in runs(batches, 4):
             i, j, dim = (rows.column(k)[0].as_py() for k in (1, 2, 3))
             ids, n, block = (rows.column(k).to_numpy() for k in (4, 5, 6))
             x = _matrix(rows.column(7).combine_chunks(), dim)
