@@ -50,11 +50,11 @@ def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """A bit for each of b hash values, set if an odd number of shingles has it; b is the power of two at or below the set's size, 128 at least.
+    """A bit for each of b hash values, set if an odd number of shingles has it; b is the power of two at or below the set's size, 512 at least.
 
     Two bitmaps differ in at most as many bits as the sets in shingles.  The longer of two is folded to the shorter's length.
     """
-    bits = max(128, 1 << (len(hashes).bit_length() - 1)) if len(hashes) else 128
+    bits = max(512, 1 << max(len(hashes).bit_length() - 1, 0))
     counts = np.bincount((mix(hashes) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1).tobytes()
 
@@ -262,6 +262,8 @@ def _candidates(percent: int, nearest: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: _Rows | None = None
+        left: list[np.ndarray] = []
+        right: list[np.ndarray] = []
         for batch in batches:
             rows = _Rows.of(batch).after(held)
             first = 0 if held is None else len(held.table)
@@ -269,7 +271,6 @@ def _candidates(percent: int, nearest: bool):
             hub = ids if nearest else rows.table[:, 5]
             lowest, rest = least_share(size, percent), size - pos
             active, back = np.arange(max(first, 1), len(size)), 0
-            left, right = [], []
             while len(active):
                 back += 1
                 active = active[active >= back]
@@ -289,19 +290,13 @@ def _candidates(percent: int, nearest: bool):
                 if sum(map(len, left)) > 500_000:
                     yield _distinct(left, right)
                     left, right = [], []
-            if left:
-                yield _distinct(left, right)
             held = rows.part(np.flatnonzero((token == token[-1]) & (size >= lowest[-1]))) if len(size) else held
+        if left:
+            yield _distinct(left, right)
 
     return run
 
 
-def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
-    x, y = np.concatenate(left), np.concatenate(right)
-    pairs = np.unique(np.column_stack([np.minimum(x, y), np.maximum(x, y)]), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-
 def _distinct(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
     pairs = np.unique(np.column_stack([np.concatenate(left), np.concatenate(right)]), axis=0)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
