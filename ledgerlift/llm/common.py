@@ -1,10 +1,13 @@
 """Scratch tables, shipping of the package, links to components."""
 
+import contextlib
+import ctypes
+import gc
 import io
 import os
 import sys
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -43,6 +46,26 @@ def ship(spark: SparkSession) -> None:
     context._ledgerlift_sent = True
 
 
+_holder: tuple[str, tuple[Callable[[], None], ...]] = ("", ())
+
+
+def claim(operator: str, *releases: Callable[[], None]) -> None:
+    """Called in a Python worker by each operator; what another one kept in the same worker is released first.
+
+    Workers outlive a stage, and the word tables of one operator are of no use to the next.
+    """
+    global _holder
+    if _holder[0] == operator:
+        return
+    for release in _holder[1]:
+        release()
+    _holder = operator, releases
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can give memory back
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def fold(column: str, parts: int) -> F.Column:
     """crc32 of the id's text (empty for a null id) modulo ``parts``."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts

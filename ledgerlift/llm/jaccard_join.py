@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import among, components, runs
+from ledgerlift.llm.common import among, claim, components, runs
 from ledgerlift.llm.words import batch_shingles, mix
 from ledgerlift.session import written
 
@@ -78,6 +78,7 @@ def describe(docs: DataFrame, words: int, percent: int, flush: int = 4_000_000)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         met, held = [], 0
 
         def again() -> pa.RecordBatch:
@@ -151,6 +152,7 @@ def index_lists(docs: DataFrame, frequent: np.ndarray, words: int, percent: int)
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         for batch in batches:
             seen, parts, sigs, sizes = set(), [], [], []
             for _, s in _sets(batch.column(0), words):

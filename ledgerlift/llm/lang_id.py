@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import fold
+from ledgerlift.llm.common import claim, fold
 from ledgerlift.llm.words import mix, slices, text_bytes
 
 NGRAM, BUCKETS = 4, 1 << 15
@@ -61,6 +61,7 @@ def train(df: DataFrame) -> tuple[list[str], np.ndarray]:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lang_id")
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = np.array(batch.column(1).to_pylist(), object)
@@ -129,6 +130,7 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "tex
     table = df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(logs.T))  # buckets x languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("lang_id")
         for batch in batches:
             held = {batch.schema.field(i).name: batch.column(i) for i in range(batch.num_columns - 2)}
             letters = batch.column(batch.num_columns - 1).to_pylist()

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from ledgerlift.llm.common import claim
 from ledgerlift.llm.token_counts import CACHED_CHARS, ODD_SPACE
 from ledgerlift.session import written
 
@@ -67,12 +68,13 @@ def encoder(path: str) -> ChunkEncoder:
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 
 
-def token_pieces(df: DataFrame, path: str, capacity: int, separator: int = 0, ids: bool = True, chars: int = 4_000_000) -> DataFrame:
+def token_pieces(df: DataFrame, path: str, capacity: int, separator: int = 0, ids: bool = True, chars: int = 1_000_000) -> DataFrame:
     """One row per piece of at most ``capacity`` ids; a null text is an empty one and has only the separator.  No shuffle."""
     mark = separator.to_bytes(4, "little")
     schema = PIECES if ids else PIECES.removesuffix(", ids binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("packing", encoder.cache_clear)
         tool = encoder(path)
         gc.disable()  # millions of small objects without cycles
         for batch in batches:

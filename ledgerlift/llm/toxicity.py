@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import fold
+from ledgerlift.llm.common import claim, fold
 from ledgerlift.llm.features import labelled_sample
 from ledgerlift.llm.quality import sigmoid
 from ledgerlift.llm.words import NOT_ALNUM, prefixes, slices, text_bytes, words
@@ -188,6 +188,7 @@ def grade(df: DataFrame, model: Ordinal, text: str = "text", keep: tuple[str, ..
     sent = df.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_FEATURES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         tool = sent.value
         for batch in batches:
             parts = [tool.at_least(*found) for _, *found in features(batch.column(batch.num_columns - 1))]

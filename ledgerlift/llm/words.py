@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes worked on at a time; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
