@@ -1,11 +1,15 @@
 """Near-duplicate vectors by NN-descent, with an exact count inside what it connects.
 
 * Equal vectors are one node.
-* Random projection trees give every node a first list of neighbours.
+* Random projection trees over the whole table give every node a first list of neighbours.  Their upper cuts are
+  medians of a sample, and the leaves of these are the shuffle key; a node also goes to the leaves behind the cuts it
+  lies next to.  Tasks cut their leaf further, with overlapping halves.
 * Each round joins the neighbours of every node, forward and reverse, with each other and keeps for
   both the better ones.  A list holds ``width`` neighbours; one that is saturated, all of it at or above the
   threshold, may grow twofold each round by further neighbours above it.
-* The rounds end when the pairs above the threshold connect the same nodes to as many components as before.
+  Members of a pivot beyond ``GROUP`` meet block by block, except those linked to the pivot, which it connects.
+* The rounds end when the pairs above the threshold connect the same nodes to as many components as before and
+  lists that are not saturated gain hardly any of them.
 * These pairs connect nodes to components.  All links of a node lie in its component, so block
   products in double precision inside each component give every link, the exact number of them for
   each vector, and no false one; pairs never leave a task.
@@ -22,9 +26,13 @@ from pyspark.sql import functions as F
 from ledgerlift.llm.common import components, runs
 from ledgerlift.session import written
 
-WIDTH, TREES, MAX_ROUNDS, LEAF = 8, 4, 6, 96
-#: Rows of a tree's partition; a node's local join and a block of a component have at most so many members.
+WIDTH, TREES, MAX_ROUNDS, LEAF = 8, 4, 12, 192
+#: Rows of a tree's upper leaf without those lent to it; a block of a node's local join and of a component have about so many members.
 PARTITION_ROWS, GROUP, BLOCK = 20_000, 512, 512
+#: Sampled rows for each upper leaf; share of a task's rows on either side of a cut that go to both halves.
+SAMPLED, OVERLAP = 32, 0.05
+#: Lists grow in so many rounds; new pairs above the threshold, as a share of the linked nodes, that are hardly any.
+GROWING, HARDLY = 6, 1e-3
 #: Similarities are computed in single precision before the block products.
 MARGIN = 1e-3
 AUDITED, WANTED_RECALL = 256, 0.95
@@ -62,8 +70,74 @@ def _matrix(column: pa.Array, dim: int, kind=np.float64) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim)
 
 
-def single(nodes: DataFrame, seed: int, trees: int) -> DataFrame:
-    """(id, dim, vec in single precision, place: the projection on a random direction for each tree)."""
+def _cuts(x: np.ndarray, dim: int, parts: int, rng) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Directions, cuts and children of a random projection tree with ``parts`` leaves; a child below zero is the leaf ``~child``."""
+    ways, cuts, kids = [], [], []
+
+    def grow(rows: np.ndarray, parts: int, first: int) -> int:
+        if parts == 1:
+            return ~first
+        way = np.zeros(dim)
+        if len(rows) > 1:
+            a, b = rng.choice(rows, 2, replace=False)
+            way = x[a] - x[b]
+        if way @ way < 1e-12:
+            way = rng.standard_normal(dim)
+        way = way / np.sqrt(way @ way)
+        places = x[rows] @ way
+        cut = float(np.quantile(places, parts // 2 / parts)) if len(rows) else 0.0
+        at = len(ways)
+        ways.append(way)
+        cuts.append(cut)
+        kids.append([0, 0])
+        kids[at] = [grow(rows[places <= cut], parts // 2, first), grow(rows[places > cut], parts - parts // 2, first + parts // 2)]
+        return at
+
+    grow(np.arange(len(x)), parts, 0)
+    return np.array(ways).reshape(-1, dim), np.array(cuts), np.array(kids, np.int64).reshape(-1, 2)
+
+
+def _leaves(tree: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray, probes: int) -> np.ndarray:
+    """Each row's leaf and those behind the cuts nearest to it, ``probes`` columns; -1 where it has met fewer cuts."""
+    ways, cuts, kids = tree
+
+    def down(at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        gaps, others = [], []
+        while (inside := at >= 0).any():
+            node = np.maximum(at, 0)
+            off = np.einsum("ij,ij->i", x, ways[node]) - cuts[node]
+            side = (off > 0).astype(np.int64)
+            gaps.append(np.where(inside, np.abs(off), np.inf))
+            others.append(kids[node, 1 - side])
+            at = np.where(inside, kids[node, side], at)
+        return ~at, gaps, others
+
+    found = np.full((len(x), probes), -1, np.int64)
+    if not len(ways):
+        found[:, 0] = 0
+        return found
+    found[:, 0], gaps, others = down(np.zeros(len(x), np.int64))
+    gaps, others, rows = np.stack(gaps), np.stack(others), np.arange(len(x))
+    order = np.argsort(gaps, axis=0, kind="stable")
+    for k in range(min(probes - 1, len(order))):
+        leaf = down(others[order[k], rows])[0]
+        found[:, k + 1] = np.where(np.isfinite(gaps[order[k], rows]), leaf, -1)
+    return found
+
+
+def single(nodes: DataFrame, seed: int, trees: int) -> tuple[DataFrame, int]:
+    """Rows (id, dim, vec in single precision, place: own and next leaves in each upper tree), and the number of leaves of a tree."""
+    parts = {r["dim"]: max(1, r["count"] // PARTITION_ROWS) for r in nodes.groupBy("dim").count().collect()}
+    count = nodes.count()
+    share = SAMPLED * sum(p for p in parts.values() if p > 1) / max(1, count)
+    scale = 1 << 30
+    sample = nodes.filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(scale)) < int(share * scale)).filter(
+        F.col("dim").isin([d for d, p in parts.items() if p > 1])).select("dim", "vec").toArrow()  # SAMPLED rows a leaf
+    upper, probes = {}, 1
+    for dim, p in parts.items():
+        x = _matrix(sample.filter(pa.array(sample.column(0).to_numpy() == dim)).column(1).combine_chunks(), dim)
+        upper[dim] = [_cuts(x, dim, p, np.random.default_rng([seed + t, dim])) for t in range(trees)]
+        probes = max(probes, 1 + p.bit_length() // 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,12 +145,13 @@ def single(nodes: DataFrame, seed: int, trees: int) -> DataFrame:
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
                 x = _matrix(part.column(2), dim)
-                directions = np.random.default_rng([seed, dim]).standard_normal((trees, dim))
+                place = np.stack([_leaves(tree, x, probes) for tree in upper[dim]], axis=1)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array([row.tobytes() for row in x.astype(np.float32)], pa.binary()),
-                    pa.array(list(x @ directions.T), pa.list_(pa.float64()))], names=["id", "dim", "vec", "place"])
+                    pa.array(place.tolist(), pa.list_(pa.list_(pa.int32())))], names=["id", "dim", "vec", "place"])
 
-    return nodes.select("id", "dim", "vec").mapInArrow(run, "id bigint, dim int, vec binary, place array<double>")
+    rows = nodes.select("id", "dim", "vec").mapInArrow(run, "id bigint, dim int, vec binary, place array<array<int>>")
+    return rows, max(1, sum(parts.values()))
 
 
 EDGE = "u bigint, v bigint, sim float"
@@ -86,8 +161,11 @@ def _edges(u, v, sim) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(sim, pa.float32())], names=["u", "v", "sim"])
 
 
-def _tree(seed: int, width: int):
-    """Leaves of a random projection tree over the task's rows, and each row's nearest in its leaf."""
+def _tree(seed: int, width: int, threshold: float):
+    """Leaves of a random projection tree over each upper leaf (dim, leaf, probe, id, vec), and each row's nearest in them.
+
+    A row lent to an upper leaf lists there what is at or above the threshold only; its list comes from its own leaf.
+    """
 
     def leaves(x: np.ndarray, rng) -> Iterator[np.ndarray]:
         todo = [np.arange(len(x))]
@@ -99,33 +177,34 @@ def _tree(seed: int, width: int):
             # Between two random rows, cut at the median, so the depth is bounded even for copies.
             a, b = rng.choice(rows, 2, replace=False)
             side = np.argsort(x[rows] @ (x[a] - x[b]), kind="stable")
-            todo += [rows[side[:len(rows) // 2]], rows[side[len(rows) // 2:]]]
+            half, lap = len(rows) // 2, int(OVERLAP * len(rows))
+            todo += [rows[side[:half + lap]], rows[side[half - lap:]]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def search() -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(held).combine_chunks()
-            dims = table.column(1).to_numpy()
-            for dim in np.unique(dims).tolist():
-                part = table.filter(pa.array(dims == dim))
-                ids, x = part.column(0).to_numpy(), _matrix(part.column(2), dim, np.float32)
-                for rows in leaves(x, np.random.default_rng([seed, dim, len(ids)])):
-                    if len(rows) < 2:
-                        continue
-                    sims = x[rows] @ x[rows].T
-                    np.fill_diagonal(sims, -2)
-                    k = min(width, len(rows) - 1)
-                    near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-                    yield _edges(np.repeat(ids[rows], k), ids[rows][near.ravel()], np.take_along_axis(sims, near, 1).ravel())
-
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= 2 * PARTITION_ROWS:
-                yield from search()
-                held = []
-        if held:
-            yield from search()
+        for held in runs(batches, 2):
+            dim, leaf = (held.column(k)[0].as_py() for k in (0, 1))
+            own, ids = held.column(2).to_numpy() == 0, held.column(3).to_numpy()
+            x = _matrix(held.column(4).combine_chunks(), dim, np.float32)
+            found = []
+            for rows in leaves(x, np.random.default_rng([seed, dim, leaf])):
+                if len(rows) < 2:
+                    continue
+                sims = x[rows] @ x[rows].T
+                np.fill_diagonal(sims, -2)
+                k = min(width, len(rows) - 1)
+                near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+                u, v, sim = np.repeat(rows, k), rows[near.ravel()], np.take_along_axis(sims, near, 1).ravel()
+                kept = own[u] | (sim >= threshold - MARGIN)
+                found.append((u[kept] * len(ids) + v[kept], sim[kept]))
+            if not found:
+                continue
+            pair, first = np.unique(np.concatenate([pairs for pairs, _ in found]), return_index=True)
+            sim = np.concatenate([sims for _, sims in found])[first]
+            u, v = np.divmod(pair, len(ids))
+            order = np.lexsort((-sim, u))
+            u, v, sim = u[order], v[order], sim[order]
+            kept = np.arange(len(u)) - np.searchsorted(u, u) < width
+            yield _edges(ids[u[kept]], ids[v[kept]], sim[kept])
 
     return run
 
@@ -138,34 +217,66 @@ def best(edges: DataFrame, width: int, most: int, threshold: float) -> DataFrame
         (F.col("rank") <= width) | (F.col("rank") <= most) & (F.col("sim") >= threshold - MARGIN)).drop("rank")
 
 
-def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Better neighbours among the members (pivot, dim, id, new, worst, vec) of each pivot."""
+def _local_join(most: int):
+    """Better neighbours among the members (pivot, i, j, dim, id, new, worst, block, vec) of each pair of a pivot's blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, 3):
+            i, j, dim = (rows.column(k)[0].as_py() for k in (1, 2, 3))
+            ids, new, worst, block = (rows.column(k).to_numpy() for k in (4, 5, 6, 7))
+            x = _matrix(rows.column(8).combine_chunks(), dim, np.float32)
+            sims = x @ x.T
+            good = (new[:, None] | new[None, :]) & (sims > worst[:, None]) & (ids[:, None] != ids[None, :])
+            if i != j:
+                good &= block[:, None] != block[None, :]  # each block's own pairs are another group's
+            if most < len(ids):  # no list takes more
+                sims[~good] = -3
+                near = np.argpartition(-sims, most - 1, axis=1)[:, :most]
+                a = np.repeat(np.arange(len(ids)), most)
+                b = near.ravel()
+                kept = good[a, b]
+                a, b = a[kept], b[kept]
+            else:
+                a, b = np.nonzero(good)
+            if len(a):
+                yield _edges(ids[a], ids[b], sims[a, b])
+
+    return run
 
-    def join(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        dim = rows.column(1)[0].as_py()
-        ids, new, worst = (rows.column(i).to_numpy() for i in (2, 3, 4))
-        x = _matrix(rows.column(5).combine_chunks(), dim, np.float32)
-        sims = x @ x.T
-        good = (new[:, None] | new[None, :]) & (sims > worst[:, None]) & (ids[:, None] != ids[None, :])
-        a, b = np.nonzero(good)
-        if len(a):
-            yield _edges(ids[a], ids[b], sims[a, b])
 
-    for rows in runs(batches, 1):
-        for a in range(0, rows.num_rows, GROUP):
-            yield from join(rows.slice(a, GROUP))
+def _members(lists: DataFrame, threshold: float) -> DataFrame:
+    """(pivot, i, j, id, new, block): neighbours, forward and reverse, of every node with a new one, for each pair of blocks they meet in.
+
+    More than ``GROUP`` members are dealt to blocks, those linked to the pivot, which are in one component, apart from the
+    others.  Others meet all members, linked ones meet those of their own block and the others.
+    """
+    linked = F.col("sim") >= threshold - MARGIN
+    both = lists.select(F.col("u").alias("pivot"), F.col("v").alias("id"), "new", linked.alias("linked")).union(
+        lists.select(F.col("v").alias("pivot"), F.col("u").alias("id"), "new", linked.alias("linked")))
+    both = both.groupBy("pivot", "id").agg(F.max("new").alias("new"), F.max("linked").alias("linked"))
+    blocks = both.groupBy("pivot").agg(F.max("new").alias("any"), F.count("*").alias("n"), F.count_if("linked").alias("m")).filter("any").select(
+        "pivot", (F.col("n") <= GROUP).alias("one"), F.ceil((F.col("n") - F.col("m")) / GROUP).cast("int").alias("others"),
+        F.ceil(F.col("m") / GROUP).cast("int").alias("ties"))
+    spot = F.when(F.col("one"), 0).when(F.col("linked"), F.col("others") + F.pmod(F.xxhash64("id"), F.col("ties").cast("bigint"))).otherwise(
+        F.pmod(F.xxhash64("id"), F.greatest(F.col("others"), F.lit(1)).cast("bigint"))).cast("int")
+    placed = both.join(blocks, "pivot").withColumn("block", spot)
+    of_others = F.when(F.col("others") > 0, F.sequence(F.lit(0), F.col("others") - 1)).otherwise(F.array().cast("array<int>"))
+    met = F.when(F.col("one"), F.array(F.lit(0))).when(F.col("linked"), F.concat(of_others, F.array("block"))).otherwise(
+        F.sequence(F.lit(0), F.col("others") + F.col("ties") - 1))
+    return placed.withColumn("met", F.explode(met)).select(
+        "pivot", F.least("block", "met").alias("i"), F.greatest("block", "met").alias("j"), "id", "new", "block")
 
 
 def descend(nodes: DataFrame, threshold: float, seed: int, width: int, trees: int,
             start: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Written neighbour lists (u, v, sim, new) after the last round, and the components of their pairs above the threshold."""
-    count = nodes.count()
-    single_nodes = written(single(nodes, seed, trees), "single")
-    parts = max(1, count // PARTITION_ROWS)
+    rows, parts = single(nodes, seed, trees)
+    single_nodes = written(rows, "single")
     found = None
     for t in range(trees):
-        tree = single_nodes.select("id", "dim", "vec", F.col("place")[t].alias("at")).repartitionByRange(parts, "dim", "at").select(
-            "id", "dim", "vec").mapInArrow(_tree(seed + t, width), EDGE)
+        tree = single_nodes.select("dim", "id", "vec", F.posexplode(F.col("place")[t]).alias("probe", "leaf")).filter("leaf >= 0").select(
+            "dim", "leaf", "probe", "id", "vec").repartition(parts, "dim", "leaf").sortWithinPartitions("dim", "leaf", "id").mapInArrow(
+            _tree(seed + t, width, threshold), EDGE)
         found = tree if found is None else found.union(tree)
     found = found.withColumn("new", F.lit(True))
     if start is not None:
@@ -173,23 +284,23 @@ def descend(nodes: DataFrame, threshold: float, seed: int, width: int, trees: in
     lists = written(best(found, width, width, threshold), "lists")
     labels, before = None, None
     for turn in range(1, MAX_ROUNDS + 1):
-        worst = lists.groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("low")).select(
-            F.col("u").alias("id"), F.when((F.col("n") >= width) & (F.col("low") < threshold), F.col("low")).alias("worst"))
-        both = lists.select(F.col("u").alias("pivot"), F.col("v").alias("id"), "new").union(
-            lists.select(F.col("v").alias("pivot"), F.col("u").alias("id"), "new"))
-        both = both.groupBy("pivot", "id").agg(F.max("new").alias("new"))
-        fresh = both.filter("new").select("pivot").distinct()
-        members = both.join(fresh, "pivot").join(single_nodes.join(worst, "id", "left").select(
-            "id", "dim", "vec", F.coalesce("worst", F.lit(-2.0)).cast("float").alias("worst")), "id")
+        most = width << min(turn, GROWING)
         # Saturated lists take what is at or above the threshold only.
-        dealt = members.select("pivot", "dim", "id", "new", "worst", "vec").repartition("pivot").sortWithinPartitions("pivot", "id")
-        better = dealt.mapInArrow(_local_join, EDGE).withColumn("new", F.lit(True))
-        lists = written(best(lists.withColumn("new", F.lit(False)).unionByName(better), width, width << turn, threshold), "lists")
-        pairs = lists.filter(F.col("sim") >= threshold - MARGIN).select(F.col("u").alias("a"), F.col("v").alias("b"))
-        labels = written(components(pairs), "labels")
+        worst = written(lists.groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("low")).filter(F.col("n") >= width).select(
+            F.col("u").alias("id"), F.least("low", F.lit(threshold - MARGIN)).cast("float").alias("worst"), (F.col("low") >= threshold - MARGIN).alias("saturated")), "worst")
+        members = _members(lists, threshold).join(single_nodes.join(worst, "id", "left").select(
+            "id", "dim", "vec", F.coalesce("worst", F.lit(-2.0)).cast("float").alias("worst")), "id")
+        dealt = members.select("pivot", "i", "j", "dim", "id", "new", "worst", "block", "vec").repartition("pivot", "i", "j").sortWithinPartitions(
+            "pivot", "i", "j", "id")
+        better = dealt.mapInArrow(_local_join(most), EDGE).withColumn("new", F.lit(True))
+        lists = written(best(lists.withColumn("new", F.lit(False)).unionByName(better), width, most, threshold), "lists")
+        linked = lists.filter(F.col("sim") >= threshold - MARGIN)
+        labels = written(components(linked.select(F.col("u").alias("a"), F.col("v").alias("b"))), "labels")
         now = labels.agg(F.count("*").alias("nodes"), F.count_if(F.col("node") == F.col("component")).alias("parts")).first()
         if now == before:
-            break
+            gained = linked.filter("new").join(worst.filter("saturated").select(F.col("id").alias("u")), "u", "left_anti").count()
+            if gained <= HARDLY * now["nodes"]:
+                break
         before = now
     return lists, labels
 

@@ -213,3 +213,25 @@ def test_no_vectors(spark):
     assert neighbours.near_duplicates(vectors(spark, [])).count() == 0
     found = neighbours.near_duplicates(vectors(spark, [(5, None), (None, [1.0])])).collect()
     assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in found) == [(0, 0, 0, True), (5, 0, 5, True)]
+
+
+def nodes_of(spark, x):
+    rows = [(i, len(v), bytes(np.asarray(v, float) / np.linalg.norm(v)), 1) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "id long, dim int, vec binary, n long").repartition(4).localCheckpoint()
+
+
+def test_pairs_are_found_however_many_partitions(spark, monkeypatch):
+    """Isolated pairs just above the threshold, in a table of 80 partitions whose pivots exceed a block."""
+    monkeypatch.setattr(neighbours, "PARTITION_ROWS", 100)
+    monkeypatch.setattr(neighbours, "GROUP", 12)
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y = rng.standard_normal((4000, 64))
+    y -= (y * x).sum(1)[:, None] * x
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    pairs = np.stack([x, 0.91 * x + np.sqrt(1 - 0.91 ** 2) * y], 1).reshape(-1, 64)
+    _, labels = neighbours.descend(nodes_of(spark, pairs), 0.9, 9, neighbours.WIDTH, neighbours.TREES)
+    component = {r.node: r.component for r in labels.collect()}
+    met = sum(component.get(2 * i, -1) == component.get(2 * i + 1, -2) for i in range(4000))
+    assert met >= 0.95 * 4000, met
