@@ -13,9 +13,12 @@
 * These pairs connect nodes to components.  All links of a node lie in its component, so block
   products in double precision inside each component give every link, the exact number of them for
   each vector, and no false one; pairs never leave a task.
-* An audit compares sampled vectors with all others; below the wanted recall the search goes on with new trees.
+* An audit compares sampled vectors with all others, those with few found links apart from the rest, until enough of
+  them have true links.  The mean recall of a node counts, of nodes with few and with many true links the lower one;
+  below the wanted recall, or with too few links seen, the search goes on with new trees.
 """
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +38,11 @@ SAMPLED, OVERLAP = 32, 0.05
 GROWING, HARDLY = 6, 1e-3
 #: Similarities are computed in single precision before the block products.
 MARGIN = 1e-3
-AUDITED, WANTED_RECALL = 256, 0.95
+WANTED_RECALL = 0.95
+#: Audited nodes with few found links and with more, at first and, of the former, at most; of them so many must have links.
+AUDITED, MOST_AUDITED, LINKED = 256, 8192, 100
+#: Links up to which a node has few; rows that an audit compares at a time.
+FEW, AUDIT_ROWS = 8, 1024
 
 NODE = "id bigint, dim int, vec binary"
 
@@ -342,9 +349,8 @@ def links_within(nodes: DataFrame, labels: DataFrame, threshold: float) -> DataF
     return written(dealt.mapInArrow(_blocks(threshold), "id bigint, links bigint, label bigint"), "links")
 
 
-def audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Recall of the links of ``AUDITED`` nodes against all nodes; 1 if they have none."""
-    queries = nodes.orderBy(F.xxhash64("id")).limit(AUDITED).select("id", "dim", "vec").toArrow()  # bounded
+def _true_links(nodes: DataFrame, queries: pa.Table, threshold: float) -> dict[int, int]:
+    """Links of the queries (id, dim, vec) against all nodes."""
     ids, dims = queries.column(0).to_numpy(), queries.column(1).to_numpy()
     tables = {dim: (np.flatnonzero(dims == dim), _matrix(queries.filter(pa.array(dims == dim)).column(2).combine_chunks(), dim))
               for dim in np.unique(dims).tolist()}
@@ -355,15 +361,49 @@ def audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
             own = batch.column(1).to_numpy()
             for dim, (rows, x) in tables.items():
                 part = batch.filter(pa.array(own == dim))
-                if part.num_rows:
-                    near = x @ _matrix(part.column(2), dim).T >= threshold
-                    near &= ids[rows][:, None] != part.column(0).to_numpy()[None, :]
-                    total[rows] += near @ part.column(3).to_numpy()
+                for a in range(0, part.num_rows, AUDIT_ROWS):
+                    some = part.slice(a, AUDIT_ROWS)
+                    q, r = np.nonzero(x @ _matrix(some.column(2), dim).T >= threshold)
+                    other = ids[rows[q]] != some.column(0).to_numpy()[r]
+                    np.add.at(total, rows[q[other]], some.column(3).to_numpy()[r[other]])
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "links"])
 
     true = nodes.select("id", "dim", "vec", "n").mapInArrow(run, "id bigint, links bigint").groupBy("id").agg(F.sum("links").alias("true"))
-    row = true.join(counts, "id", "left").agg(F.sum("true").alias("true"), F.sum(F.coalesce("links", F.lit(0))).alias("found")).first()
-    return 1.0 if not row["true"] else row["found"] / row["true"]
+    return {r["id"]: r["true"] for r in true.collect()}  # a row for each query
+
+
+def audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> tuple[float, bool]:
+    """Mean recall of a linked node's links, and whether enough nodes with links were seen to say so.
+
+    Audited are nodes with few found links, where lost ones are, and nodes with more.  Weighted by how many such nodes there
+    are, they give the recall of nodes with few and with many true links; the lower counts.  The audited with few found
+    links grow until ``LINKED`` of them have true ones or all are audited.  1 if none has.
+    """
+    known = written(nodes.join(counts, "id", "left").select("id", "dim", "vec", F.coalesce("links", F.lit(0)).alias("found")), "audited")
+    loose = F.col("found") <= FEW
+    sizes = known.agg(F.count_if(loose).alias("loose"), F.count_if(~loose).alias("dense")).first()
+    audited = AUDITED
+    seen: list[tuple[int, int, float]] = []  # true links, found links, weight
+
+    def look(pool: F.Column, size: int, wanted: int) -> list[tuple[int, int, float]]:
+        queries = known.filter(pool).orderBy(F.xxhash64("id")).limit(wanted).toArrow()  # bounded
+        if not queries.num_rows:
+            return []
+        true = _true_links(nodes, queries, threshold)
+        return [(true[i], f, size / queries.num_rows) for i, f in zip(queries.column(0).to_pylist(), queries.column(3).to_pylist()) if true[i]]
+
+    dense = look(~loose, sizes["dense"], AUDITED)
+    while True:
+        seen = look(loose, sizes["loose"], audited)
+        enough = len(seen) >= LINKED or audited >= sizes["loose"]
+        if enough or audited >= MOST_AUDITED:
+            break
+        audited = min(4 * audited, MOST_AUDITED)
+    recalls = []
+    for some in ([r for r in seen + dense if r[0] <= FEW], [r for r in seen + dense if r[0] > FEW]):
+        if some:
+            recalls.append(sum(min(1.0, f / t) * w for t, f, w in some) / sum(w for _, _, w in some))
+    return min(recalls, default=1.0), enough
 
 
 def near_duplicates(df: DataFrame, threshold: float = 0.9, width: int = WIDTH, trees: int = TREES, seed: int = 9,
@@ -372,7 +412,8 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, width: int = WIDTH, t
 
     Linked: cosine at or above the threshold, in double precision; vectors of different lengths never are.
     A null, empty or zero vector, one with null or non-finite components, or without id, has no links and is its own component.
-    Equal vectors are linked, copies of one another.  Raises if no attempt reaches ``WANTED_RECALL``.
+    Equal vectors are linked, copies of one another.  Raises if no attempt reaches ``WANTED_RECALL``, and warns if
+    even the last audit saw too few linked nodes to tell.
     """
     units = written(unit_vectors(df), "units")
     nodes = written(units.groupBy("dim", "vec").agg(F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
@@ -381,11 +422,13 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, width: int = WIDTH, t
         lists, labels = descend(nodes, threshold, seed + 100 * attempt, width, trees, lists)
         found = links_within(nodes, labels, threshold)
         counts = written(found.groupBy("id").agg(F.sum("links").alias("links")), "counts")
-        recall = audit(nodes, counts, threshold)
-        if recall >= WANTED_RECALL:
+        recall, enough = audit(nodes, counts, threshold)
+        if enough and recall >= WANTED_RECALL:
             break
     else:
-        raise RuntimeError(f"recall {recall:.3f} after {attempts} attempts")
+        if recall < WANTED_RECALL:
+            raise RuntimeError(f"recall {recall:.3f} after {attempts} attempts")
+        warnings.warn(f"not audited: under {LINKED} of {MOST_AUDITED} audited vectors with few found links have any", stacklevel=2)
     labels = components(found.select(F.col("id").alias("a"), F.col("label").alias("b")))
     known = written(nodes.join(counts, "id", "left").join(labels, F.col("id") == F.col("node"), "left").select(
         "dim", "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")), "known")

@@ -235,3 +235,19 @@ def test_pairs_are_found_however_many_partitions(spark, monkeypatch):
     component = {r.node: r.component for r in labels.collect()}
     met = sum(component.get(2 * i, -1) == component.get(2 * i + 1, -2) for i in range(4000))
     assert met >= 0.95 * 4000, met
+
+
+def test_audit_sees_lost_pairs_beside_a_large_group(spark, monkeypatch):
+    """A third of the vectors is one group; of the isolated pairs, one in a hundred vectors, every link is lost."""
+    rng = np.random.default_rng(3)
+    group = rng.standard_normal(32) * 3 + 0.3 * rng.standard_normal((1000, 32))
+    pairs = np.repeat(rng.standard_normal((15, 32)), 2, axis=0) + 0.01 * rng.standard_normal((30, 32))
+    x = np.concatenate([group, pairs, rng.standard_normal((1970, 32))])
+    nodes = nodes_of(spark, x)
+    counts = spark.createDataFrame([(i, 999) for i in range(1000)], "id long, links long")
+    recall, enough = neighbours.audit(nodes, counts, 0.9)
+    assert recall < 0.1 and enough
+    whole = counts.union(spark.createDataFrame([(i, 1) for i in range(1000, 1030)], "id long, links long"))
+    assert neighbours.audit(nodes, whole, 0.9) == (1.0, True)
+    monkeypatch.setattr(neighbours, "MOST_AUDITED", 512)
+    assert neighbours.audit(nodes.filter("id >= 1030"), counts.limit(0), 0.9) == (1.0, False)
