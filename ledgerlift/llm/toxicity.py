@@ -28,8 +28,6 @@ SAMPLE = (20_000, 5000)
 LEAST_RATIO, LEAST_EVIDENCE = 3.0, 25.0
 #: Features so many times as often in toxic documents are strong: one of them, whichever, counts by itself.
 STRONG_RATIO = 50.0
-#: Features kept, those with the most evidence.
-MOST_FEATURES = 300
 STEPS, RATE, RIDGE = 500, 0.1, 1e-5
 
 
@@ -105,8 +103,23 @@ def marking(sample: DataFrame, sizes: tuple[int, int]) -> tuple[np.ndarray, np.n
     evidence = 2 * (part(toxic, both * share) + part(clean, both * (1 - share)))
     ratio = ((toxic + 0.01) / sizes[1]) / ((clean + 0.5) / sizes[0])
     good = np.flatnonzero((evidence >= LEAST_EVIDENCE) & (ratio >= LEAST_RATIO))
-    chosen = np.sort(good[np.lexsort((good, -evidence[good]))][:MOST_FEATURES])
-    return chosen, ratio[chosen] >= STRONG_RATIO
+    return good, ratio[good] >= STRONG_RATIO
+
+
+@dataclass
+class Sparse:
+    """The entries of a matrix with few of them, for products with a vector."""
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    @property
+    def T(self) -> "Sparse":
+        return Sparse(self.column, self.row, self.value, self.shape[::-1])
+
+    def __matmul__(self, vector: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * vector[self.column], minlength=self.shape[0])
 
 
 def fit(sample: DataFrame) -> Ordinal:
@@ -138,15 +151,14 @@ def fit(sample: DataFrame) -> Ordinal:
     at, total = at.flatten().to_numpy(), rows.column("words").to_numpy()
     share = np.bincount(row, n, minlength=len(toxic)) / np.maximum(total, 1)
     grade = np.where(toxic, 1 + (share[:, None] > np.quantile(share[toxic], [1 / 3, 2 / 3])).sum(1), 0)
-    x = np.zeros((len(toxic), 2 * len(chosen) + 1), np.float32)
-    x[row, at] = 1
-    x[row, len(chosen) + at] = density(n, total[row])
-    x[row[strong[at]], -1] = 1
+    marked = np.unique(row[strong[at]])
+    x = Sparse(np.concatenate([row, row, marked]), np.concatenate([at, len(chosen) + at, np.full(len(marked), 2 * len(chosen))]),
+               np.concatenate([np.ones(len(row)), density(n, total[row]), np.ones(len(marked))]), (len(toxic), 2 * len(chosen) + 1))
     weights, thresholds = descend(x, grade)
     return Ordinal(chosen, weights[:len(chosen)], weights[len(chosen):-1], strong, float(weights[-1]), thresholds)
 
 
-def descend(x: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def descend(x: np.ndarray | Sparse, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by Adam on the likelihood; the gaps between thresholds are exponentials, so their order holds."""
     n, width = x.shape
     rows = np.arange(n)
@@ -185,7 +197,7 @@ def grade(df: DataFrame, model: Ordinal, text: str = "text", keep: tuple[str, ..
     """
     kept = df.select(*keep, df[text].alias("_text"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    sent = df.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_FEATURES
+    sent = df.sparkSession.sparkContext.broadcast(model)  # bounded by BUCKETS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")

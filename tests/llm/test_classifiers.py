@@ -139,6 +139,27 @@ def test_toxic_documents_are_found(spark):
     assert np.mean(strong) > np.mean(weak) + 0.5
 
 
+
+def test_every_marking_word_counts(spark):
+    """Documents with frequent marking words, of 350 buckets, and others with rarer ones only."""
+    rng = np.random.default_rng(6)
+    made = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 9)) for _ in range(90)]
+    frequent, rare = made[:50], made[50:]
+    rows, marks = [], []
+    for i in range(4000):
+        words = ["w%d" % k for k in rng.integers(0, 300, 40)]
+        kind = i % 10
+        if kind < 3:
+            words += rng.choice(rare if kind == 0 else frequent, 3, replace=False).tolist()
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(kind < 3)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = toxicity.classify(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int")).filter("held_out").collect()
+    for kind in (0, 1, 2):
+        assert np.mean([r.predicted for r in found if r.doc_id % 10 == kind]) >= 0.95
+    assert np.mean([r.predicted for r in found if r.doc_id % 10 > 2]) <= 0.01
+
+
 def test_thresholds_are_ordered():
     rng = np.random.default_rng(4)
     x = rng.integers(0, 2, (800, 5)).astype(np.float32)
