@@ -68,7 +68,7 @@ class Ordinal:
             hit = np.flatnonzero(self.chosen[at] == bucket)
             row = np.searchsorted(bounds, hit, side="right") - 1
             part = self.present[at[hit]] + self.dense[at[hit]] * density(counts[hit], total[row])
-            margin = np.bincount(row, part, minlength=len(total))
+            margin = np.bincount(row, part, minlength=len(total)).astype(float)  # whole numbers if no row has a hit
             margin += self.any_strong * (np.bincount(row, self.strong[at[hit]], minlength=len(total)) > 0)
         return sigmoid(margin[:, None] - self.thresholds)
 
@@ -119,7 +119,7 @@ class Sparse:
         return Sparse(self.column, self.row, self.value, self.shape[::-1])
 
     def __matmul__(self, vector: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * vector[self.column], minlength=self.shape[0])
+        return np.bincount(self.row, self.value * vector[self.column], minlength=self.shape[0]).astype(float)
 
 
 def fit(sample: DataFrame) -> Ordinal:

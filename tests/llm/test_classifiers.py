@@ -160,6 +160,13 @@ def test_every_marking_word_counts(spark):
     assert np.mean([r.predicted for r in found if r.doc_id % 10 > 2]) <= 0.01
 
 
+
+def test_rows_without_marking_features_have_a_score():
+    model = toxicity.Ordinal(np.array([5]), np.ones(1), np.ones(1), np.ones(1, bool), 1.0, np.array([1.0, 2.0, 3.0]))
+    found = model.at_least(np.array([3, 9]), np.array([1, 2]), np.array([0, 1, 2]), np.array([4, 4]))
+    assert np.allclose(found, toxicity.sigmoid(-model.thresholds))
+
+
 def test_thresholds_are_ordered():
     rng = np.random.default_rng(4)
     x = rng.integers(0, 2, (800, 5)).astype(np.float32)
