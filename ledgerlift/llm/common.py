@@ -87,6 +87,22 @@ def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return df.join(_checked(ids), column, "left_anti")
 
 
+#: A key that holds more than this share of all rows is heavy; so at most ``HEAVY`` keys are.
+HEAVY = 10_000
+
+
+def by_heavy_keys(df: DataFrame, totals: DataFrame, key: str, rows: int) -> DataFrame:
+    """``df`` left-joined with the written ``totals`` (one row of each ``key``, with its number ``n`` of rows in ``df``).
+
+    ``rows`` is the number of rows of ``df``.  Rows of heavy keys, of which there are at most ``HEAVY``, meet a broadcast
+    and stay where they are; those of all other keys are shuffled, of which none has more than a ``HEAVY``-th part.
+    """
+    heavy = F.broadcast(totals.filter(F.col("n") * HEAVY > rows).drop("n"))
+    light = totals.filter(F.col("n") * HEAVY <= rows).drop("n")
+    rest = df.join(heavy.select(key), key, "left_anti").join(light, key, "left")
+    return rest.unionByName(df.join(heavy, key))
+
+
 #: Edges that one task reduces to a forest.
 FOREST_EDGES = 2_000_000
 

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.llm.common import documents, ship
+from ledgerlift.llm.filter_audit import steps
 from ledgerlift.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +96,14 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import filter_audit
+
+    ship(spark)
+    return filter_audit.audit(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"), _labels(spark, sf_dir))
+
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 SQL["op1_jaccard_join"] = rf"""WITH RECURSIVE
@@ -110,6 +119,25 @@ reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l
 SELECT doc_id, n_shingles, LEAST(doc_id, COALESCE((SELECT MIN(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id,
     LEAST(doc_id, COALESCE((SELECT MIN(b) FROM links WHERE a = doc_id AND equal), doc_id)) AS class_id FROM n"""
 
+_ORDERS = ", ".join(f"('{o}', {k}, {s}, {b}, {n})" for o, k, s, b, n in steps())
+
+SQL["op13_filter_audit"] = rf"""WITH
+w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws FROM documents),
+j AS (SELECT part, CAST(len(ws) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(ws)) < 80 * len(ws) AS INT)
+    + 4 * CAST(100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS INT)
+    + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(doc_id > MIN(doc_id) OVER (PARTITION BY text), false) AS INT) AS fails,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND quality = 1) AS good,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND toxic = 1) AS toxic FROM w),
+p AS (SELECT part, fails, COUNT(*) AS n, COUNT(*) FILTER (good) AS good, COUNT(*) FILTER (toxic) AS toxic FROM j GROUP BY 1, 2),
+o(filter_order, step, before, bit, orders) AS (VALUES {_ORDERS}),
+s AS (SELECT part, filter_order, step, before, bit, SUM(n) FILTER (fails & (before | bit) = 0) AS kept,
+    SUM(n) FILTER (fails & before = 0 AND fails & bit <> 0) AS removed, SUM(n) FILTER (fails & before <> 0 AND fails & bit <> 0) AS redundant,
+    SUM(n) FILTER (fails = bit) AS unique_fails, SUM(good) FILTER (fails & before = 0 AND fails & bit <> 0) AS good_lost,
+    SUM(toxic) FILTER (fails & before = 0 AND fails & bit <> 0) AS toxic_lost FROM p, o GROUP BY 1, 2, 3, 4, 5),
+v AS (SELECT part, bit, SUM(removed) AS shapley FROM s GROUP BY 1, 2)
+SELECT part, filter_order, CAST(step AS INT) AS step, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in (
+    "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"))} FROM s JOIN v USING (part, bit)"""
+
 SQL["op9_embedding_near_dedup"] = """WITH RECURSIVE
 v AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
