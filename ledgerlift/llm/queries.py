@@ -96,6 +96,13 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import lexical
+
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlift.llm import filter_audit
@@ -119,10 +126,26 @@ reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l
 SELECT doc_id, n_shingles, LEAST(doc_id, COALESCE((SELECT MIN(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id,
     LEAST(doc_id, COALESCE((SELECT MIN(b) FROM links WHERE a = doc_id AND equal), doc_id)) AS class_id FROM n"""
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+SQL["op11_lexical_search"] = rf"""WITH
+d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') AS ts FROM documents),
+a AS (SELECT row, doc_id, len(ts) AS n FROM d WHERE len(ts) > 0),
+z AS (SELECT CAST(COUNT(*) AS BIGINT) AS docs, CAST(SUM(n) AS BIGINT) AS total FROM a),
+t AS (SELECT row, term, CAST(COUNT(*) AS BIGINT) AS tf FROM (SELECT row, unnest(ts) AS term FROM d) GROUP BY 1, 2),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}')) AS term FROM benchmark),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+    FROM t JOIN (SELECT DISTINCT term FROM i) USING (term), z GROUP BY term, docs),
+s AS (SELECT item_id, doc_id, row, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+    FROM i JOIN w USING (term) JOIN t USING (term) JOIN a USING (row), z GROUP BY 1, 2, 3),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50"""
+
 _ORDERS = ", ".join(f"('{o}', {k}, {s}, {b}, {n})" for o, k, s, b, n in steps())
 
 SQL["op13_filter_audit"] = rf"""WITH
-w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws FROM documents),
+w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws FROM documents),
 j AS (SELECT part, CAST(len(ws) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(ws)) < 80 * len(ws) AS INT)
     + 4 * CAST(100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS INT)
     + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(doc_id > MIN(doc_id) OVER (PARTITION BY text), false) AS INT) AS fails,
