@@ -71,20 +71,20 @@ def fold(column: str, parts: int) -> F.Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def _checked(ids: DataFrame) -> DataFrame:
-    """The ids to broadcast if they are few, else as they are."""
+def checked(ids: DataFrame) -> DataFrame:
+    """The written ``ids`` to broadcast if they are few, else as they are."""
     few = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
     return F.broadcast(ids) if few else ids
 
 
 def among(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """Rows of ``df`` whose ``column`` is in the distinct ``ids``."""
-    return df.join(_checked(ids), column, "left_semi")
+    return df.join(checked(ids), column, "left_semi")
 
 
 def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """Rows of ``df`` whose ``column`` is null or not in the distinct ``ids``."""
-    return df.join(_checked(ids), column, "left_anti")
+    return df.join(checked(ids), column, "left_anti")
 
 
 #: A key that holds more than this share of all rows is heavy; so at most ``HEAVY`` keys are.

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import documents, ship
 from ledgerlift.llm.filter_audit import steps
@@ -103,6 +104,14 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
 
 
+@query
+def op12_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlift.llm import vector_search
+
+    ship(spark)
+    return vector_search.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlift.llm import filter_audit
