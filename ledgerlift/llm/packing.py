@@ -7,56 +7,105 @@ one task is left.  A task passes on at most ``carry`` bins, its emptiest; fuller
 are, so that the last task's work has a bound.
 """
 
-import gc
+import json
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlift.llm.common import claim
-from ledgerlift.llm.token_counts import CACHED_CHARS, ODD_SPACE
+from ledgerlift.llm.token_counts import CACHED_CHARS, CLOSING, ODD_SPACE, byte_alphabet
 from ledgerlift.session import written
 
-#: Chunks kept with their ids in a worker, in two generations.
+#: Words kept with their ids in a worker, in two generations.
 CACHED = 600_000
 
+#: Words of Latin letters, none of which normalisation or lower case turns into several.
+LATIN = regex.compile("[A-Za-z\\xC0-\\xD6\\xD8-\\xF6\\xF8-\\u012F\\u0131-\\u024F]+")
+
+
+#: The file's own split of a chunk; on ASCII text it means the same here.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 
 class ChunkEncoder:
-    """Ids of whole texts, by the library on every distinct chunk between white space.
+    """Ids of whole texts, by the library on every distinct word between white space.
 
-    For tokenizers that drop white space the ids of a text are the ids of its chunks in order.
+    For tokenizers that drop white space and split letters from what follows them, the ids of a text are the
+    ids of its chunks in order, and those of a chunk with one sign behind a letter are its word's and the sign's.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the threads
         self.tool = Tokenizer.from_file(path)
+        state = {part: json.loads(own.__getstate__()) for part in ("normalizer", "pre_tokenizer") if (own := getattr(self.tool, part))}
+        kinds = [n["type"] for n in state.get("normalizer", {}).get("normalizers", [])]
+        first = state.get("pre_tokenizer", {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex", "")
+        # Where the file splits letters, digits and signs so, the model can be asked for a lower-cased piece at once.
+        known = kinds == ["NFC", "Replace", "Lowercase"] and first == SPLIT and getattr(self.tool.model, "end_of_word_suffix", None)
+        self.split = regex.compile(SPLIT) if known else None
+        self.model = self.tool.model
+        self.shown = {b: c for b, c in enumerate(byte_alphabet())}
         self.cache: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _ask(self, piece: str) -> bytes:
+        """Ids of a piece that the split leaves whole, of Latin letters or of other printable ASCII."""
+        shown = piece.lower() if piece.isascii() else piece.lower().encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.cache.get(piece) or self.old.get(piece)
+        if known is None:
+            known = self._ask(piece)
+            if not piece.isalpha():  # signs and digits are few
+                self.cache[piece] = known
+        return known
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Have the ids of ``chunks`` in the cache: words first, which others are made of."""
+        cache, old, later, rest = self.cache, self.old, [], []
+        for c in chunks:
+            if (known := old.get(c)) is not None:
+                cache[c] = known
+            elif self.split and LATIN.fullmatch(c):
+                cache[c] = self._ask(c)
+            else:
+                later.append(c)
+        for c in later:
+            if self.split and c[-1] in CLOSING and LATIN.fullmatch(c, 0, len(c) - 1):
+                cache[c] = self._piece(c[:-1]) + self._piece(c[-1])
+            elif self.split and c.isascii() and c.isprintable() and "<|" not in c:
+                cache[c] = b"".join(map(self._piece, self.split.findall(c.lower())))
+            else:
+                rest.append(c)
+        for a in range(0, len(rest), 10_000):
+            some = rest[a:a + 10_000]
+            for c, e in zip(some, self.tool.encode_batch_fast(some, add_special_tokens=False)):
+                cache[c] = array("I", e.ids).tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
         cut = [t.split() if t and not ODD_SPACE.search(t) else [t] if t else [] for t in texts]
         if len(self.cache) > CACHED // 2:
             self.old, self.cache = self.cache, {}
-        cache, old, missing = self.cache, self.old, []
-        for c in set().union(*cut):
-            if c not in cache:
-                if c in old:
-                    cache[c] = old[c]
-                else:
-                    missing.append(c)
-        for a in range(0, len(missing), 50_000):
-            some = missing[a:a + 50_000]
-            for c, e in zip(some, self.tool.encode_batch_fast(some, add_special_tokens=False)):
-                cache[c] = b"".join([i.to_bytes(4, "little") for i in e.ids])
-        out = [b"".join([cache[c] for c in chunks]) for chunks in cut]
+        missing = set().union(*cut).difference(self.cache)
+        self._learn(missing)
+        ids = self.cache.__getitem__
+        out = [b"".join(map(ids, chunks)) for chunks in cut]
         for c in missing:
             if len(c) > CACHED_CHARS:
-                del cache[c]
+                del self.cache[c]
         return out
 
 
@@ -68,25 +117,23 @@ def encoder(path: str) -> ChunkEncoder:
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 
 
-def token_pieces(df: DataFrame, path: str, capacity: int, separator: int = 0, ids: bool = True, chars: int = 1_000_000) -> DataFrame:
+def token_pieces(df: DataFrame, path: str, capacity: int, separator: int = 0, ids: bool = True, slice_bytes: int = 3 << 20) -> DataFrame:
     """One row per piece of at most ``capacity`` ids; a null text is an empty one and has only the separator.  No shuffle."""
-    mark = separator.to_bytes(4, "little")
+    mark = array("I", [separator]).tobytes()
     schema = PIECES if ids else PIECES.removesuffix(", ids binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("packing", encoder.cache_clear)
         tool = encoder(path)
-        gc.disable()  # millions of small objects without cycles
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            while at < len(docs):
-                end, total = at, 0
-                while end < len(docs) and (end == at or total + len(texts[end] or "") <= chars):
-                    total += len(texts[end] or "")
-                    end += 1
+            lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            ends, at = np.cumsum(lengths, dtype=np.int64), 0
+            while at < batch.num_rows:
+                before = ends[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(ends, before + slice_bytes, side="right")))
+                docs, texts = batch.column(0).slice(at, end - at).to_pylist(), batch.column(1).slice(at, end - at).to_pylist()
                 rows = []
-                for doc, coded in zip(docs[at:end], tool.encode(texts[at:end])):
+                for doc, coded in zip(docs, tool.encode(texts)):
                     coded += mark
                     for k, a in enumerate(range(0, len(coded), 4 * capacity)):
                         part = coded[a:a + 4 * capacity]
@@ -96,7 +143,6 @@ def token_pieces(df: DataFrame, path: str, capacity: int, separator: int = 0, id
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names[:len(kinds)])
                 at = end
-        gc.enable()
 
     return df.select("doc_id", "text").mapInArrow(run, schema)
 
