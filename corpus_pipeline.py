@@ -9,7 +9,7 @@ where they are one document and all but one row of it go.
 """
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift.llm import jaccard_join, lang_id, packing, toxicity
@@ -22,9 +22,14 @@ CAPACITY = 2048
 WORDS, PERCENT = 5, 80
 
 
+def _row(docs: DataFrame) -> Column:
+    """The whole row in one column; names may hold dots."""
+    return F.struct(*("`" + c.replace("`", "``") + "`" for c in docs.columns))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    """The whole row in one column beside id and text, so that no added column can clash with its own."""
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    """The whole row beside id and text, so that no added column can clash with its own."""
+    return docs.select("doc_id", "text", _row(docs).alias("row"))
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +62,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = without(docs, gone, "doc_id")
     many = written(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "many")
     first = among(kept, many, "doc_id").groupBy("doc_id").agg(F.min_by(
-        F.struct(*docs.columns), F.struct("text", F.to_json(F.struct(*docs.columns)))).alias("row")).select("row.*")
+        _row(docs), F.struct("text", F.to_json(_row(docs)))).alias("row")).select("row.*")
     return without(kept, many, "doc_id").unionByName(first)
 
 
