@@ -5,49 +5,54 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.operators.picks import matching, unmatched
+from ledgerlift.operators.picks import keyed_once, matching, summed, unmatched
 
 
-def _joined(target: DataFrame, source: DataFrame, keys: dict[str, str], columns: Sequence[str]) -> DataFrame:
+def _joined(target: DataFrame, source: DataFrame, keys: dict[str, str], columns: Sequence[str], unique: bool) -> DataFrame:
     side = source.select(
         *(F.col(r).alias(f"_k_{l}") for l, r in keys.items()),
         *(F.col(c).alias(f"_s_{c}") for c in columns),
-        F.lit(True).alias("_hit"),
     )
-    return target.join(side, [F.col(l) == F.col(f"_k_{l}") for l in keys], "left")
+    if not unique:
+        side = keyed_once(side, [f"_k_{l}" for l in keys])
+    return target.join(side.withColumn("_hit", F.lit(True)), [F.col(l) == F.col(f"_k_{l}") for l in keys], "left")
 
 
-def merge_matched(target: DataFrame, source: DataFrame, keys: dict[str, str], sets: dict[str, str]) -> DataFrame:
+def merge_matched(
+    target: DataFrame, source: DataFrame, keys: dict[str, str], sets: dict[str, str], unique: bool = False
+) -> DataFrame:
     """Set columns of matched rows, also to NULL; leave unmatched rows alone.
 
-    ``source`` holds each key once.
+    A key that ``source`` holds twice stops the job, unless its keys are ``unique`` by construction.
     """
-    joined = _joined(target, source, keys, list(dict.fromkeys(sets.values())))
+    joined = _joined(target, source, keys, list(dict.fromkeys(sets.values())), unique)
     return joined.select(*(
         F.when(F.col("_hit"), F.col(f"_s_{sets[c]}")).otherwise(F.col(c)).alias(c) if c in sets else F.col(c)
         for c in target.columns
     ))
 
 
-def set_from(target: DataFrame, source: DataFrame, keys: dict[str, str], column: str, value: str) -> DataFrame:
-    """Set ``column`` on every row from ``source``; unmatched rows become NULL."""
-    joined = _joined(target, source, keys, [value])
+def set_from(
+    target: DataFrame, source: DataFrame, keys: dict[str, str], column: str, value: str, unique: bool = False
+) -> DataFrame:
+    """Set ``column`` on every row from ``source``, of at most one row per key; unmatched rows become NULL."""
+    joined = _joined(target, source, keys, [value], unique)
     return joined.select(*(c for c in target.columns if c != column), F.col(f"_s_{value}").alias(column))
 
 
 def set_from_where(
-    target: DataFrame, source: DataFrame, keys: dict[str, str], column: str, value: str, where: Column
+    target: DataFrame, source: DataFrame, keys: dict[str, str], column: str, value: str, where: Column, unique: bool = False
 ) -> DataFrame:
     """As :func:`set_from` on rows for which ``where`` is true; others keep their value."""
-    joined = _joined(target, source, keys, [value])
+    joined = _joined(target, source, keys, [value], unique)
     new = F.when(where, F.col(f"_s_{value}")).otherwise(F.col(column))
     return joined.select(*(new.alias(c) if c == column else F.col(c) for c in target.columns))
 
 
 def set_if_exists(target: DataFrame, source: DataFrame, keys: dict[str, str], sets: dict[str, Column]) -> DataFrame:
     """Set columns of rows whose key exists in ``source``."""
-    known = source.select(*keys.values()).distinct()
-    joined = _joined(target, known, keys, [])
+    known = summed(source, list(keys.values()), F.lit(True).alias("_known"))
+    joined = _joined(target, known, keys, [], unique=True)
     return joined.select(*(
         F.when(F.col("_hit"), sets[c]).otherwise(F.col(c)).alias(c) if c in sets else F.col(c)
         for c in target.columns

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.operators.picks import first_per_key, unmatched
+from ledgerlift.operators.picks import first_per_key, keyed_once, unmatched
 
 MISS_POLICIES = ("fail", "null", "blank", "skip", "zero")
 
@@ -20,20 +20,23 @@ def lookup(
     on: dict[str, str],
     values: Sequence[str],
     on_miss: str,
+    unique: bool = False,
 ) -> DataFrame:
     """Add ``values`` of the dimension row whose key equals the row's key.
 
     ``fail`` stops the job at the first miss, ``null`` leaves NULL, ``blank``
-    and ``zero`` put in a default, ``skip`` drops the row.  The dimension must
-    hold each key once (see :func:`unique_keys`).
+    and ``zero`` put in a default, ``skip`` drops the row.  A key the dimension
+    holds twice stops the job, unless its keys are ``unique`` by construction.
     """
     if on_miss not in MISS_POLICIES:
         raise ValueError(f"unknown miss policy: {on_miss}")
     dim = dimension.select(
         *(F.col(r).alias(f"_k_{l}") for l, r in on.items()),
         *values,
-        F.lit(True).alias("_hit"),
     )
+    if not unique:
+        dim = keyed_once(dim, [f"_k_{l}" for l in on])
+    dim = dim.withColumn("_hit", F.lit(True))
     condition = [F.col(l) == F.col(f"_k_{l}") for l in on]
     joined = df.join(dim, condition, "inner" if on_miss == "skip" else "left")
     if on_miss == "fail":

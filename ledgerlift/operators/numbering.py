@@ -30,19 +30,22 @@ def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     )
 
 
+def _offsets(sizes: DataFrame) -> DataFrame:
+    """(_part, _before): rows in the partitions before each, from their ``n`` in ``sizes``.
+
+    One row per partition meets in a task and is broadcast: a bound set by the cluster, not the data.
+    """
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(sizes.select("_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")))
+
+
 def number_all(df: DataFrame, order: Sequence[Column], name: str, start: int = 0) -> DataFrame:
     """Consecutive numbers ``start + 1 …`` over the whole table in ``order``."""
     placed = _placed(df, order)
-    # One row per partition reaches the driver: a bound set by the cluster, not the data.
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect()
-    shifts, before = [], start
-    for row in sizes:
-        shifts.append((row["_part"], before))
-        before += row["n"]
-    offsets = df.sparkSession.createDataFrame(shifts, "_part bigint, _before bigint")
+    offsets = _offsets(placed.groupBy("_part").agg(F.count("*").alias("n")))
     return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + F.col("_pos") + 1)
+        placed.join(offsets, "_part")
+        .withColumn(name, F.lit(start) + F.col("_before") + F.col("_pos") + 1)
         .drop("_part", "_pos", "_before")
     )
 
@@ -50,25 +53,21 @@ def number_all(df: DataFrame, order: Sequence[Column], name: str, start: int = 0
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Consecutive numbers from 1 within each key (NULL keys form one group).
 
-    Rows are range-split by keys and order, so a group of any size spreads over partitions;
-    a count carried from the partitions before continues it.  The rows go through scratch, so
+    A row's number is its position in the order of keys and ``order`` over the whole table less the position
+    of the first row of its key, both from one range-split table.  Where each key begins is one aggregation,
+    combined before its shuffle, and a join that may split a hot key; where there are few keys the join needs
+    no shuffle of the rows.  So every group, of any size, goes the same path.  The rows go through scratch:
     callers pass key and sort columns only and join the numbers back.
     """
     placed = _placed(df, [*(F.col(k).asc() for k in keys), *order])
-    local = placed.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_part", *keys).orderBy("_pos"))
-    )
-    # Only the first key of a partition can continue from the partitions before
-    # it, so the carried counts are at most two rows per partition.
-    heads = placed.filter("_pos = 0").select(*keys).distinct()
-    spans = null_safe(placed, F.broadcast(heads), keys, "left_semi")
-    spans = spans.groupBy("_part", *keys).agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = spans.withColumn("_carry", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    spans = written(placed.groupBy("_part", *keys).agg(F.count("*").alias("n"), F.min("_pos").alias("_pos")), "spans")
+    offsets = _offsets(spans.groupBy("_part").agg(F.sum("n").alias("n")))
+    spot = F.col("_before") + F.col("_pos")
+    begins = spans.join(offsets, "_part").groupBy(*keys).agg(F.min(spot).alias("_first"))
     return (
-        null_safe(local, F.broadcast(carried), ["_part", *keys], "left")
-        .withColumn(name, (F.col("_local") + F.coalesce("_carry", F.lit(0))).cast("bigint"))
-        .drop("_part", "_pos", "_local", "_carry")
+        null_safe(placed.join(offsets, "_part"), begins, keys, "inner")
+        .withColumn(name, (spot - F.col("_first") + 1).cast("bigint"))
+        .drop("_part", "_pos", "_before", "_first")
     )
 
 

@@ -64,6 +64,34 @@ def summed(df: DataFrame, keys: Sequence[str], *totals: Column) -> DataFrame:
     return df.groupBy(*keys, F.xxhash64(*keys).alias("_placed")).agg(*totals).drop("_placed")
 
 
+def keyed_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, whose keys may occur once, for a join on them: a second row of a key stops the job.
+
+    Placed as by :func:`summed`, so that a hot key of the other side may still be split.  Rows with a NULL
+    key, which match nothing, are left out.
+    """
+    values = [c for c in df.columns if c not in keys]
+    known = df.dropna(subset=list(keys))
+    once = known.groupBy(*keys, F.xxhash64(*keys).alias("_placed")).agg(
+        F.count("*").alias("_rows"), *(F.first(v).alias(v) for v in values)
+    )
+    shown = F.concat_ws(",", *(F.col(k).cast("string") for k in keys))
+    names = ", ".join(k.removeprefix("_k_") for k in keys)
+    error = F.raise_error(F.concat(F.lit(f"more than one row for {names} = "), shown)).cast("boolean")
+    return once.filter(F.when(F.col("_rows") == 1, F.lit(True)).otherwise(error)).select(*keys, *values)
+
+
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """``values`` of each key's first row in ascending ``order``, NULLs last, for a join on the same keys.
+
+    An aggregation, combined before the shuffle and placed as by :func:`summed`: the join may split a hot key
+    of the other side, which it could not beside :func:`first_per_key`.  Ties of ``order`` go to the lowest values.
+    """
+    rank = F.struct(*(part for c in (*order, *values) for part in (F.col(c).isNull().alias(f"{c}_null"), F.col(c))))
+    best = summed(df, keys, F.min_by(F.struct(*values), rank).alias("_first"))
+    return best.select(*keys, "_first.*")
+
+
 def matching(df: DataFrame, other: DataFrame, on: dict[str, str], unique: bool = False) -> DataFrame:
     """Rows with a match in ``other``.
 

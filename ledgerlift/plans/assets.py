@@ -8,7 +8,7 @@ from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import merge_matched, set_where
 from ledgerlift.operators.numbering import continue_numbers, number_all
-from ledgerlift.operators.picks import first_per_key, matching
+from ledgerlift.operators.picks import first_per_key, matching, summed
 from ledgerlift.params import RunParams
 
 
@@ -163,9 +163,11 @@ def ledger_rows(asset_placement: DataFrame, asset_valuation: DataFrame, deprecia
     An acquisition has the original value of its asset: that of the earliest original valuation, of
     several on that day the highest.  A transfer has no value; depreciation is negative.
     """
-    originals = first_per_key(
-        asset_valuation.filter("revalued = 'N'"), ["asset"], [F.col("valued").asc_nulls_first(), F.col("base_value").desc_nulls_last()]
-    ).select("asset", "base_value")
+    # The earliest day first, NULL before all others, and of a day the highest value.
+    rank = F.struct(F.col("valued").isNotNull(), "valued", F.col("base_value").isNull(), -F.col("base_value"))
+    originals = summed(
+        asset_valuation.filter("revalued = 'N'"), ["asset"], F.min_by(F.struct("base_value"), rank).alias("first")
+    ).select("asset", "first.base_value")
     moved = F.col("movement") == "T"
     placements = asset_placement.join(originals, "asset").select(
         "asset", F.col("started").alias("dated"), F.col("movement").alias("kind"),
@@ -196,12 +198,12 @@ def ledger_rows(asset_placement: DataFrame, asset_valuation: DataFrame, deprecia
 def balances(register: DataFrame, movements: DataFrame) -> DataFrame:
     """Register with revaluation dates, accounting dates and the balance of the ledger."""
     keys = {"asset": "asset"}
-    last = movements.filter("kind = 'R' AND depreciation <> 'S'").groupBy("asset").agg(F.max("dated").alias("last_date"))
-    dated = merge_matched(register, last, keys, {"launched": "last_date", "accounted": "last_date"})
+    last = summed(movements.filter("kind = 'R' AND depreciation <> 'S'"), ["asset"], F.max("dated").alias("last_date"))
+    dated = merge_matched(register, last, keys, {"launched": "last_date", "accounted": "last_date"}, unique=True)
     fallback = F.when(F.col("closed").isNull(), F.col("launched")).otherwise(F.col("closed"))
     dated = set_where(dated, F.col("accounted").isNull(), {"accounted": fallback})
-    total = movements.groupBy("asset").agg(V.exact_sum(F.col("value")).alias("total"))
-    return merge_matched(dated, total, keys, {"current_value": "total"})
+    total = summed(movements, ["asset"], V.exact_sum(F.col("value")).alias("total"))
+    return merge_matched(dated, total, keys, {"current_value": "total"}, unique=True)
 
 
 def writeoffs(register: DataFrame, movements: DataFrame) -> DataFrame:

@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from ledgerlift import constants as K
 from ledgerlift.functions import text as X
-from ledgerlift.functions import values as V
 from ledgerlift.operators.lookups import lookup
 from ledgerlift.operators.numbering import continue_numbers
 from ledgerlift.operators.picks import any_one, first_per_key, matching
 from ledgerlift.params import RunParams
+from ledgerlift.sources.slices import of_years
 
 
 def drivers(driver: DataFrame, person: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def fuelling(
     A vehicle without cost centre or a fuel without item code stops the run.
     """
     plates = vehicle.select(F.col("number").alias("vehicle"), X.clean(_plate()).alias("plate"))
-    requests = fuel_request.filter(V.in_year(F.col("issued"), params.fiscal_year)).join(plates, "vehicle")
+    requests = of_years(fuel_request, "issued", params.fiscal_year, params.fiscal_year).join(plates, "vehicle")
     placed = lookup(requests, centres, {"plate": "plate"}, ["centre", "store"], "fail")
     year = F.year("issued").cast("bigint")
     company = F.lit(params.company).cast("bigint").alias("company")

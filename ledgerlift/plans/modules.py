@@ -14,9 +14,9 @@ from ledgerlift.operators.lookups import duplicate_keys
 from ledgerlift.params import RunParams
 from ledgerlift.plans import assets, catalog, fleet, orders, quotes, stock, tenders
 from ledgerlift.session import exists, scratch, written
-from ledgerlift.sources import writer
+from ledgerlift.sources import slices, writer
 from ledgerlift.sources.reader import cast_to, fits
-from ledgerlift.sources.schema import LOOKUP_KEYS, contract
+from ledgerlift.sources.schema import LOOKUP_KEYS, SLICES, contract
 
 
 class DuplicateKeyError(ValueError):
@@ -54,7 +54,7 @@ class Target:
     def reject(self, name: str, df: DataFrame) -> int:
         """Write rows that a plan leaves out to ``rejected/<name>``; their number."""
         count = Observation()
-        writer.refresh(df.observe(count, F.count(F.lit(1)).alias("n")), self.path(f"rejected/{name}"))
+        writer.refresh(df.drop(slices.SLICE).observe(count, F.count(F.lit(1)).alias("n")), self.path(f"rejected/{name}"))
         return count.get["n"]
 
     def note(self, entity: str, extracted: int, loaded: int, rejected: int) -> None:
@@ -85,19 +85,23 @@ def checked(sources: Mapping[str, DataFrame], target: Target) -> dict[str, DataF
     """Sources cast to their contracts; rows that do not fit go to ``rejected/<entity>``.
 
     Each source is read once, to be landed with a flag under ``landed/<entity>``; good and rejected rows are read from there.
+    Entities with a year are landed in slices by year, of which plans read those they filter by (see :mod:`slices`).
     """
     good = {}
     for name, df in sources.items():
         kind = contract(name)
         flagged = df.withColumn("_fits", fits(df, kind))
+        by = ["_fits"]
+        if name in SLICES:
+            column, key = SLICES[name]
+            flagged = flagged.withColumn(slices.SLICE, slices.slice_of(F.col(column), kind[column].dataType))
+            by.append(slices.SLICE)
         counted = Observation()
-        writer.refresh(
-            flagged.observe(counted, F.count(F.lit(1)).alias("n"), F.count_if("_fits").alias("good")),
-            target.path(f"landed/{name}"), ["_fits"],
-        )
+        seen = flagged.observe(counted, F.count(F.lit(1)).alias("n"), F.count_if("_fits").alias("good"))
+        writer.refresh(slices.clustered(seen, by, key) if name in SLICES else seen, target.path(f"landed/{name}"), by)
         landed = target.spark.read.schema(flagged.schema).parquet(target.path(f"landed/{name}"))
-        good[name] = cast_to(landed.filter("_fits"), kind)
-        rejected = target.reject(name, landed.filter("NOT _fits").drop("_fits"))
+        good[name] = cast_to(landed.filter("_fits"), kind, keep=by[1:])
+        rejected = target.reject(name, landed.filter("NOT _fits").drop(*by))
         target.note(name, counted.get["n"], counted.get["good"], rejected)
         if name in LOOKUP_KEYS:
             target.audit_keys(name, good[name], LOOKUP_KEYS[name])

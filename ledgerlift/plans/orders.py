@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import set_from, set_from_where, set_if_exists
-from ledgerlift.operators.lookups import lookup, misses, unique_keys
+from ledgerlift.operators.lookups import lookup, misses
 from ledgerlift.operators.numbering import number_all
-from ledgerlift.operators.picks import matching, summed
+from ledgerlift.operators.picks import first_by, matching, summed
 from ledgerlift.params import RunParams
+from ledgerlift.sources.slices import of_years
 
 
 def _annulled(order_annulment: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def order_headers(
     order id.  Carries the new number of the parent order, and marks orders of
     price-register tenders.
     """
-    own = purchase_order.filter(F.col("year") == params.fiscal_year)
+    own = of_years(purchase_order, "year", params.fiscal_year, params.fiscal_year)
     own = matching(own, order_line, {"number": "order_id"})
     # Only the sort columns are numbered and go through scratch.
     numbers = number_all(
@@ -92,9 +93,10 @@ def order_commitments(headers: DataFrame, commitment: DataFrame) -> DataFrame:
 
 def committed(commitment: DataFrame, order_commitment: DataFrame) -> DataFrame:
     """Commitments with the order that uses them (the lowest), NULL where none does."""
-    first = unique_keys(order_commitment, ["commitment"], ["order_id"]).select("commitment", "order_id", "doc")
+    first = first_by(order_commitment, ["commitment"], ["order_id"], ["order_id", "doc"])
     keys = {"number": "commitment"}
-    return set_from(set_from(commitment, first, keys, "order_id", "order_id"), first, keys, "order_doc", "doc")
+    linked = set_from(commitment, first, keys, "order_id", "order_id", unique=True)
+    return set_from(linked, first, keys, "order_doc", "doc", unique=True)
 
 
 TENDER_LINE = {"tender": "tender", "code": "code"}
@@ -107,9 +109,8 @@ def ordered_before(
 
     Annulments are summed per line first, so that a line annulled twice still counts once.
     """
-    earlier = purchase_order.filter(
-        (F.col("year") < params.fiscal_year) & F.col("parent").isNull() & F.col("tender").isNotNull()
-    ).select(F.col("number").alias("order_id"), "tender")
+    earlier = of_years(purchase_order, "year", last=params.fiscal_year - 1)
+    earlier = earlier.filter(F.col("parent").isNull() & F.col("tender").isNotNull()).select(F.col("number").alias("order_id"), "tender")
     lines = order_line.join(earlier, "order_id").join(_annulled(order_annulment), ["order_id", "line"], "left")
     value = V.exact_sum(F.col("total")) - V.exact_sum(F.coalesce("annulled_value", F.lit(0.0)))
     quantity = V.exact_sum(F.col("quantity")) - V.exact_sum(F.coalesce("annulled_quantity", F.lit(0.0)))
@@ -118,12 +119,12 @@ def ordered_before(
 
 
 def _tender_lines(tender_items: DataFrame) -> DataFrame:
-    return unique_keys(tender_items.select("tender", "code", "line"), ["tender", "code"], ["line"])
+    return first_by(tender_items, ["tender", "code"], ["line"], ["line"])
 
 
 def placed_balance(net: DataFrame, tender_items: DataFrame, params: RunParams) -> DataFrame:
     """``net`` on the lines of its tenders; what is no item of its tender is left out (see :func:`unplaced_balance`)."""
-    return lookup(net, _tender_lines(tender_items), TENDER_LINE, ["line"], "skip").select(
+    return lookup(net, _tender_lines(tender_items), TENDER_LINE, ["line"], "skip", unique=True).select(
         F.lit(params.fiscal_year - 1).cast("bigint").alias("year"), "tender", "line", "code", "quantity", "value"
     )
 

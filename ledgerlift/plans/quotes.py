@@ -10,11 +10,12 @@ from ledgerlift.operators.changes import merge_matched, set_from, set_where
 from ledgerlift.operators.lookups import lookup
 from ledgerlift.operators.picks import first_per_key, matching, summed
 from ledgerlift.params import RunParams
+from ledgerlift.sources.slices import of_years
 
 
 def _of_year(quote: DataFrame, params: RunParams) -> DataFrame:
     doc = X.doc_number(F.col("doc_number"), F.col("year"), 5)
-    return quote.filter(F.col("year") == params.fiscal_year).withColumn("doc", doc)
+    return of_years(quote, "year", params.fiscal_year, params.fiscal_year).withColumn("doc", doc)
 
 
 def quote_headers(quote: DataFrame, quote_line: DataFrame, params: RunParams) -> DataFrame:

@@ -10,6 +10,7 @@ from ledgerlift.operators.lookups import lookup
 from ledgerlift.operators.numbering import number_all, rank_all
 from ledgerlift.operators.picks import first_per_key
 from ledgerlift.params import RunParams
+from ledgerlift.sources.slices import of_years
 
 
 def _opening_doc(params: RunParams) -> str:
@@ -24,8 +25,8 @@ def is_opening(doc):
 def opening_stock(inventory: DataFrame, items: DataFrame, params: RunParams) -> dict[str, DataFrame]:
     """The December inventory of the year before as document 0; unknown materials keep an empty code."""
     company = F.lit(params.company).cast("bigint")
-    rows = inventory.filter(
-        (F.col("year") == params.fiscal_year - 1) & (F.col("month") == 12) & (F.col("balance") * F.col("price") != 0)
+    rows = of_years(inventory, "year", params.fiscal_year - 1, params.fiscal_year - 1).filter(
+        (F.col("month") == 12) & (F.col("balance") * F.col("price") != 0)
     )
     numbered = number_all(rows, [F.col("material").asc(), F.col("store").asc()], "item")
     coded = lookup(numbered, items, {"material": "material"}, ["code"], "blank")
@@ -64,9 +65,10 @@ def stock_movements(
     """
     year = params.fiscal_year
     lines = movement_line.select("movement", "line", "material", "quantity", "unit_price", "total", "direct")
-    moves = movement.select(
-        F.col("number").alias("movement"), "year", "issued", "store", "supplier",
-    ).join(lines, "movement")
+    # Direct deliveries may be dated in the year and belong to another.
+    head = [F.col("number").alias("movement"), "year", "issued", "store", "supplier"]
+    dated = movement.filter(V.in_year(F.col("issued"), year)).select(*head)
+    own = of_years(movement, "year", year, year).select(*head)
 
     def branch(rows, kind, centre, dated, entered, paid, supplier, price, total):
         return rows.select(
@@ -77,10 +79,10 @@ def stock_movements(
 
     no_day, no_centre, issued = F.lit(None).cast("date"), F.lit(0).cast("bigint"), F.col("issued")
     price, total, supplier = F.col("unit_price"), F.col("total"), F.col("supplier")
-    direct = moves.filter(V.in_year(issued, year) & (F.col("direct") == "S"))
-    entries = moves.filter((F.col("year") == year) & (F.col("direct") != "S"))
+    direct = dated.join(lines.filter("direct = 'S'"), "movement")
+    entries = own.join(lines.filter("direct <> 'S'"), "movement")
     requests = (
-        stock_request.filter((F.col("year") == year) & (F.col("direct") != "S"))
+        of_years(stock_request, "year", year, year).filter(F.col("direct") != "S")
         .withColumnRenamed("number", "movement")
         .join(stock_request_line.withColumnRenamed("request", "movement"), "movement")
     )

@@ -7,10 +7,11 @@ from ledgerlift import constants as K
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import absent_rows, merge_matched, set_from_where
-from ledgerlift.operators.lookups import lookup, misses, unique_keys
+from ledgerlift.operators.lookups import lookup, misses
 from ledgerlift.operators.numbering import number_all, number_within
-from ledgerlift.operators.picks import best_with_ties, first_per_key, latest_value, matching, summed, unmatched
+from ledgerlift.operators.picks import best_with_ties, first_by, first_per_key, latest_value, matching, summed, unmatched
 from ledgerlift.params import RunParams
+from ledgerlift.sources.slices import of_years
 
 
 def _long(value) -> F.Column:
@@ -219,7 +220,7 @@ def bids_direct(offers: DataFrame, tender: DataFrame, bid_round: DataFrame, item
 
     ``items`` are the coded catalog items; an unknown material stops the run.
     """
-    recent = tender.filter(F.col("year") >= params.fiscal_year - params.direct_bid_years)
+    recent = of_years(tender, "year", params.fiscal_year - params.direct_bid_years)
     won = matching(offers.filter("lowest = 1"), recent, {"tender": "number"}, unique=True)
     direct = unmatched(won, bid_round, {"tender": "tender", "material": "material"})
     return _bid(lookup(direct, items, {"material": "material"}, ["code"], "fail").select(
@@ -326,7 +327,7 @@ ITEM = {"tender": "tender", "material": "material"}
 
 
 def _lines_of(items: DataFrame) -> DataFrame:
-    return unique_keys(items.select("tender", "material", "line"), ["tender", "material"], ["line"])
+    return first_by(items, ["tender", "material"], ["line"], ["line"])
 
 
 def amended_quantities(request: DataFrame, request_line: DataFrame, request_tender: DataFrame) -> DataFrame:
@@ -375,8 +376,8 @@ def amendments(
     several items of a tender changes the lowest one.
     """
     line_of = _lines_of(items)
-    extra = lookup(amended_quantities(request, request_line, request_tender), line_of, ITEM, ["line"], on_miss)
-    price = lookup(amended_prices(price_adjustment), line_of, ITEM, ["line"], on_miss)
+    extra = lookup(amended_quantities(request, request_line, request_tender), line_of, ITEM, ["line"], on_miss, unique=True)
+    price = lookup(amended_prices(price_adjustment), line_of, ITEM, ["line"], on_miss, unique=True)
 
     keys = {"tender": "tender", "line": "line"}
     base = award.withColumns({

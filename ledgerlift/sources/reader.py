@@ -1,5 +1,7 @@
 """Sources: parquet tables and relational tables, read against a contract."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,7 +65,8 @@ def fits(df: DataFrame, contract: T.StructType) -> Column:
     """Whether a row keeps every value when it is cast to the contract.
 
     A missing column raises.  A row does not fit when a required value is NULL, a value cannot be
-    cast, or a number, date or time of day loses something: cast back, it must be what it was.
+    cast, or it loses something: cast back, a number, date or time of day must be what it was, and a
+    text must say no more than its target type holds (see :func:`_text_kept`).
     """
     absent = [f.name for f in contract.fields if f.name not in df.columns]
     if absent:
@@ -73,11 +76,44 @@ def fits(df: DataFrame, contract: T.StructType) -> Column:
         value, own = F.col(f.name), df.schema[f.name].dataType
         cast = value.try_cast(f.dataType)
         kept = cast.isNotNull()
-        if own != f.dataType and not isinstance(own, T.StringType):
+        if isinstance(own, T.StringType):
+            kept = kept & _text_kept(value, f.dataType)
+        elif own != f.dataType:
             kept = kept & F.coalesce(cast.try_cast(own) == value, F.lit(False))
         ok = ok & F.when(value.isNull(), F.lit(f.nullable)).otherwise(kept)
     return ok
 
 
-def cast_to(df: DataFrame, contract: T.StructType) -> DataFrame:
-    return df.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields))
+_DAY = r"\\d{4,}-\\d{1,2}-\\d{1,2}"
+_CLOCK = r"\\d{1,2}:\\d{1,2}(:\\d{1,2}(\\.\\d{1,6}0*)?)?"
+
+
+def _text_kept(text: Column, kind: T.DataType) -> Column:
+    """Whether a text that can be cast to ``kind`` loses nothing in it.
+
+    Numbers may have signs, leading zeros and zeros after their last place, but no more places than the target
+    has; a date may have a time of day of zero, a time no more than six places of a second and no zone.  Types
+    beyond these keep every text that can be cast.
+    """
+    said = F.trim(text)
+    if isinstance(kind, T.IntegralType):
+        return said.rlike(r"^[+-]?\\d+(\\.0*)?$")
+    if isinstance(kind, T.DecimalType):
+        # Of more digits than a decimal has, none may be lost either.
+        exact = said.rlike(rf"^[+-]?(\\d+(\\.\\d{{0,{kind.scale}}}0*)?|\\.\\d{{1,{max(kind.scale, 1)}}}0*)$")
+        wide = said.try_cast(T.DecimalType(38, min(18, kind.scale + 6)))
+        return exact | (said.rlike("[eE]") & F.coalesce(wide == said.try_cast(kind), F.lit(False)))
+    if isinstance(kind, T.FractionalType):
+        # A double keeps fifteen digits of any number.
+        digits = F.regexp_replace(F.regexp_replace(said, "[eE].*$", ""), "[^0-9]", "")
+        return F.length(F.regexp_replace(digits, "^0+|0+$", "")) <= (15 if isinstance(kind, T.DoubleType) else 6)
+    if isinstance(kind, T.DateType):
+        return said.rlike(rf"^{_DAY}([ T]0{{1,2}}:0{{1,2}}(:0{{1,2}}(\\.0*)?)?)?$")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return said.rlike(rf"^{_DAY}([ T]{_CLOCK})?$")
+    return F.lit(True)
+
+
+def cast_to(df: DataFrame, contract: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """The columns of the contract in its types, and those to ``keep`` as they are."""
+    return df.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields), *keep)

@@ -84,6 +84,13 @@ LOOKUP_KEYS = {
     "tender_item_avg": ["tender", "material"], "commitment": ["number"], "asset_kind": ["number"], "fuel_type": ["number"],
 }
 
+#: Entities landed in slices: the column of their year or day, and the key by which others join them.
+SLICES = {
+    "quote": ("year", "number"), "tender": ("year", "number"), "purchase_order": ("year", "number"),
+    "inventory": ("year", "material"), "movement": ("year", "number"), "stock_request": ("year", "number"),
+    "fuel_request": ("issued", "number"),
+}
+
 
 @cache
 def contract(entity: str) -> T.StructType:

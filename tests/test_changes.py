@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlift.operators import audit, changes
+from ledgerlift.operators import audit, changes, picks
+from ledgerlift.operators.lookups import lookup
 
 
 @pytest.fixture
@@ -85,3 +86,36 @@ def test_reconcile(spark):
 def test_cleanup_audit(spark, rows):
     df = spark.createDataFrame([("a", "x😀y日"), ("a", "plain"), ("b", None)], "g string, t string")
     assert rows(audit.cleanup_audit(df, ["t"], "g"), "g", "changed_rows", "removed_chars") == [("a", 1, 2), ("b", 0, 0)]
+
+
+@pytest.mark.parametrize("joined", [
+    lambda t, s: changes.merge_matched(t, s, {"k": "k"}, {"v": "w"}),
+    lambda t, s: changes.set_from(t, s, {"k": "k"}, "v", "w"),
+    lambda t, s: changes.set_from_where(t, s, {"k": "k"}, "v", "w", F.lit(True)),
+    lambda t, s: lookup(t, s, {"k": "k"}, ["w"], "null"),
+    lambda t, s: lookup(t, s, {"k": "k"}, ["w"], "skip"),
+], ids=["merge_matched", "set_from", "set_from_where", "lookup", "lookup_skip"])
+def test_a_doubled_key_stops_the_job(spark, rows, joined):
+    """NULL keys match nothing and may repeat; any other key may not, also one that no target row has."""
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    side = spark.createDataFrame([(1, "x"), (None, "y"), (None, "z")], "k int, w string")
+    assert len(rows(joined(target, side))) in (1, 3)
+    for more in ((1, "x"), (1, None)):
+        with pytest.raises(Exception, match="more than one row for k = 1"):
+            joined(target, side.union(spark.createDataFrame([more], side.schema))).collect()
+    twice = side.union(spark.createDataFrame([(9, "x"), (9, "y")], side.schema))
+    with pytest.raises(Exception, match="k = 9"):
+        joined(target, twice).collect()
+
+
+def test_unique_by_construction_is_not_checked(spark, rows):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    side = spark.createDataFrame([(1, "x"), (1, "y")], "k int, w string")
+    assert rows(changes.set_from(target, side, {"k": "k"}, "v", "w", unique=True)) == [(1, "x"), (1, "y")]
+
+
+def test_first_by_orders_nulls_last(spark, rows):
+    df = spark.createDataFrame([("a", None, 1, "x"), ("a", 5, 9, "y"), ("a", 5, 3, None), (None, 1, 1, "n"), (None, 0, 2, "m"), ("b", None, None, None)],
+                               "k string, o int, p int, v string")
+    assert rows(picks.first_by(df, ["k"], ["o"], ["p", "v"])) == [("a", 3, None), ("b", None, None), (None, 2, "m")]
+    assert rows(picks.first_by(df, ["k"], ["o", "p"], ["v"])) == [("a", None), ("b", None), (None, "m")]

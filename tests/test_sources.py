@@ -97,3 +97,19 @@ def test_written_cuts_lineage(spark):
     df = written(spark.range(10).withColumn("v", F.col("id") * 2), "cut")
     plan = df._jdf.queryExecution().analyzed().toString()
     assert "Range" not in plan and df.count() == 10
+
+
+@pytest.mark.parametrize("kind, good, bad", [
+    ("decimal(10,2)", ["12.34", "-0.5", "+7", "12.3400", ".5", "1e2", " 3.1 "], ["12.345", "1e-3", "x", "99999999999"]),
+    ("date", ["2024-01-01", "2024-01-01 00:00:00", "2024-1-2"], ["2024-01-01 10:11:12", "2024-02-30", "2024", "soon"]),
+    ("bigint", ["12", "-3", "007", "4.0"], ["4.5", "1e3", "9999999999999999999"]),
+    ("double", ["1.5", "-2e10", "0.1", "123456789012345", "1000000000000000000000"], ["1234567890.1234567890", "abc"]),
+    ("timestamp_ntz", ["2024-01-01 10:11:12.123456", "2024-01-01", "2024-01-01T10:11"], ["2024-01-01 10:11:12.1234567", "2024-01-01 10:11:12+02:00", "10 o'clock"]),
+    ("string", ["", " x ", "12.345"], []),
+])
+def test_text_is_loaded_without_loss(spark, rows, kind, good, bad):
+    """What a text says beyond its target type does not vanish: the row is rejected."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*good, *bad, None])], "k int, v string")
+    fit, rest = conform(df, T.StructType.fromDDL(f"k int, v {kind}"))
+    assert rows(fit, "k") == [(i,) for i in range(len(good))] + [(len(good) + len(bad),)]
+    assert rows(rest, "k") == [(i,) for i in range(len(good), len(good) + len(bad))]
