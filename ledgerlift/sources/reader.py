@@ -74,7 +74,7 @@ def fits(df: DataFrame, contract: T.StructType) -> Column:
     ok = F.lit(True)
     for f in contract.fields:
         value, own = F.col(f.name), df.schema[f.name].dataType
-        cast = value.try_cast(f.dataType)
+        cast = _cast(value, own, f.dataType)
         kept = cast.isNotNull()
         if isinstance(own, T.StringType):
             kept = kept & _text_kept(value, f.dataType)
@@ -84,8 +84,8 @@ def fits(df: DataFrame, contract: T.StructType) -> Column:
     return ok
 
 
-_DAY = r"\\d{4,}-\\d{1,2}-\\d{1,2}"
-_CLOCK = r"\\d{1,2}:\\d{1,2}(:\\d{1,2}(\\.\\d{1,6}0*)?)?"
+_DAY = r"\d{4,}-\d{1,2}-\d{1,2}"
+_CLOCK = r"\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6}0*)?)?"
 
 
 def _text_kept(text: Column, kind: T.DataType) -> Column:
@@ -97,10 +97,10 @@ def _text_kept(text: Column, kind: T.DataType) -> Column:
     """
     said = F.trim(text)
     if isinstance(kind, T.IntegralType):
-        return said.rlike(r"^[+-]?\\d+(\\.0*)?$")
+        return said.rlike(r"^[+-]?\d+(\.0*)?$")
     if isinstance(kind, T.DecimalType):
         # Of more digits than a decimal has, none may be lost either.
-        exact = said.rlike(rf"^[+-]?(\\d+(\\.\\d{{0,{kind.scale}}}0*)?|\\.\\d{{1,{max(kind.scale, 1)}}}0*)$")
+        exact = said.rlike(rf"^[+-]?(\d+(\.\d{{0,{kind.scale}}}0*)?|\.\d{{1,{max(kind.scale, 1)}}}0*)$")
         wide = said.try_cast(T.DecimalType(38, min(18, kind.scale + 6)))
         return exact | (said.rlike("[eE]") & F.coalesce(wide == said.try_cast(kind), F.lit(False)))
     if isinstance(kind, T.FractionalType):
@@ -108,12 +108,20 @@ def _text_kept(text: Column, kind: T.DataType) -> Column:
         digits = F.regexp_replace(F.regexp_replace(said, "[eE].*$", ""), "[^0-9]", "")
         return F.length(F.regexp_replace(digits, "^0+|0+$", "")) <= (15 if isinstance(kind, T.DoubleType) else 6)
     if isinstance(kind, T.DateType):
-        return said.rlike(rf"^{_DAY}([ T]0{{1,2}}:0{{1,2}}(:0{{1,2}}(\\.0*)?)?)?$")
+        return said.rlike(rf"^{_DAY}([ T]0{{1,2}}:0{{1,2}}(:0{{1,2}}(\.0*)?)?)?$")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return said.rlike(rf"^{_DAY}([ T]{_CLOCK})?$")
     return F.lit(True)
 
 
+def _cast(value: Column, own: T.DataType, kind: T.DataType) -> Column:
+    """``value`` of type ``own`` as ``kind``, NULL where it cannot be; whole numbers in text may have zeros as places."""
+    if isinstance(own, T.StringType) and isinstance(kind, T.IntegralType):
+        value = value.try_cast(T.DecimalType(38, 6))
+    return value.try_cast(kind)
+
+
 def cast_to(df: DataFrame, contract: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """The columns of the contract in its types, and those to ``keep`` as they are."""
-    return df.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields), *keep)
+    own = df.schema
+    return df.select(*(_cast(F.col(f.name), own[f.name].dataType, f.dataType).alias(f.name) for f in contract.fields), *keep)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.binding import PARAMS
+from ledgerlift.functions import text as X
 from ledgerlift.plans import fleet, modules, orders, quotes
 from ledgerlift.session import scratch_path
 from ledgerlift.sources import slices
@@ -78,8 +79,8 @@ def test_final_plans_of_orders_and_fuel_have_partition_filters(landed):
     """The plans themselves, not only the filter: each scan of a sliced entity that reads a year is pruned."""
     good, _, _ = landed
     register = good["tender"].select(F.col("number").alias("tender"))
-    centres = good["vehicle"].select(
-        F.concat_ws("", "plate_letters", "plate_digits").alias("plate"), F.lit(1).cast("bigint").alias("centre"), F.lit("1").alias("store")).limit(0)
+    centres = good["vehicle"].select(X.clean(fleet._plate()).alias("plate")).distinct().select(
+        "plate", F.lit(1).cast("bigint").alias("centre"), F.lit("1").alias("store"))
     items = good["order_line"].select("material").distinct().withColumn("code", F.col("material").cast("string"))
     plans = {
         "purchase_order": orders.order_headers(good["purchase_order"], good["order_line"], register, YEAR),

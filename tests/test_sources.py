@@ -110,6 +110,6 @@ def test_written_cuts_lineage(spark):
 def test_text_is_loaded_without_loss(spark, rows, kind, good, bad):
     """What a text says beyond its target type does not vanish: the row is rejected."""
     df = spark.createDataFrame([(i, v) for i, v in enumerate([*good, *bad, None])], "k int, v string")
-    fit, rest = conform(df, T.StructType.fromDDL(f"k int, v {kind}"))
+    fit, rest = reader.conform(df, T.StructType.fromDDL(f"k int, v {kind}"))
     assert rows(fit, "k") == [(i,) for i in range(len(good))] + [(len(good) + len(bad),)]
     assert rows(rest, "k") == [(i,) for i in range(len(good), len(good) + len(bad))]
