@@ -103,6 +103,43 @@ def continue_numbers(existing: DataFrame, column: str, new: DataFrame, order: Se
     return number_all(new, order, column, start=highest(existing, column))
 
 
+def anew(
+    register: str, rows: DataFrame, keys: Sequence[str], order: Sequence[Column], within: Sequence[str] = (), start: int = 0
+) -> DataFrame:
+    """``rows`` with numbers ``n`` in ``order``, after ``start`` or from 1 within the columns ``within``.
+
+    What plans number by where no register keeps the numbers given before (see :func:`kept`).
+    """
+    return number_within(rows, within, order, "n") if within else number_all(rows, order, "n", start)
+
+
+def kept(
+    given: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[Column], within: Sequence[str] = (), start: int = 0
+) -> DataFrame:
+    """Numbers ``n`` of the ``keys`` of ``rows`` that the register ``given`` (keys, n) lacks.
+
+    They go on in ``order`` after the highest number given, or the highest within the columns ``within``, which are
+    among the keys, and after ``start``.  A key of several rows has one number, in the order of their lowest values.
+    """
+    others = [c for c in rows.columns if c not in keys]
+    once = rows.groupBy(*keys).agg(*(F.min(c).alias(c) for c in others)) if others else rows.distinct()
+    fresh = null_safe(once, given.select(*keys), keys, "left_anti")
+    if not within:
+        return number_all(fresh, order, "n", max(start, highest(given, "n"))).select(*keys, "n")
+    tops = given.groupBy(*within).agg(F.max("n").alias("_top"))
+    after = null_safe(number_within(fresh, within, order, "n"), tops, within, "left")
+    return after.select(*keys, (F.col("n") + F.coalesce("_top", F.lit(0))).alias("n"))
+
+
+def blocked(numbered: DataFrame, name: str, block_size: int) -> DataFrame:
+    """``block`` and ``serial`` for the number ``name`` of an item in its group: quotient and remainder."""
+    return (
+        numbered.withColumn("block", F.floor(F.col(name) / block_size).cast("bigint"))
+        .withColumn("serial", F.col(name) % block_size)
+        .drop(name)
+    )
+
+
 def block_codes(
     df: DataFrame,
     keys: Sequence[str],
@@ -112,12 +149,7 @@ def block_codes(
     """Item ``serial`` within ``block``: the first block holds 1 … size-1, later
     blocks 0 … size-1, so serial and block are remainder and quotient of the
     item's number in its group."""
-    return (
-        number_within(df, keys, order, "_rn")
-        .withColumn("block", F.floor(F.col("_rn") / block_size).cast("bigint"))
-        .withColumn("serial", F.col("_rn") % block_size)
-        .drop("_rn")
-    )
+    return blocked(number_within(df, keys, order, "_rn"), "_rn", block_size)
 
 
 def block_groups(coded: DataFrame, keys: Sequence[str], start: int, name: str) -> DataFrame:

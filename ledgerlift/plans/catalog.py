@@ -7,7 +7,7 @@ from ledgerlift import constants as K
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.lookups import lookup
-from ledgerlift.operators.numbering import block_codes, block_groups, highest, number_all
+from ledgerlift.operators.numbering import anew, blocked, highest
 from ledgerlift.operators.picks import any_one, first_per_key
 from ledgerlift.params import RunParams
 from ledgerlift.session import written
@@ -19,11 +19,15 @@ def units(unit_of_measure: DataFrame) -> DataFrame:
     return first.select(X.clean(F.col("code")).alias("code"), X.clean(F.col("name")).alias("name"))
 
 
-def groups(catalog_group: DataFrame, service_group: DataFrame) -> DataFrame:
-    """Top-level groups and the service family under running codes, in (kind, number) order."""
+def groups(catalog_group: DataFrame, service_group: DataFrame, numbers=anew) -> DataFrame:
+    """Top-level groups and the service family under running codes, in (kind, number) order.
+
+    ``numbers`` gives them, anew or from a register.
+    """
     top = catalog_group.filter("level = 0").select("kind", "number", "name")
     services = service_group.select(F.lit(K.SERVICE_FAMILY).alias("kind"), "number", "name")
-    numbered = number_all(top.unionByName(services), [F.col("kind").asc(), F.col("number").asc()], "n")
+    order = [F.col("kind").asc(), F.col("number").asc()]
+    numbered = numbers("groups", top.unionByName(services), ["kind", "number"], order)
     return numbered.select(
         X.pad_grow(F.col("n"), 3).alias("group_code"),
         X.clean(F.col("name")).alias("name"),
@@ -78,11 +82,13 @@ def items(
     service_item: DataFrame,
     base_subgroups: DataFrame,
     params: RunParams,
+    numbers=anew,
 ) -> dict[str, DataFrame]:
     """Coded items of both families and the subgroups opened for full ones.
 
     Items are numbered in their subgroup.  Past ``params.block_size`` a new
     subgroup is opened, numbered on from the highest subgroup in use.
+    ``numbers`` gives the numbers, anew or from a register.
     """
     parents = catalog_group.select(
         F.col("kind").alias("group_kind"), F.col("number").alias("group_number"), "parent_kind", "parent_number"
@@ -114,10 +120,13 @@ def items(
     keys = ["kind", "number"]
     both = goods.unionByName(services)
     # Only keys are numbered and go through scratch; used for new subgroups and for codes.
-    numbers = written(block_codes(both.select(*keys, "material"), keys, [F.col("material").asc()], params.block_size), "item-codes")
-    coded = both.join(numbers, [*keys, "material"])
+    in_group = numbers("items", both.select(*keys, "material"), [*keys, "material"], [F.col("material").asc()], within=keys)
+    placing = written(blocked(in_group, "n", params.block_size), "item-codes")
+    coded = both.join(placing, [*keys, "material"])
     top = highest(base_subgroups.select(F.col("subgroup").cast("bigint").alias("subgroup")), "subgroup")
-    opened = block_groups(numbers, keys, top, "opened")
+    full = placing.filter("block > 0").select(*keys, "block").distinct()
+    opened = numbers("opened_subgroups", full, [*keys, "block"], [F.col(c) for c in (*keys, "block")], start=top)
+    opened = opened.withColumnRenamed("n", "opened")
     placed = lookup(coded, base_subgroups, {k: k for k in keys}, ["group_code", "subgroup"], "fail")
     placed = placed.join(opened, [*keys, "block"], "left").withColumn(
         "subgroup", F.coalesce(X.pad_grow(F.col("opened"), 3), F.col("subgroup"))

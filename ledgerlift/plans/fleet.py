@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerlift import constants as K
 from ledgerlift.functions import text as X
 from ledgerlift.operators.lookups import lookup
-from ledgerlift.operators.numbering import continue_numbers
+from ledgerlift.operators.numbering import anew, highest
 from ledgerlift.operators.picks import any_one, first_per_key, matching
 from ledgerlift.params import RunParams
 from ledgerlift.sources.slices import of_years
@@ -49,11 +49,12 @@ def vehicles(vehicle: DataFrame, fuel_type: DataFrame) -> DataFrame:
     )
 
 
-def vehicle_cost_centres(coded_vehicles: DataFrame, cost_centre: DataFrame, params: RunParams) -> DataFrame:
-    """One cost centre per vehicle, numbered on from the centres in use."""
-    numbered = continue_numbers(
-        cost_centre.select("centre"), "centre", coded_vehicles.select("plate", "model"), [F.col("plate").asc()]
+def vehicle_cost_centres(coded_vehicles: DataFrame, cost_centre: DataFrame, params: RunParams, numbers=anew) -> DataFrame:
+    """One cost centre per vehicle, numbered on from the centres in use; ``numbers`` gives them, anew or from a register."""
+    given = numbers(
+        "vehicle_centres", coded_vehicles.select("plate", "model"), ["plate"], [F.col("plate").asc()], start=highest(cost_centre, "centre")
     )
+    numbered = given.withColumnRenamed("n", "centre")
     return numbered.select(
         F.lit(K.VEHICLE_AUTHORITY).alias("authority"), F.lit(K.VEHICLE_BODY).alias("body"),
         F.lit(K.DEFAULT_STORE).alias("store"), F.lit(K.DEFAULT_CENTRE).alias("sub_centre"),

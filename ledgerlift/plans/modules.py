@@ -5,15 +5,20 @@ that build on it, so no plan computes another plan's result again.  Rows that do
 ``rejected/``, the row counts of the load in ``reconciled``.
 """
 
-from collections.abc import Callable, Mapping, Sequence
+import json
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift.operators.lookups import duplicate_keys
+from ledgerlift.operators.numbering import kept
+from ledgerlift.operators.picks import matching, null_safe
 from ledgerlift.params import RunParams
 from ledgerlift.plans import assets, catalog, fleet, orders, quotes, stock, tenders
-from ledgerlift.session import exists, scratch, written
+from ledgerlift.session import listed, read_text, remove, scratch, write_text, written
 from ledgerlift.sources import slices, writer
 from ledgerlift.sources.reader import cast_to, fits
 from ledgerlift.sources.schema import LOOKUP_KEYS, SLICES, contract
@@ -23,28 +28,130 @@ class DuplicateKeyError(ValueError):
     """A table that plans look rows up in holds a key twice."""
 
 
+class LoadConflictError(RuntimeError):
+    """Another load has published into the folder meanwhile."""
+
+
 class Target:
-    """A folder of loaded tables."""
+    """A folder of loaded tables.
+
+    Every write of a table goes to a new folder of its own.  Which folders make up a table stands in a manifest
+    (``_tables/<number>``), and a load publishes all its tables at once, by the next manifest: one that fails leaves the
+    tables of the load before as they were, but for its rejected rows, which show what was wrong.  Outside of
+    :meth:`load` each write is published at once.  Folders that neither the latest manifest nor the one before names are
+    removed, so that a reader may finish.  One load at a time may write to a folder; of two, the second to publish fails.
+    """
+
+    MANIFESTS = "_tables"
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.counts: list[tuple[str, int, int, int]] = []
+        self.loading = False
+        self.made: list[str] = []
+        #: Table name -> (path, origin) of its parts, as this target sees it.
+        self.tables: dict[str, list[list[str | None]]] = {}
+        self._follow()
+
+    def _follow(self) -> None:
+        """See the tables as last published."""
+        self.version = max(self._manifests(), default=0)
+        self.tables = self._manifest(self.version)
+
+    def _manifests(self) -> list[int]:
+        return [int(n) for n in listed(self.spark, f"{self.folder}/{self.MANIFESTS}") if n.isdigit()]
+
+    def _manifest(self, number: int) -> dict[str, list[list[str | None]]]:
+        return json.loads(read_text(self.spark, f"{self.folder}/{self.MANIFESTS}/{number:09d}")) if number else {}
+
+    def _publish(self) -> None:
+        numbers = self._manifests()
+        if max(numbers, default=0) != self.version:
+            raise LoadConflictError(f"another load has published into {self.folder}")
+        before = self._manifest(self.version)
+        self.version += 1
+        write_text(self.spark, f"{self.folder}/{self.MANIFESTS}/{self.version:09d}", json.dumps(self.tables))
+        kept = {path for tables in (before, self.tables) for parts in tables.values() for path, _ in parts}
+        for number in sorted(numbers)[:-1]:
+            for parts in self._manifest(number).values():
+                for path, _ in parts:
+                    if path not in kept:
+                        remove(self.spark, self._absolute(path))
+            remove(self.spark, f"{self.folder}/{self.MANIFESTS}/{number:09d}")
+
+    @contextmanager
+    def load(self) -> Iterator[None]:
+        """Publish what is written inside together at the end."""
+        self._follow()
+        before, self.loading, self.made = dict(self.tables), True, []
+        try:
+            yield
+            self._publish()
+        except BaseException as broken:
+            rejected = {name: parts for name, parts in self.tables.items() if name.startswith("rejected/")}
+            self.counts = []
+            if isinstance(broken, LoadConflictError):
+                self._follow()
+            else:
+                self.tables = before | rejected
+                self._publish()
+            raise
+        finally:
+            self.loading = False
+            named = {path for parts in self.tables.values() for path, _ in parts}
+            for path in self.made:
+                if path not in named:
+                    remove(self.spark, self._absolute(path))
+
+    def _absolute(self, path: str) -> str:
+        return f"{self.folder}/{path}"
+
+    def _write(self, name: str, df: DataFrame, by: Sequence[str] = ()) -> str:
+        path = f"{name}/{uuid.uuid4().hex}"
+        self.made.append(path)
+        writer.append(df, self._absolute(path), by)
+        return path
+
+    def _set(self, name: str, parts: list[list[str | None]]) -> None:
+        if not self.loading:
+            self._follow()
+        self.tables[name] = parts
+        if not self.loading:
+            self._publish()
 
     def path(self, name: str) -> str:
-        return f"{self.folder}/{name}"
+        """The folder of a table that has one part."""
+        (path, _), = self.tables[name]
+        return self._absolute(path)
+
+    def exists(self, name: str) -> bool:
+        return name in self.tables
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The table; slices of several origins come with their ``origin``."""
+        found = None
+        for path, origin in self.tables[name]:
+            part = self.spark.read.parquet(self._absolute(path))
+            part = part if origin is None else part.withColumn("origin", F.lit(origin))
+            found = part if found is None else found.unionByName(part)
+        return found
 
     def refresh(self, name: str, df: DataFrame, unique: Sequence[str] = ()) -> DataFrame:
         """Replace the table; its ``unique`` keys, by which plans look rows up, may occur once."""
-        writer.refresh(df, self.path(name))
-        back = self.spark.read.schema(df.schema).parquet(self.path(name))
+        path = self._write(name, df)
+        self._set(name, [[path, None]])
+        back = self.spark.read.schema(df.schema).parquet(self._absolute(path))
         if unique:
             self.audit_keys(name, back, unique)
         return back
 
+    def land(self, name: str, df: DataFrame, by: Sequence[str]) -> DataFrame:
+        """Replace a table partitioned ``by`` columns."""
+        path = self._write(name, df, by)
+        self._set(name, [[path, None]])
+        return self.spark.read.schema(df.schema).parquet(self._absolute(path))
+
     def audit_keys(self, name: str, df: DataFrame, keys: Sequence[str]) -> None:
         """Write keys held twice to ``rejected/duplicates/<name>`` and stop if there are any."""
         audit = self.refresh(f"rejected/duplicates/{name}", duplicate_keys(df, keys))
@@ -54,7 +161,7 @@ class Target:
     def reject(self, name: str, df: DataFrame) -> int:
         """Write rows that a plan leaves out to ``rejected/<name>``; their number."""
         count = Observation()
-        writer.refresh(df.drop(slices.SLICE).observe(count, F.count(F.lit(1)).alias("n")), self.path(f"rejected/{name}"))
+        self.refresh(f"rejected/{name}", df.drop(slices.SLICE).observe(count, F.count(F.lit(1)).alias("n")))
         return count.get["n"]
 
     def note(self, entity: str, extracted: int, loaded: int, rejected: int) -> None:
@@ -71,15 +178,30 @@ class Target:
 
         All origins of a table have the same columns.
         """
-        writer.refresh(df, f"{self.path(name)}/origin={origin}")
+        others = [part for part in self.tables.get(name, []) if part[1] != origin]
+        self._set(name, [*others, [self._write(name, df), origin]])
         return self.read(name)
 
     def append_absent(self, name: str, rows: Callable[[DataFrame], DataFrame], like: DataFrame) -> DataFrame:
         """Append what ``rows`` finds missing in the loaded table (``like`` before the first load)."""
-        known = exists(self.spark, self.path(name))
-        writer.append(rows(self.read(name) if known else like.limit(0)), self.path(name))
+        known = self.exists(name)
+        added = [self._write(name, rows(self.read(name) if known else like.limit(0))), None]
+        self._set(name, [*self.tables.get(name, []), added])
         return self.read(name)
 
+    def numbers(
+        self, register: str, rows: DataFrame, keys: Sequence[str], order: Sequence[Column], within: Sequence[str] = (), start: int = 0
+    ) -> DataFrame:
+        """``rows`` with the numbers ``n`` of their keys: those given by an earlier load, or the next ones.
+
+        ``registers/<register>`` keeps every number ever given, so that new rows shift no older number and none is
+        given twice; numbers of keys that are gone stay unused.
+        """
+        name = f"registers/{register}"
+        given = self.read(name) if self.exists(name) else rows.select(*keys, F.lit(0).cast("bigint").alias("n")).limit(0)
+        added = self.append_absent(name, lambda _: kept(given, rows, keys, order, within, start), given)
+        return null_safe(rows, added, keys, "inner")
+
 
 def checked(sources: Mapping[str, DataFrame], target: Target) -> dict[str, DataFrame]:
     """Sources cast to their contracts; rows that do not fit go to ``rejected/<entity>``.
@@ -98,8 +220,7 @@ def checked(sources: Mapping[str, DataFrame], target: Target) -> dict[str, DataF
             by.append(slices.SLICE)
         counted = Observation()
         seen = flagged.observe(counted, F.count(F.lit(1)).alias("n"), F.count_if("_fits").alias("good"))
-        writer.refresh(slices.clustered(seen, by, key) if name in SLICES else seen, target.path(f"landed/{name}"), by)
-        landed = target.spark.read.schema(flagged.schema).parquet(target.path(f"landed/{name}"))
+        landed = target.land(f"landed/{name}", slices.clustered(seen, by, key) if name in SLICES else seen, by)
         good[name] = cast_to(landed.filter("_fits"), kind, keep=by[1:])
         rejected = target.reject(name, landed.filter("NOT _fits").drop(*by))
         target.note(name, counted.get["n"], counted.get["good"], rejected)
@@ -110,12 +231,13 @@ def checked(sources: Mapping[str, DataFrame], target: Target) -> dict[str, DataF
 
 def load_catalog(s: Mapping[str, DataFrame], target: Target, params: RunParams) -> None:
     target.refresh("units", catalog.units(s["unit_of_measure"]))
-    groups = target.refresh("groups", catalog.groups(s["catalog_group"], s["service_group"]))
+    groups = target.refresh("groups", catalog.groups(s["catalog_group"], s["service_group"], target.numbers))
     base = target.refresh_slice("subgroups", "base", catalog.subgroups(s["catalog_group"], s["service_group"], groups))
     base = base.filter("origin = 'base'").drop("origin")
     target.audit_keys("subgroups", base, ["group_code", "subgroup"])
-    coded = catalog.items(s["catalog_item"], s["catalog_group"], s["service_item"], base, params)
-    target.refresh_slice("subgroups", "opened", coded["opened_subgroups"])
+    coded = catalog.items(s["catalog_item"], s["catalog_group"], s["service_item"], base, params, target.numbers)
+    opened = target.refresh_slice("subgroups", "opened", coded["opened_subgroups"])
+    target.audit_keys("all_subgroups", opened, ["group_code", "subgroup"])  # a number in use may have come from the source since
     target.refresh("items", coded["items"], ["family", "material"])
     target.refresh("destinations", catalog.destinations(s["store"], params))
     centres = catalog.cost_centres(s["org_unit"], s["stock_request"], s["authority"], params)
@@ -181,7 +303,7 @@ def load_tenders(s: Mapping[str, DataFrame], target: Target, params: RunParams,
 def load_orders(s: Mapping[str, DataFrame], target: Target, params: RunParams) -> None:
     goods = item_codes(target, "1")
     register = target.read("tenders").filter("price_register = 'S'").select("tender")
-    headers = target.refresh("orders", orders.order_headers(s["purchase_order"], s["order_line"], register, params))
+    headers = target.refresh("orders", orders.order_headers(s["purchase_order"], s["order_line"], register, params, target.numbers))
     target.refresh("order_lines", orders.order_lines(headers, s["order_line"], s["order_annulment"], goods))
     used = target.refresh("order_commitments", orders.order_commitments(headers, s["commitment"]))
     blank = s["commitment"].withColumns({
@@ -202,7 +324,10 @@ def load_fleet(s: Mapping[str, DataFrame], target: Target, params: RunParams) ->
     target.refresh("vehicle_makes", fleet.vehicle_makes(s["vehicle_make"], s["vehicle"]))
     vehicles = target.refresh("vehicles", fleet.vehicles(s["vehicle"], s["fuel_type"]))
     units = target.read("cost_centres").filter("origin = 'unit'")
-    centres = target.refresh_slice("cost_centres", "vehicle", fleet.vehicle_cost_centres(vehicles, units, params))
+    centres = target.refresh_slice("cost_centres", "vehicle", fleet.vehicle_cost_centres(vehicles, units, params, target.numbers))
+    # Units may have taken a number that a vehicle was given by an earlier load.
+    if target.reject("vehicle_centres", matching(centres.filter("origin = 'vehicle'"), units, {"centre": "centre"})):
+        raise DuplicateKeyError(f"cost_centres: centre not unique, see {target.path('rejected/vehicle_centres')}")
     plated = centres.filter("plate IS NOT NULL").select("plate", "centre", "store")
     documents = fleet.fuelling(
         s["fuel_request"], s["fuel_request_line"], s["vehicle"], plated, item_codes(target, "1"), params
@@ -227,7 +352,7 @@ def load_stock(s: Mapping[str, DataFrame], target: Target, params: RunParams) ->
 
 
 def load_purchasing(sources: Mapping[str, DataFrame], target: Target, params: RunParams, **options) -> None:
-    with scratch(target.spark):
+    with scratch(target.spark), target.load():
         s = checked(sources, target)
         load_catalog(s, target, params)
         load_quotes(s, target, params)
@@ -239,7 +364,7 @@ def load_purchasing(sources: Mapping[str, DataFrame], target: Target, params: Ru
 
 
 def load_assets(sources: Mapping[str, DataFrame], target: Target, params: RunParams) -> None:
-    with scratch(target.spark):
+    with scratch(target.spark), target.load():
         s = checked(sources, target)
         spark = target.spark
         target.refresh("movement_kinds", assets.movement_kinds(spark))

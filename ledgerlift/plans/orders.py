@@ -7,7 +7,7 @@ from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import set_from, set_from_where, set_if_exists
 from ledgerlift.operators.lookups import lookup, misses
-from ledgerlift.operators.numbering import number_all
+from ledgerlift.operators.numbering import anew
 from ledgerlift.operators.picks import first_by, matching, summed
 from ledgerlift.params import RunParams
 from ledgerlift.sources.slices import of_years
@@ -22,9 +22,9 @@ def _annulled(order_annulment: DataFrame) -> DataFrame:
 
 
 def order_headers(
-    purchase_order: DataFrame, order_line: DataFrame, price_register_tenders: DataFrame, params: RunParams
+    purchase_order: DataFrame, order_line: DataFrame, price_register_tenders: DataFrame, params: RunParams, numbers=anew
 ) -> DataFrame:
-    """Orders of the year that have lines, renumbered from 1.
+    """Orders of the year that have lines, renumbered from 1; ``numbers`` gives the numbers, anew or from a register.
 
     The order is the document number and, where a number was issued again, the
     order id.  Carries the new number of the parent order, and marks orders of
@@ -33,10 +33,11 @@ def order_headers(
     own = of_years(purchase_order, "year", params.fiscal_year, params.fiscal_year)
     own = matching(own, order_line, {"number": "order_id"})
     # Only the sort columns are numbered and go through scratch.
-    numbers = number_all(
-        own.select("number", "doc_number"), [F.col("doc_number").asc_nulls_last(), F.col("number").asc()], "n"
+    given = numbers(
+        f"orders/{params.fiscal_year}", own.select("number", "doc_number"), ["number"],
+        [F.col("doc_number").asc_nulls_last(), F.col("number").asc()],
     ).select("number", "n")
-    numbered = own.join(numbers, "number")
+    numbered = own.join(given, "number")
     doc = X.doc_number(F.col("n"), F.col("year"), 5)
     contract = F.concat(X.pad_grow(F.col("contract_number"), 4), F.lit("/"), X.short_year(F.col("contract_year")))
     headers = numbered.select(
@@ -57,7 +58,7 @@ def order_headers(
         X.pad_grow(F.col("store"), 9).alias("store"),
     )
     year = F.lit(params.fiscal_year)
-    issued = numbers.select(F.col("number").alias("known_order_id"), X.doc_number(F.col("n"), year, 5).alias("known_doc"))
+    issued = given.select(F.col("number").alias("known_order_id"), X.doc_number(F.col("n"), year, 5).alias("known_doc"))
     linked = set_from_where(
         headers, issued, {"parent_order": "known_order_id"}, "parent_doc", "known_doc", F.col("parent_order").isNotNull()
     )

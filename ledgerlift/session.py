@@ -68,6 +68,39 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none where it is missing."""
+    files, place = _file_system(spark, folder)
+    return sorted(found.getPath().getName() for found in files.listStatus(place)) if files.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    files, place = _file_system(spark, path)
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file, seen by others whole or not at all; a path that is taken is an error."""
+    files, place = _file_system(spark, path)
+    draft = place.suffix(f".{uuid.uuid4().hex}.draft")
+    stream = files.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if files.exists(place) or not files.rename(draft, place):
+        files.delete(draft, False)
+        raise RuntimeError(f"{path} is there already")
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Scratch tables made inside are deleted at the end; frames that read them are used up by then."""
@@ -76,8 +109,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _loads.pop():
-            files, place = _file_system(spark, path)
-            files.delete(place, True)
+            remove(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.binding import PARAMS, Entities
 from checks.registry import Tables
-from ledgerlift.plans import modules, stock
+from ledgerlift.plans import fleet, modules, orders, stock
 from ledgerlift.session import scratch_path
 from ledgerlift.sources.reader import conform
 from ledgerlift.sources.schema import ENTITIES, contract
@@ -161,3 +161,32 @@ def test_assets_module(spark, folder, rows):
     assert ledger.filter("kind = 'B'").count() == closed > 0
     assert rows(target.read("movement_kinds"), "kind") == [("A",), ("B",), ("P",), ("R",), ("T",)]
     assert target.read("adjustment_kinds").count() == target.read("asset_groups").count() == 1
+
+
+def test_numbers_stay_when_rows_are_added(spark, folder):
+    """A second load, with rows that sort before all others, changes no code, order number or cost centre of the first."""
+    target = modules.Target(spark, scratch_path(spark, "kept"))
+    full = sources(spark, folder)
+    fewer = dict(full)
+    fewer["catalog_item"] = full["catalog_item"].filter("number % 7 <> 1")
+    fewer["purchase_order"] = full["purchase_order"].filter("number % 5 <> 1")
+    fewer["vehicle"] = full["vehicle"].filter("crc32(cast(concat_ws('', plate_letters, plate_digits) AS binary)) % 3 <> 1")
+    params = replace(PARAMS, block_size=10)
+    keyed = {"groups": ["kind", "number", "group_code"], "items": ["family", "material", "code"], "orders": ["order_id", "doc"]}
+    before = {}
+    for s in (fewer, full):
+        good = modules.checked(s, target)
+        modules.load_catalog(good, target, params)
+        register = good["tender"].select(F.col("number").alias("tender")).limit(0)
+        target.refresh("orders", orders.order_headers(good["purchase_order"], good["order_line"], register, params, target.numbers))
+        vehicles = fleet.vehicles(good["vehicle"], good["fuel_type"])
+        units = target.read("cost_centres").filter("origin = 'unit'")
+        target.refresh("vehicle_centres", fleet.vehicle_cost_centres(vehicles, units, params, target.numbers))
+        now = {n: {tuple(r) for r in target.read(n).select(*c).collect()} for n, c in (*keyed.items(), ("vehicle_centres", ["plate", "centre"]))}
+        for name, old in before.items():
+            assert old <= now[name], name
+        grown = {n for n in before if len(now[n]) > len(before[n])}
+        before = now
+    assert {"items", "orders", "vehicle_centres"} <= grown
+    for name, found in before.items():
+        assert len({r[-1] for r in found}) == len(found), name
