@@ -32,8 +32,9 @@ def known_tenders(tender: DataFrame) -> DataFrame:
 
 
 def clock(text) -> F.Column:
-    """``HHMM`` of a time of day, with or without colons."""
-    return F.substring(F.replace(text, F.lit(":"), F.lit("")), 1, 4)
+    """``HHMM`` of a time of day, with or without colons; an hour of one digit before a colon gets its zero."""
+    whole = F.when(text.rlike("^[0-9]:"), F.concat(F.lit("0"), text)).otherwise(text)
+    return F.substring(F.replace(whole, F.lit(":"), F.lit("")), 1, 4)
 
 
 # ---- headers ---------------------------------------------------------------------

@@ -94,7 +94,7 @@ def test_long_numbers_stay_apart(spark):
     assert one(spark, X.after_first(F.lit(1001))) == "001" and one(spark, X.after_first(F.lit(10011))) == "0011"
 
 
-@pytest.mark.parametrize("text", ["08:30", "0830", "08:30:15"])
+@pytest.mark.parametrize("text", ["8:30", "8:30:15", "08:30", "0830", "08:30:15"])
 def test_clock_keeps_the_minutes(spark, text):
     assert one(spark, tenders.clock(F.lit(text))) == "0830"
 
