@@ -9,6 +9,7 @@ from ledgerlift.operators.lookups import lookup
 from ledgerlift.operators.numbering import anew, highest
 from ledgerlift.operators.picks import any_one, first_per_key, matching
 from ledgerlift.params import RunParams
+from ledgerlift.session import written
 from ledgerlift.sources.slices import of_years
 
 
@@ -63,38 +64,48 @@ def vehicle_cost_centres(coded_vehicles: DataFrame, cost_centre: DataFrame, para
     )
 
 
-def fuelling(
-    fuel_request: DataFrame,
-    fuel_request_line: DataFrame,
-    vehicle: DataFrame,
-    centres: DataFrame,
-    items: DataFrame,
-    params: RunParams,
-) -> dict[str, DataFrame]:
-    """Fuelling documents of the year under the cost centre of their vehicle, and their lines.
-
-    A vehicle without cost centre or a fuel without item code stops the run.
-    """
+def fuel_documents(fuel_request: DataFrame, vehicle: DataFrame, centres: DataFrame, params: RunParams) -> DataFrame:
+    """Fuelling requests of the year under the cost centre of their vehicle; one without cost centre stops the run."""
     plates = vehicle.select(F.col("number").alias("vehicle"), X.clean(_plate()).alias("plate"))
     requests = of_years(fuel_request, "issued", params.fiscal_year, params.fiscal_year).join(plates, "vehicle")
     placed = lookup(requests, centres, {"plate": "plate"}, ["centre", "store"], "fail")
     year = F.year("issued").cast("bigint")
     company = F.lit(params.company).cast("bigint").alias("company")
     day = F.to_date("issued")
-    documents = placed.select(
+    return placed.select(
         company, F.col("number").alias("document"), X.doc_number(F.col("number"), year, 6).alias("doc"),
         X.pad_grow(F.col("number"), 6).alias("serial"), year.alias("year"), "store", "centre", day.alias("dated"),
         day.alias("entered"), day.alias("paid"), F.lit("S").alias("inbound"), F.lit("S").alias("outbound"),
         F.lit("P").alias("kind"), "supplier", F.lit("S").alias("passes_through"), "driver", "km", "plate",
     )
+
+
+def fuel_lines(documents: DataFrame, fuel_request_line: DataFrame, items: DataFrame) -> DataFrame:
+    """Lines of the fuelling documents; a fuel without item code stops the run."""
     heads = documents.select("document", "doc", "centre", "company", "store", "km", "plate")
     lines = fuel_request_line.withColumnRenamed("request", "document").join(heads, "document")
     coded = lookup(lines, items, {"material": "material"}, ["code"], "fail")
     both = {"quantity": "quantity", "unit_price": "price", "total": "total"}
-    return {
-        "headers": matching(documents.drop("km", "plate"), fuel_request_line, {"document": "request"}),
-        "lines": coded.select(
-            "document", "doc", "centre", "company", F.col("line").alias("item"), "code",
-            *(F.col(c).alias(f"{n}_{side}") for c, n in both.items() for side in ("in", "out")), "store", "km", "plate",
-        ),
-    }
+    return coded.select(
+        "document", "doc", "centre", "company", F.col("line").alias("item"), "code",
+        *(F.col(c).alias(f"{n}_{side}") for c, n in both.items() for side in ("in", "out")), "store", "km", "plate",
+    )
+
+
+def fuel_headers(documents: DataFrame, lines: DataFrame) -> DataFrame:
+    """The documents that have lines."""
+    return matching(documents.drop("km", "plate"), lines, {"document": "document"})
+
+
+def fuelling(
+    fuel_request: DataFrame,
+    fuel_request_line: DataFrame,
+    vehicle: DataFrame,
+    centres: DataFrame,
+    items: DataFrame,
+    params: RunParams,
+) -> dict[str, DataFrame]:
+    """Fuelling documents of the year and their lines, from documents that are made once."""
+    documents = written(fuel_documents(fuel_request, vehicle, centres, params), "fuel-documents")
+    asked = fuel_request_line.select(F.col("request").alias("document"))
+    return {"headers": fuel_headers(documents, asked), "lines": fuel_lines(documents, fuel_request_line, items)}

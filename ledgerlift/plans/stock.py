@@ -7,9 +7,10 @@ from ledgerlift import constants as K
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.lookups import lookup
-from ledgerlift.operators.numbering import number_all, rank_all
+from ledgerlift.operators.numbering import number_all
 from ledgerlift.operators.picks import first_per_key
 from ledgerlift.params import RunParams
+from ledgerlift.session import written
 from ledgerlift.sources.slices import of_years
 
 
@@ -50,66 +51,85 @@ def opening_stock(inventory: DataFrame, items: DataFrame, params: RunParams) ->
     return {"headers": header, "lines": lines}
 
 
-def stock_movements(
-    movement: DataFrame,
-    movement_line: DataFrame,
-    stock_request: DataFrame,
-    stock_request_line: DataFrame,
-    items: DataFrame,
-    params: RunParams,
-) -> dict[str, DataFrame]:
-    """Direct deliveries (X), entries (E) and issues (S) of the year as documents under new numbers.
+def in_scope(movement: DataFrame, params: RunParams) -> DataFrame:
+    """Movements dated in the year or of the fiscal year, with ``dated_in`` and ``own`` telling which."""
+    dated_in = F.coalesce(V.in_year(F.col("issued"), params.fiscal_year), F.lit(False))
+    own = F.coalesce(F.col("year") == params.fiscal_year, F.lit(False))
+    return movement.filter(V.in_year(F.col("issued"), params.fiscal_year) | (F.col("year") == params.fiscal_year)).select(
+        F.col("number").alias("movement"), "year", "issued", "store", "supplier", dated_in.alias("dated_in"), own.alias("own")
+    )
 
-    Direct deliveries count by document date, the others by fiscal year.  A
-    line or request whose direct flag is unknown belongs to none of the kinds.
-    """
+
+def unflagged(movement: DataFrame, movement_line: DataFrame, params: RunParams) -> DataFrame:
+    """Reject frame: lines of the year's movements whose direct flag is unknown."""
+    lines = movement_line.filter(F.col("direct").isNull()).select("movement", "line", "material", "quantity", "total")
+    return lines.join(in_scope(movement, params).select("movement", "year", "issued"), "movement")
+
+
+def movement_rows(
+    movement: DataFrame, movement_line: DataFrame, stock_request: DataFrame, stock_request_line: DataFrame, params: RunParams
+) -> DataFrame:
+    """Lines of direct deliveries (X), entries (E) and issues (S) with what their document says; each source is read once."""
     year = params.fiscal_year
     lines = movement_line.select("movement", "line", "material", "quantity", "unit_price", "total", "direct")
-    # Direct deliveries may be dated in the year and belong to another.
-    head = [F.col("number").alias("movement"), "year", "issued", "store", "supplier"]
-    dated = movement.filter(V.in_year(F.col("issued"), year)).select(*head)
-    own = of_years(movement, "year", year, year).select(*head)
 
     def branch(rows, kind, centre, dated, entered, paid, supplier, price, total):
         return rows.select(
-            F.col("movement").alias("number"), F.lit(kind).alias("move"), "year", "store", centre.alias("centre"),
-            dated.alias("dated"), entered.alias("entered"), paid.alias("paid"), supplier.alias("supplier"),
-            F.col("line").alias("item"), "material", "quantity", price.alias("unit_price"), total.alias("total"),
+            F.col("movement").alias("number"), kind.alias("move"), "year", X.pad_grow(F.col("store"), 9).alias("store"),
+            centre.alias("centre"), dated.alias("dated"), entered.alias("entered"), paid.alias("paid"),
+            supplier.alias("supplier"), F.col("line").alias("item"), "material", "quantity", price.alias("unit_price"),
+            total.alias("total"),
         )
 
-    no_day, no_centre, issued = F.lit(None).cast("date"), F.lit(0).cast("bigint"), F.col("issued")
-    price, total, supplier = F.col("unit_price"), F.col("total"), F.col("supplier")
-    direct = dated.join(lines.filter("direct = 'S'"), "movement")
-    entries = own.join(lines.filter("direct <> 'S'"), "movement")
+    no_day, issued, direct = F.lit(None).cast("date"), F.col("issued"), F.col("direct") == "S"
+    # Direct deliveries may be dated in the year and belong to another.
+    moved = in_scope(movement, params).join(lines, "movement").filter((direct & F.col("dated_in")) | (~direct & F.col("own")))
     requests = (
         of_years(stock_request, "year", year, year).filter(F.col("direct") != "S")
         .withColumnRenamed("number", "movement")
         .join(stock_request_line.withColumnRenamed("request", "movement"), "movement")
     )
-    rows = (
-        branch(direct, "X", no_centre, issued, issued, issued, supplier, price, total)
-        .unionByName(branch(entries, "E", no_centre, issued, issued, no_day, supplier, price, total))
-        .unionByName(
-            branch(
-                requests, "S", F.col("unit"), no_day, issued, issued, F.lit(None).cast("bigint"), F.lit(0.0), F.lit(0.0)
-            )
-        )
-    )
-    numbered = rank_all(rows, ["number", "move"], "document").withColumns({
+    return branch(
+        moved, F.when(direct, "X").otherwise("E"), F.lit(0).cast("bigint"), issued, issued, F.when(direct, issued),
+        F.col("supplier"), F.col("unit_price"), F.col("total"),
+    ).unionByName(branch(
+        requests, F.lit("S"), F.col("unit"), no_day, issued, issued, F.lit(None).cast("bigint"), F.lit(0.0), F.lit(0.0)
+    ))
+
+
+def stock_movements(
+    movement: DataFrame,
+    movement_line: DataFrame,
+    stock_request: DataFrame,
+    stock_request_line: DataFrame,
+    items: DataFrame,
+    params: RunParams,
+) -> dict[str, DataFrame]:
+    """Direct deliveries (X), entries (E) and issues (S) of the year as documents under new numbers.
+
+    Direct deliveries count by document date, the others by fiscal year.  A
+    line or request whose direct flag is unknown belongs to none of the kinds
+    (see :func:`unflagged`).  The joined rows are written once; documents are
+    numbered once, and both targets read these two tables.
+    """
+    rows = written(movement_rows(movement, movement_line, stock_request, stock_request_line, params), "stock-rows")
+    order = [F.col(c).asc_nulls_last() for c in ("item", "material", "quantity", "unit_price", "store", "centre")]
+    first = first_per_key(rows, ["number", "move"], order).drop("item", "material", "quantity", "unit_price", "total")
+    documents = number_all(first, [F.col("number").asc_nulls_last(), F.col("move").asc_nulls_last()], "document").withColumns({
         "company": F.lit(params.company).cast("bigint"),
         "doc": X.doc_number(F.col("document"), F.col("year"), 6),
         "serial": X.pad_grow(F.col("document"), 6),
-        "store": X.pad_grow(F.col("store"), 9),
     })
     move = F.col("move")
-    order = [F.col(c).asc_nulls_last() for c in ("item", "material", "quantity", "unit_price", "store", "centre")]
-    headers = first_per_key(numbered, ["document"], order).select(
+    headers = documents.select(
         "company", "document", "doc", "serial", "year", "store", "centre", "dated", "entered", "paid",
         F.when(move == "S", "N").otherwise("S").alias("inbound"),
         F.when(move == "E", "N").otherwise("S").alias("outbound"),
         F.lit("P").alias("kind"), "supplier",
         F.when(move == "X", "S").otherwise("N").alias("passes_through"),
     )
+    numbered = rows.join(documents.select("number", "move", "document", "company"), ["number", "move"])
+    numbered = numbered.withColumn("doc", X.doc_number(F.col("document"), F.col("year"), 6))
     coded = lookup(numbered, items, {"material": "material"}, ["code"], "blank")
     amounts = {"quantity": "quantity", "price": "unit_price", "total": "total"}
     sides = {"in": "S", "out": "E"}  # the kind that has nothing on this side
