@@ -84,6 +84,27 @@ def keep_code_page(text: Column) -> Column:
     return F.regexp_replace(text, _OUTSIDE, "")
 
 
+def unheld(text: Column) -> Column:
+    """Whether cleanup takes letters out of the text; false for NULL."""
+    return F.coalesce(text.rlike(_OUTSIDE), F.lit(False))
+
+
+def overlong(text: Column, width: int | None) -> Column:
+    """Whether the text is longer than a column of ``width`` bytes of the code page, which has one byte a letter."""
+    return F.coalesce(F.length(text) > width, F.lit(False)) if width else F.lit(False)
+
+
+def cut_bytes(text: Column, width: int) -> Column:
+    """The longest beginning of the text that takes at most ``width`` bytes of UTF-8; no letter is split.
+
+    For targets in UTF-8, where a letter takes up to four bytes: of the cuts at ``width`` and up to three
+    bytes before, the first that ends between letters.
+    """
+    octets = F.encode(text, "UTF-8")
+    cuts = (F.try_validate_utf8(F.substring(octets, 1, width - i).cast("string")) for i in range(min(4, width + 1)))
+    return F.when(F.octet_length(text) <= width, text).otherwise(F.coalesce(*cuts))
+
+
 def clean(text: Column, length: int | None = None) -> Column:
     """Cleaned text, cut to ``length`` characters first when one is given."""
     return keep_code_page(text if length is None else F.substring(text, 1, length))

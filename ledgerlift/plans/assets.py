@@ -8,7 +8,7 @@ from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import merge_matched, set_where
 from ledgerlift.operators.numbering import continue_numbers, number_all
-from ledgerlift.operators.picks import first_per_key, matching, summed
+from ledgerlift.operators.picks import first_per_key, matching, summed, unmatched
 from ledgerlift.params import RunParams
 
 
@@ -195,6 +195,11 @@ def ledger_rows(asset_placement: DataFrame, asset_valuation: DataFrame, deprecia
     return placements.unionByName(worn).unionByName(revalued)
 
 
+def unvalued_placements(asset_placement: DataFrame, asset_valuation: DataFrame) -> DataFrame:
+    """Reject frame: placements of assets without an original valuation, which the ledger lacks."""
+    return unmatched(asset_placement, asset_valuation.filter("revalued = 'N'"), {"asset": "asset"})
+
+
 def balances(register: DataFrame, movements: DataFrame) -> DataFrame:
     """Register with revaluation dates, accounting dates and the balance of the ledger."""
     keys = {"asset": "asset"}

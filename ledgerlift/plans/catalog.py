@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerlift import constants as K
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
-from ledgerlift.operators.lookups import lookup
+from ledgerlift.operators.lookups import lookup, misses
 from ledgerlift.operators.numbering import anew, blocked, highest
 from ledgerlift.operators.picks import any_one, first_per_key
 from ledgerlift.params import RunParams
@@ -69,6 +69,17 @@ def subgroups(catalog_group: DataFrame, service_group: DataFrame, coded_groups:
     )
 
 
+def orphan_groups(catalog_group: DataFrame) -> DataFrame:
+    """Reject frame: lower-level groups whose parent is no group."""
+    lower = catalog_group.filter("level > 0").select("parent_kind", "parent_number", "kind", "number", "name").distinct()
+    return misses(lower, catalog_group.select("kind", "number"), {"parent_kind": "kind", "parent_number": "number"})
+
+
+def ungrouped_goods(catalog_item: DataFrame, catalog_group: DataFrame) -> DataFrame:
+    """Reject frame: goods of an unknown group, which get no code."""
+    return misses(catalog_item, catalog_group.select("kind", "number"), {"group_kind": "kind", "group_number": "number"})
+
+
 def _item_kind(kind, number):
     expression = F
     for group_number, group_kind, item_kind in K.ITEM_KINDS:

@@ -9,7 +9,6 @@ from ledgerlift.operators.lookups import lookup
 from ledgerlift.operators.numbering import anew, highest
 from ledgerlift.operators.picks import any_one, first_per_key, matching
 from ledgerlift.params import RunParams
-from ledgerlift.session import written
 from ledgerlift.sources.slices import of_years
 
 
@@ -105,7 +104,7 @@ def fuelling(
     items: DataFrame,
     params: RunParams,
 ) -> dict[str, DataFrame]:
-    """Fuelling documents of the year and their lines, from documents that are made once."""
-    documents = written(fuel_documents(fuel_request, vehicle, centres, params), "fuel-documents")
+    """Fuelling documents of the year and their lines; a load writes the documents once for both."""
+    documents = fuel_documents(fuel_request, vehicle, centres, params)
     asked = fuel_request_line.select(F.col("request").alias("document"))
     return {"headers": fuel_headers(documents, asked), "lines": fuel_lines(documents, fuel_request_line, items)}

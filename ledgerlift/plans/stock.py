@@ -66,6 +66,31 @@ def unflagged(movement: DataFrame, movement_line: DataFrame, params: RunParams)
     return lines.join(in_scope(movement, params).select("movement", "year", "issued"), "movement")
 
 
+def unflagged_requests(stock_request: DataFrame, params: RunParams) -> DataFrame:
+    """Reject frame: requests of the year whose direct flag is unknown."""
+    return of_years(stock_request, "year", params.fiscal_year, params.fiscal_year).filter(F.col("direct").isNull())
+
+
+def expected(
+    movement: DataFrame, movement_line: DataFrame, stock_request: DataFrame, stock_request_line: DataFrame, params: RunParams
+) -> DataFrame:
+    """How many lines (``_n``, by document) the year should have, unknown flags included, from counts of lines per document."""
+    direct, known = F.col("direct") == "S", F.col("direct").isNotNull()
+    lines = movement_line.groupBy(F.col("movement").alias("_key")).agg(
+        F.count_if(direct).alias("direct_lines"), F.count_if(~direct).alias("own_lines"), F.count_if(~known).alias("open_lines")
+    )
+    heads = in_scope(movement, params)
+    wanted = (
+        F.when(F.col("dated_in"), F.col("direct_lines")).otherwise(0) + F.when(F.col("own"), F.col("own_lines")).otherwise(0)
+        + F.col("open_lines")
+    )
+    asked = stock_request_line.groupBy(F.col("request").alias("_key")).agg(F.count("*").alias("_n"))
+    requests = of_years(stock_request, "year", params.fiscal_year, params.fiscal_year).filter("direct <> 'S'").select("number")
+    return heads.join(lines, F.col("movement") == F.col("_key")).select(wanted.cast("bigint").alias("_n")).unionByName(
+        requests.join(asked, F.col("number") == F.col("_key")).select("_n")
+    )
+
+
 def movement_rows(
     movement: DataFrame, movement_line: DataFrame, stock_request: DataFrame, stock_request_line: DataFrame, params: RunParams
 ) -> DataFrame:

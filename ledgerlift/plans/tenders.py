@@ -130,6 +130,13 @@ def tender_bidders(tender_bidder: DataFrame, person: DataFrame, tender: DataFram
     }
 
 
+def unknown_bidders(tender_bidder: DataFrame, person: DataFrame, tender: DataFrame) -> DataFrame:
+    """Reject frame: bidders of an unknown tender or without person."""
+    named = matching(tender_bidder, person, {"bidder": "number"}, unique=True)
+    unnamed = misses(tender_bidder, person, {"bidder": "number"})
+    return unnamed.unionByName(misses(named, tender, {"tender": "number"}))
+
+
 # ---- items ------------------------------------------------------------------------
 
 

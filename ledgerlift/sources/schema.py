@@ -4,6 +4,8 @@ from functools import cache
 
 from pyspark.sql import types as T
 
+from ledgerlift import constants as K
+
 _KEYED_NAME = "number bigint NOT NULL, name string"
 
 _DDL = {
@@ -92,6 +94,16 @@ SLICES = {
 }
 
 
+#: Text columns that plans clean, and the widths to which they cut them (None: uncut).
+TEXT_WIDTHS = {
+    "unit_of_measure": {"code": [None], "name": [None]}, "catalog_group": {"name": [None]}, "service_group": {"name": [None]},
+    "catalog_item": {"name": [None], "unit_code": [None]}, "store": {"name": [None]}, "org_unit": {"name": [K.UNIT_NAME_WIDTH]},
+    "quote": {"subject": [None]}, "tender": {"subject": [K.SUBJECT_WIDTH], "office": [K.OFFICE_WIDTH]},
+    "person": {"name": [K.BIDDER_WIDTH, K.QUOTE_BIDDER_WIDTH]}, "tender_bidder": {"representative": [K.BIDDER_WIDTH]},
+    "holder": {"name": [K.DRIVER_WIDTH]}, "vehicle": {"name": [K.MODEL_WIDTH], "colour": [None]}, "asset": {"name": [None]},
+}
+
+
 @cache
 def contract(entity: str) -> T.StructType:
     """Schema of a source entity (needs a running session)."""

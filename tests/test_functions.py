@@ -102,3 +102,11 @@ def test_clock_keeps_the_minutes(spark, text):
 def test_no_number_is_cut_in_plans():
     for path in (Path(__file__).resolve().parent.parent / "ledgerlift" / "plans").glob("*.py"):
         assert "pad_cut" not in path.read_text(), path.name
+
+
+def test_cuts_by_bytes_split_no_letter(spark):
+    texts = ["", "abc", "aé", "aéb", "€€", "a€", "𝄞a", "a𝄞", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for width in range(6):
+        found = [r[0] for r in df.select(X.cut_bytes(F.col("t"), width)).collect()]
+        assert found == [None if t is None else t.encode()[:width].decode(errors="ignore") for t in texts], width
