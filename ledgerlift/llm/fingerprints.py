@@ -124,9 +124,11 @@ def with_successor(df: DataFrame, rows: int = 4096) -> DataFrame:
     Ids are cut into ranges of about ``rows`` documents.  A document goes to its own range; the first
     of a range also to the range before, whose last document needs it.  So the texts are shuffled
     once and no window spans the table.  After the last document comes the first.  Null texts are
-    empty, rows without id are left out, rows of one id follow each other in the order of their texts.
+    empty, rows of one id follow each other in the order of their texts.  Rows without id have no place in
+    the order: they have a fingerprint, and NULL in what depends on the next document.
     """
-    df = df.filter("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    every = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    df = every.filter("doc_id IS NOT NULL")
     ids = df.select("doc_id")
     parts = max(1, min(MAX_RANGES, ids.count() // rows))
     cuts = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 20 * parts)).first()[0] if parts > 1 else []
@@ -140,7 +142,9 @@ def with_successor(df: DataFrame, rows: int = 4096) -> DataFrame:
     sent = df.join(F.broadcast(openers), "doc_id", "left").select(
         "doc_id", "text", F.explode(F.when(F.col("also").isNull(), F.array(own)).otherwise(F.array(own, lent))).alias("to"))
     dealt = sent.select("to.spot", "to.lent", "doc_id", "text").repartitionById(len(order) or 1, _place("spot", order))
-    return dealt.sortWithinPartitions("spot", "lent", F.col("doc_id").desc(), "text").mapInArrow(_compare, EDITS)
+    placed = dealt.sortWithinPartitions("spot", "lent", F.col("doc_id").desc(), "text").mapInArrow(_compare, EDITS)
+    loose = every.filter("doc_id IS NULL").withColumn("n_chars", F.length("text").cast("bigint"))
+    return placed.unionByName(add_fingerprint(loose, keep=("doc_id", "n_chars")), allowMissingColumns=True)
 
 
 def _place(column: str, order: list[int]) -> F.Column:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from checks.compare import differences
@@ -141,7 +142,6 @@ def test_words_are_hashed_as_cut():
 
 def test_fingerprints_estimate_similarity():
     rng = random.Random(4)
-    import pyarrow as pa
 
     errors = []
     for _ in range(120):
@@ -163,7 +163,10 @@ def test_each_document_meets_the_next(spark, count, rows):
     rng = random.Random(count)
     docs = [(i * 3, None if i == 4 else " ".join("é%d" % rng.randrange(50) for _ in range(rng.randint(0, 30)))) for i in range(count)]
     found = {r.doc_id: r for r in fingerprints.with_successor(table(spark, docs + [(None, "x")]), rows).collect()}
-    assert len(found) == count
+    loose = found.pop(None)
+    assert len(found) == count and loose.n_chars == 1
+    assert loose.fingerprint == fingerprints.fingerprints(pa.array(["x"]))[0]
+    assert loose.edited_sha256 is loose.edited_fingerprint is loose.near_edited is loose.near_next is None
     order = sorted(docs, reverse=True)
     for i, (d, t) in enumerate(order):
         t, after = t or "", order[(i + 1) % count][1] or ""
@@ -177,6 +180,11 @@ def test_each_document_meets_the_next(spark, count, rows):
     assert fingerprints.with_successor(table(spark, []), rows).count() == 0
 
 
+def test_rows_without_id_are_all_fingerprinted(spark):
+    found = fingerprints.with_successor(table(spark, [(None, "a b"), (None, "a b"), (None, None)])).collect()
+    assert sorted(r.fingerprint for r in found) == ["", *fingerprints.fingerprints(pa.array(["a b", "a b"]))]
+
+
 def test_repeated_ids_follow_each_other(spark):
     found = fingerprints.with_successor(table(spark, [(1, "a b"), (2, "c d"), (2, "e f"), (2, "e f")]), 1)
     assert sorted(r.doc_id for r in found.collect()) == [1, 2, 2, 2]
