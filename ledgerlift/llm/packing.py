@@ -5,6 +5,13 @@ Every task packs its pieces best-fit, the longest first, and emits bins that are
 The others go up a tree as items, several tasks' into one, and are packed best-fit again, until
 one task is left.  A task passes on at most ``carry`` bins, its emptiest; fuller ones stay as they
 are, so that the last task's work has a bound.
+
+That bound costs no sequence.  Of two bins that best-fit has made, the contents of the later did not fit
+beside the earlier, so together they exceed a sequence: all bins of a task but one are more than half full.
+Above, a merge therefore always takes in one of these small bins, of which the whole tree has no more than
+tasks in its first round, and ``carry`` is never below their number.  Wherever a small bin would fit beside a
+bin that was not passed on, it also fits beside any that was passed on instead, being emptier, and these
+outnumber the small bins that may have taken them.
 """
 
 import json
@@ -251,7 +258,8 @@ def pack(pieces: DataFrame, capacity: int, fan_in: int = 16, nearly_full: float
          carry: int = 50_000) -> DataFrame:
     """``pieces`` (a written table with ``length``) with ``sequence_id`` and ``offset``.
 
-    ``items`` bounds what one task packs at a time, ``carry`` the bins it passes up the tree.
+    ``items`` bounds what one task packs at a time, ``carry`` (at least the tasks of the first round) the bins
+    it passes up the tree; see above why that makes no more sequences.
     No piece is longer than ``capacity``.  Sequences are gapless from 0; ids are any numbers.
     """
     full = int(capacity * nearly_full)
@@ -263,6 +271,7 @@ def pack(pieces: DataFrame, capacity: int, fan_in: int = 16, nearly_full: float
     closed = []
     rising = bins.filter(F.col("fill") < full).select("bin", "fill", F.array(F.struct("bin", F.lit(0).alias("shift"))).alias("parts"))
     level, tasks = 1, max(1, -(-len(placed.inputFiles()) // fan_in))
+    carry = max(carry, tasks)
     while True:
         dealt = rising.repartition(tasks, F.xxhash64("bin")) if tasks > 1 else rising.coalesce(1)
         made = written(dealt.mapInArrow(_round(capacity, full, carry, level), BIN), "bins")

@@ -147,6 +147,16 @@ def test_every_piece_has_its_place(spark, parts, options):
         assert used <= 1.03 * sum(r[2] for r in rows) / 100 + 1
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_bins_that_are_not_passed_on_cost_no_sequence(spark, seed):
+    """Many bins more than half full, few small ones; only three bins go up from each task, or all."""
+    rng = random.Random(seed)
+    rows = [(i, 0, rng.choice([rng.randint(51, 70), rng.randint(51, 99), rng.randint(1, 45)]) if i % 7 else rng.randint(51, 60)) for i in range(900)]
+    pieces = written(spark.createDataFrame(rows, "doc_id long, piece int, length long").repartition(9), "pieces")
+    few, every = (check_packing(packing.pack(pieces, 100, fan_in=3, carry=c, items=40).collect(), 100) for c in (1, 50_000))
+    assert few == every
+
+
 def test_packing_nothing(spark):
     pieces = packing.token_pieces(edge_table(spark, []).filter("doc_id IS NOT NULL"), WORD_BPE, 64)
     assert packing.pack(written(pieces, "none"), 64).count() == 0
