@@ -157,6 +157,24 @@ def test_bins_that_are_not_passed_on_cost_no_sequence(spark, seed):
     assert few == every
 
 
+def test_placing_holds_no_tokenizer_and_no_copy(monkeypatch):
+    """Pieces are placed without the words of the tokenizing stage, and their ids go on in the batch they came in."""
+    import pyarrow as pa
+
+    from ledgerlift.llm import common
+
+    monkeypatch.setattr(packing, "_base", lambda level: 0)
+    common.claim("packing", packing.encoder.cache_clear)
+    packing.encoder(WORD_BPE).encode(["some words"])
+    ids = pa.array([b"a" * 400, None, b"c" * 200], pa.binary())
+    given = [pa.RecordBatch.from_arrays([pa.array([100, 60, n], pa.int64()), ids], names=["length", "ids"]) for n in (50, 41)]
+    found = list(packing._first(100, 6)(iter(given)))
+    assert packing.encoder.cache_info().currsize == 0
+    assert [b.column("ids").buffers()[2].address for b in found] == [ids.buffers()[2].address] * 2
+    assert [list(zip(*(b.column(c).to_pylist() for c in ("length", "bin", "fill", "shift")))) for b in found] == [
+        [(100, 0, 100, 0), (60, 2, 60, 0), (50, 4, 91, 0)], [(100, 1, 100, 0), (60, 3, 60, 0), (41, 4, 91, 50)]]
+
+
 def test_packing_nothing(spark):
     pieces = packing.token_pieces(edge_table(spark, []).filter("doc_id IS NOT NULL"), WORD_BPE, 64)
     assert packing.pack(written(pieces, "none"), 64).count() == 0
