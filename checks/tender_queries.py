@@ -222,7 +222,8 @@ def p_item_status(t):
 
 @query(W + BIDS + f"SELECT {BID_COLUMNS} FROM bids_rounds")
 def p_bids_rounds(t):
-    return Chain(t).bids_rounds
+    c = Chain(t)
+    return tenders.bids_rounds(c.e.bid_round, written(c.item_rows, "tender-items"))
 
 
 @query(W + BIDS + f"SELECT {BID_COLUMNS} FROM bids_direct")

@@ -58,10 +58,15 @@ def latest_value(df: DataFrame, keys: Sequence[str], value: str, order: Sequence
 def summed(df: DataFrame, keys: Sequence[str], *totals: Column) -> DataFrame:
     """One row per key, for a join on the same keys.
 
-    Grouped by the keys and their hash, so that the groups are not placed by the keys alone: the
+    Grouped by the keys and a flag of their hash, so that the groups are not placed by the keys alone: the
     join then shuffles both sides itself, and adaptive execution may split a hot key of the other side.
     """
-    return df.groupBy(*keys, F.xxhash64(*keys).alias("_placed")).agg(*totals).drop("_placed")
+    return df.groupBy(*keys, _placed(keys)).agg(*totals).drop("_placed")
+
+
+def _placed(keys: Sequence[str]) -> Column:
+    """A flag that follows from the keys and is nearly always false, so that it adds next to nothing to a shuffle."""
+    return (F.xxhash64(*keys) == 0).alias("_placed")
 
 
 def keyed_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,7 +77,7 @@ def keyed_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     values = [c for c in df.columns if c not in keys]
     known = df.dropna(subset=list(keys))
-    once = known.groupBy(*keys, F.xxhash64(*keys).alias("_placed")).agg(
+    once = known.groupBy(*keys, _placed(keys)).agg(
         F.count("*").alias("_rows"), *(F.first(v).alias(v) for v in values)
     )
     shown = F.concat_ws(",", *(F.col(k).cast("string") for k in keys))

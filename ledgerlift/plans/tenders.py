@@ -9,7 +9,7 @@ from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import absent_rows, merge_matched, set_from_where
 from ledgerlift.operators.lookups import lookup, misses
 from ledgerlift.operators.numbering import number_all, number_within
-from ledgerlift.operators.picks import best_with_ties, first_by, first_per_key, latest_value, matching, summed, unmatched
+from ledgerlift.operators.picks import best_with_ties, first_per_key, latest_value, matching, summed, unmatched
 from ledgerlift.params import RunParams
 from ledgerlift.sources.slices import of_years
 
@@ -142,9 +142,10 @@ def unknown_bidders(tender_bidder: DataFrame, person: DataFrame, tender: DataFra
 
 def open_offers(tender_offer: DataFrame, catalog_item: DataFrame, tender_item: DataFrame, tender: DataFrame) -> DataFrame:
     """Offers on known materials and on items that are no annex, one row per such item."""
+    # The narrow items are looked up, not the offers, which meet them on the same keys and go through one shuffle.
     items = tender_item.filter("annex = 'N'").select("tender", "material", "failed")
-    known = matching(tender_offer, catalog_item, {"material": "number"}, unique=True)
-    return matching(known, tender, {"tender": "number"}, unique=True).join(items, ["tender", "material"])
+    known = matching(items, catalog_item, {"material": "number"}, unique=True)
+    return tender_offer.join(matching(known, tender, {"tender": "number"}, unique=True), ["tender", "material"])
 
 
 def best_offers(offers: DataFrame, tender_item_avg: DataFrame) -> DataFrame:
@@ -335,7 +336,7 @@ ITEM = {"tender": "tender", "material": "material"}
 
 
 def _lines_of(items: DataFrame) -> DataFrame:
-    return first_by(items, ["tender", "material"], ["line"], ["line"])
+    return summed(items, ["tender", "material"], F.min("line").alias("line"))
 
 
 def amended_quantities(request: DataFrame, request_line: DataFrame, request_tender: DataFrame) -> DataFrame:

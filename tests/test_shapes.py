@@ -95,3 +95,47 @@ def test_only_bounded_frames_are_hinted():
             if isinstance(node, ast.Attribute) and node.attr in ("broadcast", "localCheckpoint", "toPandas", "rdd", "cache"):
                 found.append((path.name, node.attr))
     assert sorted(found) == [("numbering.py", "broadcast")]
+
+
+def test_offers_go_through_one_shuffle(spark, tmp_path):
+    """Materials and tenders are looked up for the narrow items, and the offers meet these once."""
+    from ledgerlift.plans import tenders
+
+    kinds = {
+        "offer": "tender long, material long, bidder long, line long, quantity double, unit_price double, total double, lowest int, offer date",
+        "catalog": "number long", "item": "tender long, material long, annex string, failed string", "tender": "number long",
+    }
+    data = {
+        "offer": [(t, m, 1, m, 2.0, 3.0, 6.0, 1, None) for t in (1, 2, None) for m in (5, 6, 7, None)] * 2,
+        "catalog": [(5,), (6,), (6,), (None,)], "tender": [(1,), (1,), (None,)],
+        "item": [(1, 5, "N", "S"), (1, 5, "N", None), (1, 6, "S", None), (1, 7, "N", None), (2, 5, "N", None), (None, 5, "N", None), (1, None, "N", None)],
+    }
+    frames = {}
+    for name, kind in kinds.items():
+        spark.createDataFrame(data[name], kind).write.parquet(str(tmp_path / name))
+        frames[name] = spark.read.parquet(str(tmp_path / name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = tenders.open_offers(frames["offer"], frames["catalog"], frames["item"], frames["tender"])
+        text = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.select("tender", "material", "failed").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(map(tuple, rows), key=str) == sorted([(1, 5, "S"), (1, 5, None)] * 2, key=str)
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Scan parquet" in line and "unit_price" in line)
+    depth, above = len(lines[at]) - len(lines[at].lstrip(" :+-")), 0
+    for line in reversed(lines[:at]):  # the ancestors of the offers' scan
+        here = len(line) - len(line.lstrip(" :+-"))
+        if here < depth:
+            depth, above = here, above + ("Exchange hashpartitioning" in line)
+    assert above == 1
+
+
+def test_lookup_sides_carry_no_hash(spark, folder):
+    """What places the groups of a lookup's side is a flag, which takes next to no room in a shuffle."""
+    side = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("w"))
+    for df in (picks.summed(side, ["k"], F.min("w").alias("w")), picks.keyed_once(side, ["k"])):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "xxhash64(" in text and text.count("xxhash64(") == text.count(", 42) = 0) AS ")
