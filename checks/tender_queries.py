@@ -6,7 +6,7 @@ from checks.binding import ENTITIES, PARAMS, Entities
 from checks.operator_queries import MODALITY_VALUES, OUTSIDE_SQL
 from checks.registry import EXACT, GROW, query
 from ledgerlift.plans import tenders
-from ledgerlift.session import written
+from ledgerlift.session import written_by
 
 W = f"WITH {ENTITIES}"
 YY = "substr(CAST(year AS VARCHAR), 3, 2)"
@@ -71,7 +71,7 @@ approved AS (SELECT tender, CAST(approved + INTERVAL 1 YEAR AS DATE) AS valid_un
 
 
 class Chain:
-    """The plan frames in their order; items and bids are loaded tables read back."""
+    """The plan frames in their order; items and bids are loaded tables read back, all placed by their tender."""
 
     def __init__(self, t):
         self.e = Entities(t)
@@ -87,25 +87,28 @@ class Chain:
     @cached_property
     def offers(self):
         e = self.e
-        return tenders.open_offers(e.tender_offer, e.catalog_item, e.tender_item, e.tender)
+        opened = tenders.open_offers(e.tender_offer, e.catalog_item, e.tender_item, e.tender, e.item_codes)
+        return written_by(opened, "offers", "tender")
 
     @cached_property
-    def landed_offers(self):
-        """For the chains that use offers twice."""
-        return written(self.offers, "offers")
+    def items(self):
+        best = tenders.best_offers(self.offers, self.e.tender_item_avg)
+        return written_by(tenders.tender_items(best), "tender-items", "tender")
 
     @cached_property
     def item_rows(self):
-        return tenders.tender_items(tenders.best_offers(self.offers, self.e.tender_item_avg), self.e.item_codes)
+        """For the plans that need no code of the items: nothing is looked up or written for them."""
+        e = self.e
+        offers = tenders.open_offers(e.tender_offer, e.catalog_item, e.tender_item, e.tender)
+        return tenders.tender_items(tenders.best_offers(offers, e.tender_item_avg), e.item_codes)
 
     @cached_property
-    def items(self):
-        best = tenders.best_offers(self.landed_offers, self.e.tender_item_avg)
-        return written(tenders.tender_items(best, self.e.item_codes), "tender-items")
+    def settled(self):
+        return tenders.by_tender(self.e.settled)
 
     @cached_property
     def status(self):
-        return tenders.item_status(self.items, self.header_keys, self.e.settled)
+        return tenders.item_status(self.items, self.header_keys, self.settled)
 
     @cached_property
     def bids_rounds(self):
@@ -114,25 +117,27 @@ class Chain:
     @cached_property
     def bids_direct(self):
         e = self.e
-        return tenders.bids_direct(self.offers, e.tender, e.bid_round, e.item_codes, PARAMS)
+        return tenders.bids_direct(self.offers, e.tender, e.bid_round, None, PARAMS)
 
     @cached_property
     def bids(self):
-        e = self.e
-        direct = tenders.bids_direct(self.landed_offers, e.tender, e.bid_round, e.item_codes, PARAMS)
-        return written(self.bids_rounds.unionByName(direct), "bids")
+        return written_by(self.bids_rounds.unionByName(self.bids_direct), "bids", "tender")
 
     @cached_property
     def rounds(self):
-        return tenders.winning_rounds(self.bids, self.e.settled)
+        return tenders.winning_rounds(self.bids, self.settled)
 
     @cached_property
-    def awards(self):
+    def award_rows(self):
         awarded = self.rounds.filter("unit_price > 2000")
         return tenders.awards(
             self.rounds, self.status, tenders.item_details(self.items), self.header_keys, self.bids, awarded
         )
 
+    @cached_property
+    def awards(self):
+        return written_by(self.award_rows, "awards", "tender")
+
 
 @query(W + HEADERS + "SELECT * FROM headers")
 def p_tenders(t):
@@ -187,7 +192,7 @@ def p_session_bidders(t):
     CAST(0 AS BIGINT) AS centre, 'N' AS reduced, '00000001' AS lot, failed FROM items"""
 )
 def p_tender_items(t):
-    return Chain(t).item_rows
+    return Chain(t).items
 
 
 @query(
@@ -203,7 +208,7 @@ def p_tender_item_funding(t):
     line AS item FROM items"""
 )
 def p_tender_item_details(t):
-    return tenders.item_details(Chain(t).item_rows)
+    return tenders.item_details(Chain(t).items)
 
 
 @query(
@@ -222,8 +227,7 @@ def p_item_status(t):
 
 @query(W + BIDS + f"SELECT {BID_COLUMNS} FROM bids_rounds")
 def p_bids_rounds(t):
-    c = Chain(t)
-    return tenders.bids_rounds(c.e.bid_round, written(c.item_rows, "tender-items"))
+    return written_by(Chain(t).bids_rounds, "bids-rounds", "tender")
 
 
 @query(W + BIDS + f"SELECT {BID_COLUMNS} FROM bids_direct")
@@ -245,7 +249,7 @@ def p_winning_rounds(t):
 )
 def p_final_bids(t):
     c = Chain(t)
-    return tenders.final_bids(c.bids, c.e.settled)
+    return tenders.final_bids(c.bids, c.settled)
 
 
 @query(W + AWARDS + "SELECT * FROM awards")
@@ -258,12 +262,12 @@ def award_join(t):
     return Chain(t).awards
 
 
-def _register(c):
+def _register(c, award):
     e = c.e
     keys = ["tender", "bidder", "code", "centre", "line"]
-    loaded = c.awards.filter("quantity > 45").select(*keys)
+    loaded = award.filter("quantity > 45").select(*keys)
     return tenders.price_register(
-        c.headers, c.awards, {"register_docs": e.held_sessions, "register_prices": loaded, "register_history": loaded.filter("line > 3")}
+        c.headers, award, {"register_docs": e.held_sessions, "register_prices": loaded, "register_history": loaded.filter("line > 3")}
     )
 
 
@@ -277,7 +281,8 @@ SAME = "x.tender = a.tender AND x.bidder = a.bidder AND x.code = a.code AND x.li
     WHERE NOT EXISTS (SELECT 1 FROM awards x WHERE {SAME})"""
 )
 def p_price_register(t):
-    return _register(Chain(t))["register_prices"]
+    c = Chain(t)
+    return _register(c, c.awards)["register_prices"]
 
 
 @query(
@@ -285,7 +290,8 @@ def p_price_register(t):
     WHERE tender NOT IN (SELECT tender FROM held_sessions)"""
 )
 def p_price_register_docs(t):
-    return _register(Chain(t))["register_docs"]
+    c = Chain(t)
+    return _register(c, c.award_rows)["register_docs"]  # no award is read for it
 
 
 @query(
@@ -293,7 +299,8 @@ def p_price_register_docs(t):
     WHERE NOT EXISTS (SELECT 1 FROM awards x WHERE {SAME} AND x.line > 3)"""
 )
 def p_price_register_history(t):
-    return _register(Chain(t))["register_history"]
+    c = Chain(t)
+    return _register(c, c.awards)["register_history"]
 
 
 @query(

@@ -6,7 +6,7 @@ No broadcast hint is given: Spark compares the dimension's size with
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.operators.picks import first_per_key, keyed_once, unmatched
@@ -40,18 +40,21 @@ def lookup(
     condition = [F.col(l) == F.col(f"_k_{l}") for l in on]
     joined = df.join(dim, condition, "inner" if on_miss == "skip" else "left")
     if on_miss == "fail":
-        shown = F.concat_ws(",", *(F.coalesce(F.col(l).cast("string"), F.lit("NULL")) for l in on))
-        error = F.raise_error(F.concat(F.lit(f"no {', '.join(values)} for {', '.join(on)} = "), shown))
-        kinds = {f.name: f.dataType for f in dimension.schema.fields}
-        joined = joined.withColumns(
-            {v: F.when(F.col("_hit"), F.col(v)).otherwise(error.cast(kinds[v])) for v in values}
-        )
+        joined = found_or_fail(joined, F.col("_hit"), list(on), values)
     elif on_miss in ("blank", "zero"):
         default = F.lit("") if on_miss == "blank" else F.lit(0)
         joined = joined.withColumns({v: F.coalesce(F.col(v), default) for v in values})
     return joined.drop("_hit", *(f"_k_{l}" for l in on))
 
 
+def found_or_fail(df: DataFrame, hit: Column, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """``df``, looked up by ``keys`` before: a row for which ``hit`` is not true stops the job where ``values`` are used."""
+    shown = F.concat_ws(",", *(F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys))
+    error = F.raise_error(F.concat(F.lit(f"no {', '.join(values)} for {', '.join(keys)} = "), shown))
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return df.withColumns({v: F.when(hit, F.col(v)).otherwise(error.cast(kinds[v])) for v in values})
+
+
 def misses(df: DataFrame, dimension: DataFrame, on: dict[str, str]) -> DataFrame:
     """Reject frame: rows the dimension does not know."""
     return unmatched(df, dimension, on, unique=True)

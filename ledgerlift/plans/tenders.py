@@ -7,7 +7,7 @@ from ledgerlift import constants as K
 from ledgerlift.functions import text as X
 from ledgerlift.functions import values as V
 from ledgerlift.operators.changes import absent_rows, merge_matched, set_from_where
-from ledgerlift.operators.lookups import lookup, misses
+from ledgerlift.operators.lookups import found_or_fail, lookup, misses
 from ledgerlift.operators.numbering import number_all, number_within
 from ledgerlift.operators.picks import best_with_ties, first_per_key, latest_value, matching, summed, unmatched
 from ledgerlift.params import RunParams
@@ -37,6 +37,15 @@ def clock(text) -> F.Column:
     return F.substring(F.replace(whole, F.lit(":"), F.lit("")), 1, 4)
 
 
+def by_tender(rows: DataFrame) -> DataFrame:
+    """Rows placed by their tender alone.
+
+    Joins and groups on keys that include the tender need no further shuffle where all their sides are placed so; the rows
+    of one tender meet in one task.
+    """
+    return rows.repartition("tender")
+
+
 # ---- headers ---------------------------------------------------------------------
 
 
@@ -140,12 +149,23 @@ def unknown_bidders(tender_bidder: DataFrame, person: DataFrame, tender: DataFra
 # ---- items ------------------------------------------------------------------------
 
 
-def open_offers(tender_offer: DataFrame, catalog_item: DataFrame, tender_item: DataFrame, tender: DataFrame) -> DataFrame:
-    """Offers on known materials and on items that are no annex, one row per such item."""
-    # The narrow items are looked up, not the offers, which meet them on the same keys and go through one shuffle.
+def open_offers(
+    tender_offer: DataFrame, catalog_item: DataFrame, tender_item: DataFrame, tender: DataFrame, codes: DataFrame | None = None
+) -> DataFrame:
+    """Offers on known materials and on items that are no annex, one row per such item.
+
+    With the coded catalog items ``codes`` they have the ``code`` of their material and whether it is ``coded``.  The items
+    are then by their materials once, and offers and what is made of them stay by tender (see :func:`by_tender`), if
+    written by :func:`ledgerlift.session.written_by`.
+    """
     items = tender_item.filter("annex = 'N'").select("tender", "material", "failed")
     known = matching(items, catalog_item, {"material": "number"}, unique=True)
-    return tender_offer.join(matching(known, tender, {"tender": "number"}, unique=True), ["tender", "material"])
+    if codes is None:
+        # The narrow items are looked up, not the offers, which meet them on the same keys and go through one shuffle.
+        return tender_offer.join(matching(known, tender, {"tender": "number"}, unique=True), ["tender", "material"])
+    coded = lookup(known, codes.withColumn("coded", F.lit(True)), {"material": "material"}, ["code", "coded"], "null")
+    offers = matching(by_tender(tender_offer), tender, {"tender": "number"}, unique=True)
+    return offers.join(by_tender(coded), ["tender", "material"])
 
 
 def best_offers(offers: DataFrame, tender_item_avg: DataFrame) -> DataFrame:
@@ -154,8 +174,9 @@ def best_offers(offers: DataFrame, tender_item_avg: DataFrame) -> DataFrame:
     ``avg_material`` is NULL for an item without average.
     """
     # One pre-aggregated pass gives both; a struct compares field by field, unpriced offers last.
+    code = [c for c in ("code", "coded") if c in offers.columns]  # follow from the material
     lowest = F.struct(
-        F.col("unit_price").isNull().alias("unpriced"), "unit_price", "material", "bidder", "quantity", "offer", "failed"
+        F.col("unit_price").isNull().alias("unpriced"), "unit_price", "material", "bidder", "quantity", "offer", "failed", *code
     )
     best = (
         offers.groupBy("tender", "line")
@@ -169,12 +190,17 @@ def best_offers(offers: DataFrame, tender_item_avg: DataFrame) -> DataFrame:
     return lookup(best, average, on, ["avg_material", "avg_price", "avg_total"], "null")
 
 
-def tender_items(best: DataFrame, items: DataFrame) -> DataFrame:
-    """Tender items with the code of their material.
+def tender_items(best: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """Tender items with the code of their material, from the coded catalog ``items`` unless the offers have it already.
 
     An item without average price has no material and stops the run.
     """
-    return lookup(best, items, {"avg_material": "material"}, ["code"], "fail").select(
+    if items is None:
+        hit = F.col("coded") & F.col("avg_material").isNotNull()
+        coded = found_or_fail(best, hit, ["avg_material"], ["code"])
+    else:
+        coded = lookup(best, items, {"avg_material": "material"}, ["code"], "fail")
+    return coded.select(
         "tender", "line", F.col("avg_material").alias("material"), "code", "quantity", "avg_price",
         F.col("avg_total").alias("total"), "offers", F.lit("C").alias("kind"), _long(0).alias("centre"),
         F.lit("N").alias("reduced"), F.lit(K.DEFAULT_LOT).alias("lot"), "failed",
@@ -212,7 +238,7 @@ def item_status(items: DataFrame, headers: DataFrame, existing: DataFrame) -> Da
 
 def bids_rounds(bid_round: DataFrame, items: DataFrame) -> DataFrame:
     """Each bidder's bids of the last round, on every tender item that carries the material."""
-    last = best_with_ties(bid_round, ["tender", "bidder", "material"], "round")
+    last = best_with_ties(by_tender(bid_round), ["tender", "bidder", "material"], "round")
     lines = items.select(
         "tender", "material", "line", "quantity", "code", F.when(F.col("failed") == "S", "D").otherwise("C").alias("status")
     )
@@ -224,15 +250,21 @@ def bids_rounds(bid_round: DataFrame, items: DataFrame) -> DataFrame:
     ))
 
 
-def bids_direct(offers: DataFrame, tender: DataFrame, bid_round: DataFrame, items: DataFrame, params: RunParams) -> DataFrame:
+def bids_direct(
+    offers: DataFrame, tender: DataFrame, bid_round: DataFrame, items: DataFrame | None, params: RunParams
+) -> DataFrame:
     """Winning offers of the last years on materials that had no bidding rounds.
 
-    ``items`` are the coded catalog items; an unknown material stops the run.
+    ``items`` are the coded catalog items, or None where offers have their code; an unknown material stops the run.
     """
     recent = of_years(tender, "year", params.fiscal_year - params.direct_bid_years)
     won = matching(offers.filter("lowest = 1"), recent, {"tender": "number"}, unique=True)
-    direct = unmatched(won, bid_round, {"tender": "tender", "material": "material"})
-    return _bid(lookup(direct, items, {"material": "material"}, ["code"], "fail").select(
+    direct = unmatched(won, by_tender(bid_round), {"tender": "tender", "material": "material"})
+    if items is None:
+        coded = found_or_fail(direct, F.col("coded"), ["material"], ["code"])
+    else:
+        coded = lookup(direct, items, {"material": "material"}, ["code"], "fail")
+    return _bid(coded.select(
         "tender", "bidder", "line", "code", "quantity", "unit_price", "total", F.lit("C").alias("status"),
         _long(1).alias("won"), F.lit(None).cast("string").alias("brand"), _long(1).alias("round"),
     ))

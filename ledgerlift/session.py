@@ -121,3 +121,35 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def placed_joins(spark: SparkSession) -> Iterator[None]:
+    """Frames written inside are joined without a shuffle where both sides are placed by a part of the keys already.
+
+    Spark otherwise shuffles both sides by all keys, in case the part is skewed.
+    """
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def written_by(df: DataFrame, label: str, key: str) -> DataFrame:
+    """As :func:`written`, in as many buckets by ``key`` as a shuffle has partitions, and planned with :func:`placed_joins`.
+
+    Joins and groups on keys that include ``key`` then need no shuffle of the table.  ``df`` should be placed by ``key``
+    alone, so that each task writes its own buckets.  Where a later shuffle has another number of partitions, Spark
+    shuffles the table as any other.  It is an entry in the session's catalog.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    shuffled = spark.conf.get("spark.sql.shuffle.partitions")
+    buckets = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or shuffled)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    with placed_joins(spark):
+        df.write.format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
