@@ -282,7 +282,7 @@ SAME = "x.tender = a.tender AND x.bidder = a.bidder AND x.code = a.code AND x.li
 )
 def p_price_register(t):
     c = Chain(t)
-    return _register(c, c.awards)["register_prices"]
+    return written_by(_register(c, c.awards)["register_prices"], "register-prices", "tender")
 
 
 @query(
@@ -300,7 +300,7 @@ def p_price_register_docs(t):
 )
 def p_price_register_history(t):
     c = Chain(t)
-    return _register(c, c.awards)["register_history"]
+    return written_by(_register(c, c.awards)["register_history"], "register-history", "tender")
 
 
 @query(

@@ -143,7 +143,8 @@ def written_by(df: DataFrame, label: str, key: str) -> DataFrame:
 
     Joins and groups on keys that include ``key`` then need no shuffle of the table.  ``df`` should be placed by ``key``
     alone, so that each task writes its own buckets.  Where a later shuffle has another number of partitions, Spark
-    shuffles the table as any other.  It is an entry in the session's catalog.
+    shuffles the table as any other.  It is packed with zstd, as it is large and read few times.  It is an entry in the
+    session's catalog.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
@@ -151,5 +152,5 @@ def written_by(df: DataFrame, label: str, key: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or shuffled)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     with placed_joins(spark):
-        df.write.format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+        df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     return spark.table(name)

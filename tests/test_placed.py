@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from checks import load
 from ledgerlift.params import RunParams
 from ledgerlift.plans import tenders
 from ledgerlift.session import placed_joins, written_by
@@ -93,3 +94,14 @@ def test_the_setting_is_put_back(spark, sources):
         assert spark.conf.get(CO_PARTITION) == "false"
         raise ZeroDivisionError
     assert spark.conf.get(CO_PARTITION, None) == before
+
+
+@pytest.mark.parametrize("name", ["p_price_register", "p_price_register_history"])
+def test_results_of_the_chain_are_planned_in_their_place(spark, folder, no_broadcast, name):
+    found = load()[0][name](spark, folder)
+    assert "Exchange" not in plan(found) and found.count() > 0
+
+
+def test_landed_rows_are_packed_with_zstd(sources, rows):
+    landed = written_by(sources["codes"], "codes", "material")
+    assert all(".zstd." in name for name in landed.inputFiles()) and rows(landed) == rows(sources["codes"])
