@@ -71,7 +71,7 @@ approved AS (SELECT tender, CAST(approved + INTERVAL 1 YEAR AS DATE) AS valid_un
 
 
 class Chain:
-    """The plan frames in their order; items and bids are loaded tables read back, all placed by their tender."""
+    """The plan frames in their order; items, bids and rounds are loaded tables read back, all placed by their tender."""
 
     def __init__(self, t):
         self.e = Entities(t)
@@ -125,7 +125,7 @@ class Chain:
 
     @cached_property
     def rounds(self):
-        return tenders.winning_rounds(self.bids, self.settled)
+        return written_by(tenders.winning_rounds(self.bids, self.settled), "winning-rounds", "tender")
 
     @cached_property
     def award_rows(self):

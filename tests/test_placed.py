@@ -5,6 +5,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from checks import load
+from checks.registry import Tables
+from checks.tender_queries import Chain
 from ledgerlift.params import RunParams
 from ledgerlift.plans import tenders
 from ledgerlift.session import placed_joins, written_by
@@ -105,3 +107,8 @@ def test_results_of_the_chain_are_planned_in_their_place(spark, folder, no_broad
 def test_landed_rows_are_packed_with_zstd(sources, rows):
     landed = written_by(sources["codes"], "codes", "material")
     assert all(".zstd." in name for name in landed.inputFiles()) and rows(landed) == rows(sources["codes"])
+
+
+def test_rounds_are_made_once_for_the_awards(spark, folder):
+    chain = Chain(Tables(spark, folder))
+    assert "Join" not in plan(chain.rounds) and chain.awards.count() > 0
