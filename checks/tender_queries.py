@@ -249,7 +249,7 @@ def p_winning_rounds(t):
 )
 def p_final_bids(t):
     c = Chain(t)
-    return tenders.final_bids(c.bids, c.settled)
+    return written_by(tenders.final_bids(c.bids, c.settled), "final-bids", "tender")
 
 
 @query(W + AWARDS + "SELECT * FROM awards")
