@@ -98,7 +98,7 @@ def test_the_setting_is_put_back(spark, sources):
     assert spark.conf.get(CO_PARTITION, None) == before
 
 
-@pytest.mark.parametrize("name", ["p_final_bids", "p_price_register", "p_price_register_history"])
+@pytest.mark.parametrize("name", ["p_winning_rounds", "p_final_bids", "p_price_register", "p_price_register_history"])
 def test_results_of_the_chain_are_planned_in_their_place(spark, folder, no_broadcast, name):
     found = load()[0][name](spark, folder)
     assert "Exchange" not in plan(found) and found.count() > 0
