@@ -112,7 +112,7 @@ class Chain:
 
     @cached_property
     def bids_rounds(self):
-        return tenders.bids_rounds(self.e.bid_round, self.items)
+        return tenders.bids_rounds(self.e.bid_round, self.items, once=True)
 
     @cached_property
     def bids_direct(self):

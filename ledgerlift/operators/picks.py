@@ -17,13 +17,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[C
     return df.withColumn("_rn", F.row_number().over(spec)).filter("_rn = 1").drop("_rn")
 
 
-def best_with_ties(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def best_with_ties(df: DataFrame, keys: Sequence[str], value: str, placed: bool = False) -> DataFrame:
     """Rows holding the highest ``value`` of their key, ties kept.
 
     Rows with a NULL key or value drop out.  The maximum is pre-aggregated and
     joined back on key and value, so the rows of a hot key never meet in one
-    window task.
+    window task.  Where ``df`` is ``placed`` by some of the keys they have met
+    already, and the maximum is taken in place, without a second shuffle.
     """
+    if placed:
+        top = F.max(value).over(Window.partitionBy(*keys))
+        return df.dropna(subset=[*keys, value]).withColumn("_top", top).filter(F.col(value) == F.col("_top")).drop("_top")
     tops = df.groupBy(*keys).agg(F.max(value).alias(value))
     return df.join(tops, [*keys, value], "left_semi")
 

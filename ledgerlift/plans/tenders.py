@@ -236,9 +236,12 @@ def item_status(items: DataFrame, headers: DataFrame, existing: DataFrame) -> Da
 # ---- bids --------------------------------------------------------------------------
 
 
-def bids_rounds(bid_round: DataFrame, items: DataFrame) -> DataFrame:
-    """Each bidder's bids of the last round, on every tender item that carries the material."""
-    last = best_with_ties(by_tender(bid_round), ["tender", "bidder", "material"], "round")
+def bids_rounds(bid_round: DataFrame, items: DataFrame, once: bool = False) -> DataFrame:
+    """Each bidder's bids of the last round, on every tender item that carries the material.
+
+    With ``once`` the rounds go through one shuffle, by tender, and the last ones are found in their place.
+    """
+    last = best_with_ties(by_tender(bid_round), ["tender", "bidder", "material"], "round", placed=once)
     lines = items.select(
         "tender", "material", "line", "quantity", "code", F.when(F.col("failed") == "S", "D").otherwise("C").alias("status")
     )

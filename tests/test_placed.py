@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import load
 from checks.registry import Tables
 from checks.tender_queries import Chain
+from ledgerlift.operators.picks import best_with_ties
 from ledgerlift.params import RunParams
 from ledgerlift.plans import tenders
 from ledgerlift.session import placed_joins, written_by
@@ -98,6 +99,25 @@ def test_the_setting_is_put_back(spark, sources):
     assert spark.conf.get(CO_PARTITION, None) == before
 
 
+def test_rounds_go_through_one_shuffle_where_the_last_is_found_in_place(spark, sources, no_broadcast, rows):
+    s = sources
+    more = [(1, 1, None, 3, 1.0, "S"), (1, None, 5, 3, 1.0, "S"), (1, 1, 5, None, 1.0, "S"), (2, 1, 7, 1, 4.0, None), (2, 1, 7, 1, 4.0, None)]
+    bid_round = s["rounds"].unionByName(spark.createDataFrame(more, s["rounds"].schema))
+    items = written_by(tenders.tender_items(tenders.best_offers(written_by(opened(s, s["codes"]), "offers", "tender"), s["average"])), "items", "tender")
+    twice = tenders.bids_rounds(bid_round, items)
+    assert rows(tenders.bids_rounds(bid_round, items, once=True)) == rows(twice) and twice.count() > 0
+    with placed_joins(spark):
+        once = tenders.bids_rounds(bid_round, items, once=True)
+        assert plan(once).count("Exchange hashpartitioning(") == 1
+
+
+def test_the_last_rounds_of_placed_rows_are_the_same(spark, rows):
+    data = [(1, 1, 3), (1, 1, 3), (1, 1, 2), (1, 2, None), (1, 2, 1), (None, 1, 9), (2, None, 9), (3, 1, None)]
+    df = spark.createDataFrame(data, "tender long, bidder long, round long")
+    found = best_with_ties(tenders.by_tender(df), ["tender", "bidder"], "round", placed=True)
+    assert rows(found) == rows(best_with_ties(df, ["tender", "bidder"], "round")) == [(1, 1, 3), (1, 1, 3), (1, 2, 1)]
+
+
 @pytest.mark.parametrize("name", ["p_winning_rounds", "p_final_bids", "p_price_register", "p_price_register_history"])
 def test_results_of_the_chain_are_planned_in_their_place(spark, folder, no_broadcast, name):
     found = load()[0][name](spark, folder)
