@@ -199,10 +199,14 @@ class Entities:
 
     @cached_property
     def tender_item(self):
-        return self._ordered_lines.groupBy(F.col("l_orderkey").alias("tender"), F.col("l_partkey").alias("material")).agg(
+        # Flags go through the shuffle, not the values they follow from.
+        flagged = self.t.lineitem.select(
+            "l_orderkey", "l_partkey", "l_linenumber", (F.col("l_discount") > 0.09).alias("annex"), (F.col("l_returnflag") == "R").alias("failed")
+        ).repartition("l_orderkey")
+        return flagged.groupBy(F.col("l_orderkey").alias("tender"), F.col("l_partkey").alias("material")).agg(
             F.min("l_linenumber").cast("bigint").alias("line"),
-            F.when(F.max("l_discount") > 0.09, "S").otherwise("N").alias("annex"),
-            F.when(F.max((F.col("l_returnflag") == "R").cast("int")) == 1, "S").alias("failed"),
+            F.when(F.max("annex"), "S").otherwise("N").alias("annex"),
+            F.when(F.max("failed"), "S").alias("failed"),
         )
 
     @cached_property

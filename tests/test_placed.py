@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from checks import load
+from checks.binding import Entities
 from checks.registry import Tables
 from checks.tender_queries import Chain
 from ledgerlift.operators.picks import best_with_ties
@@ -132,3 +133,13 @@ def test_landed_rows_are_packed_with_zstd(sources, rows):
 def test_rounds_are_made_once_for_the_awards(spark, folder):
     chain = Chain(Tables(spark, folder))
     assert "Join" not in plan(chain.rounds) and chain.awards.count() > 0
+
+
+def test_flags_of_tender_items(spark, tmp_path, rows):
+    lines = [(1, 5, 2, 0.04, "A"), (1, 5, 1, 0.10, None), (1, 6, 3, None, "R"), (1, 6, 4, 0.09, "N"), (None, 6, 1, None, None), (2, None, 1, 0.1, "R")]
+    kind = "l_orderkey long, l_partkey long, l_linenumber int, l_discount double, l_returnflag string"
+    spark.createDataFrame(lines, kind).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = Entities(Tables(spark, str(tmp_path))).tender_item
+    assert rows(found) == [(1, 5, 1, "S", None), (1, 6, 3, "N", "S"), (2, None, 1, "S", "S"), (None, 6, 1, "N", None)]
+    lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert "AS annex" in lines[[i for i, line in enumerate(lines) if "RepartitionByExpression" in line][0] + 1]
