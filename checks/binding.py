@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import Tables
 from ledgerlift.params import RunParams
+from ledgerlift.session import shuffle_partitions
 
 PARAMS = RunParams(company=1, fiscal_year=1998, block_size=10)
 FLEET_PARAMS = RunParams(company=1, fiscal_year=2024)
@@ -199,10 +200,11 @@ class Entities:
 
     @cached_property
     def tender_item(self):
-        # Flags go through the shuffle, not the values they follow from.
+        # Flags go through the shuffle, not the values they follow from.  Its partitions are not put together by their size:
+        # such rows pack so well that a task would group several times as many of them as of others.
         flagged = self.t.lineitem.select(
             "l_orderkey", "l_partkey", "l_linenumber", (F.col("l_discount") > 0.09).alias("annex"), (F.col("l_returnflag") == "R").alias("failed")
-        ).repartition("l_orderkey")
+        ).repartition(shuffle_partitions(self.t.spark), "l_orderkey")
         return flagged.groupBy(F.col("l_orderkey").alias("tender"), F.col("l_partkey").alias("material")).agg(
             F.min("l_linenumber").cast("bigint").alias("line"),
             F.when(F.max("annex"), "S").otherwise("N").alias("annex"),

@@ -138,6 +138,12 @@ def placed_joins(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The number of partitions of a shuffle before adaptive execution puts small ones together."""
+    shuffled = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or shuffled)
+
+
 def written_by(df: DataFrame, label: str, key: str) -> DataFrame:
     """As :func:`written`, in as many buckets by ``key`` as a shuffle has partitions, and planned with :func:`placed_joins`.
 
@@ -148,9 +154,8 @@ def written_by(df: DataFrame, label: str, key: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    shuffled = spark.conf.get("spark.sql.shuffle.partitions")
-    buckets = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or shuffled)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     with placed_joins(spark):
-        df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+        landing = df.write.format("parquet").option("path", path).option("compression", "zstd")
+        landing.bucketBy(shuffle_partitions(spark), key).sortBy(key).saveAsTable(name)
     return spark.table(name)

@@ -143,3 +143,8 @@ def test_flags_of_tender_items(spark, tmp_path, rows):
     assert rows(found) == [(1, 5, 1, "S", None), (1, 6, 3, "N", "S"), (2, None, 1, "S", "S"), (None, 6, 1, "N", None)]
     lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert "AS annex" in lines[[i for i, line in enumerate(lines) if "RepartitionByExpression" in line][0] + 1]
+
+
+def test_tender_items_are_grouped_by_all_tasks(spark, folder):
+    found = Entities(Tables(spark, folder)).tender_item
+    assert found.select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
