@@ -193,6 +193,12 @@ class Entities:
             (F.col("l_returnflag") == "A").cast("int").alias("lowest"), F.to_date("l_shipdate").alias("offer"),
         )
 
+    @cached_property
+    def placed_offer(self):
+        """Offers placed by their tender.  Quantity and total go through the shuffle, not the price that follows from them."""
+        placed = self.tender_offer.drop("unit_price").repartition("tender")
+        return placed.withColumn("unit_price", F.col("total") / F.col("quantity")).select(*self.tender_offer.columns)
+
     @cached_property
     def _ordered_lines(self):
         """Lines placed by their order: whatever is grouped by order and more needs no further shuffle."""

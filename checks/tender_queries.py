@@ -87,7 +87,7 @@ class Chain:
     @cached_property
     def offers(self):
         e = self.e
-        opened = tenders.open_offers(e.tender_offer, e.catalog_item, e.tender_item, e.tender, e.item_codes)
+        opened = tenders.open_offers(e.placed_offer, e.catalog_item, e.tender_item, e.tender, e.item_codes)
         return written_by(opened, "offers", "tender")
 
     @cached_property

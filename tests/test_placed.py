@@ -148,3 +148,25 @@ def test_flags_of_tender_items(spark, tmp_path, rows):
 def test_tender_items_are_grouped_by_all_tasks(spark, folder):
     found = Entities(Tables(spark, folder)).tender_item
     assert found.select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_prices_of_placed_offers_do_not_go_through_the_shuffle(spark, tmp_path, no_broadcast, rows):
+    lines = [(1, 5, 7, 1, 4.0, 10.0, "A", None), (1, 5, 7, 1, 4.0, 10.0, "A", None), (2, 6, None, 2, None, 3.0, "N", None), (None, 6, 8, 3, 3.0, None, None, None)]
+    kind = """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,
+        l_returnflag string, l_shipdate timestamp"""
+    spark.createDataFrame(lines, kind).write.parquet(f"{tmp_path}/lineitem.parquet")
+    e = Entities(Tables(spark, str(tmp_path)))
+    assert rows(e.placed_offer) == rows(e.tender_offer) and e.placed_offer.schema == e.tender_offer.schema
+    assert [r.unit_price for r in e.placed_offer.filter("tender = 1").collect()] == [2.5, 2.5]
+    text = plan(tenders.by_tender(e.placed_offer)).splitlines()
+    shuffles = [i for i, line in enumerate(text) if "Exchange" in line]
+    assert len(shuffles) == 1 and not any("unit_price" in line for line in text[shuffles[0]:])
+
+
+def test_offers_of_the_chain_are_made_of_placed_ones(spark, folder, no_broadcast, monkeypatch):
+    landed = []
+    monkeypatch.setattr("checks.tender_queries.written_by", lambda df, label, key: landed.append(df) or df)
+    assert Chain(Tables(spark, folder)).offers.columns[:3] == ["tender", "material", "bidder"]
+    text = landed[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = [text[i + 1] for i, line in enumerate(text) if "RepartitionByExpression" in line]
+    assert any("AS total" in line for line in below) and not any("AS unit_price" in line for line in below)
