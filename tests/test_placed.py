@@ -163,10 +163,12 @@ def test_prices_of_placed_offers_do_not_go_through_the_shuffle(spark, tmp_path,
     assert len(shuffles) == 1 and not any("unit_price" in line for line in text[shuffles[0]:])
 
 
-def test_offers_of_the_chain_are_made_of_placed_ones(spark, folder, no_broadcast, monkeypatch):
-    landed = []
-    monkeypatch.setattr("checks.tender_queries.written_by", lambda df, label, key: landed.append(df) or df)
-    assert Chain(Tables(spark, folder)).offers.columns[:3] == ["tender", "material", "bidder"]
-    text = landed[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+@pytest.mark.parametrize("name", ["p_winning_rounds", "p_price_register_docs"])
+def test_offers_of_the_chain_are_made_of_placed_ones(spark, folder, no_broadcast, monkeypatch, name):
+    landed = {}
+    monkeypatch.setattr("checks.tender_queries.written_by", lambda df, label, key: landed.setdefault(label, df))
+    load()[0][name](spark, folder)
+    assert {"offers", "tender-items", "bids", "winning-rounds"} <= set(landed)
+    text = landed["offers"]._jdf.queryExecution().optimizedPlan().toString().splitlines()
     below = [text[i + 1] for i, line in enumerate(text) if "RepartitionByExpression" in line]
     assert any("AS total" in line for line in below) and not any("AS unit_price" in line for line in below)
